@@ -98,3 +98,27 @@ def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
             .withColumn(out, F.when(F.col("_is_last"), F.col("_next_chunk_first"))
                         .otherwise(F.col(out)))
             .drop(CHUNK, "_is_last", "_next_chunk_first"))
+
+
+def assign_surrogate_keys(df: DataFrame, order_col: str, start, out: str,
+                          chunk: Column | None = None,
+                          rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                          max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+    """``out = start + rank of order_col`` (1, 2, ... in ``order_col`` order,
+    values unique) without a global sort.
+
+    Rows are ranked inside their chunk; each chunk's offset is the number of
+    rows in earlier chunks. The offset table has at most ``max_chunks`` rows,
+    a proven bound, so it is broadcast. ``start`` may be a number or a column.
+    """
+    c = chunk if chunk is not None else chunk_column(df, order_col, rows_per_chunk, max_chunks)
+    d = df.withColumn("_skc", c)
+    d = d.withColumn("_skrn", F.row_number().over(Window.partitionBy("_skc").orderBy(order_col)))
+    counts = d.groupBy("_skc").agg(F.count(F.lit(1)).alias("_skn"))
+    before = Window.orderBy("_skc").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_skc", F.coalesce(F.sum("_skn").over(before), F.lit(0))
+                            .alias("_skoff"))
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    return (d.join(F.broadcast(offsets), "_skc")
+             .withColumn(out, (start_col + F.col("_skoff") + F.col("_skrn")).cast("long"))
+             .drop("_skc", "_skrn", "_skoff"))

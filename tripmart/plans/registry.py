@@ -26,6 +26,16 @@ from tripmart.schemas import CURATED_COLUMNS
 from tripmart.sources import testdata as td
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds
+from tripmart.operators.checks import dim_checks
+from tripmart.operators.pit import zone_as_of
+from tripmart.operators.scd2 import (
+    approve_versions,
+    empty_dim,
+    rollback_versions,
+    seed_zone_dim,
+    upsert_zone_scd2,
+    version_history,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +106,122 @@ def q_dq_tests_latest(spark, sf_dir):
                     F.col("created_at").cast("timestamp_ntz").alias("created_at")))
 
 
+def _base_dim(spark, sf_dir):
+    """Seeded dimension whose attributes make some requests no-ops."""
+    return seed_zone_dim(td.zone_master_for_dim(spark, sf_dir), empty_dim(spark), td.AS_OF)
+
+
+def _upsert(spark, sf_dir):
+    return upsert_zone_scd2(_base_dim(spark, sf_dir), td.zone_changes(spark, sf_dir),
+                            user=td.BATCH_USER)
+
+
+def _approvals(dim: DataFrame) -> DataFrame:
+    """Current rows of even locations, some closed rows, one unknown key."""
+    pick = dim.filter((F.col("is_current") & (F.col("location_id") % 2 == 0))
+                      | (~F.col("is_current") & (F.col("zone_dim_sk") % 7 == 0)))
+    known = pick.select("zone_dim_sk", F.lit("approver").alias("approved_by"),
+                        F.concat(F.lit("ok "), F.col("zone_dim_sk").cast("string")).alias("reason"))
+    unknown = dim.agg((F.max("zone_dim_sk") + 1000).alias("zone_dim_sk")).select(
+        "zone_dim_sk", F.lit("approver").alias("approved_by"), F.lit("unknown").alias("reason"))
+    return known.unionByName(unknown)
+
+
+def _rollbacks(dim: DataFrame) -> DataFrame:
+    """Per location: target 1, the current version, or a missing one; some
+    without a user; location 4 requested twice."""
+    per = dim.groupBy("location_id").agg(F.max("version_number").alias("_max"))
+    loc = F.col("location_id")
+    req = per.select(
+        "location_id",
+        F.when(loc % 3 == 0, F.lit(1)).when(loc % 3 == 1, F.col("_max"))
+         .otherwise(F.col("_max") + 5).cast("int").alias("target_version"),
+        F.when(loc % 10 == 7, F.lit(None)).otherwise(F.lit("admin")).alias("rolled_back_by"),
+        F.concat(F.lit("revert "), loc.cast("string")).alias("reason"))
+    return req.unionByName(req.filter(loc == 4))
+
+
+def _history_requests(dim: DataFrame) -> DataFrame:
+    loc = F.col("location_id")
+    locs = dim.select("location_id").distinct()
+    window_from = F.lit(td.CHANGES_START + dt.timedelta(minutes=5)).cast("timestamp_ntz")
+    window_to = F.lit(td.CHANGES_START + dt.timedelta(minutes=20)).cast("timestamp_ntz")
+    as_of = F.lit(td.AS_OF).cast("timestamp_ntz")
+    none = F.lit(None).cast("timestamp_ntz")
+    return locs.select(
+        "location_id",
+        F.when(loc % 4 == 1, as_of).when(loc % 4 == 3, window_from).otherwise(none)
+         .alias("from_date"),
+        F.when(loc % 4 == 1, as_of).when(loc % 4 == 3, window_to).otherwise(none)
+         .alias("to_date"))
+
+
+def _planted_faults(dim: DataFrame) -> DataFrame:
+    """One planted fault per rule: status, window, NULL author, open end,
+    extra current row, duplicated rows."""
+    sk = F.col("zone_dim_sk")
+    faulty = dim.withColumns({
+        "record_status": F.when(sk % 97 == 0, F.lit("BOGUS")).otherwise(F.col("record_status")),
+        "effective_to": F.when(sk % 89 == 0, F.col("effective_from"))
+                         .when(sk % 71 == 0, F.lit(None)).otherwise(F.col("effective_to")),
+        "created_by": F.when(sk % 73 == 0, F.lit(None)).otherwise(F.col("created_by")),
+        "is_current": F.when(sk % 67 == 0, F.lit(True)).otherwise(F.col("is_current")),
+    })
+    return faulty.unionByName(faulty.filter(sk % 83 == 0))
+
+
+def q_zone_seed(spark, sf_dir):
+    return seed_zone_dim(td.zone_master(spark, sf_dir), empty_dim(spark), td.AS_OF)
+
+
+def q_zone_seed_rerun(spark, sf_dir):
+    master = td.zone_master(spark, sf_dir)
+    once = seed_zone_dim(master, empty_dim(spark), td.AS_OF)
+    return seed_zone_dim(master, once, td.ROLLBACK_AS_OF)
+
+
+def q_scd2_upsert(spark, sf_dir):
+    return _upsert(spark, sf_dir).dim
+
+
+def q_scd2_upsert_results(spark, sf_dir):
+    return _upsert(spark, sf_dir).results
+
+
+def q_scd2_approve(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return approve_versions(dim, _approvals(dim), td.APPROVE_AS_OF).dim
+
+
+def q_scd2_approve_errors(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return approve_versions(dim, _approvals(dim), td.APPROVE_AS_OF).errors
+
+
+def q_scd2_rollback(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).dim
+
+
+def q_scd2_rollback_errors(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).errors
+
+
+def q_scd2_history(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return version_history(dim, _history_requests(dim))
+
+
+def q_scd2_checks(spark, sf_dir):
+    return dim_checks(_planted_faults(_upsert(spark, sf_dir).dim))
+
+
+def q_zone_as_of(spark, sf_dir):
+    dim = _upsert(spark, sf_dir).dim
+    return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts")
+
+
 QUERIES: dict[str, Query] = {
     "trips_normalize": q_trips_normalize,
     "trips_clean": q_trips_clean,
@@ -108,6 +234,17 @@ QUERIES: dict[str, Query] = {
     "dq_metrics_unfiltered": q_dq_metrics_unfiltered,
     "dq_tests": q_dq_tests,
     "dq_tests_latest": q_dq_tests_latest,
+    "zone_seed": q_zone_seed,
+    "zone_seed_rerun": q_zone_seed_rerun,
+    "scd2_upsert": q_scd2_upsert,
+    "scd2_upsert_results": q_scd2_upsert_results,
+    "scd2_approve": q_scd2_approve,
+    "scd2_approve_errors": q_scd2_approve_errors,
+    "scd2_rollback": q_scd2_rollback,
+    "scd2_rollback_errors": q_scd2_rollback_errors,
+    "scd2_history": q_scd2_history,
+    "scd2_checks": q_scd2_checks,
+    "zone_as_of": q_zone_as_of,
 }
 
 __all__ = ["QUERIES", "CURATED_COLUMNS"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on. Applied with ``setIfMissing``
 # semantics: an existing value (cluster defaults, spark-submit --conf) wins.
@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -68,3 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name.strip("/")
 
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    written copy: later actions neither recompute nor re-plan its lineage, and
+    a lost executor costs a re-read, not a re-run. Never a local checkpoint."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -146,3 +146,34 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     nxt = next_in_key(ev, key="user_id", order=["ts", "event_id"], value="ts",
                       out="dropoff_ts")
     return nxt.select("event_id", "user_id", F.col("ts").alias("pickup_ts"), "dropoff_ts")
+
+
+# --- fixed values: clocks of the governed-dimension runs -----------------------
+ROLLBACK_AS_OF = dt.datetime(2024, 8, 1, 0, 0, 0)
+APPROVE_AS_OF = dt.datetime(2024, 8, 2, 0, 0, 0)
+BATCH_USER = "governance_batch"
+PROBE_EPOCH = dt.datetime(2024, 1, 1)
+PROBE_COMPRESSION_MICROS = 500_000_000
+
+
+def zone_master_for_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone master with attributes set so that requests can be no-ops:
+    borough 'B', zone FURNITURE / '' / NULL by location, service zone NULL."""
+    m = zone_master(spark, sf_dir)
+    loc = F.col("location_id")
+    return m.withColumns({
+        "borough": F.lit("B"),
+        "zone": F.when(loc % 3 == 0, F.lit("FURNITURE")).when(loc % 3 == 1, F.lit("")),
+        "service_zone": F.lit(None).cast("string"),
+    })
+
+
+def probe_trips(spark: SparkSession, sf_dir: str, key_modulus: int = 40) -> DataFrame:
+    """Point-in-time probes from ``events``: location = user_id mod 40, time =
+    2024-07-01 plus the event's offset in the month compressed 500 times."""
+    ev = table(spark, sf_dir, "events")
+    micros = F.timestamp_diff("MICROSECOND", _ts(PROBE_EPOCH), F.col("ts"))
+    secs = F.floor(micros / F.lit(PROBE_COMPRESSION_MICROS)).cast("long")
+    return ev.select("event_id",
+                     (F.col("user_id") % key_modulus).cast("int").alias("location_id"),
+                     _add_seconds(_ts(CHANGES_START), secs).alias("probe_ts"))
