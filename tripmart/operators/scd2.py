@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions import author_or_user, same_text
-from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, maybe_broadcast
+from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from tripmart.operators.latest import seed_candidates, top1_per_key
 from tripmart.operators.sequence import (
     CHUNK,
@@ -29,6 +29,7 @@ from tripmart.operators.sequence import (
     DEFAULT_ROWS_PER_CHUNK,
     assign_surrogate_keys,
     chunk_column,
+    profile_order,
 )
 from tripmart.schemas import HISTORY_COLUMNS, ZONE_DIM, ZONE_DIM_COLUMNS
 from tripmart.session import cut_lineage
@@ -97,8 +98,10 @@ def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
     cand = seed_candidates(zone_master.filter(F.col("location_id").isNotNull()))
     have_v1 = dim.filter(F.col("version_number") == 1).select("location_id")
     fresh = cand.join(have_v1, "location_id", "left_anti")
+    # Chunks from the master's keys: a superset of the new rows' keys.
+    chunk = chunk_column(zone_master, "location_id", rows_per_chunk, max_chunks)
     keyed = assign_surrogate_keys(fresh, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  rows_per_chunk=rows_per_chunk, max_chunks=max_chunks)
+                                  chunk=chunk)
     rows = keyed.select(
         "zone_dim_sk", "location_id", *ATTRS,
         F.lit(1).alias("version_number"),
@@ -154,7 +157,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         F.col("effective_from").alias("_b_from"),
         *[F.col(a).alias(f"_b_{a}") for a in ATTRS])
 
-    chunk = chunk_column(req, "seq", rows_per_chunk, max_chunks)
+    n_req, chunk = profile_order(req, "seq", rows_per_chunk, max_chunks)
     r = req.withColumn(CHUNK, chunk)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
@@ -177,11 +180,13 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     local_changed = ~_same_attrs({a: F.col(a) for a in ATTRS},
                                  {a: F.col("_prev").getField(a) for a in ATTRS})
     ok = ok.withColumn("_lchg", F.when(F.col("_rn") > 1, local_changed).otherwise(F.lit(False)))
-    ok = (ok.withColumn("_cum", F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(_UNB, 0)))
-            .withColumn("_next_local", F.min(F.when(F.col("_lchg"), F.col("changed_at")))
-                        .over(wr.rowsBetween(1, _UNF)))
-            .withColumn("_kept_seq_local", F.last(F.when(F.col("_lchg"), F.col("seq")), True)
-                        .over(wr.rowsBetween(_UNB, 0))))
+    ok = ok.withColumns({
+        "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(_UNB, 0)),
+        "_next_local": F.min(F.when(F.col("_lchg"), F.col("changed_at")))
+                        .over(wr.rowsBetween(1, _UNF)),
+        "_kept_seq_local": F.last(F.when(F.col("_lchg"), F.col("seq")), True)
+                            .over(wr.rowsBetween(_UNB, 0)),
+    })
 
     # Pass B, level 2: one row per (location, chunk).
     s2 = ok.groupBy("location_id", CHUNK).agg(
@@ -197,33 +202,34 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     has_ref = prev_last.isNotNull() | F.col("_b_sk").isNotNull()
     first = {a: F.col("_first").getField(a) for a in ATTRS}
     s2 = s2.withColumn("_fchg", ~has_ref | ~_same_attrs(first, ref))
-    s2 = s2.withColumn("_nchg", F.col("_nlocal") + F.col("_fchg").cast("int"))
-    s2 = s2.withColumn("_ver_before", F.coalesce(F.col("_b_ver"), F.lit(0))
-                       + F.coalesce(F.sum("_nchg").over(wk.rowsBetween(_UNB, -1)), F.lit(0)))
-    s2 = s2.withColumn("_first_kept_at", F.when(F.col("_fchg"), F.col("_first.changed_at"))
-                       .otherwise(F.col("_first_local_at")))
-    s2 = s2.withColumn("_next_kept_after", F.min("_first_kept_at").over(wk.rowsBetween(1, _UNF)))
-    s2 = s2.withColumn("_kept_seq_chunk", F.coalesce(
-        F.col("_kept_seq_max"), F.when(F.col("_fchg"), F.col("_first.seq"))))
-    s2 = s2.withColumn("_kept_seq_before",
-                       F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)))
+    s2 = s2.withColumns({
+        "_nchg": F.col("_nlocal") + F.col("_fchg").cast("int"),
+        "_first_kept_at": F.when(F.col("_fchg"), F.col("_first.changed_at"))
+                           .otherwise(F.col("_first_local_at")),
+        "_kept_seq_chunk": F.coalesce(F.col("_kept_seq_max"),
+                                      F.when(F.col("_fchg"), F.col("_first.seq"))),
+    })
+    s2 = s2.withColumns({
+        "_ver_before": F.coalesce(F.col("_b_ver"), F.lit(0))
+                       + F.coalesce(F.sum("_nchg").over(wk.rowsBetween(_UNB, -1)), F.lit(0)),
+        "_next_kept_after": F.min("_first_kept_at").over(wk.rowsBetween(1, _UNF)),
+        "_kept_seq_before": F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)),
+    })
     s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
                    F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
                    "_b_sk", "_b_ver")
 
     rows = ok.join(s2, ["location_id", CHUNK], "left")
     changed = F.when(F.col("_rn") == 1, F.col("_fchg")).otherwise(F.col("_lchg"))
-    rows = (rows
-            .withColumn("_changed", changed)
-            .withColumn("version_number", (F.col("_ver_before") + F.col("_fchg").cast("int")
-                                           + F.col("_cum")).cast("int"))
-            .withColumn("_ref_seq", F.coalesce(
-                F.col("_kept_seq_local"), F.when(F.col("_fchg"), F.col("_first_seq")),
-                F.col("_kept_seq_before")))
-            .withColumn("effective_to", F.coalesce("_next_local", "_next_kept_after"))
-            .select("seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason",
-                    "change_source", "changed_at", "_changed", "version_number", "_ref_seq",
-                    "effective_to", "_b_sk"))
+    rows = rows.select(
+        "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason",
+        "change_source", "changed_at", changed.alias("_changed"),
+        (F.col("_ver_before") + F.col("_fchg").cast("int") + F.col("_cum")).cast("int")
+        .alias("version_number"),
+        F.coalesce(F.col("_kept_seq_local"), F.when(F.col("_fchg"), F.col("_first_seq")),
+                   F.col("_kept_seq_before")).alias("_ref_seq"),
+        F.coalesce("_next_local", "_next_kept_after").alias("effective_to"),
+        "_b_sk")
     # Three outputs and the key assignment read this state: write it once.
     rows = cut_lineage(rows)
 
@@ -244,13 +250,14 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     )
 
     expiry = kept.groupBy("location_id").agg(F.min("changed_at").alias("_expire_at"))
-    old = conform(dim).join(maybe_broadcast(expiry, max_broadcast_rows), "location_id", "left")
+    # One expiry row per touched location: at most one per request.
+    small = n_req <= max_broadcast_rows
+    old = conform(dim).join(F.broadcast(expiry) if small else expiry, "location_id", "left")
     closing = F.col("is_current") & F.col("_expire_at").isNotNull()
-    old = (old.withColumn("effective_to", F.when(closing, F.col("_expire_at"))
-                          .otherwise(F.col("effective_to")))
-              .withColumn("is_current", F.when(closing, F.lit(False))
-                          .otherwise(F.col("is_current")))
-              .drop("_expire_at"))
+    old = old.withColumns({
+        "effective_to": F.when(closing, F.col("_expire_at")).otherwise(F.col("effective_to")),
+        "is_current": F.when(closing, F.lit(False)).otherwise(F.col("is_current")),
+    }).drop("_expire_at")
     new_dim = conform(old).unionByName(conform(new_rows))
 
     sk_of = keyed.select(F.col("seq").alias("_ref_seq"), F.col("zone_dim_sk").alias("_ref_sk"))
@@ -302,19 +309,19 @@ def approve_versions(dim: DataFrame, approvals: DataFrame, as_of,
     valid = single.join(current, "zone_dim_sk", "left_semi")
     missing = single.join(current, "zone_dim_sk", "left_anti")
 
-    upd = maybe_broadcast(valid.select("zone_dim_sk", F.col("approved_by").alias("_by"),
-                                       F.col("reason").alias("_reason"),
-                                       F.lit(True).alias("_hit")), max_broadcast_rows)
+    upd = valid.select("zone_dim_sk", F.col("approved_by").alias("_by"),
+                       F.col("reason").alias("_reason"), F.lit(True).alias("_hit"))
+    # At most one row per request: check the (cheap) request table's size.
+    if approvals.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        upd = F.broadcast(upd)
     j = conform(dim).join(upd, "zone_dim_sk", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current")
-    new_dim = conform(j
-                      .withColumn("record_status", F.when(hit, F.lit(STATUS_APPROVED))
-                                  .otherwise(F.col("record_status")))
-                      .withColumn("approved_by", F.when(hit, F.col("_by"))
-                                  .otherwise(F.col("approved_by")))
-                      .withColumn("approved_at", F.when(hit, t).otherwise(F.col("approved_at")))
-                      .withColumn("change_reason", F.when(hit, F.col("_reason"))
-                                  .otherwise(F.col("change_reason"))))
+    new_dim = conform(j.withColumns({
+        "record_status": F.when(hit, F.lit(STATUS_APPROVED)).otherwise(F.col("record_status")),
+        "approved_by": F.when(hit, F.col("_by")).otherwise(F.col("approved_by")),
+        "approved_at": F.when(hit, t).otherwise(F.col("approved_at")),
+        "change_reason": F.when(hit, F.col("_reason")).otherwise(F.col("change_reason")),
+    }))
     results = valid.select("zone_dim_sk", F.lit("approved").alias("outcome"))
     errors = (missing.select("zone_dim_sk", F.concat(
         F.lit("No current record found for zone_dim_sk="),
@@ -374,8 +381,11 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
               .unionByName(dup.select("location_id", F.lit(None).cast("int")
                                       .alias("target_version"), "error")))
 
+    # Chunks and the size bound come from the request table: the valid
+    # requests are a subset of its rows and keys.
+    n_req, chunk = profile_order(rollbacks, "location_id", rows_per_chunk, max_chunks)
     keyed = assign_surrogate_keys(valid, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  rows_per_chunk=rows_per_chunk, max_chunks=max_chunks)
+                                  chunk=chunk)
     new_rows = keyed.select(
         "zone_dim_sk", "location_id",
         *[F.col("_attrs").getField(a).alias(a) for a in ATTRS],
@@ -391,13 +401,14 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
         F.lit(None).cast("timestamp_ntz").alias("approved_at"),
         F.lit(None).cast("string").alias("approved_by"),
     )
-    close = maybe_broadcast(valid.select("location_id", F.lit(True).alias("_close")),
-                            max_broadcast_rows)
+    close = valid.select("location_id", F.lit(True).alias("_close"))
+    close = F.broadcast(close) if n_req <= max_broadcast_rows else close
     old = d.join(close, "location_id", "left")
     closing = F.coalesce(F.col("_close"), F.lit(False)) & F.col("is_current")
-    old = (old.withColumn("effective_to", F.when(closing, t).otherwise(F.col("effective_to")))
-              .withColumn("is_current", F.when(closing, F.lit(False))
-                          .otherwise(F.col("is_current"))))
+    old = old.withColumns({
+        "effective_to": F.when(closing, t).otherwise(F.col("effective_to")),
+        "is_current": F.when(closing, F.lit(False)).otherwise(F.col("is_current")),
+    })
     new_dim = conform(old).unionByName(conform(new_rows))
     results = new_rows.select("location_id", "zone_dim_sk", "version_number",
                               F.lit("rolled_back").alias("outcome"))

@@ -61,6 +61,13 @@ def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER
     ``col``; the number of chunks grows with the input up to ``max_chunks``.
     NULL order values fall in chunk 0 (they sort first in every window).
     """
+    return profile_order(df, col, rows_per_chunk, max_chunks, rel_error)[1]
+
+
+def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                  max_chunks: int = DEFAULT_MAX_CHUNKS,
+                  rel_error: float = 1e-3) -> tuple[int, Column]:
+    """(row count, chunk column) from one aggregate job over ``df``."""
     value = numeric_order(df, col).cast("double")
     probs = [i / max_chunks for i in range(1, max_chunks)]
     row = df.agg(F.count(F.lit(1)).alias("n"),
@@ -68,13 +75,14 @@ def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER
     n = row["n"] or 0
     chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
     if chunks == 1 or not row["q"]:
-        return F.lit(0)
+        return n, F.lit(0)
     step = max_chunks / chunks
     picked = [row["q"][int(round(step * i)) - 1] for i in range(1, chunks)]
     bounds = sorted(set(b for b in picked if b is not None))
     if not bounds:
-        return F.lit(0)
-    return F.when(value.isNull(), F.lit(0)).otherwise(_search_tree(value, bounds, 0, len(bounds)))
+        return n, F.lit(0)
+    return n, F.when(value.isNull(), F.lit(0)).otherwise(
+        _search_tree(value, bounds, 0, len(bounds)))
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,

@@ -24,6 +24,7 @@ from tripmart.operators.quality import (
 from tripmart.plans.fact import build_fct_trips, enriched_trips
 from tripmart.schemas import CURATED_COLUMNS
 from tripmart.sources import testdata as td
+from tripmart.session import cut_lineage
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds
 from tripmart.operators.checks import dim_checks
@@ -107,8 +108,10 @@ def q_dq_tests_latest(spark, sf_dir):
 
 
 def _base_dim(spark, sf_dir):
-    """Seeded dimension whose attributes make some requests no-ops."""
-    return seed_zone_dim(td.zone_master_for_dim(spark, sf_dir), empty_dim(spark), td.AS_OF)
+    """Seeded dimension whose attributes make some requests no-ops. Written
+    once like a published snapshot, so later steps read it, not its lineage."""
+    return cut_lineage(seed_zone_dim(td.zone_master_for_dim(spark, sf_dir), empty_dim(spark),
+                                     td.AS_OF))
 
 
 def _upsert(spark, sf_dir):
@@ -116,6 +119,11 @@ def _upsert(spark, sf_dir):
                             user=td.BATCH_USER)
 
 
+def _upserted_dim(spark, sf_dir):
+    """Snapshot after the upsert batch, as the next governed step reads it."""
+    return cut_lineage(_upsert(spark, sf_dir).dim)
+
+
 def _approvals(dim: DataFrame) -> DataFrame:
     """Current rows of even locations, some closed rows, one unknown key."""
     pick = dim.filter((F.col("is_current") & (F.col("location_id") % 2 == 0))
@@ -189,36 +197,36 @@ def q_scd2_upsert_results(spark, sf_dir):
 
 
 def q_scd2_approve(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return approve_versions(dim, _approvals(dim), td.APPROVE_AS_OF).dim
 
 
 def q_scd2_approve_errors(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return approve_versions(dim, _approvals(dim), td.APPROVE_AS_OF).errors
 
 
 def q_scd2_rollback(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).dim
 
 
 def q_scd2_rollback_errors(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).errors
 
 
 def q_scd2_history(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return version_history(dim, _history_requests(dim))
 
 
 def q_scd2_checks(spark, sf_dir):
-    return dim_checks(_planted_faults(_upsert(spark, sf_dir).dim))
+    return dim_checks(_planted_faults(_upserted_dim(spark, sf_dir)))
 
 
 def q_zone_as_of(spark, sf_dir):
-    dim = _upsert(spark, sf_dir).dim
+    dim = _upserted_dim(spark, sf_dir)
     return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts")
 
 
