@@ -8,6 +8,7 @@ whole tables. Column names equal those of the matching SQL in
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ from tripmart.operators.quality import (
 from tripmart.plans.fact import build_fct_trips, enriched_trips
 from tripmart.schemas import CURATED_COLUMNS
 from tripmart.sources import testdata as td
-from tripmart.session import cut_lineage
+from tripmart.plans.load import load_trips
+from tripmart.session import cut_lineage, scratch_path
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds
 from tripmart.operators.checks import dim_checks
@@ -230,6 +232,15 @@ def q_zone_as_of(spark, sf_dir):
     return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts")
 
 
+def q_load_roundtrip(spark, sf_dir):
+    """Curated files under raw names -> load job -> staging snapshot, read back.
+    Files go to the shared checkpoint folder, one fresh folder per call."""
+    run = scratch_path(spark, f"load_roundtrip/{uuid.uuid4().hex}")
+    td.raw_curated_trips(spark, sf_dir).write.parquet(f"{run}/curated")
+    report = load_trips(spark, f"{run}/curated", f"{run}/staging", loaded_at=RUN_1)
+    return spark.read.parquet(report.target).drop("loaded_at")
+
+
 QUERIES: dict[str, Query] = {
     "trips_normalize": q_trips_normalize,
     "trips_clean": q_trips_clean,
@@ -253,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "scd2_history": q_scd2_history,
     "scd2_checks": q_scd2_checks,
     "zone_as_of": q_zone_as_of,
+    "load_roundtrip": q_load_roundtrip,
 }
 
 __all__ = ["QUERIES", "CURATED_COLUMNS"]
