@@ -46,7 +46,6 @@ SEED_USER = "seed_load"
 ROLLBACK_SOURCE = "rollback_procedure"
 
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
 
 
 @dataclass
@@ -161,6 +160,8 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     r = req.withColumn(CHUNK, chunk)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
+    wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
+    wk_desc = Window.partitionBy("location_id").orderBy(F.col(CHUNK).desc())
 
     # Level 1+2, pass A: latest earlier time of the location -> late requests.
     r = r.withColumn("_t_local", F.max("changed_at").over(wr.rowsBetween(_UNB, -1)))
@@ -182,8 +183,10 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     ok = ok.withColumn("_lchg", F.when(F.col("_rn") > 1, local_changed).otherwise(F.lit(False)))
     ok = ok.withColumns({
         "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(_UNB, 0)),
+        # "min over the following rows" as a descending running frame: the
+        # unbounded-following frame re-aggregates per row (quadratic).
         "_next_local": F.min(F.when(F.col("_lchg"), F.col("changed_at")))
-                        .over(wr.rowsBetween(1, _UNF)),
+                        .over(wr_desc.rowsBetween(_UNB, -1)),
         "_kept_seq_local": F.last(F.when(F.col("_lchg"), F.col("seq")), True)
                             .over(wr.rowsBetween(_UNB, 0)),
     })
@@ -212,7 +215,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     s2 = s2.withColumns({
         "_ver_before": F.coalesce(F.col("_b_ver"), F.lit(0))
                        + F.coalesce(F.sum("_nchg").over(wk.rowsBetween(_UNB, -1)), F.lit(0)),
-        "_next_kept_after": F.min("_first_kept_at").over(wk.rowsBetween(1, _UNF)),
+        "_next_kept_after": F.min("_first_kept_at").over(wk_desc.rowsBetween(_UNB, -1)),
         "_kept_seq_before": F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)),
     })
     s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",

@@ -69,7 +69,8 @@ def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PE
                   rel_error: float = 1e-3) -> tuple[int, Column]:
     """(row count, chunk column) from one aggregate job over ``df``."""
     value = numeric_order(df, col).cast("double")
-    probs = [i / max_chunks for i in range(1, max_chunks)]
+    # One array literal: building it element by element costs a round trip each.
+    probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")).first()
     n = row["n"] or 0

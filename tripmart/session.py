@@ -7,6 +7,7 @@ in settings that are unset, so a cluster's own values always win.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,9 +72,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from the
-    written copy: later actions neither recompute nor re-plan its lineage, and
-    a lost executor costs a re-read, not a re-run. Never a local checkpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "intermediate") -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    continue from the written copy: later actions neither recompute nor
+    re-plan its lineage, and a lost executor costs a re-read, not a re-run.
+
+    A plain reliable ``checkpoint()`` would compute the plan twice (once to
+    count, once to write); a local checkpoint would not survive a lost
+    executor, so neither is used.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
