@@ -1,0 +1,2 @@
+"""Intentionally empty: the reference has no streaming input, trigger,
+watermark or event-time window; its load is a manually run batch job."""
