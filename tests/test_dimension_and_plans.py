@@ -111,6 +111,32 @@ def test_point_in_time_boundaries(spark):
     assert got == {1: None, 2: "v1", 3: None, 4: "v2", 5: None}
 
 
+def test_asof_scan_equals_broadcast_join(spark):
+    rng = random.Random(11)
+    rows, sk = [], 0
+    for loc in range(5):
+        t = T0
+        n = 40 if loc == 2 else rng.randint(1, 4)       # location 2 is hot
+        for v in range(1, n + 1):
+            sk += 1
+            start = t + dt.timedelta(minutes=rng.choice([0, 5]))   # gaps
+            end = start + dt.timedelta(minutes=rng.randint(1, 30))
+            last = v == n
+            rows.append(dim_row(sk, loc, v, start, None if last else end, last, zone=f"z{sk}"))
+            t = end
+    d = spark.createDataFrame(rows, ZONE_DIM)
+    facts = spark.createDataFrame(
+        [(i, rng.choice([0, 1, 2, 2, 2, 3, 4, None, 9]),
+          None if i % 50 == 0 else T0 + dt.timedelta(minutes=rng.randrange(-10, 600)))
+         for i in range(400)] + [(1000 + r["zone_dim_sk"], r["location_id"], r["effective_from"])
+                                 for r in rows],
+        "id long, loc int, at timestamp_ntz")
+    a = zone_as_of(facts, d, "loc", "at", strategy="broadcast")
+    b = zone_as_of(facts, d, "loc", "at", strategy="scan", rows_per_chunk=13, max_chunks=32)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
 def test_load_pipeline_and_governed_batch(spark, tmp_path):
     base = str(tmp_path)
     sf = "/root/testdata/sf0.001"

@@ -232,6 +232,13 @@ def q_zone_as_of(spark, sf_dir):
     return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts")
 
 
+def q_zone_as_of_scan(spark, sf_dir):
+    """G4 with the strategy used beyond the broadcast bound (as-of scan)."""
+    dim = _upserted_dim(spark, sf_dir)
+    return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts",
+                      strategy="scan")
+
+
 def q_load_roundtrip(spark, sf_dir):
     """Curated files under raw names -> load job -> staging snapshot, read back.
     Files go to the shared checkpoint folder, one fresh folder per call."""
@@ -264,6 +271,7 @@ QUERIES: dict[str, Query] = {
     "scd2_history": q_scd2_history,
     "scd2_checks": q_scd2_checks,
     "zone_as_of": q_zone_as_of,
+    "zone_as_of_scan": q_zone_as_of_scan,
     "load_roundtrip": q_load_roundtrip,
 }
 
