@@ -21,6 +21,7 @@ from tripmart.operators.quality import (
     dq_test_rows,
     dq_tests,
     latest_test_results,
+    tests_executed,
 )
 from tripmart.plans.fact import build_fct_trips, enriched_trips
 from tripmart.schemas import CURATED_COLUMNS
@@ -99,6 +100,11 @@ def q_dq_tests(spark, sf_dir):
     return dq_test_rows(dq_metrics(_fct(spark, sf_dir)))
 
 
+def q_dq_tests_executed(spark, sf_dir):
+    """A5: number of test rows one run writes."""
+    return tests_executed(dq_tests(dq_metrics(_fct(spark, sf_dir)), RUN_2, "dq_runner"))
+
+
 def q_dq_tests_latest(spark, sf_dir):
     """Results log of two runs (unfiltered input, then the fact), newest first."""
     first = dq_tests(dq_metrics(_unfiltered(spark, sf_dir)), RUN_1, "dq_runner")
@@ -260,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "dq_metrics_unfiltered": q_dq_metrics_unfiltered,
     "dq_tests": q_dq_tests,
     "dq_tests_latest": q_dq_tests_latest,
+    "dq_tests_executed": q_dq_tests_executed,
     "zone_seed": q_zone_seed,
     "zone_seed_rerun": q_zone_seed_rerun,
     "scd2_upsert": q_scd2_upsert,
