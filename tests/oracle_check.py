@@ -59,7 +59,10 @@ def main():
     import __spark_entry__ as E
     from tripmart.session import get_spark
 
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    extra = {}
+    if os.environ.get("CHECK_SESSION_TZ"):
+        extra["spark.sql.session.timeZone"] = os.environ["CHECK_SESSION_TZ"]
+    spark = get_spark("local[8]", shuffle_partitions=8, extra_conf=extra)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

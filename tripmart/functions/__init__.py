@@ -6,6 +6,7 @@ from tripmart.functions.exprs import (  # noqa: F401
     bool_to_int,
     duration_seconds,
     fill_rate,
+    ntz,
     null_if_negative,
     rate6,
     same_text,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,17 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def ntz(value) -> Column:
+    """A zone-less timestamp: a Column is kept, a datetime or text becomes a
+    literal. Built from text, so neither the Python process's zone nor the
+    session zone can shift it."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def to_int(col) -> Column:
     """``x::integer``. Under ANSI mode an out-of-range value raises, as in the
     reference's database, instead of wrapping."""

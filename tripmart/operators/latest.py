@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions import status_rank
+from tripmart.functions import ntz, status_rank
 
 
 def top1_per_key(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
@@ -35,7 +35,7 @@ def latest_rate(rate_master: DataFrame) -> DataFrame:
 def in_effect(df: DataFrame, as_of) -> DataFrame:
     """rows valid at ``as_of`` in the half-open window [from, to);
     an open end is NULL, a NULL start never qualifies."""
-    t = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    t = ntz(as_of)
     return df.filter((F.col("effective_from") <= t)
                      & (F.col("effective_to").isNull() | (t < F.col("effective_to"))))
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions import author_or_user, same_text
+from tripmart.functions import author_or_user, ntz, same_text
 from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from tripmart.operators.latest import seed_candidates, top1_per_key
 from tripmart.operators.sequence import (
@@ -57,7 +57,7 @@ class ChangeResult:
 
 
 def _ts(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
+    return ntz(value)
 
 
 def _same_attrs(left: dict[str, Column], right: dict[str, Column]) -> Column:

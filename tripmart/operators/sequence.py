@@ -17,7 +17,6 @@ data passes through it.
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +26,6 @@ from pyspark.sql import types as T
 CHUNK = "_chunk"
 DEFAULT_ROWS_PER_CHUNK = 1 << 20
 DEFAULT_MAX_CHUNKS = 1024
-_EPOCH = dt.datetime(1970, 1, 1)
 
 
 def numeric_order(df: DataFrame, col: str) -> Column:
@@ -35,7 +33,7 @@ def numeric_order(df: DataFrame, col: str) -> Column:
     microseconds since 1970, zone-free)."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(col))
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(col))
     if isinstance(dtype, T.DateType):

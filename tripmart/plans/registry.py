@@ -29,7 +29,7 @@ from tripmart.sources import testdata as td
 from tripmart.plans.load import load_trips
 from tripmart.session import cut_lineage, scratch_path
 from tripmart.sources.curated import to_canonical
-from tripmart.functions import duration_seconds
+from tripmart.functions import duration_seconds, ntz
 from tripmart.operators.checks import dim_checks
 from tripmart.operators.pit import zone_as_of
 from tripmart.operators.scd2 import (
@@ -107,12 +107,12 @@ def q_dq_tests_executed(spark, sf_dir):
 
 def q_dq_tests_latest(spark, sf_dir):
     """Results log of two runs (unfiltered input, then the fact), newest first."""
-    first = dq_tests(dq_metrics(_unfiltered(spark, sf_dir)), RUN_1, "dq_runner")
-    second = dq_tests(dq_metrics(_fct(spark, sf_dir)), RUN_2, "dq_runner")
+    first = dq_tests(dq_metrics(_unfiltered(spark, sf_dir)), ntz(RUN_1), "dq_runner")
+    second = dq_tests(dq_metrics(_fct(spark, sf_dir)), ntz(RUN_2), "dq_runner")
     log = first.unionByName(second)
     return (latest_test_results(log)
             .select("test_name", "passed", "metric_value", "threshold", "details",
-                    F.col("created_at").cast("timestamp_ntz").alias("created_at")))
+                    "created_at"))
 
 
 def _base_dim(spark, sf_dir):
@@ -160,9 +160,9 @@ def _rollbacks(dim: DataFrame) -> DataFrame:
 def _history_requests(dim: DataFrame) -> DataFrame:
     loc = F.col("location_id")
     locs = dim.select("location_id").distinct()
-    window_from = F.lit(td.CHANGES_START + dt.timedelta(minutes=5)).cast("timestamp_ntz")
-    window_to = F.lit(td.CHANGES_START + dt.timedelta(minutes=20)).cast("timestamp_ntz")
-    as_of = F.lit(td.AS_OF).cast("timestamp_ntz")
+    window_from = ntz(td.CHANGES_START + dt.timedelta(minutes=5))
+    window_to = ntz(td.CHANGES_START + dt.timedelta(minutes=20))
+    as_of = ntz(td.AS_OF)
     none = F.lit(None).cast("timestamp_ntz")
     return locs.select(
         "location_id",

@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.functions import ntz
+
 # --- fixed values: fixture clock ----------------------------------------------
 AS_OF = dt.datetime(2024, 6, 1, 0, 0, 0)
 CHANGES_START = dt.datetime(2024, 7, 1, 0, 0, 0)
@@ -27,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ts(value: dt.datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz(value)
 
 
 def _null_if(cond: Column, value: Column) -> Column:
