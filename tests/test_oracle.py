@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import canon, duck
+from plan_report import summarize
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,8 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
+    plan = summarize(df._jdf.queryExecution().executedPlan().toString())
+    assert plan["bad"] == 0, "nested-loop/cartesian join or Python evaluation in the plan"
     res = con.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()

@@ -28,7 +28,6 @@ from tripmart.operators.sequence import (
     DEFAULT_MAX_CHUNKS,
     DEFAULT_ROWS_PER_CHUNK,
     assign_surrogate_keys,
-    chunk_column,
     profile_order,
 )
 from tripmart.schemas import HISTORY_COLUMNS, ZONE_DIM, ZONE_DIM_COLUMNS
@@ -98,9 +97,9 @@ def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
     have_v1 = dim.filter(F.col("version_number") == 1).select("location_id")
     fresh = cand.join(have_v1, "location_id", "left_anti")
     # Chunks from the master's keys: a superset of the new rows' keys.
-    chunk = chunk_column(zone_master, "location_id", rows_per_chunk, max_chunks)
+    chunks = profile_order(zone_master, "location_id", rows_per_chunk, max_chunks)
     keyed = assign_surrogate_keys(fresh, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  chunk=chunk)
+                                  chunk=chunks)
     rows = keyed.select(
         "zone_dim_sk", "location_id", *ATTRS,
         F.lit(1).alias("version_number"),
@@ -156,8 +155,9 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         F.col("effective_from").alias("_b_from"),
         *[F.col(a).alias(f"_b_{a}") for a in ATTRS])
 
-    n_req, chunk = profile_order(req, "seq", rows_per_chunk, max_chunks)
-    r = req.withColumn(CHUNK, chunk)
+    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks)
+    n_req = chunks.rows
+    r = req.withColumn(CHUNK, chunks.column)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
     wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
@@ -377,7 +377,8 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
               .when(F.col("rolled_back_by").isNull(), F.lit("rolled_back_by is NULL"))
               .when(F.col("_cur_from").isNotNull() & (F.col("_cur_from") >= t),
                     F.lit("current row does not start before as_of")))
-    checked = checked.withColumn("error", error)
+    # One row per request; valid rows, errors, keys and closes all read it.
+    checked = cut_lineage(checked.withColumn("error", error), "rollback_requests")
     valid = checked.filter(F.col("error").isNull())
     errors = (checked.filter(F.col("error").isNotNull()).select("location_id", "target_version",
                                                                 "error")
@@ -386,9 +387,10 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
 
     # Chunks and the size bound come from the request table: the valid
     # requests are a subset of its rows and keys.
-    n_req, chunk = profile_order(rollbacks, "location_id", rows_per_chunk, max_chunks)
+    chunks = profile_order(rollbacks, "location_id", rows_per_chunk, max_chunks)
+    n_req = chunks.rows
     keyed = assign_surrogate_keys(valid, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  chunk=chunk)
+                                  chunk=chunks)
     new_rows = keyed.select(
         "zone_dim_sk", "location_id",
         *[F.col("_attrs").getField(a).alias(a) for a in ATTRS],

@@ -18,6 +18,7 @@ data passes through it.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +52,15 @@ def _search_tree(value: Column, bounds: list[float], lo: int, hi: int) -> Column
         .otherwise(_search_tree(value, bounds, mid, hi))
 
 
+@dataclass
+class Chunks:
+    """Result of profiling an order column: row count, number of ranges and
+    the column that gives each row its range."""
+    rows: int
+    count: int
+    column: Column
+
+
 def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                  max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3) -> Column:
     """Chunk index of each row: a non-decreasing function of ``col``.
@@ -59,13 +69,12 @@ def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER
     ``col``; the number of chunks grows with the input up to ``max_chunks``.
     NULL order values fall in chunk 0 (they sort first in every window).
     """
-    return profile_order(df, col, rows_per_chunk, max_chunks, rel_error)[1]
+    return profile_order(df, col, rows_per_chunk, max_chunks, rel_error).column
 
 
 def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS,
-                  rel_error: float = 1e-3) -> tuple[int, Column]:
-    """(row count, chunk column) from one aggregate job over ``df``."""
+                  max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3) -> Chunks:
+    """Row count and chunk column from one aggregate job over ``df``."""
     value = numeric_order(df, col).cast("double")
     # One array literal: building it element by element costs a round trip each.
     probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
@@ -74,14 +83,14 @@ def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PE
     n = row["n"] or 0
     chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
     if chunks == 1 or not row["q"]:
-        return n, F.lit(0)
+        return Chunks(n, 1, F.lit(0))
     step = max_chunks / chunks
     picked = [row["q"][int(round(step * i)) - 1] for i in range(1, chunks)]
     bounds = sorted(set(b for b in picked if b is not None))
     if not bounds:
-        return n, F.lit(0)
-    return n, F.when(value.isNull(), F.lit(0)).otherwise(
-        _search_tree(value, bounds, 0, len(bounds)))
+        return Chunks(n, 1, F.lit(0))
+    return Chunks(n, len(bounds) + 1, F.when(value.isNull(), F.lit(0)).otherwise(
+        _search_tree(value, bounds, 0, len(bounds))))
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
@@ -108,7 +117,7 @@ def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
 
 
 def assign_surrogate_keys(df: DataFrame, order_col: str, start, out: str,
-                          chunk: Column | None = None,
+                          chunk: Column | Chunks | None = None,
                           rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                           max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
     """``out = start + rank of order_col`` (1, 2, ... in ``order_col`` order,
@@ -116,16 +125,23 @@ def assign_surrogate_keys(df: DataFrame, order_col: str, start, out: str,
 
     Rows are ranked inside their chunk; each chunk's offset is the number of
     rows in earlier chunks. The offset table has at most ``max_chunks`` rows,
-    a proven bound, so it is broadcast. ``start`` may be a number or a column.
+    a proven bound, so it is broadcast and joined on the chunk. With a single
+    chunk (at most ``rows_per_chunk`` rows) the rank is the key and there is
+    no offset table. ``start`` may be a number or a column.
     """
-    c = chunk if chunk is not None else chunk_column(df, order_col, rows_per_chunk, max_chunks)
+    if chunk is None:
+        chunk = profile_order(df, order_col, rows_per_chunk, max_chunks)
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    if isinstance(chunk, Chunks) and chunk.count == 1:
+        rank = F.row_number().over(Window.orderBy(order_col))
+        return df.withColumn(out, (start_col + rank).cast("long"))
+    c = chunk.column if isinstance(chunk, Chunks) else chunk
     d = df.withColumn("_skc", c)
     d = d.withColumn("_skrn", F.row_number().over(Window.partitionBy("_skc").orderBy(order_col)))
     counts = d.groupBy("_skc").agg(F.count(F.lit(1)).alias("_skn"))
     before = Window.orderBy("_skc").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_skc", F.coalesce(F.sum("_skn").over(before), F.lit(0))
                             .alias("_skoff"))
-    start_col = start if isinstance(start, Column) else F.lit(start)
     return (d.join(F.broadcast(offsets), "_skc")
              .withColumn(out, (start_col + F.col("_skoff") + F.col("_skrn")).cast("long"))
              .drop("_skc", "_skrn", "_skoff"))
