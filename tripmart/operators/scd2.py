@@ -149,14 +149,22 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     req = req.filter(F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
                      & F.col("seq").isNotNull())
 
-    base = _current_rows(dim).select(
+    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks)
+    n_req = chunks.rows
+    small = n_req <= max_broadcast_rows
+
+    # Current rows of the locations this batch touches only: a batch on a few
+    # keys does not shuffle the whole dimension. The key list is bounded by
+    # the request count, checked above, before it is broadcast.
+    touched = req.select("location_id").distinct()
+    current = dim.filter(F.col("is_current")).join(
+        F.broadcast(touched) if small else touched, "location_id", "left_semi")
+    base = _current_rows(current).select(
         "location_id",
         F.col("zone_dim_sk").alias("_b_sk"), F.col("version_number").alias("_b_ver"),
         F.col("effective_from").alias("_b_from"),
         *[F.col(a).alias(f"_b_{a}") for a in ATTRS])
 
-    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks)
-    n_req = chunks.rows
     r = req.withColumn(CHUNK, chunks.column)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
@@ -254,7 +262,6 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
 
     expiry = kept.groupBy("location_id").agg(F.min("changed_at").alias("_expire_at"))
     # One expiry row per touched location: at most one per request.
-    small = n_req <= max_broadcast_rows
     old = conform(dim).join(F.broadcast(expiry) if small else expiry, "location_id", "left")
     closing = F.col("is_current") & F.col("_expire_at").isNotNull()
     old = old.withColumns({
