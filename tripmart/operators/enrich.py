@@ -22,6 +22,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_broadcast_each(dfs: list[DataFrame],
+                        max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[bool]:
+    """``fits_broadcast`` for several inputs in one job (one limited count
+    per input, unioned; at most ``len(dfs)`` rows reach the driver)."""
+    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(dfs)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    counts = {row["_i"]: row["n"] for row in
+              union.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
@@ -34,8 +47,9 @@ def enrich_trips(clean: DataFrame, rates: DataFrame, zones: DataFrame,
     ``zones``: (location_id, borough, zone, service_zone), one row per location.
     The zone side is used twice; Spark reuses its broadcast.
     """
-    r = maybe_broadcast(rates, max_broadcast_rows).alias("r")
-    z = maybe_broadcast(zones, max_broadcast_rows)
+    rate_fits, zone_fits = fits_broadcast_each([rates, zones], max_broadcast_rows)
+    r = (F.broadcast(rates) if rate_fits else rates).alias("r")
+    z = F.broadcast(zones) if zone_fits else zones
     # The same zone plan on both sides, renamed after the join, so that both
     # joins share one broadcast (ReusedExchange).
     pu, do = z.alias("pu"), z.alias("do")
