@@ -64,14 +64,14 @@ def random_changes(rng, n, n_locs, hot):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_upsert_matches_sequential_model(spark, seed):
+@pytest.mark.parametrize("seed,rows_per_chunk", [(1, 7), (2, 7), (3, 7), (4, 3), (5, 40)])
+def test_upsert_matches_sequential_model(spark, seed, rows_per_chunk):
     rng = random.Random(seed)
     dim_rows = random_dim(rng, 6)
     changes = random_changes(rng, 160, 6, hot=2)
     dim = spark.createDataFrame(dim_rows, ZONE_DIM) if dim_rows else empty_dim(spark)
     ch = spark.createDataFrame(changes, UPSERT_REQUESTS)
-    res = upsert_zone_scd2(dim, ch, user="batch", rows_per_chunk=7, max_chunks=64)
+    res = upsert_zone_scd2(dim, ch, user="batch", rows_per_chunk=rows_per_chunk, max_chunks=64)
     exp_dim, exp_results, exp_errors = apply_upserts(dim_rows, changes, "batch")
     got_dim = rows(res.dim)
     assert sorted(map(key, got_dim)) == sorted(map(key, exp_dim))

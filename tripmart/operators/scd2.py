@@ -149,16 +149,18 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     req = req.filter(F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
                      & F.col("seq").isNotNull())
 
-    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks)
-    n_req = chunks.rows
-    small = n_req <= max_broadcast_rows
+    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks, key="location_id")
+    # Proven bounds from the profile job: the touched-key list has
+    # ``chunks.keys`` rows, every (location, range) summary at most
+    # ``chunks.summary_rows()``, every per-location table at most ``keys``.
+    keys_small = chunks.keys <= max_broadcast_rows
+    small = chunks.summary_rows() <= max_broadcast_rows
 
     # Current rows of the locations this batch touches only: a batch on a few
-    # keys does not shuffle the whole dimension. The key list is bounded by
-    # the request count, checked above, before it is broadcast.
+    # keys does not shuffle the whole dimension.
     touched = req.select("location_id").distinct()
     current = dim.filter(F.col("is_current")).join(
-        F.broadcast(touched) if small else touched, "location_id", "left_semi")
+        F.broadcast(touched) if keys_small else touched, "location_id", "left_semi")
     base = _current_rows(current).select(
         "location_id",
         F.col("zone_dim_sk").alias("_b_sk"), F.col("version_number").alias("_b_ver"),
@@ -171,25 +173,31 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
     wk_desc = Window.partitionBy("location_id").orderBy(F.col(CHUNK).desc())
 
-    # Level 1+2, pass A: latest earlier time of the location -> late requests.
-    r = r.withColumn("_t_local", F.max("changed_at").over(wr.rowsBetween(_UNB, -1)))
+    # Level 2 of "latest earlier time of the location": one row per
+    # (location, range), straight from the requests (partial aggregate).
     s1 = (r.groupBy("location_id", CHUNK).agg(F.max("changed_at").alias("_t_chunk"))
            .withColumn("_t_prev", F.max("_t_chunk").over(wk.rowsBetween(_UNB, -1)))
            .join(base.select("location_id", "_b_from"), "location_id", "left")
            .select("location_id", CHUNK, F.greatest("_t_prev", "_b_from").alias("_t_before")))
-    r = r.join(s1, ["location_id", CHUNK], "left")
-    late = F.coalesce(F.col("changed_at") <= F.greatest("_t_before", "_t_local"), F.lit(False))
-    r = r.withColumn("_late", late)
-    late_rows = r.filter("_late")
-    ok = r.filter(~F.col("_late")).drop("_t_local", "_t_before", "_late")
-
-    # Pass B, level 1: compare with the previous accepted request of the chunk.
-    ok = (ok.withColumn("_rn", F.row_number().over(wr))
-            .withColumn("_prev", F.lag(F.struct(*ATTRS)).over(wr)))
+    # One summary row per (location, range): broadcast within the bound.
+    r = (r.withColumn("_t_local", F.max("changed_at").over(wr.rowsBetween(_UNB, -1)))
+          .join(F.broadcast(s1) if small else s1, ["location_id", CHUNK], "left"))
+    r = r.withColumn("_late", F.coalesce(
+        F.col("changed_at") <= F.greatest("_t_before", "_t_local"), F.lit(False)))
+
+    # Level 1 over the same window (no new shuffle): late requests are masked
+    # out, so each request is compared with the previous accepted one.
+    acc = ~F.col("_late")
+    r = r.withColumns({
+        "_prev": F.last(F.when(acc, F.struct(*ATTRS)), True).over(wr.rowsBetween(_UNB, -1)),
+        "_first_acc": F.coalesce(F.sum(acc.cast("int")).over(wr.rowsBetween(_UNB, -1)),
+                                 F.lit(0)) == 0,
+    })
     local_changed = ~_same_attrs({a: F.col(a) for a in ATTRS},
                                  {a: F.col("_prev").getField(a) for a in ATTRS})
-    ok = ok.withColumn("_lchg", F.when(F.col("_rn") > 1, local_changed).otherwise(F.lit(False)))
-    ok = ok.withColumns({
+    r = r.withColumn("_lchg", F.when(acc & ~F.col("_first_acc"), local_changed)
+                     .otherwise(F.lit(False)))
+    r = r.withColumns({
         "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(_UNB, 0)),
         # "min over the following rows" as a descending running frame: the
         # unbounded-following frame re-aggregates per row (quadratic).
@@ -198,15 +206,36 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         "_kept_seq_local": F.last(F.when(F.col("_lchg"), F.col("seq")), True)
                             .over(wr.rowsBetween(_UNB, 0)),
     })
-
-    # Pass B, level 2: one row per (location, chunk).
-    s2 = ok.groupBy("location_id", CHUNK).agg(
-        F.min(F.struct("seq", "changed_at", *ATTRS)).alias("_first"),
-        F.max(F.struct("seq", *ATTRS)).alias("_last"),
-        F.sum(F.col("_lchg").cast("int")).alias("_nlocal"),
-        F.min(F.when(F.col("_lchg"), F.col("changed_at"))).alias("_first_local_at"),
-        F.max(F.when(F.col("_lchg"), F.col("seq"))).alias("_kept_seq_max"),
-    ).join(base, "location_id", "left")
+    # Per-range values for level 2, as whole-range window aggregates (one
+    # linear pass, no sort-based aggregate); kept on the range's first
+    # accepted request only.
+    whole = Window.partitionBy("location_id", CHUNK)
+    head = acc & F.col("_first_acc")
+    r = r.withColumns({
+        "_last": F.when(head, F.max(F.when(acc, F.struct("seq", *ATTRS))).over(whole)),
+        "_nlocal": F.when(head, F.sum(F.col("_lchg").cast("int")).over(whole)),
+        "_first_local_at": F.when(head, F.min(F.when(F.col("_lchg"), F.col("changed_at")))
+                                  .over(whole)),
+        "_kept_seq_max": F.when(head, F.max(F.when(F.col("_lchg"), F.col("seq"))).over(whole)),
+    })
+    # The request-level state is computed once and written once; the
+    # summaries, the three outputs and the key assignment read it.
+    state = cut_lineage(r.select(
+        "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason", "change_source",
+        "changed_at", "_late", "_first_acc", "_lchg", "_cum", "_next_local",
+        "_kept_seq_local", "_last", "_nlocal", "_first_local_at", "_kept_seq_max"),
+        "upsert_state")
+    late_rows = state.filter(F.col("_late"))
+    ok = state.filter(~F.col("_late")).drop("_last", "_nlocal", "_first_local_at",
+                                            "_kept_seq_max")
+
+    # Level 2: one row per (location, range) with accepted requests: the
+    # range's first accepted request carries the range's values.
+    s2 = (state.filter(~F.col("_late") & F.col("_first_acc"))
+               .select("location_id", CHUNK,
+                       F.struct("seq", "changed_at", *ATTRS).alias("_first"),
+                       "_last", "_nlocal", "_first_local_at", "_kept_seq_max")
+               .join(base, "location_id", "left"))
     prev_last = F.lag("_last").over(wk)
     ref = {a: F.when(prev_last.isNotNull(), prev_last.getField(a)).otherwise(F.col(f"_b_{a}"))
            for a in ATTRS}
@@ -226,12 +255,14 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         "_next_kept_after": F.min("_first_kept_at").over(wk_desc.rowsBetween(_UNB, -1)),
         "_kept_seq_before": F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)),
     })
-    s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
-                   F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
-                   "_b_sk", "_b_ver")
-
-    rows = ok.join(s2, ["location_id", CHUNK], "left")
-    changed = F.when(F.col("_rn") == 1, F.col("_fchg")).otherwise(F.col("_lchg"))
+    # Small (one row per location and range), read by every output: written
+    # once so that no output re-aggregates the request state.
+    s2 = cut_lineage(s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
+                               F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
+                               "_b_sk", "_b_ver"), "upsert_summary")
+
+    rows = ok.join(F.broadcast(s2) if small else s2, ["location_id", CHUNK], "left")
+    changed = F.when(F.col("_first_acc"), F.col("_fchg")).otherwise(F.col("_lchg"))
     rows = rows.select(
         "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason",
         "change_source", "changed_at", changed.alias("_changed"),
@@ -241,8 +272,6 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
                    F.col("_kept_seq_before")).alias("_ref_seq"),
         F.coalesce("_next_local", "_next_kept_after").alias("effective_to"),
         "_b_sk")
-    # Three outputs and the key assignment read this state: write it once.
-    rows = cut_lineage(rows)
 
     kept = rows.filter("_changed")
     keyed = assign_surrogate_keys(kept, "seq", max_surrogate_key(dim), "zone_dim_sk",
@@ -261,8 +290,9 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     )
 
     expiry = kept.groupBy("location_id").agg(F.min("changed_at").alias("_expire_at"))
-    # One expiry row per touched location: at most one per request.
-    old = conform(dim).join(F.broadcast(expiry) if small else expiry, "location_id", "left")
+    # One expiry row per touched location.
+    old = conform(dim).join(F.broadcast(expiry) if keys_small else expiry, "location_id",
+                            "left")
     closing = F.col("is_current") & F.col("_expire_at").isNotNull()
     old = old.withColumns({
         "effective_to": F.when(closing, F.col("_expire_at")).otherwise(F.col("effective_to")),

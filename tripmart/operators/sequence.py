@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-DEFAULT_ROWS_PER_CHUNK = 1 << 20
+DEFAULT_ROWS_PER_CHUNK = 1 << 16
 DEFAULT_MAX_CHUNKS = 1024
 
 
@@ -59,6 +59,13 @@ class Chunks:
     rows: int
     count: int
     column: Column
+    keys: int | None = None
+
+    def summary_rows(self) -> int:
+        """Upper bound of the rows of a one-row-per-(key, range) summary."""
+        if self.keys is None:
+            return self.rows
+        return min(self.rows, self.keys * self.count)
 
 
 def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
@@ -73,24 +80,30 @@ def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER
 
 
 def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3) -> Chunks:
-    """Row count and chunk column from one aggregate job over ``df``."""
+                  max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3,
+                  key: str | None = None) -> Chunks:
+    """Row count, chunk column and (with ``key``) the exact number of
+    distinct keys, from one aggregate job over ``df``."""
     value = numeric_order(df, col).cast("double")
     # One array literal: building it element by element costs a round trip each.
     probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")).first()
+    aggs = [F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")]
+    if key is not None:
+        aggs.append(F.count_distinct(F.col(key)).alias("k"))
+    row = df.agg(*aggs).first()
     n = row["n"] or 0
+    keys = (row["k"] or 0) + 1 if key is not None else None   # + 1: a NULL key
     chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
     if chunks == 1 or not row["q"]:
-        return Chunks(n, 1, F.lit(0))
+        return Chunks(n, 1, F.lit(0), keys)
     step = max_chunks / chunks
     picked = [row["q"][int(round(step * i)) - 1] for i in range(1, chunks)]
     bounds = sorted(set(b for b in picked if b is not None))
     if not bounds:
-        return Chunks(n, 1, F.lit(0))
+        return Chunks(n, 1, F.lit(0), keys)
     return Chunks(n, len(bounds) + 1, F.when(value.isNull(), F.lit(0)).otherwise(
-        _search_tree(value, bounds, 0, len(bounds))))
+        _search_tree(value, bounds, 0, len(bounds))), keys)
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
