@@ -149,7 +149,8 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     req = req.filter(F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
                      & F.col("seq").isNotNull())
 
-    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks, key="location_id")
+    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks, key="location_id",
+                           keys_if_over=max_broadcast_rows)
     # Proven bounds from the profile job: the touched-key list has
     # ``chunks.keys`` rows, every (location, range) summary at most
     # ``chunks.summary_rows()``, every per-location table at most ``keys``.
@@ -255,11 +256,14 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         "_next_kept_after": F.min("_first_kept_at").over(wk_desc.rowsBetween(_UNB, -1)),
         "_kept_seq_before": F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)),
     })
-    # Small (one row per location and range), read by every output: written
-    # once so that no output re-aggregates the request state.
-    s2 = cut_lineage(s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
-                               F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
-                               "_b_sk", "_b_ver"), "upsert_summary")
+    s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
+                   F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
+                   "_b_sk", "_b_ver")
+    if chunks.count > 1:
+        # A large batch: every output reads the summary, so it is written
+        # once instead of being rebuilt from the request state per output.
+        # A one-range batch is small enough that rebuilding is cheaper.
+        s2 = cut_lineage(s2, "upsert_summary")
 
     rows = ok.join(F.broadcast(s2) if small else s2, ["location_id", CHUNK], "left")
     changed = F.when(F.col("_first_acc"), F.col("_fchg")).otherwise(F.col("_lchg"))

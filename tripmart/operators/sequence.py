@@ -81,19 +81,23 @@ def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER
 
 def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                   max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3,
-                  key: str | None = None) -> Chunks:
-    """Row count, chunk column and (with ``key``) the exact number of
-    distinct keys, from one aggregate job over ``df``."""
+                  key: str | None = None, keys_if_over: int = 0) -> Chunks:
+    """Row count and chunk column from one aggregate job over ``df``; with
+    ``key``, also the exact number of distinct keys, counted by a second job
+    only when there are more than ``keys_if_over`` rows (below that the row
+    count is already the tighter bound that callers need)."""
     value = numeric_order(df, col).cast("double")
     # One array literal: building it element by element costs a round trip each.
     probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")]
-    if key is not None:
-        aggs.append(F.count_distinct(F.col(key)).alias("k"))
-    row = df.agg(*aggs).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")).first()
     n = row["n"] or 0
-    keys = (row["k"] or 0) + 1 if key is not None else None   # + 1: a NULL key
+    keys = None
+    if key is not None:
+        if n > keys_if_over:
+            keys = (df.agg(F.count_distinct(F.col(key))).first()[0] or 0) + 1  # + 1: NULL key
+        else:
+            keys = n
     chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
     if chunks == 1 or not row["q"]:
         return Chunks(n, 1, F.lit(0), keys)
