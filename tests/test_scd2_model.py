@@ -5,7 +5,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from sequential_model import apply_approvals, apply_rollbacks, apply_upserts
 from tripmart.operators.scd2 import (

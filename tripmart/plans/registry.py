@@ -24,7 +24,6 @@ from tripmart.operators.quality import (
     tests_executed,
 )
 from tripmart.plans.fact import build_fct_trips, enriched_trips
-from tripmart.schemas import CURATED_COLUMNS
 from tripmart.sources import testdata as td
 from tripmart.plans.load import load_trips
 from tripmart.session import cut_lineage, scratch_path
@@ -282,4 +281,4 @@ QUERIES: dict[str, Query] = {
     "load_roundtrip": q_load_roundtrip,
 }
 
-__all__ = ["QUERIES", "CURATED_COLUMNS"]
+__all__ = ["QUERIES"]
