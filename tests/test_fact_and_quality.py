@@ -138,3 +138,43 @@ def test_tests_fail_on_unfiltered_input(spark):
                  "bad_time_order_count = 0", "negative_distance_count = 0",
                  "negative_duration_count = 0"]:
         assert tests[name] is False
+
+
+def _ancestors(plan: str, needle: str) -> list[str]:
+    lines = plan.splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if needle in line:
+            out, d = [], depth(line)
+            for j in range(i - 1, -1, -1):
+                if depth(lines[j]) < d:
+                    out.append(lines[j].strip())
+                    d = depth(lines[j])
+            return out
+    raise AssertionError(f"{needle} not in plan")
+
+
+def test_trips_are_never_shuffled_in_the_fact(spark, tmp_path):
+    rates, zones = masters(spark)
+    path = str(tmp_path / "staging")
+    spark.createDataFrame([trip(), trip(pulocationid=2)], CURATED_TRIPS).write.parquet(path)
+    fct = build_fct_trips(spark.read.parquet(path), rates, zones, AS_OF)
+    fct.collect()
+    plan = fct._jdf.queryExecution().executedPlan().toString()
+    above_scan = _ancestors(plan, "FileScan parquet")
+    assert not any("Exchange" in line for line in above_scan)
+
+
+def test_dq_tests_scan_the_fact_once(spark, tmp_path):
+    rates, zones = masters(spark)
+    path = str(tmp_path / "fct")
+    staging = spark.createDataFrame([trip(), trip(pulocationid=2)], CURATED_TRIPS)
+    build_fct_trips(staging, rates, zones, AS_OF).write.parquet(path)
+    tests = dq_test_rows(dq_metrics(spark.read.parquet(path)))
+    tests.collect()
+    plan = tests._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReadSchema: struct<pickup_ts" in final      # 8 of 28 columns are read
