@@ -172,3 +172,35 @@ def test_checkpoint_dir_comes_from_session(spark):
     got = checkpoint_dir(spark)
     if configured:
         assert os.path.basename(configured.rstrip("/")) in got
+
+
+def test_rollback_edge_rows_then_upsert(spark):
+    from tripmart.operators.scd2 import rollback_versions, upsert_zone_scd2
+    from tripmart.schemas import ROLLBACK_REQUESTS
+    h = dt.timedelta(hours=1)
+    d = spark.createDataFrame([
+        dim_row(1, 1, 1, T0, T0 + h, False, zone="a"),
+        dim_row(2, 1, 2, T0 + h, None, True, zone="b"),
+        dim_row(3, 2, 1, T0, T0 + h, False, zone="c"),        # no current row at all
+        dim_row(4, 3, 1, T0, None, True, zone="d"),
+    ], ZONE_DIM)
+    as_of = T0 + 5 * h
+    req = spark.createDataFrame([(1, 1, "admin", "back to a"), (2, 1, "admin", "revive"),
+                                 (3, 1, "admin", "same as current"), (4, 1, "admin", "missing")],
+                                ROLLBACK_REQUESTS)
+    res = rollback_versions(d, req, as_of)
+    rows = {r.zone_dim_sk: r for r in res.dim.collect()}
+    new = {r.location_id: r for r in rows.values() if r.record_status == "ROLLED_BACK"}
+    assert new[1].version_number == 3 and new[1].zone == "a" and new[1].is_current
+    assert new[1].change_source == "rollback_procedure" and new[1].approved_by is None
+    assert rows[2].is_current is False and rows[2].effective_to == as_of
+    assert new[2].version_number == 2 and new[2].zone == "c"
+    assert new[3].version_number == 2 and new[3].zone == "d" and rows[4].effective_to == as_of
+    assert [(e.location_id, e.error) for e in res.errors.collect()] == \
+        [(4, "Target version 1 not found for location_id 4")]
+    ch = spark.createDataFrame([dict(seq=1, location_id=1, borough="b", zone="z",
+                                     service_zone=None, created_by="u", change_reason=None,
+                                     change_source=None, changed_at=as_of + h)],
+                               UPSERT_REQUESTS)
+    up = upsert_zone_scd2(res.dim, ch)
+    assert [(r.version_number, r.outcome) for r in up.results.collect()] == [(4, "new_version")]
