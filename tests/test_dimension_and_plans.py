@@ -164,6 +164,14 @@ def test_load_pipeline_and_governed_batch(spark, tmp_path):
                                       change_source=None, changed_at=T0)], UPSERT_REQUESTS)
     with pytest.raises(GovernanceError):
         apply_governed_batch(spark, f"{base}/dim", td.AS_OF, upserts=bad)
+
+    from tripmart.plans.catalog import register_tables
+    names = register_tables(spark, {"fct_trips": f"{base}/fct", "test_results": f"{base}/dq",
+                                    "zone_dim_scd2": f"{base}/dim"})
+    assert names == ["fct_trips", "test_results", "zone_dim_scd2"]
+    latest = spark.sql("SELECT * FROM test_results ORDER BY created_at DESC").collect()
+    assert len(latest) == 10
+    assert spark.sql("SELECT COUNT(*) FROM zone_dim_scd2 WHERE is_current").first()[0] > 0
     assert len(list_snapshots(spark, f"{base}/dim")) == 2
 
 
