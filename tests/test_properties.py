@@ -54,3 +54,16 @@ def test_incomplete_snapshot_is_ignored(spark, tmp_path):
 def test_size_checks_in_one_job(spark):
     small, big = spark.range(3), spark.range(50)
     assert fits_broadcast_each([small, big, spark.range(0)], max_rows=10) == [True, False, True]
+
+
+def test_range_lookup_with_many_ranges(spark):
+    import bisect
+
+    from tripmart.operators.sequence import Chunks
+    bounds = [float(b) for b in range(0, 100_000, 97)][:1000]
+    values = list(range(-5, 100_500, 37)) + [None]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = {r.v: r.c for r in Chunks(len(values), len(bounds) + 1, "v", bounds)
+           .assign(df, "c").collect()}
+    for v in values:
+        assert got[v] == (0 if v is None else bisect.bisect_right(bounds, v))

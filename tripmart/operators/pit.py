@@ -21,7 +21,7 @@ from tripmart.operators.sequence import (
     CHUNK,
     DEFAULT_MAX_CHUNKS,
     DEFAULT_ROWS_PER_CHUNK,
-    chunk_column,
+    profile_order,
 )
 
 VERSION_COLUMNS = ["zone_dim_sk", "version_number", "borough", "zone", "service_zone"]
@@ -73,7 +73,7 @@ def _asof_scan(facts: DataFrame, dim: DataFrame, key: str, at: str, prefix: str,
     tagged = facts.select(F.col(key).alias("_k"), F.col(at).alias("_t"), F.lit(1).alias("_kind"),
                           F.struct(*[F.col(f"`{c}`") for c in fact_cols]).alias("_fact"))
     stream = tagged.unionByName(versions, allowMissingColumns=True)
-    stream = stream.withColumn(CHUNK, chunk_column(stream, "_t", rows_per_chunk, max_chunks))
+    stream = profile_order(stream, "_t", rows_per_chunk, max_chunks).assign(stream, CHUNK)
     order = [F.col("_t").asc_nulls_first(), F.col("_kind"), F.col("_ver.v")]
     w = Window.partitionBy("_k", CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     stream = stream.withColumn("_local", F.last("_ver", True).over(w))

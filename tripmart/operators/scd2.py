@@ -168,7 +168,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         F.col("effective_from").alias("_b_from"),
         *[F.col(a).alias(f"_b_{a}") for a in ATTRS])
 
-    r = req.withColumn(CHUNK, chunks.column)
+    r = chunks.assign(req, CHUNK)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
     wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())

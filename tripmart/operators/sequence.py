@@ -12,13 +12,14 @@ then runs in two levels:
    rows per key, joined back to the rows on ``(key, chunk)``.
 
 The quantiles come back to the driver as at most ``max_chunks`` numbers; no
-data passes through it.
+data passes through it. A row finds its range by binary lifting over one
+array literal (``Chunks.assign``), in generated code.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,23 +43,14 @@ def numeric_order(df: DataFrame, col: str) -> Column:
     return F.col(col)
 
 
-def _search_tree(value: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Index i in [lo, hi] such that bounds[i-1] <= value < bounds[i]
-    (binary search expressed as nested CASE, depth log2 of the bounds)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(value < F.lit(bounds[mid - 1]), _search_tree(value, bounds, lo, mid - 1)) \
-        .otherwise(_search_tree(value, bounds, mid, hi))
-
-
 @dataclass
 class Chunks:
-    """Result of profiling an order column: row count, number of ranges and
-    the column that gives each row its range."""
+    """Result of profiling an order column: row count, number of ranges, the
+    range boundaries (ascending) and, if asked for, the number of keys."""
     rows: int
     count: int
-    column: Column
+    col: str
+    bounds: list[float] = field(default_factory=list)
     keys: int | None = None
 
     def summary_rows(self) -> int:
@@ -67,25 +59,38 @@ class Chunks:
             return self.rows
         return min(self.rows, self.keys * self.count)
 
-
-def chunk_column(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                 max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3) -> Column:
-    """Chunk index of each row: a non-decreasing function of ``col``.
-
-    One aggregate job computes the row count and approximate quantiles of
-    ``col``; the number of chunks grows with the input up to ``max_chunks``.
-    NULL order values fall in chunk 0 (they sort first in every window).
-    """
-    return profile_order(df, col, rows_per_chunk, max_chunks, rel_error).column
+    def assign(self, df: DataFrame, out: str) -> DataFrame:
+        """Add column ``out`` = number of boundaries <= the row's order value
+        (0 for NULL): a non-decreasing function of the order column.
+
+        Binary lifting over one array literal: about log2(ranges) small
+        projection steps, each one comparison, so the lookup stays in
+        generated code for any number of ranges (a nested CASE of a thousand
+        branches would not compile).
+        """
+        if self.count == 1 or not self.bounds:
+            return df.withColumn(out, F.lit(0))
+        value = numeric_order(df, self.col).cast("double")
+        m = len(self.bounds)
+        bounds = F.expr("array(" + ",".join(repr(float(b)) for b in self.bounds) + ")")
+        d = df.withColumn(out, F.lit(0))
+        step = 1 << (m.bit_length() - 1)
+        while step >= 1:
+            cand = F.col(out) + F.lit(step)
+            reach = (cand <= F.lit(m)) & (value >= F.element_at(bounds, F.least(cand, F.lit(m))))
+            d = d.withColumn(out, F.when(reach, cand).otherwise(F.col(out)))
+            step //= 2
+        return d.withColumn(out, F.when(value.isNull(), F.lit(0)).otherwise(F.col(out)))
 
 
 def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                   max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3,
                   key: str | None = None, keys_if_over: int = 0) -> Chunks:
-    """Row count and chunk column from one aggregate job over ``df``; with
-    ``key``, also the exact number of distinct keys, counted by a second job
-    only when there are more than ``keys_if_over`` rows (below that the row
-    count is already the tighter bound that callers need)."""
+    """Row count and range boundaries (approximate quantiles of ``col``) from
+    one aggregate job over ``df``; the number of ranges grows with the input
+    up to ``max_chunks``. With ``key``, also the exact number of distinct
+    keys, counted by a second job only when there are more than
+    ``keys_if_over`` rows (below that the row count is the tighter bound)."""
     value = numeric_order(df, col).cast("double")
     # One array literal: building it element by element costs a round trip each.
     probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
@@ -100,14 +105,11 @@ def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PE
             keys = n
     chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
     if chunks == 1 or not row["q"]:
-        return Chunks(n, 1, F.lit(0), keys)
+        return Chunks(n, 1, col, [], keys)
     step = max_chunks / chunks
     picked = [row["q"][int(round(step * i)) - 1] for i in range(1, chunks)]
     bounds = sorted(set(b for b in picked if b is not None))
-    if not bounds:
-        return Chunks(n, 1, F.lit(0), keys)
-    return Chunks(n, len(bounds) + 1, F.when(value.isNull(), F.lit(0)).otherwise(
-        _search_tree(value, bounds, 0, len(bounds))), keys)
+    return Chunks(n, len(bounds) + 1, col, bounds, keys)
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
@@ -115,8 +117,7 @@ def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
                 max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
     """``lead(value) OVER (PARTITION BY key ORDER BY order...)`` without
     sending a whole key to one task. ``order`` must be unique within a key."""
-    chunk = chunk_column(df, order[0], rows_per_chunk, max_chunks)
-    d = df.withColumn(CHUNK, chunk)
+    d = profile_order(df, order[0], rows_per_chunk, max_chunks).assign(df, CHUNK)
     w = Window.partitionBy(key, CHUNK).orderBy(*order)
     d = (d.withColumn(out, F.lead(value).over(w))
           .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
@@ -152,8 +153,7 @@ def assign_surrogate_keys(df: DataFrame, order_col: str, start, out: str,
     if isinstance(chunk, Chunks) and chunk.count == 1:
         rank = F.row_number().over(Window.orderBy(order_col))
         return df.withColumn(out, (start_col + rank).cast("long"))
-    c = chunk.column if isinstance(chunk, Chunks) else chunk
-    d = df.withColumn("_skc", c)
+    d = chunk.assign(df, "_skc") if isinstance(chunk, Chunks) else df.withColumn("_skc", chunk)
     d = d.withColumn("_skrn", F.row_number().over(Window.partitionBy("_skc").orderBy(order_col)))
     counts = d.groupBy("_skc").agg(F.count(F.lit(1)).alias("_skn"))
     before = Window.orderBy("_skc").rowsBetween(Window.unboundedPreceding, -1)
