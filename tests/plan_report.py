@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(HERE))
 
 
 def summarize(plan: str) -> dict:
-    lines = plan.splitlines()
+    # An adaptive plan prints the final plan and then the initial one.
+    lines = plan.split("== Initial Plan ==")[0].splitlines()
 
     def count(token):
         return sum(token in ln for ln in lines)

@@ -259,11 +259,9 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
                    F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
                    "_b_sk", "_b_ver")
-    if chunks.count > 1:
-        # A large batch: every output reads the summary, so it is written
-        # once instead of being rebuilt from the request state per output.
-        # A one-range batch is small enough that rebuilding is cheaper.
-        s2 = cut_lineage(s2, "upsert_summary")
+    # Every output reads the summary; written once, so neither the request
+    # state nor the dimension's current rows are read again per output.
+    s2 = cut_lineage(s2, "upsert_summary")
 
     rows = ok.join(F.broadcast(s2) if small else s2, ["location_id", CHUNK], "left")
     changed = F.when(F.col("_first_acc"), F.col("_fchg")).otherwise(F.col("_lchg"))
