@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import canon, duck
 from plan_report import summarize
+from tripmart.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -19,10 +20,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
