@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, exact_dedup, langid, mixing
+from tripmart.llm.ngram_join import ngram_join
 from tripmart.llm.queries import language_model, shared_vocabulary
 from tripmart.session import cut_lineage, scratch_path
 
@@ -35,6 +36,21 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_rows(docs, exact_dedup.exact_dedup(docs, index))
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near copies the document with the smallest doc_id.
+    Rows that share a doc_id stay or go together; a row without one is a
+    document by itself, known by a hash above all ids."""
+    unnamed = F.lit(1 << 62) + F.xxhash64("text", "source", "lang").bitwiseAND(
+        F.lit((1 << 62) - 1))
+    key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
+    groups = ngram_join(docs.select(key.alias("doc_id"), "text"))
+    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("stay_id")).distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+                       key.alias("row_id"))
+    return rows.join(stay, F.col("row_id") == F.col("stay_id"), "left_semi").select("doc.*")
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix reads them, a row per pass, in training order."""
     return mixing.mixed_stream(docs, cut_lineage(mixing.mixing_plan(docs), "mix_plan"))
@@ -50,6 +66,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
     ("source_mix", mix_stage),
     ("bpe_tokens", token_stage),
 ]

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, exact_dedup, langid, mixing
+from tripmart.llm.cover_dedup import cover_dedup
+from tripmart.llm.ngram_join import ngram_join
+from tripmart.llm.suffix_dedup import suffix_dedup
 from tripmart.session import scratch_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
     return mixing.training_order(plan).select(
@@ -47,6 +54,14 @@ def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), index).drop("row_tag")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"))
+
+
+def op9_cover_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup(_table(spark, sf_dir, "documents"))
+
+
 def shared_vocabulary(spark: SparkSession):
     import public_tokenizers
 
@@ -63,9 +78,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op5_language_id": op5_language_id,
     "op6_digest_index": op6_digest_index,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_cover_anchor_dedup": op9_cover_anchor_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
