@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, exact_dedup, langid, mixing
 from tripmart.llm.cover_dedup import cover_dedup
+from tripmart.llm.divergence import quality_rules
 from tripmart.llm.ngram_join import ngram_join
 from tripmart.llm.suffix_dedup import suffix_dedup
 from tripmart.session import scratch_path
@@ -28,6 +29,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
     return mixing.training_order(plan).select(
@@ -79,6 +84,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_distribution_divergence": op2_distribution_divergence,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op5_language_id": op5_language_id,
     "op6_digest_index": op6_digest_index,
