@@ -3,9 +3,10 @@
 A piece (one match of the split pattern) starts as single bytes. A segment
 tree over byte positions holds, for every live symbol, the rank of the pair
 it makes with its right neighbour; each inner node holds the smallest rank of
-its range, leftmost on ties. A merge pops the root's minimum and updates the
-two or three leaves it touches, so a piece of n bytes takes O(n log n),
-whatever its length.
+its range, leftmost on ties. A merge takes the root's minimum and updates the
+leaves of the merged symbol, of the one it swallowed and of its left
+neighbour, so a piece of n bytes takes O(n log n), whatever its length. The
+trees of many pieces stand side by side in one array.
 
 Defined results: a NULL or empty text has no tokens; special tokens are
 ordinary text; ``decode`` gives back the bytes that were encoded.
@@ -14,7 +15,10 @@ ordinary text; ``decode`` gives back the bytes that were encoded.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.shipping import ship_package
 
-_NONE = 1 << 62
-#: Pieces whose tokens a worker remembers; beyond it the memory starts anew.
+#: Pieces, and stretches of text, whose tokens a worker remembers.
 CACHE_PIECES = 200_000
-#: Longer pieces are rare, and are encoded anew each time.
+CACHE_STRETCHES = 400_000
+#: Longer ones are rare, and are encoded anew each time.
 CACHE_BYTES = 64
+#: Characters whose unknown pieces are merged together.
+LEARN_CHARS = 1 << 20
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -41,63 +47,126 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return ranks
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one piece, by merging the leftmost pair of lowest rank
-    until no pair of neighbours has a rank."""
-    n = len(piece)
-    if n == 1:
-        return [ranks[piece]]
-    leaves = 1
-    while leaves < n:
-        leaves *= 2
-    end = list(range(1, n + 1))  # end of the symbol that starts here
-    before = list(range(-1, n - 1))  # start of the symbol to the left
-    tree = [_NONE] * (2 * leaves)
-    get = ranks.get
-    # A node holds rank * leaves + position, so that min() is the leftmost lowest.
-    for i in range(n - 1):
-        r = get(piece[i:i + 2])
-        if r is not None:
-            tree[leaves + i] = r * leaves + i
-    for k in range(leaves - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
-
-    def put(i: int, value: int) -> None:
-        k = leaves + i
-        tree[k] = value
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            least = a if a < b else b
-            if tree[k] == least:
-                return
-            tree[k] = least
-            k >>= 1
-
-    def pair(i: int) -> int:
-        j = end[i]
-        if j >= n:
-            return _NONE
-        r = get(piece[i:end[j]])
-        return _NONE if r is None else r * leaves + i
-
-    while tree[1] != _NONE:
-        i = tree[1] % leaves
-        j = end[i]
-        end[i] = end[j]
-        if end[i] < n:
-            before[end[i]] = i
-        if tree[leaves + j] != _NONE:
-            put(j, _NONE)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i:end[i]]])
-        i = end[i]
-    return ids
+class PairRanks:
+    """Ranks of neighbouring tokens, as sorted keys (left id, right id)."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        keys, values = [], []
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    values.append(rank)
+        order = np.argsort(keys)
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.values = np.append(np.array(values, np.int64)[order], -1)
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merged pair, -1 if it has none."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], -1)
+
+
+def merge_pieces(pieces: list[bytes], pairs: PairRanks) -> list[tuple[int, ...]]:
+    """Token ids of each piece: its leftmost pair of lowest rank is merged until
+    no neighbours have a rank. Pieces of about one length are worked on side by
+    side, each with its own segment tree, a merge of every piece at a time."""
+    out: list[tuple[int, ...]] = [()] * len(pieces)
+    groups: dict[int, list[int]] = {}
+    for k, piece in enumerate(pieces):
+        groups.setdefault(max(1, (len(piece) - 1).bit_length()), []).append(k)
+    for bits, members in groups.items():
+        step = max(1, (1 << 22) >> bits)  # bounds the arrays
+        for at in range(0, len(members), step):
+            some = members[at:at + step]
+            for k, ids in zip(some, _merge_side_by_side([pieces[k] for k in some], bits, pairs)):
+                out[k] = ids
+    return out
+
+
+def _merge_side_by_side(pieces: list[bytes], bits: int, pairs: PairRanks):
+    leaves = 1 << bits
+    rows = len(pieces)
+    size = np.array([len(p) for p in pieces])
+    text = np.frombuffer(b"".join(p.ljust(leaves, b"\0") for p in pieces), np.uint8)
+    symbol = pairs.bytes[text].reshape(rows, leaves)
+    place = np.arange(leaves)
+    inside = place < size[:, None]
+    after = np.tile(place + 1, (rows, 1))  # start of the symbol to the right
+    before = np.tile(place - 1, (rows, 1))
+    live = inside.copy()
+    # A node holds rank << bits | place: the smallest is the leftmost lowest.
+    wide = np.int64 if bits > 14 else np.int32
+    none = np.iinfo(wide).max
+    tree = np.full((rows, 2 * leaves), none, wide)
+    both = inside[:, 1:]
+    rank = np.full(both.shape, -1)
+    rank[both] = pairs.find(symbol[:, :-1][both], symbol[:, 1:][both])
+    tree[:, leaves:2 * leaves - 1] = np.where(rank >= 0, rank << bits | place[:-1], none)
+    for level in range(bits - 1, -1, -1):
+        low, high = 1 << level, 2 << level
+        tree[:, low:high] = np.minimum(tree[:, 2 * low:2 * high:2], tree[:, 2 * low + 1:2 * high:2])
+    flat, flat_symbol = tree.reshape(-1), symbol.reshape(-1)
+    flat_after, flat_before, flat_live = after.reshape(-1), before.reshape(-1), live.reshape(-1)
+
+    def pair_value(left, right, at):
+        found = pairs.find(left, right)
+        return np.where(found >= 0, found << bits | at, none)
+
+    row = np.flatnonzero(tree[:, 1] != none)
+    while len(row):
+        base, root = row * leaves, row * 2 * leaves
+        lowest = flat[root + 1].astype(np.int64)
+        i, merged = lowest & (leaves - 1), lowest >> bits
+        j = flat_after[base + i]
+        e = flat_after[base + j]
+        left = flat_before[base + i]
+        flat_symbol[base + i] = merged
+        flat_after[base + i] = e
+        flat_live[base + j] = False
+        more, has_left = e < size[row], left >= 0
+        flat_before[(base + e)[more]] = i[more]
+        value = np.full(len(row), none, np.int64)
+        value[more] = pair_value(merged[more], flat_symbol[(base + e)[more]], i[more])
+        flat[root + leaves + j] = none
+        flat[root + leaves + i] = value
+        value = pair_value(flat_symbol[(base + left)[has_left]], merged[has_left], left[has_left])
+        flat[(root + leaves + left)[has_left]] = value
+        # the three changed leaves, level by level up to the root
+        nodes = [(root, leaves + i), (root, leaves + j), (root[has_left], (leaves + left)[has_left])]
+        for _ in range(bits):
+            nodes = [(r, k >> 1) for r, k in nodes]
+            for r, k in nodes:
+                flat[r + k] = np.minimum(flat[r + 2 * k], flat[r + 2 * k + 1])
+        row = row[flat[root + 1] != none]
+    ids = symbol[live].tolist()
+    end = np.cumsum(live.sum(1)).tolist()
+    return [tuple(ids[a:b]) for a, b in zip([0, *end], end)]
+
+
+class Memory:
+    """What was encoded lately: a full generation becomes the old one, and what
+    is still asked for moves on to the new one."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def old_or_none(self, key: str):
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value: tuple[int, ...]) -> None:
+        if len(self.new) >= self.size:
+            self.old = dict(self.new)
+            self.new.clear()  # the same object, so that its bound get() stays valid
+        self.new[key] = value
 
 
 class ByteBpe:
@@ -107,28 +176,113 @@ class ByteBpe:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode("utf-8", "replace")
-        own = self.ranks.get(data)
-        ids = (own,) if own is not None else tuple(merge_piece(data, self.ranks))
-        if len(data) <= CACHE_BYTES:
-            if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        self.names = {rank: str(rank) for rank in ranks.values()}
+        self.pairs = PairRanks(ranks)
+        self.pieces, self.stretches = Memory(CACHE_PIECES), Memory(CACHE_STRETCHES)
+
+    def _ids(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of each piece; those that are new are merged all at once."""
+        got, new = {}, []
+        known = self.pieces.new.get
+        for x in pieces:
+            ids = known(x) or self.pieces.old_or_none(x)
+            if ids is None:
+                data = x.encode("utf-8", "replace")
+                own = self.ranks.get(data)
+                if own is None:
+                    new.append((x, data))
+                    continue
+                ids = (own,)
+            got[x] = ids
+        for (x, data), ids in zip(new, merge_pieces([d for _, d in new], self.pairs)):
+            got[x] = ids
+            if len(data) <= CACHE_BYTES:
+                self.pieces.put(x, ids)
+        return got
+
+    def _stretches(self, text: str, missing: dict[str, list]) -> list:
+        """The ids of each stretch of a text, in order. A stretch that isn't
+        known is left open: ``missing`` gets its place.
+
+        No piece goes on over a space that follows another character than white
+        space, and none looks behind: a text may be cut before such spaces.
+        """
+        out: list = []
+        known, add = self.stretches.new.get, out.append
+        first, *rest = text.split(" ")
+        waiting = None
+        if first and first[-1].isspace():
+            waiting = first
+        elif first:
+            missing.setdefault(first, []).append((out, 0))
+            add(None)
+        for part in rest:
+            if waiting is None:
+                found = known(part)
+                if found is None:
+                    if not part or part[-1].isspace():
+                        waiting = " " + part
+                        continue
+                    found = self.stretches.old_or_none(part)
+                    if found is None:
+                        missing.setdefault(" " + part, []).append((out, len(out)))
+                add(found)
+            else:
+                waiting += " " + part
+                if part and not part[-1].isspace():
+                    missing.setdefault(waiting, []).append((out, len(out)))
+                    add(None)
+                    waiting = None
+        if waiting is not None:
+            missing.setdefault(waiting, []).append((out, len(out)))
+            add(None)
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known, add = self.known.get, ids.extend
-        for piece in self.split(text or ""):
-            add(known(piece) or self.piece_ids(piece))
-        return ids
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str | None]):
+        """The ids of each text, in order."""
+        start, size = 0, 0
+        for k, text in enumerate(texts):
+            size += len(text or "")
+            if size >= LEARN_CHARS or k == len(texts) - 1:
+                missing: dict[str, list] = {}
+                plans = [self._stretches(t or "", missing) for t in texts[start:k + 1]]
+                split = {x: self.split(x) for x in missing}
+                got = self._ids({p for pieces in split.values() for p in pieces})
+                for x, pieces in split.items():
+                    ids = (got[pieces[0]] if len(pieces) == 1 else
+                           tuple(chain.from_iterable(map(got.__getitem__, pieces))))
+                    for plan, at in missing[x]:
+                        plan[at] = ids
+                    # as after " ": the key of a stretch is what follows its space
+                    if x[0] == " " and 1 < len(x) <= CACHE_BYTES and not x[-1].isspace() \
+                            and " " not in x[1:]:
+                        self.stretches.put(x[1:], ids)
+                for plan in plans:
+                    yield list(chain.from_iterable(plan))
+                start, size = k + 1, 0
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decimal(self, ids) -> bytes:
+        return ",".join(map(self.names.__getitem__, ids)).encode()
+
+
+@contextmanager
+def _no_collector():
+    """Nothing here makes reference cycles; walking what a worker remembers in
+    search of some took a quarter of its time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
 
 _encoders: dict[tuple, ByteBpe] = {}
 
@@ -156,7 +310,8 @@ def encoder(shared):
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
         bpe = _encoder(shared)
-        return pd.Series([bpe.encode(t) for t in texts.where(texts.notna(), None)])
+        with _no_collector():
+            return pd.Series(list(bpe.encode_all(texts.where(texts.notna(), None).tolist())))
 
     return encode
 
@@ -178,15 +333,16 @@ def tokenizer(shared):
     @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
     def tokens(texts: pd.Series) -> pd.DataFrame:
         bpe = _encoder(shared)
-        return pd.DataFrame([(np.array(ids, np.int32), *_digests(bpe, ids)) for ids in
-                             map(bpe.encode, texts.where(texts.notna(), None))],
-                            columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with _no_collector():
+            rows = [(np.array(ids, np.int32), *_digests(bpe, ids)) for ids in
+                    bpe.encode_all(texts.where(texts.notna(), None).tolist())]
+        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return tokens
 
 
 def _digests(bpe: ByteBpe, ids: list[int]) -> tuple[int, str, str]:
-    return (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+    return (len(ids), hashlib.sha256(bpe.decimal(ids)).hexdigest(),
             hashlib.sha256(bpe.decode(ids)).hexdigest())
 
 
@@ -197,7 +353,9 @@ def round_trip(shared):
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(texts: pd.Series) -> pd.DataFrame:
         bpe = _encoder(shared)
-        rows = [_digests(bpe, bpe.encode(t)) for t in texts.where(texts.notna(), None)]
+        with _no_collector():
+            rows = [_digests(bpe, ids) for ids in
+                    bpe.encode_all(texts.where(texts.notna(), None).tolist())]
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digests
