@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, exact_dedup, langid, mixing
+from tripmart.llm import bpe, exact_dedup, langid, mixing, warc
 from tripmart.llm.cover_dedup import cover_dedup
 from tripmart.llm.divergence import quality_rules
 from tripmart.llm.ngram_join import ngram_join
@@ -59,6 +59,12 @@ def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), index).drop("row_tag")
 
 
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, f"warc/{uuid.uuid4().hex}")
+    warc.write_warc(_table(spark, sf_dir, "pages"), target)
+    return warc.read_warc(spark, target)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
 
@@ -88,6 +94,7 @@ QUERIES = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op5_language_id": op5_language_id,
     "op6_digest_index": op6_digest_index,
+    "op7_warc_round_trip": op7_warc_round_trip,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_cover_anchor_dedup": op9_cover_anchor_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
@@ -148,7 +155,22 @@ SELECT doc_id, source, size, source_size, target,
 FROM o
 """
 
+_OP7 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes,
+         sha1(COALESCE(html, '')) AS payload_digest FROM pages),
+g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id,
+         payload_bytes >= 1000 AND page_id < max(page_id) OVER (PARTITION BY payload_digest) AS copy
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN copy THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN copy THEN last_id END AS refers_to
+FROM g
+"""
+
 ORACLE_SQL = {
     "op3_curriculum_mix": _OP3,
     "op6_digest_index": _OP6,
+    "op7_warc_round_trip": _OP7,
 }
