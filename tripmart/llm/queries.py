@@ -16,6 +16,7 @@ from tripmart.llm.cover_dedup import cover_dedup
 from tripmart.llm.divergence import quality_rules
 from tripmart.llm.ngram_join import ngram_join
 from tripmart.llm.suffix_dedup import suffix_dedup
+from tripmart.llm.toxicity import toxicity_chain, train as train_toxicity
 from tripmart.session import scratch_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +40,11 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "taken", "offset")
 
 
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity_chain(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def language_model(docs: DataFrame) -> langid.LanguageModel:
     """Learned from the documents that are not held out."""
     return langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
@@ -92,6 +98,7 @@ QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_distribution_divergence": op2_distribution_divergence,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_toxicity_chain": op4_toxicity_chain,
     "op5_language_id": op5_language_id,
     "op6_digest_index": op6_digest_index,
     "op7_warc_round_trip": op7_warc_round_trip,
