@@ -5,11 +5,13 @@ Sets link when their Jaccard similarity is 0.85 or more; the result is each
 document's connected component.
 
 1. Equal sets are one class, kept by its smallest doc_id.
-2. Tokens are ordered by hash. Linked sets share a token of their prefixes
-   (the first 15 %, plus one). Index lists of prefix tokens are sorted by set
-   size: from an entry, blocks of larger sizes are skipped as soon as one is
-   too large, entries by position when too few tokens are left, and entries by
-   a 512-bit parity sketch whose Hamming distance is never above the size of
+2. Tokens are ordered: those of one class alone first, then by hash. Linked
+   sets share a token of their prefixes (the first 15 %, plus one), so a set
+   with that many tokens of its own has no links, whatever passages or lines
+   it shares. Index lists of the other prefix tokens are sorted by set size:
+   from an entry, blocks of larger sets are skipped as soon as one is too
+   large, entries by position when too few tokens are left, and entries by a
+   512-bit parity sketch whose Hamming distance is never above the size of
    the symmetric difference. What is left joins candidates; pairs already in
    one group are skipped too, so lists give spanning edges, not pairs.
 3. The groups of candidates are verified: each set goes to its group, in full;
@@ -97,19 +99,51 @@ class Sets:
         self.head[by_class] = by_class[head][np.cumsum(head) - 1]
         self.own = self.head == np.arange(n)
 
-    def prefix(self) -> np.ndarray:
-        """Indices of the prefix tokens of class heads."""
+    def drop(self, classes: dict[int, tuple[int, bool]]) -> None:
+        """Leave classes to the block that holds their smallest doc_id."""
+        others = np.array([c for c, (_, mine) in classes.items() if not mine], np.uint64)
+        self.own &= ~np.isin(self.content, others)
+
+    def index_entries(self, shared: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index, place) of the prefix tokens of class heads that other sets may
+        hold; the place is that in the order of tokens."""
+        at = np.flatnonzero(self.own[self.doc])
+        token, doc = self.token[at], self.doc[at]
+        here = np.sort(token)
+        common = (np.isin(_short(token, parts), shared)
+                  | np.isin(token, here[repeated_in(here)]))
+        single = np.bincount(doc[~common], minlength=len(self.size))
+        at, doc = at[common], doc[common]  # by document and hash
+        first = np.searchsorted(doc, np.arange(len(self.size)))
+        place = single[doc] + np.arange(len(doc)) - first[doc]
         least = -(-PERCENT * self.size // 100)
-        place = np.arange(len(self.doc)) - self.first[self.doc]
-        return np.flatnonzero((place <= (self.size - least)[self.doc]) & self.own[self.doc])
+        prefix = place <= (self.size - least)[doc]
+        return at[prefix], place[prefix]
 
 
-def _send_tokens(parts: int):
+def _short(token: np.ndarray, parts: int) -> np.ndarray:
+    """A token by its part and 32 of its bits. Two tokens that agree in these
+    count as held by several sets, in all blocks alike: that costs a
+    comparison, and never a link."""
+    part = (token >> np.uint64(33)) % np.uint64(parts)
+    return part << np.uint64(32) | token & np.uint64(0xFFFFFFFF)
+
+
+def _pack_short(keys: np.ndarray) -> bytes:
+    """Short tokens of one part, as sorted differences after the part."""
+    low = np.sort((keys & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    step = np.diff(low, prepend=0).astype(np.uint32)
+    return pack(step=np.concatenate([[np.uint32(int(keys[0]) >> 32)], step]).astype(np.uint32))
+
+
+def _unpack_short(payload) -> np.ndarray:
+    step = unpack(payload).column("step").to_numpy().astype(np.uint64)
+    return step[0] << np.uint64(32) | np.cumsum(step[1:], dtype=np.uint64)
+
+
+def _send_classes(parts: int):
     def message(block: Block):
         sets = Sets(block)
-        tokens = np.unique(sets.token[sets.prefix()])
-        for part, own in split_by_part(tokens, parts):
-            yield part, pack(token=tokens[own])
         heads = np.flatnonzero(sets.own & (sets.size > 0))
         for part, own in split_by_part(sets.content[heads], parts):
             yield part, pack(content=sets.content[heads[own]], id=sets.ids[heads[own]])
@@ -117,40 +151,53 @@ def _send_tokens(parts: int):
     return message
 
 
-def _shared(blocks, payloads):
-    """Tokens and classes that two or more blocks hold, back to each of them;
-    with a class, the doc_id that it is known by and whether it is this block's."""
-    tokens, classes = [], []
-    for block, payload in zip(blocks, payloads):
-        (tokens if "token" in unpack(payload).column_names else classes).append((block, payload))
-    if tokens:
-        token, owner = joined([p for _, p in tokens], "token")
-        order = np.argsort(token, kind="stable")
-        order = order[repeated_in(token[order])]
-        yield from answer_per_block([b for b, _ in tokens], owner[order],
-                                    lambda i: pack(token=token[order][i]))
-    if classes:
-        own = np.array([b for b, _ in classes])
-        content, doc_id, owner = joined([p for _, p in classes], "content", "id")
-        order = np.lexsort((own[owner], doc_id, content))
-        order = order[repeated_in(content[order])]
-        content, doc_id, owner = content[order], doc_id[order], owner[order]
-        new = np.concatenate([[True], content[1:] != content[:-1]])[:len(content)]
-        known = doc_id[np.flatnonzero(new)][np.cumsum(new) - 1]
-        yield from answer_per_block(own.tolist(), owner, lambda i: pack(
-            content=content[i], id=known[i], mine=new[i]))
-
-
-def _answers(got) -> tuple[np.ndarray, dict[int, tuple[int, bool]]]:
-    tokens, classes = [np.zeros(0, np.uint64)], {}
+def _shared_classes(blocks, payloads):
+    """Classes that two or more blocks hold, back to each of them, with the
+    doc_id that the class is known by and whether it is this block's."""
+    own = np.array(blocks)
+    content, doc_id, owner = joined(payloads, "content", "id")
+    order = np.lexsort((own[owner], doc_id, content))
+    order = order[repeated_in(content[order])]
+    if not len(order):
+        return
+    content, doc_id, owner = content[order], doc_id[order], owner[order]
+    new = np.concatenate([[True], content[1:] != content[:-1]])
+    known = doc_id[np.flatnonzero(new)][np.cumsum(new) - 1]
+    yield from answer_per_block(blocks, owner, lambda i: pack(
+        content=content[i], id=known[i], mine=new[i]))
+
+
+def _classes(got) -> dict[int, tuple[int, bool]]:
+    classes = {}
     for payload in got:
         table = unpack(payload)
-        if "token" in table.column_names:
-            tokens.append(table.column("token").to_numpy())
-        else:
-            for c, i, mine in zip(*(table.column(k).to_pylist() for k in ("content", "id", "mine"))):
-                classes[c] = (i, mine)
-    return np.concatenate(tokens), classes
+        for c, i, mine in zip(*(table.column(k).to_pylist() for k in ("content", "id", "mine"))):
+            classes[c] = (i, mine)
+    return classes
+
+
+def _send_tokens(parts: int):
+    def message(block: Block, got):
+        sets = Sets(block)
+        sets.drop(_classes(got))
+        tokens = np.unique(sets.token[sets.own[sets.doc]])
+        for part, own in split_by_part(tokens, parts):
+            yield part, _pack_short(np.unique(_short(tokens[own], parts)))
+
+    return message
+
+
+def _shared_tokens(blocks, payloads):
+    """Tokens that two or more blocks hold, back to each of them."""
+    arrays = [_unpack_short(p) for p in payloads]
+    keys = np.concatenate(arrays)
+    owner = np.repeat(np.arange(len(arrays), dtype=np.int32), [len(a) for a in arrays])
+    del arrays
+    order = np.argsort(keys, kind="stable")
+    order = order[repeated_in(keys[order])]
+    keys, owner = keys[order], owner[order]
+    # one message holds the tokens of one part
+    yield from answer_per_block(blocks, owner, lambda i: _pack_short(keys[i]))
 
 
 def _sketches(sets: Sets, docs: np.ndarray) -> np.ndarray:
@@ -164,15 +211,11 @@ def _sketches(sets: Sets, docs: np.ndarray) -> np.ndarray:
 
 
 def _send_entries(parts: int):
-    def message(block: Block, got):
+    def message(block: Block, got_classes, got_tokens):
         sets = Sets(block)
-        shared, classes = _answers(got)
-        for c, (_, mine) in classes.items():
-            if not mine:
-                sets.own &= sets.content != np.uint64(c)
-        index = sets.prefix()
-        own = np.sort(sets.token[index])
-        index = index[np.isin(sets.token[index], np.concatenate([shared, own[repeated_in(own)]]))]
+        sets.drop(_classes(got_classes))
+        shared = np.concatenate([*map(_unpack_short, got_tokens), np.zeros(0, np.uint64)])
+        index, place = sets.index_entries(shared, parts)
         docs, number = np.unique(sets.doc[index], return_inverse=True)
         if not len(docs):
             return
@@ -182,7 +225,7 @@ def _send_entries(parts: int):
             cells = sketch[number[k]]
             yield part, pack(token=sets.token[index[k]], id=sets.ids[doc[k]],
                              size=sets.size[doc[k]].astype(np.int32),
-                             place=(index[k] - sets.first[doc[k]]).astype(np.int32),
+                             place=place[k].astype(np.int32),
                              **{f"s{c}": cells[:, c] for c in range(_BITS // 64)})
 
     return message
@@ -351,9 +394,9 @@ def _verify(blocks, payloads):
         yield from ((p, q, 0) for p, q in zip(ids[x[used]].tolist(), ids[y[used]].tolist()))
 
 
-def _rows(block: Block, shared, found) -> pa.RecordBatch:
+def _rows(block: Block, got, found) -> pa.RecordBatch:
     sets = Sets(block)
-    _, classes = _answers(shared)
+    classes = _classes(got)
     component = {x["id"]: (x["component"], x["n"]) for x in found}
     class_id, out, links = [], [], []
     for d, size in enumerate(sets.size.tolist()):
@@ -375,9 +418,12 @@ def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GRO
     doc_id with an equal set) and n_links (links to different sets)."""
     blocks = write_blocks(docs, block_bytes=block_bytes)
     parts = blocks.parts
-    shared = cut_lineage(blocks.exchange(blocks.send(_send_tokens(parts)), _shared), "shared")
-    edges = cut_lineage(blocks.exchange(blocks.send(_send_entries(parts), shared), _candidates,
-                                        "a long, block_a long, b long, block_b long"), "candidates")
+    classes = cut_lineage(blocks.exchange(blocks.send(_send_classes(parts)), _shared_classes),
+                          "shared_classes")
+    tokens = blocks.exchange(blocks.send(_send_tokens(parts), classes), _shared_tokens)
+    edges = cut_lineage(blocks.exchange(blocks.send(_send_entries(parts), classes, tokens),
+                                        _candidates, "a long, block_a long, b long, block_b long"),
+                        "candidates")
     groups = cut_lineage(connected_components(edges), "candidate_groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     homes = edges.select(F.col("a").alias("id"), F.col("block_a").alias("block")).union(
@@ -390,16 +436,15 @@ def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GRO
     counts = verified.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     result = cut_lineage(linked.join(counts, "id"), "components")
     # every block that holds a class asks for the class's component
-    holders = homes.union(blocks.finish(_class_ids, "id long, block long", shared)).distinct()
+    holders = homes.union(blocks.finish(_class_ids, "id long, block long", classes)).distinct()
     found = holders.join(result, "id").select("block", F.struct("id", "component", "n")
                                               .alias("payload"))
     return blocks.finish(_rows, "doc_id long, n_shingles long, component_id long, class_id long, "
-                         "n_links long", shared, found)
+                         "n_links long", classes, found)
 
 
-def _class_ids(block: Block, shared) -> pa.RecordBatch:
-    _, classes = _answers(shared)
-    ids = [i for i, mine in classes.values() if not mine]
+def _class_ids(block: Block, got) -> pa.RecordBatch:
+    ids = [i for i, mine in _classes(got).values() if not mine]
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
                                        pa.array([block.number] * len(ids), pa.int64())],
                                       ["id", "block"])
