@@ -23,6 +23,7 @@ import base64
 import hashlib
 import io
 import zlib
+from collections import deque
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -133,32 +134,32 @@ def parse_record(record: bytes) -> dict:
 # --- plan --------------------------------------------------------------------
 
 
-def _numbered(pages: DataFrame) -> DataFrame:
-    payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
+def _payload() -> Column:
+    return F.coalesce(F.col("html").cast("binary"), F.lit(b""))
+
+
+def _narrow(pages: DataFrame) -> DataFrame:
+    """Records without their payloads, numbered within a page_id."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
-                        F.col("url").cast("string").alias("url"), payload.alias("payload"),
-                        F.sha1(payload).alias("payload_digest"))
-    # rows of one page_id; numbered alike here and in the plan
+                        F.col("url").cast("string").alias("url"),
+                        F.octet_length(_payload()).cast("long").alias("payload_bytes"),
+                        F.sha1(_payload()).alias("payload_digest"))
     same = Window.partitionBy("page_id").orderBy("payload_digest", "url")
-    return rows.withColumn("nth", F.row_number().over(same) - 1)
+    return cut_lineage(rows.withColumn("nth", F.row_number().over(same) - 1).drop("url"),
+                       "warc_records")
 
 
-def plan_records(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def plan_records(rows: DataFrame, cells: "_Cells") -> DataFrame:
     """Per record: page_id, nth, payload_bytes, payload_digest, shard, and for
     revisits the record they refer to."""
-    rows = cut_lineage(_numbered(pages).select(
-        "page_id", "nth", "payload_digest", F.octet_length("payload").cast("long")
-        .alias("payload_bytes")), "warc_records")
     copies = (rows.filter(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest")
               .agg(F.max(F.struct("page_id", "nth")).alias("last"), F.count("*").alias("n"))
               .filter("n > 1").select("payload_digest", F.col("last.page_id").alias("last_id"),
                                       F.col("last.nth").alias("last_nth")))
-    cells = _cells(rows, shard_bytes)
     rows = rows.join(copies, "payload_digest", "left")
     is_copy = F.col("last_nth").isNotNull() & ~(F.col("page_id").eqNullSafe(F.col("last_id"))
                                                 & (F.col("nth") == F.col("last_nth")))
-    return rows.withColumn("cell", _cell(cells.low, cells.width)).join(
-        F.broadcast(cells.table), "cell").select(
+    return cells.with_shard(rows).select(
         "page_id", "nth", "payload_bytes", "payload_digest", "shard",
         F.when(is_copy, F.col("last_id")).alias("refers_to"),
         F.when(is_copy, F.col("last_nth")).alias("refers_nth"))
@@ -170,6 +171,11 @@ class _Cells:
     width: int
     table: DataFrame
 
+    def with_shard(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the shard of their page_id; the table has a bounded size."""
+        return rows.withColumn("cell", _cell(self.low, self.width)).join(
+            F.broadcast(self.table), "cell").drop("cell")
+
 
 def _cell(low: int, width: int) -> Column:
     return F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int"),
@@ -184,7 +190,8 @@ def _cells(rows: DataFrame, shard_bytes: int) -> _Cells:
     sums = rows.groupBy(_cell(low, width).alias("cell")).agg(F.sum("payload_bytes").alias("size"))
     before = F.sum("size").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     shard = F.floor(F.coalesce(before, F.lit(0)) / F.lit(shard_bytes)).cast("int")
-    return _Cells(low, width, sums.select("cell", shard.alias("shard")))
+    return _Cells(low, width, cut_lineage(sums.select("cell", shard.alias("shard")),
+                                          "warc_cells"))
 
 
 # --- writing and reading -----------------------------------------------------
@@ -232,22 +239,29 @@ def write_warc(pages: DataFrame, target: str, shard_bytes: int = SHARD_BYTES,
     ``target`` (a URI that all executors reach); returns its manifest."""
     spark = pages.sparkSession
     ship_package(spark)
-    plan = cut_lineage(plan_records(pages, shard_bytes), "warc_plan").withColumnRenamed(
-        "page_id", "plan_id").withColumnRenamed("nth", "plan_nth").drop("payload_digest")
-    shards = (plan.agg(F.max("shard")).first()[0] or 0) + 1
-    rows = _numbered(pages)
-    rows = rows.join(plan, F.col("page_id").eqNullSafe(F.col("plan_id"))
-                     & (F.col("nth") == F.col("plan_nth")))
-    # the payload of a revisit isn't written
-    rows = rows.withColumn("payload", F.when(F.col("refers_nth").isNull(), F.col("payload")))
-    rows = rows.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "nth").select(
-        "shard", "page_id", "nth", "url", "payload", "payload_bytes", "payload_digest",
-        "refers_to", "refers_nth")
+    narrow = _narrow(pages)
+    cells = _cells(narrow, shard_bytes)
+    plan = plan_records(narrow, cells)
+    shards = (cells.table.agg(F.max("shard")).first()[0] or 0) + 1
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
+                        F.col("url").cast("string").alias("url"), _payload().alias("payload"),
+                        F.sha1(_payload()).alias("payload_digest"))
+    # Payloads move once: the plan comes to them, each decision before its
+    # record, both in the order in which records of a page_id are numbered.
+    both = plan.withColumn("kind", F.lit(0)).unionByName(
+        cells.with_shard(rows).withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    order = ["shard", "page_id", "kind", "nth", "payload_digest", "url"]
+    both = both.repartition(shards, "shard").sortWithinPartitions(*order).select(
+        *order, "payload", "payload_bytes", "refers_to", "refers_nth")
 
     def write(batches):
-        now = None
+        now, decided = None, deque()
         for batch in batches:
             for row in batch.to_pylist():
+                if row["kind"] == 0:
+                    decided.append(row)
+                    continue
+                row = decided.popleft() | {"url": row["url"], "payload": row["payload"]}
                 if now is None or now.shard != row["shard"]:
                     if now is not None and (done := now.close()):
                         yield _manifest_batch(done)
@@ -269,7 +283,7 @@ def write_warc(pages: DataFrame, target: str, shard_bytes: int = SHARD_BYTES,
                     raise OSError(f"{end} is not the file that was written")
             yield batch
 
-    written = cut_lineage(rows.mapInArrow(write, _MANIFEST), "warc_written")
+    written = cut_lineage(both.mapInArrow(write, _MANIFEST), "warc_written")
     written.mapInArrow(commit, _MANIFEST).write.parquet(f"{target}/manifest")
     return spark.read.parquet(f"{target}/manifest")
 
