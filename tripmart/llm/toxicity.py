@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -100,7 +101,7 @@ class ChainModel:
 
     def rows(self, texts) -> list[np.ndarray]:
         column = self.columns
-        return [np.array([column[f] for f in self.names & features_of(t)], np.int64)
+        return [np.unique(np.array([column[f] for f in self.names & features_of(t)], np.int64))
                 for t in texts]
 
     def predict(self, texts) -> np.ndarray:
@@ -115,47 +116,51 @@ class ChainModel:
         return done
 
 
-def _screen(found: list[set[str]], y: np.ndarray) -> dict[str, int]:
-    """The FEATURES features that differ most between the two labels (by the
-    chi-squared of their counts); ties by name."""
-    total: dict[str, int] = {}
-    hits: dict[str, int] = {}
-    for names, label in zip(found, y.tolist()):
-        for f in names:
-            total[f] = total.get(f, 0) + 1
-        if label:
-            for f in names:
-                hits[f] = hits.get(f, 0) + 1
-    names = sorted(f for f, n in total.items() if n >= LEAST_DOCUMENTS)
-    n = np.array([total[f] for f in names], float)
-    k = np.array([hits.get(f, 0) for f in names], float)
+def _hashes(found: set[str]) -> np.ndarray:
+    return np.unique(np.fromiter((crc32(f.encode()) for f in found), np.uint32, len(found)))
+
+
+def _screen(found: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Hashes of the FEATURES features that differ most between the two labels
+    (by the chi-squared of their counts); ties by hash."""
+    every = np.concatenate(found)
+    names, number = np.unique(every, return_inverse=True)
+    n = np.bincount(number).astype(float)
+    k = np.bincount(number, np.repeat(y, [len(f) for f in found]))
     base = y.mean()
     score = (k - n * base) ** 2 / np.maximum(n * base * (1 - base) * (1 - n / (len(y) + 1)), 1e-9)
+    score[n < LEAST_DOCUMENTS] = -1
     best = np.argsort(-score, kind="stable")[:FEATURES]
-    return {names[i]: j for j, i in enumerate(sorted(best.tolist()))}
+    return np.sort(names[best[score[best] >= 0]])
 
 
 def fit_chain(texts: list[str | None], toxic: list[int], folds: int = FOLDS) -> ChainModel:
-    """Fit the chain to labelled texts, in the order given."""
+    """Fit the chain to labelled texts, in the order given. Features are held as
+    hashes until the screening has picked those that need names."""
     y = np.array(toxic, float)
     if not len(y) or y.min() == y.max():
         return ChainModel()
-    found = [features_of(t) for t in texts]
-    model = ChainModel(_screen(found, y))
-    rows = [np.array(sorted(model.columns[f] for f in model.names & some), np.int64)
-            for some in found]
+    picked = _screen([_hashes(features_of(t)) for t in texts], y)
+    column = {int(h): j for j, h in enumerate(picked)}
+    columns: dict[str, int] = {}
+    goals = {name: np.zeros(len(y)) for name in LEXICON}
+    for i, text in enumerate(texts):
+        found = features_of(text)
+        columns.update({f: column[h] for f in found if (h := crc32(f.encode())) in column})
+        for name, words in LEXICON.items():
+            goals[name][i] = float(toxic[i] and bool(words & found))
+    model = ChainModel(columns)
+    rows = model.rows(texts)
     fold = np.arange(len(y)) % folds
     earlier = np.zeros((len(y), 0))
     for name in CATEGORIES:
-        goal = y if name not in LEXICON else np.array(
-            [float(t and bool(LEXICON[name] & some)) for t, some in zip(toxic, found)])
+        goal = goals.get(name, y)
         held = np.zeros(len(y))
         for f in range(folds):
             train, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            part = fit_linear([rows[i] for i in train], earlier[train], goal[train],
-                              len(model.columns))
+            part = fit_linear([rows[i] for i in train], earlier[train], goal[train], len(picked))
             held[test] = part.probability([rows[i] for i in test], earlier[test])
-        model.models.append(fit_linear(rows, earlier, goal, len(model.columns)))
+        model.models.append(fit_linear(rows, earlier, goal, len(picked)))
         earlier = np.column_stack([earlier, held])
     return model
 
