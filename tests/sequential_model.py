@@ -13,32 +13,42 @@ def _same(a, b):
 
 
 def apply_upserts(dim: list[dict], changes: list[dict], user: str):
-    """Returns (dim, results, errors) with the batch rule of ``upsert_zone_scd2``:
-    a request at or before an earlier time of its location is rejected."""
+    """Returns (dim, results, errors). An unchanged call is answered whatever its
+    time; a change at or before an earlier time of its location is refused (the
+    batch rule of ``upsert_zone_scd2``), as are calls that share a seq."""
     dim = [dict(r) for r in dim]
     next_sk = max([r["zone_dim_sk"] for r in dim], default=0) + 1
     latest_time: dict[int, object] = {}
     results, errors = [], []
-    for ch in sorted(changes, key=lambda c: c["seq"]):
+    valid = []
+    for ch in changes:
+        if ch["location_id"] is None or ch["changed_at"] is None or ch["seq"] is None:
+            errors.append((ch["seq"], ch["location_id"]))
+        else:
+            valid.append(ch)
+    uses: dict = {}
+    for ch in valid:
+        uses[ch["location_id"], ch["seq"]] = uses.get((ch["location_id"], ch["seq"]), 0) + 1
+    for ch in sorted(valid, key=lambda c: (c["location_id"], c["seq"])):
         loc = ch["location_id"]
-        if loc is None or ch["changed_at"] is None or ch["seq"] is None:
+        if uses[loc, ch["seq"]] > 1:
             errors.append((ch["seq"], loc))
             continue
         cur = [r for r in dim if r["location_id"] == loc and r["is_current"]]
         cur = max(cur, key=lambda r: (r["version_number"], r["zone_dim_sk"])) if cur else None
         bound = [t for t in (latest_time.get(loc), cur["effective_from"] if cur else None)
                  if t is not None]
-        prev_max = max(bound) if bound else None
+        late = bool(bound) and ch["changed_at"] <= max(bound)
         latest_time[loc] = max([t for t in (latest_time.get(loc), ch["changed_at"])
                                 if t is not None])
-        if prev_max is not None and ch["changed_at"] <= prev_max:
-            errors.append((ch["seq"], loc))
-            continue
         if cur is not None and all(_same(cur[a], ch[a]) for a in ("borough", "zone",
                                                                   "service_zone")):
             results.append((ch["seq"], loc, cur["zone_dim_sk"], cur["version_number"],
                             "unchanged"))
             continue
+        if late:
+            errors.append((ch["seq"], loc))
+            continue
         version = cur["version_number"] + 1 if cur else 1
         if cur is not None:
             cur["effective_to"] = ch["changed_at"]

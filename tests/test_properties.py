@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripmart.functions import duration_seconds, rate6
-from tripmart.operators.enrich import fits_broadcast_each
+from tripmart.operators.enrich import fits_broadcast
 from tripmart.sources.sinks import latest_snapshot, list_snapshots, publish_snapshot
 
 BASE = dt.datetime(2024, 1, 1)
@@ -44,16 +44,19 @@ def test_incomplete_snapshot_is_ignored(spark, tmp_path):
     root = str(tmp_path / "t")
     path, rows = publish_snapshot(spark.range(5), root)
     assert rows == 5 and path.endswith("snapshot=1")
-    # A failed writer leaves a directory without _SUCCESS: not visible, id skipped.
+    # A failed writer leaves a directory without its marker: not visible, id skipped.
     (tmp_path / "t" / "snapshot=2").mkdir()
     assert list_snapshots(spark, root) == [1]
     path, _ = publish_snapshot(spark.range(3), root)
     assert path.endswith("snapshot=3") and latest_snapshot(spark, root) == path
 
 
-def test_size_checks_in_one_job(spark):
+def test_size_check_counts_rows_and_bytes(spark):
     small, big = spark.range(3), spark.range(50)
-    assert fits_broadcast_each([small, big, spark.range(0)], max_rows=10) == [True, False, True]
+    assert [fits_broadcast(df, max_rows=10) for df in (small, big, spark.range(0))] == [
+        True, False, True]
+    wide = spark.createDataFrame([("x" * 1000,)] * 5, "t string")
+    assert fits_broadcast(wide, 10, max_bytes=6000) and not fits_broadcast(wide, 10, max_bytes=4000)
 
 
 def test_range_lookup_with_many_ranges(spark):

@@ -70,7 +70,7 @@ def test_upsert_matches_sequential_model(spark, seed, rows_per_chunk):
     changes = random_changes(rng, 160, 6, hot=2)
     dim = spark.createDataFrame(dim_rows, ZONE_DIM) if dim_rows else empty_dim(spark)
     ch = spark.createDataFrame(changes, UPSERT_REQUESTS)
-    res = upsert_zone_scd2(dim, ch, user="batch", rows_per_chunk=rows_per_chunk, max_chunks=64)
+    res = upsert_zone_scd2(dim, ch, user="batch", rows_per_chunk=rows_per_chunk)
     exp_dim, exp_results, exp_errors = apply_upserts(dim_rows, changes, "batch")
     got_dim = rows(res.dim)
     assert sorted(map(key, got_dim)) == sorted(map(key, exp_dim))
@@ -108,7 +108,7 @@ def test_approve_and_rollback_match_model(spark):
                               reason=f"rb{loc}"))
     rollbacks.append(dict(rollbacks[0]))
     rb = rollback_versions(conform(dim), spark.createDataFrame(rollbacks, ROLLBACK_REQUESTS),
-                           as_of, rows_per_chunk=3, max_chunks=16)
+                           as_of, rows_per_chunk=3)
     exp_dim, exp_err = apply_rollbacks(dim_rows, rollbacks, as_of)
     assert sorted(map(key, rows(rb.dim))) == sorted(map(key, exp_dim))
     got_err = sorted(r["location_id"] for r in rows(rb.errors)
@@ -140,12 +140,12 @@ def test_upsert_edge_cases(spark):
     assert out[3] == (6, 2, "unchanged")
     assert out[4] == (7, 3, "new_version")        # back to the original value
     assert 5 not in out                           # same time as request 4
-    assert out[6] == (8, 1, "created")
-    assert out[7] == (9, 4, "new_version")
+    assert out[6] == (9, 1, "created")           # keys follow (location, seq)
+    assert out[7] == (8, 4, "new_version")
     assert [r["seq"] for r in rows(res.errors)] == [5]
     dim = {r["zone_dim_sk"]: r for r in rows(res.dim)}
     assert dim[5]["is_current"] is False and dim[5]["effective_to"] == t + dt.timedelta(seconds=2)
     assert dim[6]["effective_to"] == t + dt.timedelta(seconds=4)
-    assert dim[9]["is_current"] and dim[9]["effective_to"] is None
-    assert dim[8]["created_by"] == "batch" and dim[8]["record_status"] == "DRAFT"
+    assert dim[8]["is_current"] and dim[8]["effective_to"] is None
+    assert dim[9]["created_by"] == "batch" and dim[9]["record_status"] == "DRAFT"
     assert sum(r["is_current"] for r in dim.values()) == 2

@@ -2,6 +2,7 @@
 so they stay inside whole-stage code generation."""
 
 from tripmart.functions.exprs import (  # noqa: F401
+    as_table,
     author_or_user,
     bool_to_int,
     duration_seconds,

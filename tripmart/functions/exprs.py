@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MICROS_PER_SECOND = 1_000_000
 
@@ -31,6 +32,20 @@ def to_int(col) -> Column:
     return _c(col).cast("int")
 
 
+def as_table(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, in its order and types, as a typed table takes
+    them in: fractions go to the nearest integer (half to even), and under ANSI
+    mode what does not fit its type raises."""
+    cols = []
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.IntegralType) and isinstance(
+                df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+            value = F.rint(value)
+        cols.append(value.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def duration_seconds(pickup, dropoff) -> Column:
     """Whole seconds from ``pickup`` to ``dropoff``, rounded half away from
     zero (0.4 -> 0, 1.5 -> 2, 2.5 -> 3, -2.5 -> -3); NULL if either is NULL.

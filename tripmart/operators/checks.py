@@ -24,57 +24,51 @@ NOT_NULL_COLUMNS = ["location_id", "version_number", "effective_from", "is_curre
 VIOLATION_COLUMNS = ["rule", "location_id", "zone_dim_sk", "version_number", "detail"]
 
 
-def _row(rule: str, detail: Column, loc=None, sk=None, ver=None) -> list[Column]:
-    def pick(c, name, dtype):
-        return (F.col(c) if c else F.lit(None)).cast(dtype).alias(name)
-    return [F.lit(rule).alias("rule"), pick(loc, "location_id", "int"),
-            pick(sk, "zone_dim_sk", "long"), pick(ver, "version_number", "int"),
-            detail.alias("detail")]
+def _violation(rule: str, broken: Column, detail: Column, loc=True, sk=True,
+               ver=True) -> Column:
+    """A violation as a struct, or NULL where the rule holds."""
+    def pick(use, name, dtype):
+        return (F.col(name) if use else F.lit(None)).cast(dtype).alias(name)
+
+    return F.when(broken, F.struct(F.lit(rule).alias("rule"), pick(loc, "location_id", "int"),
+                                   pick(sk, "zone_dim_sk", "long"),
+                                   pick(ver, "version_number", "int"), detail.alias("detail")))
+
+
+def _violations(rows: DataFrame, found: list[Column]) -> DataFrame:
+    return rows.select(F.inline(F.filter(F.array(*found), lambda v: v.isNotNull())))
 
 
 def dim_checks(dim: DataFrame) -> DataFrame:
-    d = dim
-    out = []
-    # Primary key present and unique.
-    out.append(d.filter(F.col("zone_dim_sk").isNull())
-                .select(*_row("C1", F.lit("zone_dim_sk is NULL"), "location_id", None,
-                              "version_number")))
-    out.append(d.filter(F.col("zone_dim_sk").isNotNull()).groupBy("zone_dim_sk")
-                .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*_row("C1", F.lit("duplicate zone_dim_sk"), None, "zone_dim_sk")))
-    # NOT NULL columns.
-    for c in NOT_NULL_COLUMNS:
-        out.append(d.filter(F.col(c).isNull())
-                    .select(*_row("C2", F.lit(f"{c} is NULL"), "location_id", "zone_dim_sk",
-                                  "version_number")))
-    # Legal status (a NULL status is C2's concern, as for a CHECK).
-    out.append(d.filter(~F.col("record_status").isin(*ZONE_STATUSES))
-                .select(*_row("C3", F.concat(F.lit("record_status "), F.col("record_status")),
-                              "location_id", "zone_dim_sk", "version_number")))
-    # C4: a closed window must end after it starts.
-    out.append(d.filter(F.col("effective_to") <= F.col("effective_from"))
-                .select(*_row("C4", F.lit("effective_to not after effective_from"),
-                              "location_id", "zone_dim_sk", "version_number")))
-    # At most one current row per location.
-    out.append(d.filter(F.col("is_current")).groupBy("location_id")
-                .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*_row("C5", F.lit("more than one current row"), "location_id")))
-    # (location, version) unique.
-    out.append(d.groupBy("location_id", "version_number")
-                .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*_row("C6", F.lit("duplicate version_number"), "location_id", None,
-                              "version_number")))
-    # Windows of a location do not overlap (in start order).
-    base = d.select("location_id", "zone_dim_sk", "version_number", "effective_from",
-                    "effective_to")
+    """All violations, from one pass over the rows (C2-C4 and C1's NULLs), an
+    aggregate for each key (C1, C5, C6) and one ordered scan (C7)."""
+    # --- per row
+    per_row = [_violation("C1", F.col("zone_dim_sk").isNull(), F.lit("zone_dim_sk is NULL"),
+                          sk=False)]
+    per_row += [_violation("C2", F.col(c).isNull(), F.lit(f"{c} is NULL"))
+                for c in NOT_NULL_COLUMNS]
+    # a NULL status is C2's concern, as for a CHECK
+    per_row.append(_violation("C3", ~F.col("record_status").isin(*ZONE_STATUSES),
+                              F.concat(F.lit("record_status "), F.col("record_status"))))
+    per_row.append(_violation("C4", F.col("effective_to") <= F.col("effective_from"),
+                              F.lit("effective_to not after effective_from")))
+    out = _violations(dim, per_row)
+    # --- per key
+    for keys, rows, rule, detail in (
+            (["zone_dim_sk"], F.col("zone_dim_sk").isNotNull(), "C1", "duplicate zone_dim_sk"),
+            (["location_id"], F.col("is_current"), "C5", "more than one current row"),
+            (["location_id", "version_number"], F.lit(True), "C6", "duplicate version_number")):
+        groups = dim.filter(rows).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        out = out.unionByName(_violations(groups, [_violation(
+            rule, F.col("_n") > 1, F.lit(detail), *[k in keys for k in (
+                "location_id", "zone_dim_sk", "version_number")])]))
+    # --- in start order: windows of a location do not overlap (a NULL start is
+    # C2's concern)
+    base = dim.filter(F.col("effective_from").isNotNull()).select("location_id", "zone_dim_sk", "version_number", "effective_from",
+                      "effective_to")
     nxt = next_in_key(base, "location_id", ["effective_from", "version_number", "zone_dim_sk"],
                       "effective_from", "_next_from")
     overlap = F.col("_next_from").isNotNull() & (
         F.col("effective_to").isNull() | (F.col("effective_to") > F.col("_next_from")))
-    out.append(nxt.filter(overlap)
-                  .select(*_row("C7", F.lit("window overlaps the next version"), "location_id",
-                                "zone_dim_sk", "version_number")))
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result
+    return out.unionByName(_violations(nxt, [_violation(
+        "C7", overlap, F.lit("window overlaps the next version"))]))

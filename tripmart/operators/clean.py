@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions import duration_seconds, null_if_negative, to_int
 
-# Staging columns the fact reads (20 of 27); the six pu_/do_ names of staging
+# --- fixed values: staging columns the fact reads (20 of 27); the six pu_/do_ names of staging
 # are deliberately not read: enrichment comes from the masters only.
 SOURCE_COLUMNS = [
     "vendorid", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
@@ -32,7 +32,7 @@ def clean_trips(staging: DataFrame, null_negative_distance: bool = True) -> Data
         F.col("tpep_dropoff_datetime").alias("dropoff_ts"),
         duration_seconds("tpep_pickup_datetime", "tpep_dropoff_datetime")
         .alias("trip_duration_seconds"),
-        "passenger_count",
+        F.col("passenger_count"),
         distance.alias("trip_distance"),
         to_int("ratecodeid").alias("ratecode_id"),
         "store_and_fwd_flag",

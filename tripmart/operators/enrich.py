@@ -1,7 +1,7 @@
 """Enrich trips from the deduplicated masters (left joins).
 
-A master side is broadcast only after its row count is checked against a
-bound; above the bound the join is a shuffle join, which adaptive execution
+A master side is broadcast only after its rows and bytes are checked against
+bounds; above the bound the join is a shuffle join, which adaptive execution
 splits when a trip key is hot. Each master has one row per key, so no join
 fans out: trips in = trips out.
 """
@@ -10,29 +10,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side (rows) that is broadcast. At ~100 bytes a row this is a few
-# tens of MB on every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 250_000
-
+from tripmart.session import cut_lineage
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows, so the check stays cheap on a big input."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Largest side that is broadcast: rows, and bytes of its text columns.
+DEFAULT_BROADCAST_MAX_ROWS = 250_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
 
 
-def fits_broadcast_each(dfs: list[DataFrame],
-                        max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> list[bool]:
-    """``fits_broadcast`` for several inputs in one job (one limited count
-    per input, unioned; at most ``len(dfs)`` rows reach the driver)."""
-    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(dfs)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    counts = {row["_i"]: row["n"] for row in
-              union.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and ``max_bytes`` of text.
+    Reads at most ``max_rows + 1`` rows, so the check stays cheap on a big
+    input."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = F.lit(0)
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum(size.cast("long")).alias("size")).first()
+    return row["n"] <= max_rows and (row["size"] or 0) <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -47,9 +45,10 @@ def enrich_trips(clean: DataFrame, rates: DataFrame, zones: DataFrame,
     ``zones``: (location_id, borough, zone, service_zone), one row per location.
     The zone side is used twice; Spark reuses its broadcast.
     """
-    rate_fits, zone_fits = fits_broadcast_each([rates, zones], max_broadcast_rows)
-    r = (F.broadcast(rates) if rate_fits else rates).alias("r")
-    z = F.broadcast(zones) if zone_fits else zones
+    # The deduplicated masters are made once: counted, measured and joined
+    # from the written copy.
+    r = maybe_broadcast(cut_lineage(rates, "rates"), max_broadcast_rows).alias("r")
+    z = maybe_broadcast(cut_lineage(zones, "zones"), max_broadcast_rows)
     # The same zone plan on both sides, renamed after the join, so that both
     # joins share one broadcast (ReusedExchange).
     pu, do = z.alias("pu"), z.alias("do")

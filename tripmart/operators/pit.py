@@ -1,96 +1,75 @@
 """Point-in-time join of facts to the versioned zone dimension.
 
-A fact row matches the version of its location whose half-open window
-[effective_from, effective_to) contains the fact time; an open end is NULL.
-Within the checked bound the dimension is broadcast and the join is an
-equi-join on the location with the window as a residual condition. Beyond
-it, a sort-merge join would compare every fact of a hot location with every
-version of that location; instead an as-of scan runs (one shuffle of facts
-and versions by location and time range, hot locations split over ranges).
-Windows of one location must not overlap (rule C7 of ``dim_checks``); then
-both strategies give the same single match per fact.
+A fact row matches every version of its location whose half-open window
+[effective_from, effective_to) contains the fact time; an open end is NULL. A
+fact without a match (before the first version, in a gap, or without location
+or time) stays once, with NULLs. Windows of a location that overlap (rule C7
+of ``dim_checks``) give a fact as many rows as versions were in effect.
+
+Both plans compute exactly that. Within the checked bound the dimension is
+broadcast and the join is an equi-join on the location with the window as a
+residual condition. Beyond it, time is cut into ranges: a version goes to each
+range that its window meets and in which its location has facts, and the join
+is on (location, range), so neither a hot location nor a long history meets in
+one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
-from tripmart.operators.sequence import (
-    CHUNK,
-    DEFAULT_MAX_CHUNKS,
-    DEFAULT_ROWS_PER_CHUNK,
-    profile_order,
-)
+from tripmart.operators.sequence import CHUNK, DEFAULT_ROWS_PER_CHUNK, profile_order
+from tripmart.session import cut_lineage
 
 VERSION_COLUMNS = ["zone_dim_sk", "version_number", "borough", "zone", "service_zone"]
 
 
 def zone_as_of(facts: DataFrame, dim: DataFrame, key: str, at: str, prefix: str = "",
                max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-               strategy: str = "auto", rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-               max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
-    """Add the dimension version in effect at ``facts[at]`` for ``facts[key]``.
+               strategy: str = "auto",
+               rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """Add the dimension versions in effect at ``facts[at]`` for ``facts[key]``.
 
     Output columns are the fact columns plus ``prefix`` + zone_dim_sk,
-    version_number, borough, zone, service_zone (NULL when no version was in
-    effect: before the first version, or in a gap).
+    version_number, borough, zone, service_zone.
 
     ``strategy``: "broadcast" (hash join, dimension on every executor),
-    "scan" (as-of scan, no broadcast, hot keys split), or "auto": broadcast
-    when the dimension is within ``max_broadcast_rows``, else scan.
+    "ranges" (join by location and time range), or "auto": broadcast when the
+    dimension is within ``max_broadcast_rows``, else ranges. The answer is the
+    same.
     """
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(dim, max_broadcast_rows) else "scan"
-    if strategy == "scan":
-        return _asof_scan(facts, dim, key, at, prefix, rows_per_chunk, max_chunks)
-    d = F.broadcast(dim.select(F.col("location_id").alias("_pit_key"),
-                               F.col("effective_from").alias("_pit_from"),
-                               F.col("effective_to").alias("_pit_to"),
-                               *[F.col(c).alias(prefix + c) for c in VERSION_COLUMNS]))
+        strategy = "broadcast" if fits_broadcast(dim, max_broadcast_rows) else "ranges"
+    versions = dim.select(F.col("location_id").alias("_pit_key"),
+                          F.col("effective_from").alias("_pit_from"),
+                          F.col("effective_to").alias("_pit_to"),
+                          *[F.col(c).alias(prefix + c) for c in VERSION_COLUMNS])
     t = F.col(at)
-    cond = ((F.col(key) == F.col("_pit_key")) & (F.col("_pit_from") <= t)
-            & (F.col("_pit_to").isNull() | (t < F.col("_pit_to"))))
-    return facts.join(d, cond, "left").drop("_pit_key", "_pit_from", "_pit_to")
-
+    in_effect = ((F.col("_pit_from") <= t)
+                 & (F.col("_pit_to").isNull() | (t < F.col("_pit_to"))))
+    extra = ["_pit_key", "_pit_from", "_pit_to"]
+    if strategy == "broadcast":
+        cond = (F.col(key) == F.col("_pit_key")) & in_effect
+        return facts.join(F.broadcast(versions), cond, "left").drop(*extra)
 
-def _asof_scan(facts: DataFrame, dim: DataFrame, key: str, at: str, prefix: str,
-               rows_per_chunk: int, max_chunks: int) -> DataFrame:
-    """As-of join as an ordered scan: facts and version starts in one stream
-    per location, ordered by time with a version before a fact at the same
-    instant; each fact takes the last version at or before it and keeps it if
-    the fact is before that version's end. Two levels, as in
-    ``operators.sequence``, so a hot location is spread over time ranges.
-    """
-    fact_cols = facts.columns
-    ver = F.struct(F.col("effective_from").alias("t"), F.col("version_number").alias("v"),
-                   F.col("effective_to").alias("to"),
-                   *[F.col(c).alias(c) for c in VERSION_COLUMNS])
-    versions = (dim.filter(F.col("location_id").isNotNull() & F.col("effective_from").isNotNull())
-                .select(F.col("location_id").alias("_k"), F.col("effective_from").alias("_t"),
-                        F.lit(0).alias("_kind"), ver.alias("_ver")))
-    tagged = facts.select(F.col(key).alias("_k"), F.col(at).alias("_t"), F.lit(1).alias("_kind"),
-                          F.struct(*[F.col(f"`{c}`") for c in fact_cols]).alias("_fact"))
-    stream = tagged.unionByName(versions, allowMissingColumns=True)
-    stream = profile_order(stream, "_t", rows_per_chunk, max_chunks).assign(stream, CHUNK)
-    order = [F.col("_t").asc_nulls_first(), F.col("_kind"), F.col("_ver.v")]
-    w = Window.partitionBy("_k", CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    stream = stream.withColumn("_local", F.last("_ver", True).over(w))
-    last_in_chunk = (stream.filter(F.col("_kind") == 0).groupBy("_k", CHUNK)
-                     .agg(F.max("_ver").alias("_chunk_last")))
-    wk = Window.partitionBy("_k").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    facts_only = stream.filter(F.col("_kind") == 1)
-    # Every chunk that holds a fact also needs the versions of earlier chunks.
-    needs = facts_only.select("_k", CHUNK).distinct()
-    chunk_keys = needs.unionByName(last_in_chunk.select("_k", CHUNK)).distinct()
-    prior = (chunk_keys.join(last_in_chunk, ["_k", CHUNK], "left")
-             .select("_k", CHUNK, F.last("_chunk_last", True).over(wk).alias("_before")))
-    j = facts_only.join(prior, ["_k", CHUNK], "left")
-    chosen = F.coalesce("_local", "_before")
-    t = F.col("_t")
-    valid = (F.col("_k").isNotNull() & t.isNotNull() & chosen.isNotNull()
-             & (chosen.getField("to").isNull() | (t < chosen.getField("to"))))
-    picked = F.when(valid, chosen)
-    return j.select(*[F.col("_fact").getField(c).alias(c) for c in fact_cols],
-                    *[picked.getField(c).alias(prefix + c) for c in VERSION_COLUMNS])
+    chunks = profile_order(facts, at, rows_per_chunk)
+    dated = F.col(key).isNotNull() & t.isNotNull()
+    ranged = chunks.assign(facts.filter(dated), CHUNK)
+    # one row per location and range that has facts
+    cells = cut_lineage(ranged.select(F.col(key).alias("_pit_key"), CHUNK).distinct(), "pit_cells")
+    spans = versions.filter(F.col("_pit_from").isNotNull()
+                            & (F.col("_pit_to").isNull() | (F.col("_pit_from") < F.col("_pit_to"))))
+    spans = chunks.assign(spans, "_pit_low", "_pit_from")
+    spans = chunks.assign(spans, "_pit_high", "_pit_to").withColumn(
+        "_pit_high", F.when(F.col("_pit_to").isNotNull(), F.col("_pit_high")))
+    clipped = spans.join(cells, "_pit_key").filter(
+        (F.col(CHUNK) >= F.col("_pit_low"))
+        & (F.col("_pit_high").isNull() | (F.col(CHUNK) <= F.col("_pit_high"))))
+    clipped = clipped.withColumnRenamed(CHUNK, "_pit_chunk").drop("_pit_low", "_pit_high")
+    cond = ((F.col(key) == F.col("_pit_key")) & (F.col(CHUNK) == F.col("_pit_chunk")) & in_effect)
+    matched = ranged.join(clipped, cond, "left").drop(*extra, "_pit_chunk", CHUNK)
+    # without a location or a time there is nothing to look for
+    rest = facts.filter(~dated)
+    return matched.unionByName(rest, allowMissingColumns=True)

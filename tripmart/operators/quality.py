@@ -12,9 +12,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions import fill_rate, violation_count
+from tripmart.functions import fill_rate, ntz, violation_count
 from tripmart.schemas import METRIC_DECIMAL
 
+# --- fixed values: metric columns in report order --------------------------------
 METRIC_COLUMNS = [
     "total_rows",
     "pickup_ts_fill_rate", "dropoff_ts_fill_rate", "total_amount_fill_rate",
@@ -98,7 +99,7 @@ def dq_tests(metrics: DataFrame, run_ts, run_by: str | None = None) -> DataFrame
     ``run_ts`` is the run clock (one value for the whole run); ``run_by``
     defaults to the session user.
     """
-    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
+    ts = run_ts if isinstance(run_ts, Column) else ntz(run_ts).cast("timestamp")
     user = F.lit(run_by) if run_by is not None else F.current_user()
     return (dq_test_rows(metrics)
             .select(F.expr("uuid()").alias("test_run_id"), "test_name", "passed",

@@ -25,17 +25,18 @@ from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS
 from tripmart.operators.latest import seed_candidates, top1_per_key
 from tripmart.operators.sequence import (
     CHUNK,
-    DEFAULT_MAX_CHUNKS,
     DEFAULT_ROWS_PER_CHUNK,
     assign_surrogate_keys,
     profile_order,
+    total_before,
 )
 from tripmart.schemas import HISTORY_COLUMNS, ZONE_DIM, ZONE_DIM_COLUMNS
 from tripmart.session import cut_lineage
 
 ATTRS = ["borough", "zone", "service_zone"]
 
-# --- fixed values: statuses, seed and rollback labels --------------------------
+# --- fixed values: statuses, seed and rollback labels; the error texts for a
+# missing current record and a missing target version below are fixed as well -----
 STATUS_DRAFT = "DRAFT"
 STATUS_APPROVED = "APPROVED"
 STATUS_ROLLED_BACK = "ROLLED_BACK"
@@ -84,8 +85,7 @@ def max_surrogate_key(dim: DataFrame) -> int:
 
 # ----------------------------------------------------------------------------- G1
 def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
-                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Version-1 rows from the best master row of each location, skipping
     locations that already have a version 1. Returns the new snapshot.
 
@@ -97,7 +97,7 @@ def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
     have_v1 = dim.filter(F.col("version_number") == 1).select("location_id")
     fresh = cand.join(have_v1, "location_id", "left_anti")
     # Chunks from the master's keys: a superset of the new rows' keys.
-    chunks = profile_order(zone_master, "location_id", rows_per_chunk, max_chunks)
+    chunks = profile_order(zone_master, "location_id", rows_per_chunk)
     keyed = assign_surrogate_keys(fresh, "location_id", max_surrogate_key(dim), "zone_dim_sk",
                                   chunk=chunks)
     rows = keyed.select(
@@ -127,29 +127,32 @@ def _current_rows(dim: DataFrame) -> DataFrame:
 
 def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None,
                      rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                     max_chunks: int = DEFAULT_MAX_CHUNKS,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> ChangeResult:
     """Apply upsert requests in ``seq`` order within each location.
 
     Per request, as the reference's procedure: no current row -> version 1;
     attributes equal to the current row (NULL = '') -> no new row, the
-    current key and version are returned; else the current row is closed at
-    ``changed_at`` and a new current DRAFT row with version + 1 is added.
-
-    Batch rule (ours): ``changed_at`` must rise with ``seq`` within a location
-    and be later than the current row's start; a request at or before any
-    earlier time of its location is rejected and takes no part in the
-    comparisons. Requests without location or time are rejected too.
+    current key and version are returned, whatever the request's time; else
+    the current row is closed at ``changed_at`` and a new current DRAFT row
+    with version + 1 is added. New keys follow the order of (location, seq).
+
+    Batch rule (ours): a *change* must be later than the current row's start
+    and than every earlier time of its location, else it is refused. (To
+    refuse only what is not later than the row it replaces would make each
+    request depend on which ones before it were refused, which no ordered
+    scan over ranges of a location can express.) Also refused: requests
+    without location, seq or time, and all requests of a location that share
+    a seq.
     """
     req_cols = ["seq", "location_id", *ATTRS, "created_by", "change_reason",
                 "change_source", "changed_at"]
     req = changes.select(*req_cols)
-    bad_input = req.filter(F.col("location_id").isNull() | F.col("changed_at").isNull()
-                           | F.col("seq").isNull())
-    req = req.filter(F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
-                     & F.col("seq").isNotNull())
+    given = (F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
+             & F.col("seq").isNotNull())
+    bad_input = req.filter(~given)
+    req = req.filter(given)
 
-    chunks = profile_order(req, "seq", rows_per_chunk, max_chunks, key="location_id",
+    chunks = profile_order(req, "seq", rows_per_chunk, key="location_id",
                            keys_if_over=max_broadcast_rows)
     # Proven bounds from the profile job: the touched-key list has
     # ``chunks.keys`` rows, every (location, range) summary at most
@@ -165,120 +168,121 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     base = _current_rows(current).select(
         "location_id",
         F.col("zone_dim_sk").alias("_b_sk"), F.col("version_number").alias("_b_ver"),
-        F.col("effective_from").alias("_b_from"),
-        *[F.col(a).alias(f"_b_{a}") for a in ATTRS])
+        F.col("effective_from").alias("_b_from"), F.struct(*ATTRS).alias("_b_attrs"))
 
-    r = chunks.assign(req, CHUNK)
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
     wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
     wk_desc = Window.partitionBy("location_id").orderBy(F.col(CHUNK).desc())
+    whole = Window.partitionBy("location_id", CHUNK)
+    before, upto = (_UNB, -1), (_UNB, 0)
+
+    # Equal seqs of a location are neighbours in one range.
+    r = chunks.assign(req, CHUNK)
+    r = r.withColumn("_twice", F.coalesce(F.lag("seq").over(wr) == F.col("seq"), F.lit(False))
+                     | F.coalesce(F.lead("seq").over(wr) == F.col("seq"), F.lit(False)))
+    timed = F.when(~F.col("_twice"), F.col("changed_at"))
 
     # Level 2 of "latest earlier time of the location": one row per
-    # (location, range), straight from the requests (partial aggregate).
-    s1 = (r.groupBy("location_id", CHUNK).agg(F.max("changed_at").alias("_t_chunk"))
-           .withColumn("_t_prev", F.max("_t_chunk").over(wk.rowsBetween(_UNB, -1)))
+    # (location, range), by the partitioning that the windows have.
+    s1 = (r.groupBy("location_id", CHUNK).agg(F.max(timed).alias("_t_chunk"))
+           .withColumn("_t_prev", F.max("_t_chunk").over(wk.rowsBetween(*before)))
            .join(base.select("location_id", "_b_from"), "location_id", "left")
            .select("location_id", CHUNK, F.greatest("_t_prev", "_b_from").alias("_t_before")))
     # One summary row per (location, range): broadcast within the bound.
-    r = (r.withColumn("_t_local", F.max("changed_at").over(wr.rowsBetween(_UNB, -1)))
+    r = (r.withColumn("_t_local", F.max(timed).over(wr.rowsBetween(*before)))
           .join(F.broadcast(s1) if small else s1, ["location_id", CHUNK], "left"))
-    r = r.withColumn("_late", F.coalesce(
-        F.col("changed_at") <= F.greatest("_t_before", "_t_local"), F.lit(False)))
+    late = F.coalesce(F.col("changed_at") <= F.greatest("_t_before", "_t_local"), F.lit(False))
+    r = r.withColumn("_late", late & ~F.col("_twice"))
 
     # Level 1 over the same window (no new shuffle): late requests are masked
-    # out, so each request is compared with the previous accepted one.
-    acc = ~F.col("_late")
+    # out, so each request is compared with the previous one on time.
+    acc = ~F.col("_late") & ~F.col("_twice")
     r = r.withColumns({
-        "_prev": F.last(F.when(acc, F.struct(*ATTRS)), True).over(wr.rowsBetween(_UNB, -1)),
-        "_first_acc": F.coalesce(F.sum(acc.cast("int")).over(wr.rowsBetween(_UNB, -1)),
-                                 F.lit(0)) == 0,
+        "_prev": F.last(F.when(acc, F.struct(*ATTRS)), True).over(wr.rowsBetween(*before)),
+        "_head": F.row_number().over(wr) == 1,
     })
-    local_changed = ~_same_attrs({a: F.col(a) for a in ATTRS},
-                                 {a: F.col("_prev").getField(a) for a in ATTRS})
-    r = r.withColumn("_lchg", F.when(acc & ~F.col("_first_acc"), local_changed)
-                     .otherwise(F.lit(False)))
+    own = {a: F.col(a) for a in ATTRS}
+    differs = ~_same_attrs(own, {a: F.col("_prev").getField(a) for a in ATTRS})
+    r = r.withColumn("_lchg", acc & F.col("_prev").isNotNull() & differs)
+    # the first request on time has no earlier one in its range to compare with
+    r = r.withColumn("_first_acc", acc & F.col("_prev").isNull())
     r = r.withColumns({
-        "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(_UNB, 0)),
+        "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(*upto)),
+        "_had_first": F.coalesce(F.max("_first_acc").over(wr.rowsBetween(*upto)), F.lit(False)),
         # "min over the following rows" as a descending running frame: the
         # unbounded-following frame re-aggregates per row (quadratic).
         "_next_local": F.min(F.when(F.col("_lchg"), F.col("changed_at")))
-                        .over(wr_desc.rowsBetween(_UNB, -1)),
-        "_kept_seq_local": F.last(F.when(F.col("_lchg"), F.col("seq")), True)
-                            .over(wr.rowsBetween(_UNB, 0)),
+                        .over(wr_desc.rowsBetween(*before)),
     })
     # Per-range values for level 2, as whole-range window aggregates (one
-    # linear pass, no sort-based aggregate); kept on the range's first
-    # accepted request only.
-    whole = Window.partitionBy("location_id", CHUNK)
-    head = acc & F.col("_first_acc")
+    # linear pass, no sort-based aggregate); kept on the range's first row.
     r = r.withColumns({
-        "_last": F.when(head, F.max(F.when(acc, F.struct("seq", *ATTRS))).over(whole)),
-        "_nlocal": F.when(head, F.sum(F.col("_lchg").cast("int")).over(whole)),
-        "_first_local_at": F.when(head, F.min(F.when(F.col("_lchg"), F.col("changed_at")))
-                                  .over(whole)),
-        "_kept_seq_max": F.when(head, F.max(F.when(F.col("_lchg"), F.col("seq"))).over(whole)),
+        "_last": F.when(F.col("_head"), F.max(F.when(acc, F.struct("seq", *ATTRS))).over(whole)),
+        "_first": F.when(F.col("_head"), F.max(F.when(F.col("_first_acc"), F.struct(
+            "seq", "changed_at", *ATTRS))).over(whole)),
+        "_nlocal": F.when(F.col("_head"), F.sum(F.col("_lchg").cast("int")).over(whole)),
+        "_first_local_at": F.when(F.col("_head"), F.min(F.when(
+            F.col("_lchg"), F.col("changed_at"))).over(whole)),
     })
     # The request-level state is computed once and written once; the
-    # summaries, the three outputs and the key assignment read it.
+    # summaries and all outputs read it, without another shuffle of requests.
     state = cut_lineage(r.select(
         "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason", "change_source",
-        "changed_at", "_late", "_first_acc", "_lchg", "_cum", "_next_local",
-        "_kept_seq_local", "_last", "_nlocal", "_first_local_at", "_kept_seq_max"),
-        "upsert_state")
-    late_rows = state.filter(F.col("_late"))
-    ok = state.filter(~F.col("_late")).drop("_last", "_nlocal", "_first_local_at",
-                                            "_kept_seq_max")
-
-    # Level 2: one row per (location, range) with accepted requests: the
-    # range's first accepted request carries the range's values.
-    s2 = (state.filter(~F.col("_late") & F.col("_first_acc"))
-               .select("location_id", CHUNK,
-                       F.struct("seq", "changed_at", *ATTRS).alias("_first"),
-                       "_last", "_nlocal", "_first_local_at", "_kept_seq_max")
+        "changed_at", "_twice", "_late", "_head", "_prev", "_lchg", "_first_acc", "_had_first",
+        "_cum", "_next_local", "_last", "_first", "_nlocal", "_first_local_at"), "upsert_state")
+
+    # Level 2: one row per (location, range), its first row.
+    s2 = (state.filter("_head").select("location_id", CHUNK, "_first", "_last", "_nlocal",
+                                       "_first_local_at")
                .join(base, "location_id", "left"))
-    prev_last = F.lag("_last").over(wk)
-    ref = {a: F.when(prev_last.isNotNull(), prev_last.getField(a)).otherwise(F.col(f"_b_{a}"))
-           for a in ATTRS}
-    has_ref = prev_last.isNotNull() | F.col("_b_sk").isNotNull()
-    first = {a: F.col("_first").getField(a) for a in ATTRS}
-    s2 = s2.withColumn("_fchg", ~has_ref | ~_same_attrs(first, ref))
+    prev_last = F.last("_last", True).over(wk.rowsBetween(*before))
+    s2 = s2.withColumn("_ref", F.when(prev_last.isNotNull(), F.struct(
+        *[prev_last.getField(a).alias(a) for a in ATTRS])).otherwise(F.col("_b_attrs")))
+    same_ref = _same_attrs({a: F.col("_first").getField(a) for a in ATTRS},
+                           {a: F.col("_ref").getField(a) for a in ATTRS})
+    s2 = s2.withColumn("_fchg", F.col("_first").isNotNull()
+                       & (F.col("_ref").isNull() | ~same_ref))
     s2 = s2.withColumns({
         "_nchg": F.col("_nlocal") + F.col("_fchg").cast("int"),
         "_first_kept_at": F.when(F.col("_fchg"), F.col("_first.changed_at"))
                            .otherwise(F.col("_first_local_at")),
-        "_kept_seq_chunk": F.coalesce(F.col("_kept_seq_max"),
-                                      F.when(F.col("_fchg"), F.col("_first.seq"))),
     })
     s2 = s2.withColumns({
-        "_ver_before": F.coalesce(F.col("_b_ver"), F.lit(0))
-                       + F.coalesce(F.sum("_nchg").over(wk.rowsBetween(_UNB, -1)), F.lit(0)),
-        "_next_kept_after": F.min("_first_kept_at").over(wk_desc.rowsBetween(_UNB, -1)),
-        "_kept_seq_before": F.last("_kept_seq_chunk", True).over(wk.rowsBetween(_UNB, -1)),
+        "_new_before": F.coalesce(F.sum("_nchg").over(wk.rowsBetween(*before)), F.lit(0)),
+        "_next_kept_after": F.min("_first_kept_at").over(wk_desc.rowsBetween(*before)),
     })
-    s2 = s2.select("location_id", CHUNK, "_fchg", "_ver_before", "_next_kept_after",
-                   F.col("_first.seq").alias("_first_seq"), "_kept_seq_before",
-                   "_b_sk", "_b_ver")
-    # Every output reads the summary; written once, so neither the request
-    # state nor the dimension's current rows are read again per output.
-    s2 = cut_lineage(s2, "upsert_summary")
-
-    rows = ok.join(F.broadcast(s2) if small else s2, ["location_id", CHUNK], "left")
+    s2 = cut_lineage(s2.select("location_id", CHUNK, "_fchg", "_nchg", "_new_before",
+                               "_next_kept_after", "_first_kept_at", "_ref", "_b_sk", "_b_ver"),
+                     "upsert_summary")
+    # Level 3: one row per location. Keys of a location start after those of
+    # the locations before it.
+    per_loc = s2.groupBy("location_id").agg(F.sum("_nchg").alias("_new"),
+                                            F.min("_first_kept_at").alias("_expire_at"))
+    per_loc = cut_lineage(total_before(per_loc, "location_id", "_new", "_key_before",
+                                       rows_per_chunk), "upsert_locations")
+    first_key = max_surrogate_key(dim)
+
+    summary = s2.join(F.broadcast(per_loc) if keys_small else per_loc, "location_id").select(
+        "location_id", CHUNK, "_fchg", "_new_before", "_next_kept_after", "_ref", "_b_sk",
+        "_b_ver", "_key_before")
+    rows = state.join(F.broadcast(summary) if small else summary, ["location_id", CHUNK])
+    new_sofar = (F.col("_new_before") + F.col("_cum")
+                 + (F.col("_fchg") & F.col("_had_first")).cast("int"))
+    ref = {a: F.coalesce(F.col("_prev"), F.col("_ref")).getField(a) for a in ATTRS}
+    has_ref = F.col("_prev").isNotNull() | F.col("_ref").isNotNull()
+    refused = F.col("_twice") | (F.col("_late") & ~(has_ref & _same_attrs(own, ref)))
     changed = F.when(F.col("_first_acc"), F.col("_fchg")).otherwise(F.col("_lchg"))
-    rows = rows.select(
-        "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason",
-        "change_source", "changed_at", changed.alias("_changed"),
-        (F.col("_ver_before") + F.col("_fchg").cast("int") + F.col("_cum")).cast("int")
-        .alias("version_number"),
-        F.coalesce(F.col("_kept_seq_local"), F.when(F.col("_fchg"), F.col("_first_seq")),
-                   F.col("_kept_seq_before")).alias("_ref_seq"),
-        F.coalesce("_next_local", "_next_kept_after").alias("effective_to"),
-        "_b_sk")
-
-    kept = rows.filter("_changed")
-    keyed = assign_surrogate_keys(kept, "seq", max_surrogate_key(dim), "zone_dim_sk",
-                                  chunk=F.col(CHUNK))
-    new_rows = keyed.select(
+    rows = rows.withColumns({
+        "_refused": refused, "_changed": changed, "_new_sofar": new_sofar,
+        "version_number": (F.coalesce(F.col("_b_ver"), F.lit(0)) + new_sofar).cast("int"),
+        # the version that the request made or, if unchanged, that was current
+        "zone_dim_sk": F.when(new_sofar > 0, F.lit(first_key) + F.col("_key_before") + new_sofar)
+                        .otherwise(F.col("_b_sk")).cast("long"),
+        "effective_to": F.coalesce("_next_local", "_next_kept_after"),
+    })
+
+    new_rows = rows.filter("_changed").select(
         "zone_dim_sk", "location_id", *ATTRS, "version_number",
         F.col("changed_at").alias("effective_from"),
         "effective_to",
@@ -291,7 +295,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
         F.lit(None).cast("string").alias("approved_by"),
     )
 
-    expiry = kept.groupBy("location_id").agg(F.min("changed_at").alias("_expire_at"))
+    expiry = per_loc.filter(F.col("_expire_at").isNotNull()).select("location_id", "_expire_at")
     # One expiry row per touched location.
     old = conform(dim).join(F.broadcast(expiry) if keys_small else expiry, "location_id",
                             "left")
@@ -302,80 +306,92 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     }).drop("_expire_at")
     new_dim = conform(old).unionByName(conform(new_rows))
 
-    sk_of = keyed.select(F.col("seq").alias("_ref_seq"), F.col("zone_dim_sk").alias("_ref_sk"))
-    results = (rows.join(sk_of, "_ref_seq", "left")
-                   .select("seq", "location_id",
-                           F.coalesce("_ref_sk", "_b_sk").alias("zone_dim_sk"),
-                           "version_number",
-                           F.when(~F.col("_changed"), F.lit("unchanged"))
-                            .when(F.col("_b_sk").isNull() & (F.col("version_number") == 1),
-                                  F.lit("created"))
-                            .otherwise(F.lit("new_version")).alias("outcome")))
+    results = rows.filter(~F.col("_refused")).select(
+        "seq", "location_id", "zone_dim_sk", "version_number",
+        F.when(~F.col("_changed"), F.lit("unchanged"))
+         .when(F.col("_b_sk").isNull() & (F.col("version_number") == 1), F.lit("created"))
+         .otherwise(F.lit("new_version")).alias("outcome"))
 
     errors = (bad_input.select("seq", "location_id", F.lit("missing seq, location_id or "
                                                            "changed_at").alias("error"))
-              .unionByName(late_rows.select(
+              .unionByName(rows.filter("_refused").select(
                   "seq", "location_id",
-                  F.lit("changed_at not after an earlier change of the location")
-                  .alias("error"))))
+                  F.when(F.col("_twice"), F.lit("seq used more than once for the location"))
+                   .otherwise(F.lit("changed_at not after an earlier time of the location"))
+                   .alias("error"))))
     return ChangeResult(new_dim, results, errors)
 
 
 # ----------------------------------------------------------------------------- U3
-def _one_per_key(req: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Split a batch into keys requested once (with their fields) and errors
-    for keys requested several times or missing. A partial aggregate, so a key
-    repeated many times costs one row per task, not one task."""
+def _with_seq(req: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Requests with their call order, and errors for those without a key. A
+    batch without a ``seq`` column has no order: keys it repeats are errors."""
+    if "seq" in req.columns:
+        no_key = req.filter(F.col(key).isNull()).select(key, F.lit(f"{key} is NULL").alias("error"))
+        return req.filter(F.col(key).isNotNull()), no_key
     fields = [c for c in req.columns if c != key]
+    # A partial aggregate: a key repeated many times costs one row per task.
     g = req.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*fields)).alias("_r"))
-    dup = g.filter((F.col("_n") > 1) | F.col(key).isNull()).select(
+    bad = g.filter((F.col("_n") > 1) | F.col(key).isNull()).select(
         key, F.when(F.col(key).isNull(), F.lit(f"{key} is NULL"))
         .otherwise(F.format_string(f"{key} requested %d times in one batch", F.col("_n")))
         .alias("error"))
     single = g.filter((F.col("_n") == 1) & F.col(key).isNotNull()).select(
-        key, *[F.col("_r").getField(c).alias(c) for c in fields])
-    return dup, single
+        key, F.lit(1).cast("long").alias("seq"), *[F.col("_r").getField(c).alias(c) for c in fields])
+    return single, bad
 
 
 def approve_versions(dim: DataFrame, approvals: DataFrame, as_of,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> ChangeResult:
     """Approve current rows by surrogate key: status APPROVED, approver,
     time, and the reason overwrites ``change_reason``. Any current row
-    qualifies, whatever its status. A key that is not a current row, or that
-    appears more than once in the batch, is an error; its row is unchanged.
+    qualifies, whatever its status. A key that is not a current row is an
+    error. Repeated approvals of a key take effect in ``seq`` order, so the
+    last one stays (equal seqs: the larger approver and reason).
     """
     t = _ts(as_of)
-    dup, single = _one_per_key(approvals.select("zone_dim_sk", "approved_by", "reason"),
-                               "zone_dim_sk")
-    current = dim.filter(F.col("is_current")).select("zone_dim_sk")
-    valid = single.join(current, "zone_dim_sk", "left_semi")
-    missing = single.join(current, "zone_dim_sk", "left_anti")
-
-    upd = valid.select("zone_dim_sk", F.col("approved_by").alias("_by"),
-                       F.col("reason").alias("_reason"), F.lit(True).alias("_hit"))
+    fields = [c for c in ("seq", "zone_dim_sk", "approved_by", "reason") if c in approvals.columns]
+    calls, no_key = _with_seq(approvals.select(*fields), "zone_dim_sk")
+    last = calls.groupBy("zone_dim_sk").agg(
+        F.max(F.struct("seq", "approved_by", "reason")).alias("_last"),
+        F.count(F.lit(1)).alias("_n")).select(
+        "zone_dim_sk", F.col("_last.approved_by").alias("_by"),
+        F.col("_last.reason").alias("_reason"), "_n")
     # At most one row per request: check the (cheap) request table's size.
-    if approvals.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        upd = F.broadcast(upd)
-    j = conform(dim).join(upd, "zone_dim_sk", "left")
-    hit = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current")
+    small = approvals.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    d = conform(dim)
+    hits = F.broadcast(last) if small else last
+    j = d.join(hits, "zone_dim_sk", "left")
+    hit = F.col("_n").isNotNull() & F.col("is_current")
     new_dim = conform(j.withColumns({
         "record_status": F.when(hit, F.lit(STATUS_APPROVED)).otherwise(F.col("record_status")),
         "approved_by": F.when(hit, F.col("_by")).otherwise(F.col("approved_by")),
         "approved_at": F.when(hit, t).otherwise(F.col("approved_at")),
         "change_reason": F.when(hit, F.col("_reason")).otherwise(F.col("change_reason")),
     }))
-    results = valid.select("zone_dim_sk", F.lit("approved").alias("outcome"))
-    errors = (missing.select("zone_dim_sk", F.concat(
+    # One join of the requested keys to the rows they hit, for both outcomes.
+    current = d.filter("is_current").select("zone_dim_sk")
+    found = (current.join(hits.select("zone_dim_sk"), "zone_dim_sk", "left_semi").distinct()
+             .withColumn("_hit", F.lit(True)))
+    answered = cut_lineage(last.select("zone_dim_sk", "_n").join(
+        F.broadcast(found) if small else found, "zone_dim_sk", "left"), "approvals")
+    results = (answered.filter("_hit").select(F.explode(F.array_repeat(
+        "zone_dim_sk", F.col("_n").cast("int"))).alias("zone_dim_sk"))
+        .withColumn("outcome", F.lit("approved")))
+    missing = answered.filter(F.col("_hit").isNull()).select(F.explode(F.array_repeat(
+        "zone_dim_sk", F.col("_n").cast("int"))).alias("zone_dim_sk"))
+    errors = missing.select("zone_dim_sk", F.concat(
         F.lit("No current record found for zone_dim_sk="),
-        F.col("zone_dim_sk").cast("string")).alias("error"))
-        .unionByName(dup.select("zone_dim_sk", "error")))
+        F.col("zone_dim_sk").cast("string")).alias("error")).unionByName(no_key)
     return ChangeResult(new_dim, results, errors)
 
 
 # ----------------------------------------------------------------------------- U4
+LATE_START = "current row does not start before as_of"
+
+
 def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
                       rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                      max_chunks: int = DEFAULT_MAX_CHUNKS,
                       max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> ChangeResult:
     """Restore the attributes of a target version as a new current row.
 
@@ -383,29 +399,33 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
     max over all versions + 1 with the target's attributes, status
     ROLLED_BACK, source 'rollback_procedure', no approver. A missing target
     is an error and nothing changes for that location (the reference's close
-    is undone with the failed call). Also errors: a location twice in the
-    batch, no ``rolled_back_by`` (NOT NULL column), a current row that does
-    not start before ``as_of`` (the closed window would be empty), and a
-    target that matches more than one row (the insert would add two current
-    rows).
+    is undone with the failed call). Also errors: no ``rolled_back_by`` (NOT
+    NULL column), a current row that does not start before ``as_of`` (the
+    closed window would be empty), and a target that matches more than one
+    row (the insert would add two current rows).
+
+    Repeats of a location run in ``seq`` order: the first one without an error
+    takes effect, and each valid one after it fails as its call would, since
+    the row it has to close starts at the same ``as_of``. Equal seqs of a
+    location are refused.
     """
     t = _ts(as_of)
-    dup, single = _one_per_key(
-        rollbacks.select("location_id", "target_version", "rolled_back_by", "reason"),
-        "location_id")
+    fields = [c for c in ("seq", "location_id", "target_version", "rolled_back_by", "reason")
+              if c in rollbacks.columns]
+    calls, no_key = _with_seq(rollbacks.select(*fields), "location_id")
 
     d = conform(dim)
     # Facts about each requested location, from one pass over its rows.
-    per_loc = (d.join(single.select("location_id", "target_version"), "location_id", "left_semi")
+    per_loc = (d.join(calls.select("location_id"), "location_id", "left_semi")
                 .groupBy("location_id")
                 .agg(F.max("version_number").alias("_max_ver"),
                      F.max(F.when(F.col("is_current"), F.col("effective_from"))).alias("_cur_from")))
-    targets = (d.join(single.select("location_id", F.col("target_version").alias("version_number")),
+    targets = (d.join(calls.select("location_id", F.col("target_version").alias("version_number")),
                       ["location_id", "version_number"], "left_semi")
                 .groupBy("location_id", "version_number")
                 .agg(F.count(F.lit(1)).alias("_matches"),
                      F.first(F.struct(*ATTRS)).alias("_attrs")))
-    checked = (single
+    checked = (calls
                .join(per_loc, "location_id", "left")
                .join(targets.withColumnRenamed("version_number", "target_version"),
                      ["location_id", "target_version"], "left"))
@@ -414,19 +434,30 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
                                     F.col("target_version"), F.col("location_id")))
               .when(F.col("_matches") > 1, F.lit("target version matches more than one row"))
               .when(F.col("rolled_back_by").isNull(), F.lit("rolled_back_by is NULL"))
-              .when(F.col("_cur_from").isNotNull() & (F.col("_cur_from") >= t),
-                    F.lit("current row does not start before as_of")))
+              .when(F.col("_cur_from").isNotNull() & (F.col("_cur_from") >= t), F.lit(LATE_START)))
     # One row per request; valid rows, errors, keys and closes all read it.
     checked = cut_lineage(checked.withColumn("error", error), "rollback_requests")
+    order = (checked.filter(F.col("error").isNull()).groupBy("location_id")
+             .agg(F.min("seq").alias("_first")))
+    ties = (checked.filter(F.col("error").isNull()).groupBy("location_id", "seq")
+            .agg(F.count(F.lit(1)).alias("_n")))
+    order = (order.join(ties, (ties["location_id"] == order["location_id"])
+                        & ties["seq"].eqNullSafe(order["_first"]))
+             .select(order["location_id"], "_first", "_n"))
+    checked = checked.join(order, "location_id", "left").withColumn("error", F.when(
+        F.col("error").isNotNull(), F.col("error"))
+        .when(~F.col("seq").eqNullSafe(F.col("_first")), F.lit(LATE_START))
+        .when(F.col("_n") > 1, F.lit("seq used more than once for the location")))
+    checked = cut_lineage(checked, "rollback_decisions")
     valid = checked.filter(F.col("error").isNull())
     errors = (checked.filter(F.col("error").isNotNull()).select("location_id", "target_version",
                                                                 "error")
-              .unionByName(dup.select("location_id", F.lit(None).cast("int")
-                                      .alias("target_version"), "error")))
+              .unionByName(no_key.select("location_id", F.lit(None).cast("int")
+                                         .alias("target_version"), "error")))
 
     # Chunks and the size bound come from the request table: the valid
     # requests are a subset of its rows and keys.
-    chunks = profile_order(rollbacks, "location_id", rows_per_chunk, max_chunks)
+    chunks = profile_order(rollbacks, "location_id", rows_per_chunk)
     n_req = chunks.rows
     keyed = assign_surrogate_keys(valid, "location_id", max_surrogate_key(dim), "zone_dim_sk",
                                   chunk=chunks)

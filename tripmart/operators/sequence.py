@@ -3,17 +3,18 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
 key that holds a third of the rows becomes a third of the job in one task.
 Here the order column is cut into contiguous ranges ("chunks") at approximate
-quantiles of the whole input. Chunk boundaries depend only on the value, so
-within a key chunk ``c`` holds rows strictly before chunk ``c + 1``. A scan
-then runs in two levels:
+quantiles of the whole input, one per ``rows_per_chunk`` rows however many
+that makes. Boundaries depend only on the value, so within a key chunk ``c``
+holds rows strictly before chunk ``c + 1``. A scan then runs in two levels:
 
 1. a window over ``(key, chunk)``: bounded by the rows of one quantile range;
-2. a window over one summary row per ``(key, chunk)``: at most ``max_chunks``
-   rows per key, joined back to the rows on ``(key, chunk)``.
+2. a window over one summary row per ``(key, chunk)``, joined back to the rows
+   on ``(key, chunk)``.
 
-The quantiles come back to the driver as at most ``max_chunks`` numbers; no
-data passes through it. A row finds its range by binary lifting over one
-array literal (``Chunks.assign``), in generated code.
+At most FIRST_LEVEL - 1 boundaries come back to the driver; beyond that many
+ranges, each first-level range is cut again by quantiles of its own, which
+stay in a table of one array per range. A row finds its range by binary
+lifting over the array (``Chunks.assign``), in generated code.
 """
 
 from __future__ import annotations
@@ -25,9 +26,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.session import cut_lineage
+
 CHUNK = "_chunk"
 DEFAULT_ROWS_PER_CHUNK = 1 << 16
-DEFAULT_MAX_CHUNKS = 1024
+#: Ranges whose boundaries fit one literal; more are made by a second level.
+FIRST_LEVEL = 1024
+#: Quantile accuracy, as a multiple of the number of ranges.
+ACCURACY = 10
 
 
 def numeric_order(df: DataFrame, col: str) -> Column:
@@ -43,15 +49,31 @@ def numeric_order(df: DataFrame, col: str) -> Column:
     return F.col(col)
 
 
+def _lift(df: DataFrame, value: Column, bounds: Column, most: int, out: str) -> DataFrame:
+    """Add ``out`` = number of entries of the ascending array ``bounds`` (at most
+    ``most``) that are <= ``value``: one comparison per power of two."""
+    d = df.withColumn(out, F.lit(0))
+    step = 1 << (most.bit_length() - 1) if most else 0
+    while step >= 1:
+        cand = F.col(out) + F.lit(step)
+        reach = F.coalesce(value >= F.get(bounds, cand - 1), F.lit(False))
+        d = d.withColumn(out, F.when(reach, cand).otherwise(F.col(out)))
+        step //= 2
+    return d
+
+
 @dataclass
 class Chunks:
     """Result of profiling an order column: row count, number of ranges, the
-    range boundaries (ascending) and, if asked for, the number of keys."""
+    first-level boundaries (ascending), the table of second-level boundaries
+    if there are more, and, if asked for, the number of keys."""
     rows: int
     count: int
     col: str
     bounds: list[float] = field(default_factory=list)
     keys: int | None = None
+    finer: DataFrame | None = None
+    finer_count: int = 1
 
     def summary_rows(self) -> int:
         """Upper bound of the rows of a one-row-per-(key, range) summary."""
@@ -59,43 +81,40 @@ class Chunks:
             return self.rows
         return min(self.rows, self.keys * self.count)
 
-    def assign(self, df: DataFrame, out: str) -> DataFrame:
-        """Add column ``out`` = number of boundaries <= the row's order value
-        (0 for NULL): a non-decreasing function of the order column.
-
-        Binary lifting over one array literal: about log2(ranges) small
-        projection steps, each one comparison, so the lookup stays in
-        generated code for any number of ranges (a nested CASE of a thousand
-        branches would not compile).
-        """
+    def assign(self, df: DataFrame, out: str, col: str | None = None) -> DataFrame:
+        """Add column ``out`` = the range of the row's order value (0 for NULL):
+        a non-decreasing function of the order column, or of another column
+        ``col`` of its type."""
         if self.count == 1 or not self.bounds:
             return df.withColumn(out, F.lit(0))
-        value = numeric_order(df, self.col).cast("double")
-        m = len(self.bounds)
+        value = numeric_order(df, col or self.col).cast("double")
         bounds = F.expr("array(" + ",".join(repr(float(b)) for b in self.bounds) + ")")
-        d = df.withColumn(out, F.lit(0))
-        step = 1 << (m.bit_length() - 1)
-        while step >= 1:
-            cand = F.col(out) + F.lit(step)
-            reach = (cand <= F.lit(m)) & (value >= F.element_at(bounds, F.least(cand, F.lit(m))))
-            d = d.withColumn(out, F.when(reach, cand).otherwise(F.col(out)))
-            step //= 2
+        d = _lift(df, value, bounds, len(self.bounds), out)
+        if self.finer is not None:
+            # at most FIRST_LEVEL rows, one number per range
+            d = d.withColumnRenamed(out, "_l1").join(F.broadcast(self.finer), "_l1", "left")
+            d = _lift(d, value, F.col("_l2_bounds"), self.finer_count - 1, "_l2")
+            d = d.withColumn(out, F.col("_l1") * F.lit(self.finer_count) + F.col("_l2")).drop(
+                "_l1", "_l2", "_l2_bounds")
         return d.withColumn(out, F.when(value.isNull(), F.lit(0)).otherwise(F.col(out)))
 
 
+def _fractions(n: int) -> Column:
+    # One array literal: building it element by element costs a round trip each.
+    return F.expr("array(" + ",".join(repr(i / n) for i in range(1, n)) + ")")
+
+
 def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS, rel_error: float = 1e-3,
                   key: str | None = None, keys_if_over: int = 0) -> Chunks:
     """Row count and range boundaries (approximate quantiles of ``col``) from
-    one aggregate job over ``df``; the number of ranges grows with the input
-    up to ``max_chunks``. With ``key``, also the exact number of distinct
-    keys, counted by a second job only when there are more than
-    ``keys_if_over`` rows (below that the row count is the tighter bound)."""
+    one aggregate job over ``df``, and a second one beyond FIRST_LEVEL ranges.
+    With ``key``, also the exact number of distinct keys, counted by a job of
+    its own only when there are more than ``keys_if_over`` rows (below that
+    the row count is the tighter bound)."""
     value = numeric_order(df, col).cast("double")
-    # One array literal: building it element by element costs a round trip each.
-    probs = F.expr("array(" + ",".join(repr(i / max_chunks) for i in range(1, max_chunks)) + ")")
     row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(value, probs, int(1 / rel_error)).alias("q")).first()
+                 F.percentile_approx(value, _fractions(FIRST_LEVEL), ACCURACY * FIRST_LEVEL)
+                 .alias("q")).first()
     n = row["n"] or 0
     keys = None
     if key is not None:
@@ -103,62 +122,90 @@ def profile_order(df: DataFrame, col: str, rows_per_chunk: int = DEFAULT_ROWS_PE
             keys = (df.agg(F.count_distinct(F.col(key))).first()[0] or 0) + 1  # + 1: NULL key
         else:
             keys = n
-    chunks = max(1, min(max_chunks, math.ceil(n / max(1, rows_per_chunk))))
+    chunks = max(1, math.ceil(n / max(1, rows_per_chunk)))
     if chunks == 1 or not row["q"]:
         return Chunks(n, 1, col, [], keys)
-    step = max_chunks / chunks
-    picked = [row["q"][int(round(step * i)) - 1] for i in range(1, chunks)]
-    bounds = sorted(set(b for b in picked if b is not None))
-    return Chunks(n, len(bounds) + 1, col, bounds, keys)
+    first = min(chunks, FIRST_LEVEL)
+    picked = [row["q"][int(round(FIRST_LEVEL / first * i)) - 1] for i in range(1, first)]
+    found = Chunks(n, 1, col, sorted({b for b in picked if b is not None}), keys)
+    found.count = len(found.bounds) + 1
+    if chunks <= FIRST_LEVEL:
+        return found
+    finer = math.ceil(chunks / FIRST_LEVEL)
+    if finer > 1:
+        inside = found.assign(df, "_l1").groupBy("_l1").agg(F.array_sort(F.array_distinct(
+            F.percentile_approx(value, _fractions(finer), ACCURACY * finer * 10)))
+            .alias("_l2_bounds"))
+        found.finer = cut_lineage(inside, "range_bounds")
+        found.finer_count = finer
+        found.count *= finer
+    return found
 
 
 def next_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """``lead(value) OVER (PARTITION BY key ORDER BY order...)`` without
-    sending a whole key to one task. ``order`` must be unique within a key."""
-    d = profile_order(df, order[0], rows_per_chunk, max_chunks).assign(df, CHUNK)
-    w = Window.partitionBy(key, CHUNK).orderBy(*order)
-    d = (d.withColumn(out, F.lead(value).over(w))
-          .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
-    firsts = (d.groupBy(key, CHUNK)
+    sending a whole key to one task. ``order`` must be unique within a key;
+    NULL is a key like any other."""
+    # A NULL key becomes a flag and a stand-in, so that windows and join share
+    # one partitioning by plain equality.
+    stand_in = F.coalesce(F.col(key), F.lit("0").cast(df.schema[key].dataType))
+    d = df.withColumns({"_k": stand_in, "_no_k": F.col(key).isNull()})
+    d = profile_order(df, order[0], rows_per_chunk).assign(d, CHUNK)
+    by = ["_k", "_no_k", CHUNK]
+    w = Window.partitionBy(*by).orderBy(*order)
+    firsts = (d.groupBy(*by)
                .agg(F.min(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))
                     .getField("_v").alias("_first")))
-    wc = Window.partitionBy(key).orderBy(CHUNK)
-    nxt = firsts.select(key, CHUNK, F.lead("_first").over(wc).alias("_next_chunk_first"))
-    joined = d.join(nxt.withColumnRenamed(key, "_k").withColumnRenamed(CHUNK, "_c"),
-                    F.col(key).eqNullSafe(F.col("_k")) & (F.col(CHUNK) == F.col("_c")), "left")
-    return (joined.drop("_k", "_c")
+    wc = Window.partitionBy("_k", "_no_k").orderBy(CHUNK)
+    following = firsts.select(*by, F.lead("_first").over(wc).alias("_next_chunk_first"))
+    d = (d.withColumn(out, F.lead(value).over(w))
+          .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull()))
+    return (d.join(following, by, "left")
             .withColumn(out, F.when(F.col("_is_last"), F.col("_next_chunk_first"))
                         .otherwise(F.col(out)))
-            .drop(CHUNK, "_is_last", "_next_chunk_first"))
+            .drop(*by, "_is_last", "_next_chunk_first"))
+
+
+def total_before(df: DataFrame, order_col: str, value: str, out: str,
+                 rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over the rows with a smaller ``order_col``
+    (unique), without a global sort: sums within ranges, then over ranges."""
+    d = profile_order(df, order_col, rows_per_chunk).assign(df, "_tbc")
+    inside = (Window.partitionBy("_tbc").orderBy(order_col)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    per_range = d.groupBy("_tbc").agg(F.sum(value).alias("_tbn"))
+    before = Window.orderBy("_tbc").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select("_tbc", F.coalesce(F.sum("_tbn").over(before), F.lit(0))
+                               .alias("_tbo"))
+    return (d.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+             .join(offsets, "_tbc")
+             .withColumn(out, F.col(out) + F.col("_tbo")).drop("_tbc", "_tbo"))
 
 
 def assign_surrogate_keys(df: DataFrame, order_col: str, start, out: str,
-                          chunk: Column | Chunks | None = None,
-                          rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                          max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+                          chunk: Chunks | None = None,
+                          rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """``out = start + rank of order_col`` (1, 2, ... in ``order_col`` order,
     values unique) without a global sort.
 
     Rows are ranked inside their chunk; each chunk's offset is the number of
-    rows in earlier chunks. The offset table has at most ``max_chunks`` rows,
-    a proven bound, so it is broadcast and joined on the chunk. With a single
-    chunk (at most ``rows_per_chunk`` rows) the rank is the key and there is
-    no offset table. ``start`` may be a number or a column.
+    rows in earlier chunks, one row per chunk. With a single chunk (at most
+    ``rows_per_chunk`` rows) the rank is the key and there is no offset table.
+    ``start`` may be a number or a column.
     """
     if chunk is None:
-        chunk = profile_order(df, order_col, rows_per_chunk, max_chunks)
+        chunk = profile_order(df, order_col, rows_per_chunk)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    if isinstance(chunk, Chunks) and chunk.count == 1:
+    if chunk.count == 1:
         rank = F.row_number().over(Window.orderBy(order_col))
         return df.withColumn(out, (start_col + rank).cast("long"))
-    d = chunk.assign(df, "_skc") if isinstance(chunk, Chunks) else df.withColumn("_skc", chunk)
+    d = chunk.assign(df, "_skc")
     d = d.withColumn("_skrn", F.row_number().over(Window.partitionBy("_skc").orderBy(order_col)))
     counts = d.groupBy("_skc").agg(F.count(F.lit(1)).alias("_skn"))
     before = Window.orderBy("_skc").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_skc", F.coalesce(F.sum("_skn").over(before), F.lit(0))
                             .alias("_skoff"))
-    return (d.join(F.broadcast(offsets), "_skc")
+    return (d.join(offsets, "_skc")
              .withColumn(out, (start_col + F.col("_skoff") + F.col("_skrn")).cast("long"))
              .drop("_skc", "_skrn", "_skoff"))

@@ -27,9 +27,9 @@ def register_tables(spark: SparkSession, roots: dict[str, str]) -> list[str]:
     names = []
     for name, root in roots.items():
         if name == "test_results":
-            df = spark.read.parquet(root)
+            df = spark.read.schema(TABLES[name]).parquet(root)
         else:
-            df = read_latest(spark, root)
+            df = read_latest(spark, root, TABLES[name])
         if df is None:
             continue
         df.createOrReplaceTempView(name)

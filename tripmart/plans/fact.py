@@ -8,11 +8,16 @@ zone broadcast is reused), no shuffle of the trips, one write.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from tripmart.functions import as_table
 from tripmart.operators.clean import clean_trips, valid_trips
 from tripmart.operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, enrich_trips
 from tripmart.operators.latest import current_zones, latest_rate
-from tripmart.schemas import FACT_COLUMNS
+from tripmart.schemas import FACT_COLUMNS, FCT_TRIPS
+
+#: The fact's declared types, without the load time that publishing adds.
+FACT_TYPES = T.StructType([f for f in FCT_TRIPS.fields if f.name != "loaded_at"])
 
 
 def build_fct_trips(staging: DataFrame, rate_master: DataFrame, zone_master: DataFrame,
@@ -25,7 +30,7 @@ def build_fct_trips(staging: DataFrame, rate_master: DataFrame, zone_master: Dat
     clean = clean_trips(staging)
     enriched = enrich_trips(clean, latest_rate(rate_master), current_zones(zone_master, as_of),
                             max_broadcast_rows)
-    return valid_trips(enriched).select(*FACT_COLUMNS)
+    return as_table(valid_trips(enriched), FACT_TYPES)
 
 
 def enriched_trips(staging: DataFrame, rate_master: DataFrame, zone_master: DataFrame,

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.functions import ntz
 from tripmart.operators.checks import dim_checks
 from tripmart.operators.quality import DQ_TESTS, audit_row_violations, dq_metrics, dq_tests
 from tripmart.operators.scd2 import (
@@ -29,7 +30,7 @@ from tripmart.operators.scd2 import (
 )
 from tripmart.plans.fact import build_fct_trips
 from tripmart.schemas import FCT_TRIPS, ZONE_DIM
-from tripmart.session import cut_lineage
+from tripmart.session import cut_lineage, removing_cuts
 from tripmart.sources.sinks import append_rows, publish_snapshot, read_latest, with_defaults
 
 
@@ -47,17 +48,21 @@ class PipelineReport:
 
 def run_pipeline(spark: SparkSession, staging: DataFrame, rate_master: DataFrame,
                  zone_master: DataFrame, fact_root: str, results_path: str, as_of,
-                 run_by: str | None = None) -> PipelineReport:
-    fct = build_fct_trips(staging, rate_master, zone_master, as_of)
-    fct = with_defaults(fct, {"loaded_at": F.lit(as_of).cast("timestamp")})
-    fact_path, fact_rows = publish_snapshot(fct, fact_root)
-    published = spark.read.schema(FCT_TRIPS).parquet(fact_path)
-    metrics = cut_lineage(dq_metrics(published))
-    tests = dq_tests(metrics, as_of, run_by)
-    if audit_row_violations(tests).limit(1).count():
-        raise GovernanceError("a test row has no name or no result")
-    append_rows(tests, results_path)
-    return PipelineReport(fact_path, fact_rows, metrics.first().asDict(), len(DQ_TESTS))
+                 run_by: str | None = None, run_ts=None) -> PipelineReport:
+    """``as_of`` picks the masters' rows; ``run_ts`` is the run clock (default
+    ``as_of``) of the load time and the test rows."""
+    clock = as_of if run_ts is None else run_ts
+    with removing_cuts(spark):
+        fct = build_fct_trips(staging, rate_master, zone_master, as_of)
+        fct = with_defaults(fct, {"loaded_at": ntz(clock).cast("timestamp")})
+        fact_path, fact_rows = publish_snapshot(fct, fact_root)
+        published = spark.read.schema(FCT_TRIPS).parquet(fact_path)
+        metrics = cut_lineage(dq_metrics(published))
+        tests = dq_tests(metrics, clock, run_by)
+        if audit_row_violations(tests).limit(1).count():
+            raise GovernanceError("a test row has no name or no result")
+        append_rows(tests, results_path)
+        return PipelineReport(fact_path, fact_rows, metrics.first().asDict(), len(DQ_TESTS))
 
 
 @dataclass
@@ -74,8 +79,15 @@ def apply_governed_batch(spark: SparkSession, dim_root: str, as_of, *,
                          approvals: DataFrame | None = None,
                          rollbacks: DataFrame | None = None,
                          user: str | None = None, strict: bool = True) -> GovernedBatchReport:
+    with removing_cuts(spark):
+        return _governed_batch(spark, dim_root, as_of, zone_master, upserts, approvals,
+                               rollbacks, user, strict)
+
+
+def _governed_batch(spark, dim_root, as_of, zone_master, upserts, approvals, rollbacks, user,
+                    strict) -> GovernedBatchReport:
     dim = read_latest(spark, dim_root, ZONE_DIM)
-    if dim is None:
+    if dim is None:  # no snapshot folder at all; unreadable ones have raised
         dim = empty_dim(spark)
     dim = conform(dim)
     errors = {}

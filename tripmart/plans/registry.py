@@ -1,7 +1,10 @@
 """Named queries over the driver tables: one per operator of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. Column names equal those of the matching SQL in
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables. Operators that write an intermediate table (the governed dimension,
+the enrichment's masters, range joins) run those jobs while the DataFrame is
+built; its plan is only the last step. Names that end in ``_ranges`` or
+``_shuffle`` force the path for large data (many ranges, no broadcast). Column names equal those of the matching SQL in
 ``tripmart.plans.oracle_sql``.
 """
 
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from tripmart.operators.clean import clean_trips
 from tripmart.operators.latest import current_zones, latest_rate
 from tripmart.operators.quality import (
+    audit_row_violations,
     dq_metrics,
     dq_test_rows,
     dq_tests,
@@ -26,6 +30,9 @@ from tripmart.operators.quality import (
 from tripmart.plans.fact import build_fct_trips, enriched_trips
 from tripmart.sources import testdata as td
 from tripmart.plans.load import load_trips
+from tripmart.plans.pipeline import apply_governed_batch, run_pipeline
+from tripmart.schemas import STAGING_TRIPS, TEST_RESULTS, ZONE_DIM
+from tripmart.sources.sinks import read_latest
 from tripmart.session import cut_lineage, scratch_path
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds, ntz
@@ -45,6 +52,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- fixed values: run clocks of the checked test runs -----------------------
 RUN_1 = dt.datetime(2024, 6, 1, 0, 0, 0)
 RUN_2 = dt.datetime(2024, 6, 1, 1, 0, 0)
+#: Rows per range of the queries that force many ranges.
+MANY_RANGES = 5
 
 
 def _fct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,28 +141,56 @@ def _upserted_dim(spark, sf_dir):
 
 
 def _approvals(dim: DataFrame) -> DataFrame:
-    """Current rows of even locations, some closed rows, one unknown key."""
-    pick = dim.filter((F.col("is_current") & (F.col("location_id") % 2 == 0))
-                      | (~F.col("is_current") & (F.col("zone_dim_sk") % 7 == 0)))
-    known = pick.select("zone_dim_sk", F.lit("approver").alias("approved_by"),
-                        F.concat(F.lit("ok "), F.col("zone_dim_sk").cast("string")).alias("reason"))
+    """Current rows of even locations, some closed rows, one unknown key, one
+    without a key; half of them are approved twice."""
+    def calls(seq, by, reason, step):
+        pick = dim.filter((F.col("is_current") & (F.col("location_id") % (2 * step) == 0))
+                          | (~F.col("is_current") & (F.col("zone_dim_sk") % (7 * step) == 0)))
+        return pick.select(F.lit(seq).cast("long").alias("seq"), "zone_dim_sk",
+                           F.lit(by).alias("approved_by"), reason.alias("reason"))
+
+    first = calls(1, "approver", F.concat(F.lit("ok "), F.col("zone_dim_sk").cast("string")), 1)
+    second = calls(2, "second", F.lit("again"), 2)
     unknown = dim.agg((F.max("zone_dim_sk") + 1000).alias("zone_dim_sk")).select(
-        "zone_dim_sk", F.lit("approver").alias("approved_by"), F.lit("unknown").alias("reason"))
-    return known.unionByName(unknown)
+        F.lit(1).cast("long").alias("seq"), "zone_dim_sk", F.lit("approver").alias("approved_by"),
+        F.lit("unknown").alias("reason"))
+    no_key = unknown.select(F.lit(3).cast("long").alias("seq"),
+                            F.lit(None).cast("long").alias("zone_dim_sk"), "approved_by",
+                            F.lit("no key").alias("reason"))
+    return first.unionByName(second).unionByName(unknown).unionByName(no_key)
+
+
+def _rollback_dim(dim: DataFrame) -> DataFrame:
+    """Location 6 without a current row, 9 with one that starts late, 12 with a
+    doubled version."""
+    loc = F.col("location_id")
+    twice = dim.filter((loc == 12) & (F.col("version_number") == 1)).withColumns({
+        "zone_dim_sk": F.col("zone_dim_sk") + 500000, "is_current": F.lit(False)})
+    return cut_lineage(dim.withColumns({
+        "is_current": F.col("is_current") & (loc != 6),
+        "effective_from": F.when(F.col("is_current") & (loc == 9), ntz(td.ROLLBACK_AS_OF))
+                           .otherwise(F.col("effective_from"))}).unionByName(twice))
 
 
 def _rollbacks(dim: DataFrame) -> DataFrame:
     """Per location: target 1, the current version, or a missing one; some
-    without a user; location 4 requested twice."""
+    without a user, every fourth location twice, one call without location."""
     per = dim.groupBy("location_id").agg(F.max("version_number").alias("_max"))
     loc = F.col("location_id")
     req = per.select(
-        "location_id",
+        F.lit(2).cast("long").alias("seq"), "location_id",
         F.when(loc % 3 == 0, F.lit(1)).when(loc % 3 == 1, F.col("_max"))
          .otherwise(F.col("_max") + 5).cast("int").alias("target_version"),
         F.when(loc % 10 == 7, F.lit(None)).otherwise(F.lit("admin")).alias("rolled_back_by"),
         F.concat(F.lit("revert "), loc.cast("string")).alias("reason"))
-    return req.unionByName(req.filter(loc == 4))
+    later = req.filter(loc % 4 == 0).withColumn("seq", F.lit(3).cast("long"))
+    earlier = req.filter(loc == 4).withColumns({"seq": F.lit(1).cast("long"),
+                                                "target_version": F.lit(1)})
+    no_key = per.limit(1).select(
+        F.lit(1).cast("long").alias("seq"), F.lit(None).cast("int").alias("location_id"),
+        F.lit(1).alias("target_version"), F.lit("admin").alias("rolled_back_by"),
+        F.lit("no key").alias("reason"))
+    return req.unionByName(later).unionByName(earlier).unionByName(no_key)
 
 
 def _history_requests(dim: DataFrame) -> DataFrame:
@@ -172,17 +209,35 @@ def _history_requests(dim: DataFrame) -> DataFrame:
 
 
 def _planted_faults(dim: DataFrame) -> DataFrame:
-    """One planted fault per rule: status, window, NULL author, open end,
-    extra current row, duplicated rows."""
+    """Faults for every rule: NULLs in each required column and the key, status,
+    window, open end, extra current row, duplicated rows."""
     sk = F.col("zone_dim_sk")
+
+    def unless(n, column):
+        return F.when(sk % n != 0, F.col(column))
+
     faulty = dim.withColumns({
-        "record_status": F.when(sk % 97 == 0, F.lit("BOGUS")).otherwise(F.col("record_status")),
+        "location_id": unless(101, "location_id"),
+        "version_number": unless(103, "version_number"),
+        "effective_from": unless(107, "effective_from"),
+        "record_status": F.when(sk % 97 == 0, F.lit("BOGUS")).when(
+            sk % 113 != 0, F.col("record_status")),
         "effective_to": F.when(sk % 89 == 0, F.col("effective_from"))
                          .when(sk % 71 == 0, F.lit(None)).otherwise(F.col("effective_to")),
-        "created_by": F.when(sk % 73 == 0, F.lit(None)).otherwise(F.col("created_by")),
-        "is_current": F.when(sk % 67 == 0, F.lit(True)).otherwise(F.col("is_current")),
+        "created_by": unless(73, "created_by"),
+        "created_at": unless(127, "created_at"),
+        "is_current": F.when(sk % 67 == 0, F.lit(True)).when(sk % 109 != 0, F.col("is_current")),
     })
-    return faulty.unionByName(faulty.filter(sk % 83 == 0))
+    return faulty.withColumn("zone_dim_sk", F.when(sk % 131 != 0, sk)).unionByName(
+        faulty.filter(sk % 83 == 0))
+
+
+def _overlapping(dim: DataFrame) -> DataFrame:
+    """Every fifth version stays open for five more minutes, every eleventh for good."""
+    sk = F.col("zone_dim_sk")
+    more = F.col("effective_to") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(5))
+    return cut_lineage(dim.withColumn("effective_to", F.when(sk % 11 == 0, F.lit(None)).when(
+        sk % 5 == 0, more).otherwise(F.col("effective_to"))))
 
 
 def q_zone_seed(spark, sf_dir):
@@ -214,12 +269,12 @@ def q_scd2_approve_errors(spark, sf_dir):
 
 
 def q_scd2_rollback(spark, sf_dir):
-    dim = _upserted_dim(spark, sf_dir)
+    dim = _rollback_dim(_upserted_dim(spark, sf_dir))
     return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).dim
 
 
 def q_scd2_rollback_errors(spark, sf_dir):
-    dim = _upserted_dim(spark, sf_dir)
+    dim = _rollback_dim(_upserted_dim(spark, sf_dir))
     return rollback_versions(dim, _rollbacks(dim), td.ROLLBACK_AS_OF).errors
 
 
@@ -238,19 +293,93 @@ def q_zone_as_of(spark, sf_dir):
 
 
 def q_zone_as_of_scan(spark, sf_dir):
-    """G4 with the strategy used beyond the broadcast bound (as-of scan)."""
+    """G4 beyond the broadcast bound: join by location and time range, with
+    2,000 ranges at sf0.01."""
     dim = _upserted_dim(spark, sf_dir)
     return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts",
-                      strategy="scan")
+                      strategy="ranges", rows_per_chunk=MANY_RANGES)
+
+
+def q_zone_as_of_overlap(spark, sf_dir):
+    dim = _overlapping(_upserted_dim(spark, sf_dir))
+    return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts")
+
+
+def q_zone_as_of_overlap_ranges(spark, sf_dir):
+    dim = _overlapping(_upserted_dim(spark, sf_dir))
+    return zone_as_of(td.probe_trips(spark, sf_dir), dim, "location_id", "probe_ts",
+                      max_broadcast_rows=0, rows_per_chunk=MANY_RANGES)
+
+
+def q_scd2_upsert_errors(spark, sf_dir):
+    return _upsert(spark, sf_dir).errors
+
+
+def q_scd2_upsert_ranges(spark, sf_dir):
+    return upsert_zone_scd2(_base_dim(spark, sf_dir), td.zone_changes(spark, sf_dir),
+                            user=td.BATCH_USER, rows_per_chunk=MANY_RANGES,
+                            max_broadcast_rows=0).dim
+
+
+def q_trip_duration_ranges(spark, sf_dir):
+    t = td.event_trips(spark, sf_dir, rows_per_chunk=MANY_RANGES)
+    return t.withColumn("trip_duration_seconds", duration_seconds("pickup_ts", "dropoff_ts"))
+
+
+def q_fct_trips_shuffle(spark, sf_dir):
+    return build_fct_trips(td.curated_trips(spark, sf_dir), td.rate_master(spark, sf_dir),
+                           td.zone_master(spark, sf_dir), td.AS_OF, max_broadcast_rows=0)
+
+
+def q_dim_published(spark, sf_dir):
+    """Two governed batches (seed and upserts, then approvals), and the
+    newest snapshot read back."""
+    root = scratch_path(spark, f"dim_published/{uuid.uuid4().hex}")
+    apply_governed_batch(spark, root, td.AS_OF, zone_master=td.zone_master_for_dim(spark, sf_dir),
+                         upserts=td.zone_changes(spark, sf_dir), user=td.BATCH_USER, strict=False)
+    apply_governed_batch(spark, root, td.APPROVE_AS_OF,
+                         approvals=_approvals(read_latest(spark, root, ZONE_DIM)), strict=False)
+    return read_latest(spark, root, ZONE_DIM)
+
+
+def q_pipeline_run(spark, sf_dir):
+    """The results log after two pipeline runs, without the uuids."""
+    run = scratch_path(spark, f"pipeline_run/{uuid.uuid4().hex}")
+    for clock, who in ((RUN_1, "first run"), (RUN_2, "second run")):
+        run_pipeline(spark, td.curated_trips(spark, sf_dir), td.rate_master(spark, sf_dir),
+                     td.zone_master(spark, sf_dir), f"{run}/fact", f"{run}/log", td.AS_OF,
+                     run_by=who, run_ts=clock)
+    log = spark.read.schema(TEST_RESULTS).parquet(f"{run}/log")
+    return latest_test_results(log).select(
+        "test_name", "passed", "metric_value", "threshold", "details",
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"), "created_by")
+
+
+def q_audit_violations(spark, sf_dir):
+    """C8 over test rows that lost a name or a result."""
+    log = dq_test_rows(dq_metrics(_fct(spark, sf_dir)))
+    broken = log.withColumns({
+        "test_name": F.when(F.coalesce(F.col("threshold") != 1, F.lit(True)), F.col("test_name")),
+        "passed": F.when(~F.col("passed"), F.col("passed"))})
+    return audit_row_violations(broken).select("test_name", "passed", "details")
 
 
 def q_load_roundtrip(spark, sf_dir):
-    """Curated files under raw names -> load job -> staging snapshot, read back.
-    Files go to the shared checkpoint folder, one fresh folder per call."""
+    """Curated files under raw names and with other numeric types -> load job ->
+    staging snapshot, read back with its declared types; with the load time
+    and the row count that the load reported. Files go to the shared
+    checkpoint folder, one fresh folder per call."""
     run = scratch_path(spark, f"load_roundtrip/{uuid.uuid4().hex}")
-    td.raw_curated_trips(spark, sf_dir).write.parquet(f"{run}/curated")
+    raw = td.raw_curated_trips(spark, sf_dir)
+    renamed = {c.lower(): c for c in raw.columns}
+    raw = raw.withColumns({renamed[c]: F.col(renamed[c]).cast(kind) for c, kind in (
+        ("passenger_count", "double"), ("ratecodeid", "int"), ("payment_type", "double"),
+        ("vendorid", "bigint"))})
+    raw.write.parquet(f"{run}/curated")
     report = load_trips(spark, f"{run}/curated", f"{run}/staging", loaded_at=RUN_1)
-    return spark.read.parquet(report.target).drop("loaded_at")
+    staging = spark.read.schema(STAGING_TRIPS).parquet(report.target)
+    return staging.withColumns({"loaded_at": F.col("loaded_at").cast("timestamp_ntz"),
+                                "reported_rows": F.lit(report.rows).cast("long")})
 
 
 QUERIES: dict[str, Query] = {
@@ -279,6 +408,15 @@ QUERIES: dict[str, Query] = {
     "zone_as_of": q_zone_as_of,
     "zone_as_of_scan": q_zone_as_of_scan,
     "load_roundtrip": q_load_roundtrip,
+    "scd2_upsert_errors": q_scd2_upsert_errors,
+    "scd2_upsert_ranges": q_scd2_upsert_ranges,
+    "dim_published": q_dim_published,
+    "trip_duration_ranges": q_trip_duration_ranges,
+    "zone_as_of_overlap": q_zone_as_of_overlap,
+    "zone_as_of_overlap_ranges": q_zone_as_of_overlap_ranges,
+    "fct_trips_shuffle": q_fct_trips_shuffle,
+    "pipeline_run": q_pipeline_run,
+    "audit_violations": q_audit_violations,
 }
 
 __all__ = ["QUERIES"]

@@ -45,6 +45,7 @@ def _f(name, dtype, nullable=True):
     return T.StructField(name, dtype, nullable)
 
 
+# --- fixed values: table definitions (names, order, types, NOT NULL) -----------
 CURATED_TRIPS = T.StructType([
     _f("vendorid", _I), _f("tpep_pickup_datetime", _TS), _f("tpep_dropoff_datetime", _TS),
     _f("passenger_count", _L), _f("trip_distance", _D), _f("ratecodeid", _L),
@@ -70,7 +71,7 @@ ZONE_MASTER = T.StructType([
     _f("effective_to", _TS), _f("updated_at", _TS), _f("created_at", _TS),
 ])
 
-# Fact columns in table order, without the load time.
+# --- fixed values: fact columns in table order, without the load time.
 FACT_COLUMNS = [
     "vendor_id", "pickup_ts", "dropoff_ts", "trip_duration_seconds",
     "passenger_count", "trip_distance",
@@ -104,7 +105,7 @@ TEST_RESULTS = T.StructType([
     _f("created_at", T.TimestampType(), False), _f("created_by", _S, False),
 ])
 
-# Zone dimension columns in table order. Time columns are zone-less here so
+# --- fixed values: zone dimension columns in table order. Time columns are zone-less here so
 # that the same snapshot compares equal across engines; the reference uses
 # timestamptz, which a reader can cast to if needed.
 ZONE_DIM_COLUMNS = [
@@ -122,7 +123,7 @@ ZONE_DIM = T.StructType([
     _f("approved_by", _S),
 ])
 
-# Column order of the version-history report (differs from table order).
+# --- fixed values: column order of the version-history report (differs from table order).
 HISTORY_COLUMNS = [
     "zone_dim_sk", "location_id", "borough", "zone", "service_zone", "version_number",
     "record_status", "effective_from", "effective_to", "is_current", "created_by",
@@ -139,6 +140,7 @@ UPSERT_REQUESTS = T.StructType([
     _f("change_source", _S), _f("changed_at", _TS),
 ])
 
+# ``seq`` is the call order; a batch without it must not repeat a key.
 APPROVE_REQUESTS = T.StructType([
     _f("zone_dim_sk", _L), _f("approved_by", _S), _f("reason", _S),
 ])

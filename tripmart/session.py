@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +54,20 @@ def get_spark(master: str | None = None, app_name: str = "tripmart",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in unit tests on one machine, a private temporary folder is used.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only a master on
+    this machine (``local``, ``local[n]``) may do without: it gets a private
+    temporary folder. Anywhere else executors would each write a disk of their
+    own, so an unset folder is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of "
+                               f"{master} share")
         configured = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -71,6 +79,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name.strip("/")
 
 
+_cuts: ContextVar[list[str] | None] = ContextVar("tripmart_cuts", default=None)
+
+
+@contextmanager
+def removing_cuts(spark: SparkSession):
+    """Delete the tables that ``cut_lineage`` writes inside the block when it
+    ends. For jobs that publish their result before that; a block inside
+    another leaves its tables to the outer one."""
+    if _cuts.get() is not None:
+        yield
+        return
+    made: list[str] = []
+    token = _cuts.set(made)
+    try:
+        yield
+    finally:
+        _cuts.reset(token)
+        jvm = spark.sparkContext._jvm
+        for made_path in made:
+            path = jvm.org.apache.hadoop.fs.Path(made_path)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def cut_lineage(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
@@ -79,9 +109,12 @@ def cut_lineage(df: DataFrame, name: str = "intermediate") -> DataFrame:
 
     A plain reliable ``checkpoint()`` would compute the plan twice (once to
     count, once to write); a local checkpoint would not survive a lost
-    executor, so neither is used.
+    executor, so neither is used. The table lives as long as the checkpoint
+    folder, or until the end of a ``removing_cuts`` block.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    if _cuts.get() is not None:
+        _cuts.get().append(path)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
 """K1-K7: sinks. Tables are directories of immutable snapshots.
 
 A table root holds ``snapshot=<n>/`` directories; a snapshot is complete when
-Spark's ``_SUCCESS`` marker is in it, and readers take the highest complete
-one. Writing a new snapshot never touches the one being read, so a full
+our own ``_COMPLETE`` marker is in it, written last (Spark's ``_SUCCESS`` depends
+on the committer and its settings), and readers take the highest complete
+one. A root with snapshots of which none is complete is an error, never an
+empty table. Writing a new snapshot never touches the one being read, so a full
 refresh is atomic for readers (the reference's TRUNCATE + INSERT in one
 transaction), and a failed or repeated job leaves the previous snapshot as
 the current one. The filesystem is reached through Spark's Hadoop
@@ -15,6 +17,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SNAPSHOT_PREFIX = "snapshot="
+COMPLETE_MARKER = "_COMPLETE"
+
+
+class SnapshotError(RuntimeError):
+    """A table root holds snapshots, but none that is complete."""
 
 
 def _fs(spark: SparkSession, root: str):
@@ -23,13 +30,13 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def list_snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Ids of complete snapshots under ``root``, ascending."""
+def _snapshots(spark: SparkSession, root: str) -> dict[int, bool]:
+    """Ids of the snapshots under ``root``, each with whether it is complete."""
     fs, path = _fs(spark, root)
     if not fs.exists(path):
-        return []
+        return {}
     jvm = spark.sparkContext._jvm
-    ids = []
+    found = {}
     for status in fs.listStatus(path):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith(SNAPSHOT_PREFIX):
@@ -37,9 +44,19 @@ def list_snapshots(spark: SparkSession, root: str) -> list[int]:
                 n = int(name[len(SNAPSHOT_PREFIX):])
             except ValueError:
                 continue
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                ids.append(n)
-    return sorted(ids)
+            found[n] = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), COMPLETE_MARKER))
+    return found
+
+
+def list_snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Ids of complete snapshots under ``root``, ascending. Raises if there are
+    snapshots but no complete one."""
+    found = _snapshots(spark, root)
+    complete = sorted(n for n, whole in found.items() if whole)
+    if found and not complete:
+        raise SnapshotError(f"{root} holds {len(found)} snapshots without {COMPLETE_MARKER}; "
+                            "restore one, or remove them to start anew")
+    return complete
 
 
 def snapshot_path(root: str, snapshot_id: int) -> str:
@@ -66,14 +83,8 @@ def publish_snapshot(df: DataFrame, root: str, count_rows: bool = True) -> tuple
     not by a second job over the data.
     """
     spark = df.sparkSession
-    ids = list_snapshots(spark, root)
-    fs, _ = _fs(spark, root)
-    next_id = (ids[-1] + 1) if ids else 1
-    # Skip ids left behind by failed writes (directory without _SUCCESS).
-    while fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            snapshot_path(root, next_id))):
-        next_id += 1
-    path = snapshot_path(root, next_id)
+    # Ids left behind by failed writes are not used again.
+    path = snapshot_path(root, max(_snapshots(spark, root), default=0) + 1)
     rows = None
     if count_rows:
         obs = Observation("published_rows")
@@ -81,6 +92,8 @@ def publish_snapshot(df: DataFrame, root: str, count_rows: bool = True) -> tuple
     df.write.mode("errorifexists").parquet(path)
     if count_rows:
         rows = obs.get["rows"]
+    fs, _ = _fs(spark, root)
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, COMPLETE_MARKER)).close()
     return path, rows
 
 

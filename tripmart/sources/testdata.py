@@ -122,31 +122,37 @@ def zone_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_changes(spark: SparkSession, sf_dir: str, key_modulus: int = 40) -> DataFrame:
     """Upsert requests from ``customer``. 40 keys are skewed on purpose; a
-    wide modulus (e.g. 5000) spreads them for benchmarking."""
+    wide modulus (e.g. 5000) spreads them for benchmarking. ``seq`` starts
+    anew in each location; some requests share a seq, come late, or lack seq,
+    location or time."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
+    turn = F.floor(k / key_modulus).cast("long")
     return c.select(
-        k.alias("seq"),
-        (k % key_modulus).cast("int").alias("location_id"),
-        F.lit("B").alias("borough"),
+        F.when(k % 223 == 0, F.lit(None)).when(k % 97 == 0, turn + 1).otherwise(turn).alias("seq"),
+        F.when(k % 211 != 0, k % key_modulus).cast("int").alias("location_id"),
+        F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, F.lit("")).otherwise(F.lit("B"))
+        .alias("borough"),
         F.when(seg == "BUILDING", F.lit(None)).when(seg == "MACHINERY", F.lit(""))
         .otherwise(seg).alias("zone"),
-        F.lit(None).cast("string").alias("service_zone"),
+        F.when(k % 23 == 0, F.lit("S")).when(k % 5 == 0, F.lit("")).alias("service_zone"),
         _null_if(k % 3 == 0, F.lit("analyst")).alias("created_by"),
         F.concat(F.lit("change "), k.cast("string")).alias("change_reason"),
         F.lit("customer_feed").alias("change_source"),
-        _add_seconds(_ts(CHANGES_START), k).alias("changed_at"),
+        _null_if(k % 227 == 0, _add_seconds(_ts(CHANGES_START),
+                                            F.when(k % 29 == 0, k - 200).otherwise(k)))
+        .alias("changed_at"),
     )
 
 
-def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_trips(spark: SparkSession, sf_dir: str, **ranges) -> DataFrame:
     """Sub-second trips: pickup = event time, dropoff = the user's next event."""
     from tripmart.operators.sequence import next_in_key
 
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     nxt = next_in_key(ev, key="user_id", order=["ts", "event_id"], value="ts",
-                      out="dropoff_ts")
+                      out="dropoff_ts", **ranges)
     return nxt.select("event_id", "user_id", F.col("ts").alias("pickup_ts"), "dropoff_ts")
 
 
