@@ -78,6 +78,14 @@ class Block:
         low = np.iinfo(np.int64).min
         return np.array([low if i is None else i for i in self.ids], np.int64)
 
+    def only(self, docs: list[int]) -> "Block":
+        """A block of some of the documents."""
+        sizes = (self.ends - self.starts)[docs] if docs else np.zeros(0, np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        data = [self.data[self.starts[d]:self.ends[d] + 1] for d in docs]
+        return Block(self.number, [self.ids[d] for d in docs],
+                     np.concatenate([*data, np.zeros(0, np.uint8)]), ends - sizes, ends)
+
 
 def _open_block(number: int, payload) -> Block:
     table = unpack(payload)
@@ -236,16 +244,19 @@ def byte_codes(data: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64)]
+_RATIO = int(_M[4]) | 3  # odd, so that it has an inverse modulo 2^64
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> np.ndarray:
-    if len(_POWERS[0]) < n:
-        size = max(n, 1024)
-        factors = np.full(size, _M[4] & ~np.uint64(4) | np.uint64(3), np.uint64)
-        factors[0] = 1
-        _POWERS[0] = np.cumprod(factors, dtype=np.uint64)
-    return _POWERS[0]
+def _power_tables(n: int) -> list[np.ndarray]:
+    """The powers 0..n-1 of the ratio and of its inverse; a worker keeps them."""
+    if len(_powers[0]) < n:
+        size = max(n, BLOCK_BYTES + BLOCK_BYTES // 4)
+        for k, factor in enumerate((_RATIO, pow(_RATIO, -1, 1 << 64))):
+            steps = np.full(size, factor, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    return _powers
 
 
 @dataclass
@@ -268,10 +279,12 @@ def words_of(block: Block, data: np.ndarray | None = None) -> Words:
     doc = np.repeat(np.arange(len(block.ids)), np.diff(first))
     if not len(start):
         return Words(start, end, doc, first, np.zeros(0, np.uint64))
-    place = np.arange(start[0], end[-1]) - np.repeat(start, np.diff(start, append=end[-1]))
-    value = _BYTE[data[start[0]:end[-1]]] * _powers(int(place.max()) + 1)[place]
-    value[~inside[start[0]:end[-1]]] = 0
-    code = mix(np.add.reduceat(value, start - start[0]))
+    # Sum of byte codes times powers of their place in the word: a difference of
+    # prefix sums, brought back to the word's start.
+    power, inverse = _power_tables(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:len(data)], dtype=np.uint64, out=sums[1:])
+    code = mix((sums[end] - sums[start]) * inverse[start])
     return Words(start, end, doc, first, code)
 
 

@@ -56,6 +56,8 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_in(sorted_values: np.ndarray) -> np.ndarray:
     """Mask of values that have an equal neighbour."""
+    if not len(sorted_values):
+        return np.zeros(0, bool)
     same = sorted_values[1:] == sorted_values[:-1]
     return np.concatenate([[False], same]) | np.concatenate([same, [False]])
 

@@ -72,14 +72,16 @@ class Sets:
         hashes = window_hashes(words.code, 1, 2, 3, SHINGLE)
         whole = np.arange(len(hashes[-1]))
         whole = whole[words.first[words.doc[whole] + 1] - whole >= SHINGLE]
-        doc, token = [words.doc[whole]], [hashes[-1][whole]]
-        for size in range(1, SHINGLE):
+        doc, token = words.doc[whole], hashes[-1][whole]
+        bounds = np.searchsorted(doc, np.arange(n + 1)).tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            token[a:b].sort()
+        for size in range(1, SHINGLE):  # under four words: the whole sequence
             short = np.flatnonzero(count == size)
-            doc.append(short)
-            token.append(mix(hashes[size - 1][words.first[short]] + np.uint64(size)))
-        doc, token = np.concatenate(doc), np.concatenate(token)
-        order = np.lexsort((token, doc))
-        doc, token = doc[order], token[order]
+            at = np.searchsorted(doc, short)
+            doc = np.insert(doc, at, short)
+            token = np.insert(token, at, mix(hashes[size - 1][words.first[short]]
+                                             + np.uint64(size)))
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])
         self.doc, self.token = doc[new], token[new]
@@ -304,12 +306,17 @@ def _candidates(blocks, payloads):
 
 def _send_sets(parts: int, group: int):
     def message(block: Block, got):
+        calls = {x["id"] for x in got}
+        block = block.only([d for d, i in enumerate(block.ids)
+                            if (_NO_ID if i is None else i) in calls])
+        if not block.ids:
+            return
         sets = Sets(block)
-        places: dict[int, np.ndarray] = {}
+        places: dict[int, int] = {}
         for d in np.flatnonzero(sets.own & (sets.size > 0))[::-1].tolist():
             places[int(sets.ids[d])] = d
-        rows = [(x["id"], x["component"], x["n"]) for x in got]
-        rows = [(places[i], c, -(-n // group)) for i, c, n in rows if i in places]
+        rows = [(places[x["id"]], x["component"], -(-x["n"] // group)) for x in got
+                if x["id"] in places]
         if not rows:
             return
         doc, component, slices = (np.array(x, np.int64) for x in zip(*rows))
@@ -436,15 +443,18 @@ def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GRO
     counts = verified.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     result = cut_lineage(linked.join(counts, "id"), "components")
     # every block that holds a class asks for the class's component
-    holders = homes.union(blocks.finish(_class_ids, "id long, block long", classes)).distinct()
+    holders = homes.union(classes.mapInArrow(_class_ids, "id long, block long")).distinct()
     found = holders.join(result, "id").select("block", F.struct("id", "component", "n")
                                               .alias("payload"))
     return blocks.finish(_rows, "doc_id long, n_shingles long, component_id long, class_id long, "
                          "n_links long", classes, found)
 
 
-def _class_ids(block: Block, got) -> pa.RecordBatch:
-    ids = [i for i, mine in _classes(got).values() if not mine]
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
-                                       pa.array([block.number] * len(ids), pa.int64())],
-                                      ["id", "block"])
+def _class_ids(batches):
+    """Classes that a block holds copies of."""
+    for batch in batches:
+        rows = [(i, block) for block, payload in zip(batch.column(0).to_pylist(), batch.column(1))
+                for i, mine in _classes([payload.as_buffer()]).values() if not mine]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                             ["id", "block"])
