@@ -58,9 +58,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digests of a decoding round trip."""
-    tokens = bpe.tokenizer(shared_vocabulary(spark))
-    return (docs.select("doc_id", "source", "lang", tokens(F.col("text")).alias("t"))
-            .select("doc_id", "source", "lang", "t.*"))
+    return bpe.tokenize(docs, shared_vocabulary(spark), ["doc_id", "source", "lang"])
 
 
 STAGES = [

@@ -22,9 +22,11 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.llm.shipping import ship_package
 
@@ -35,6 +37,8 @@ CACHE_STRETCHES = 400_000
 CACHE_BYTES = 64
 #: Characters whose unknown pieces are merged together.
 LEARN_CHARS = 1 << 20
+#: Rows that tokenize() sends back at a time.
+SLICE_ROWS = 500
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -62,6 +66,9 @@ class PairRanks:
         self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.values = np.append(np.array(values, np.int64)[order], -1)
         self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        # one object per id, shared by all that is remembered
+        self.ids = np.empty(max(ranks.values(), default=0) + 1, object)
+        self.ids[:] = range(len(self.ids))
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merged pair, -1 if it has none."""
@@ -142,7 +149,7 @@ def _merge_side_by_side(pieces: list[bytes], bits: int, pairs: PairRanks):
             for r, k in nodes:
                 flat[r + k] = np.minimum(flat[r + 2 * k], flat[r + 2 * k + 1])
         row = row[flat[root + 1] != none]
-    ids = symbol[live].tolist()
+    ids = pairs.ids[symbol[live]].tolist()
     end = np.cumsum(live.sum(1)).tolist()
     return [tuple(ids[a:b]) for a, b in zip([0, *end], end)]
 
@@ -192,7 +199,7 @@ class ByteBpe:
                 if own is None:
                     new.append((x, data))
                     continue
-                ids = (own,)
+                ids = (self.pairs.ids[own],)
             got[x] = ids
         for (x, data), ids in zip(new, merge_pieces([d for _, d in new], self.pairs)):
             got[x] = ids
@@ -322,23 +329,37 @@ def decoder(shared):
     @F.pandas_udf("binary")
     def decode(ids: pd.Series) -> pd.Series:
         bpe = _encoder(shared)
-        return pd.Series([bpe.decode([] if x is None else x.tolist()) for x in ids])
+        return pd.Series([bpe.decode([] if x is None else list(x)) for x in ids])
 
     return decode
 
 
-def tokenizer(shared):
-    """Column function: text -> the ids themselves with the fields of round_trip()."""
+def tokenize(docs: DataFrame, shared, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of each row, its token ids and the fields of
+    round_trip(). Rows go back a slice at a time, so what a task holds does not
+    grow with its batches."""
+    kept = T.StructType([docs.schema[c] for c in keep])
+    schema = T.StructType(kept.fields + [
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType())])
 
-    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def tokens(texts: pd.Series) -> pd.DataFrame:
+    def run(batches):
         bpe = _encoder(shared)
-        with _no_collector():
-            rows = [(np.array(ids, np.int32), *_digests(bpe, ids)) for ids in
-                    bpe.encode_all(texts.where(texts.notna(), None).tolist())]
-        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return tokens
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = part.column(part.num_columns - 1).to_pylist()
+                with _no_collector():
+                    ids = list(bpe.encode_all(texts))
+                    digests = list(zip(*[_digests(bpe, x) for x in ids]))
+                flat = np.fromiter(chain.from_iterable(ids), np.int32)
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.ListArray.from_arrays(ends, flat),
+                     *map(pa.array, digests)], [f.name for f in schema.fields])
+
+    return docs.select(*[docs[c] for c in keep], docs[text_col]).mapInArrow(run, schema)
 
 
 def _digests(bpe: ByteBpe, ids: list[int]) -> tuple[int, str, str]:

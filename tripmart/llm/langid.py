@@ -45,12 +45,13 @@ def _letter_table() -> np.ndarray:
 def ngram_buckets(texts: list[str], orders=ORDERS, buckets: int = BUCKETS):
     """(bucket of every n-gram, document of every n-gram, letters per document).
 
-    Texts are lower-cased, every run of other characters than letters counts
-    as spaces; n-grams don't cross documents or consist of a space alone.
+    Texts are lower-cased and end with a space; other characters than letters
+    count as spaces. N-grams hold a letter and don't cross documents.
     """
     texts = [t.lower() for t in texts]
-    codes = np.frombuffer(" ".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    doc = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[:len(codes)]
+    codes = np.frombuffer("".join(t + " " for t in texts).encode("utf-32-le", "replace"),
+                          np.uint32)
+    doc = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
     letter = _letter_table()[codes]
     codes = np.where(letter, codes, np.uint32(32))
     letters = np.bincount(doc[letter], minlength=len(texts))
