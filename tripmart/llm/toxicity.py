@@ -38,10 +38,12 @@ LEXICON = {
 #: Labelled documents that are learned from, and features that are kept.
 SAMPLE = 8000
 FEATURES = 3000
-#: A feature must be in this many documents of the sample.
+#: A feature must be in this many documents of the sample, and so far from
+#: chance (chi-squared with one degree of freedom).
 LEAST_DOCUMENTS = 3
+LEAST_CHI_SQUARED = 20.0
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.35
 _PREFIXES = (4, 5)
 _word = re.compile(r"\w+").findall
 
@@ -69,7 +71,7 @@ class Linear:
 
 
 def fit_linear(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, size: int,
-               steps: int = 250, rate: float = 0.05, decay: float = 3e-4) -> Linear:
+               steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> Linear:
     """Adam on the mean log loss with a little weight decay; no randomness."""
     lengths = np.array([len(r) for r in rows])
     index = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
@@ -131,7 +133,7 @@ def _screen(found: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     score = (k - n * base) ** 2 / np.maximum(n * base * (1 - base) * (1 - n / (len(y) + 1)), 1e-9)
     score[n < LEAST_DOCUMENTS] = -1
     best = np.argsort(-score, kind="stable")[:FEATURES]
-    return np.sort(names[best[score[best] >= 0]])
+    return np.sort(names[best[score[best] >= LEAST_CHI_SQUARED]])
 
 
 def fit_chain(texts: list[str | None], toxic: list[int], folds: int = FOLDS) -> ChainModel:
