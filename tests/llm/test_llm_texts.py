@@ -45,7 +45,9 @@ def test_divergence_drops_junk_and_keeps_prose(spark):
 def test_jensen_shannon(spark):
     df = spark.createDataFrame([([1, 1], [2, 2], [0, 5], [0, 0])], "a array<long>, b array<long>, "
                                "c array<long>, z array<long>")
-    js = divergence.jensen_shannon
+    def js(a, b):
+        return divergence.jensen_shannon(a, b, divergence.total(a), divergence.total(b))
+
     r = df.select(js(F.col("a"), F.col("b")).alias("same"), js(F.col("a"), F.col("c")).alias("far"),
                   js(F.array(F.lit(1), F.lit(0)), F.col("c")).alias("apart"),
                   js(F.col("a"), F.col("z")).alias("none")).first()

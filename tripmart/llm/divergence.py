@@ -133,22 +133,22 @@ def _entropy_term(p: Column, m: Column) -> Column:
     return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
 
 
-def jensen_shannon(a: Column, b: Column) -> Column:
-    """Distance of two histograms (arrays of counts of one length); NULL if one
-    is empty."""
-    def total(x: Column) -> Column:
-        return F.aggregate(x, F.lit(0.0), lambda s, v: s + v.cast("double"))
+def total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0.0), lambda s, v: s + v.cast("double"))
 
-    pairs = F.arrays_zip(a.alias("p"), b.alias("q"))
-    na, nb = total(a), total(b)
 
+def jensen_shannon(a: Column, b: Column, total_a: Column, total_b: Column) -> Column:
+    """Distance of two histograms (arrays of counts of one length) with their
+    totals; NULL if one is empty. The totals should be columns: inside, they
+    are read once per cell."""
     def term(x: Column) -> Column:
-        p, q = x["p"] / na, x["q"] / nb
+        p, q = x["p"] / total_a, x["q"] / total_b
         m = (p + q) / 2
         return (_entropy_term(p, m) + _entropy_term(q, m)) / 2
 
+    pairs = F.arrays_zip(a.alias("p"), b.alias("q"))
     divergence = F.aggregate(F.transform(pairs, term), F.lit(0.0), lambda s, v: s + v)
-    return F.when((na > 0) & (nb > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+    return F.when((total_a > 0) & (total_b > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
 def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
@@ -164,12 +164,15 @@ def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
                                        _sums("word_counts", len(some) + 1).alias("all_words")))
     # at most one row per word list above
     rows = rows.join(F.broadcast(references), "lang", "left")
-    chars = F.aggregate("char_counts", F.lit(0), lambda s, v: s + v)
+    rows = rows.withColumns({"chars": total(F.col("char_counts")),
+                             "words": total(F.col("word_counts")),
+                             "ref_chars": total(F.col("all_chars")),
+                             "ref_words": total(F.col("all_words"))})
     rows = rows.withColumns({
-        "char_distance": F.when(chars >= LEAST_CHARS, jensen_shannon(F.col("char_counts"),
-                                                                     F.col("all_chars"))),
-        "word_distance": F.when(F.col("n_words") >= LEAST_COMPARED, jensen_shannon(F.col("word_counts"),
-                                                                      F.col("all_words")))})
+        "char_distance": F.when(F.col("chars") >= LEAST_CHARS, jensen_shannon(
+            F.col("char_counts"), F.col("all_chars"), F.col("chars"), F.col("ref_chars"))),
+        "word_distance": F.when(F.col("n_words") >= LEAST_COMPARED, jensen_shannon(
+            F.col("word_counts"), F.col("all_words"), F.col("words"), F.col("ref_words")))})
     like = (F.coalesce(F.col("char_distance") <= char_limit, F.lit(True))
             & F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
