@@ -187,6 +187,10 @@ class ByteBpe:
         self.pairs = PairRanks(ranks)
         self.pieces, self.stretches = Memory(CACHE_PIECES), Memory(CACHE_STRETCHES)
 
+    def forget(self) -> None:
+        """Give back what is remembered; it is learned anew as needed."""
+        self.pieces, self.stretches = Memory(CACHE_PIECES), Memory(CACHE_STRETCHES)
+
     def _ids(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each piece; those that are new are merged all at once."""
         got, new = {}, []
@@ -358,6 +362,8 @@ def tokenize(docs: DataFrame, shared, keep: list[str], text_col: str = "text") -
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.ListArray.from_arrays(ends, flat),
                      *map(pa.array, digests)], [f.name for f in schema.fields])
+        # in a pipeline the worker goes on to other work
+        bpe.forget()
 
     return docs.select(*[docs[c] for c in keep], docs[text_col]).mapInArrow(run, schema)
 
