@@ -3,8 +3,9 @@
 Usage: python tests/plan_report.py [sf_dir]
 Per query: shuffle exchanges, broadcast exchanges, reused exchanges, window
 operators, and any nested-loop / cartesian join or Python evaluation (should
-be none). Counts are of the final query only, not of the small helper jobs
-(quantiles, key offsets, size checks) that ran while it was built.
+be none). These counts are of the last step only; "built by" is the number of jobs
+(written intermediate tables, quantiles, size checks) that ran while the
+DataFrame was built, "jobs" the number in all.
 """
 
 from __future__ import annotations
@@ -35,18 +36,21 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from tripmart.plans.registry import QUERIES
     from tripmart.session import checkpoint_dir, get_spark
 
     spark = get_spark("local[8]", shuffle_partitions=8)
     checkpoint_dir(spark)
-    print(f"{'query':26s} shuffle broadcast reused window nlj/cart/python")
-    for name, fn in entry.queries().items():
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    print(f"{'query':26s} shuffle broadcast reused window nlj/cart/python built by  jobs")
+    for name, fn in QUERIES.items():
+        spark.sparkContext.setJobGroup(name, name)
         df = fn(spark, sf_dir)
+        built = len(jobs(name))
         df.collect()
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         print(f"{name:26s} {s['shuffle']:7d} {s['broadcast']:9d} {s['reused']:6d} "
-              f"{s['window']:6d} {s['bad']:5d}")
+              f"{s['window']:6d} {s['bad']:15d} {built:8d} {len(jobs(name)):5d}")
 
 
 if __name__ == "__main__":
