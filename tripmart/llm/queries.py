@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and their SQL.
+"""The registered queries of this subpackage (their SQL is in ``oracle_sql``).
 
 Each query applies one operator, with its production parameters, to a whole
 table and returns its full result.
@@ -15,6 +15,7 @@ from tripmart.llm import bpe, exact_dedup, langid, mixing, warc
 from tripmart.llm.cover_dedup import cover_dedup
 from tripmart.llm.divergence import quality_rules
 from tripmart.llm.ngram_join import ngram_join
+from tripmart.llm.oracle_sql import ORACLE_SQL
 from tripmart.llm.suffix_dedup import suffix_dedup
 from tripmart.llm.toxicity import toxicity_chain, train as train_toxicity
 from tripmart.session import scratch_path
@@ -31,7 +32,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_table(spark, sf_dir, "documents"))
+    rows = quality_rules(_table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,77 +109,4 @@ QUERIES = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-# DuckDB SQL. The digest query deletes the characters [\x20\x09-\x0D].
-_OP6 = r"""
-WITH d AS (
-  SELECT doc_id, COALESCE(length(text), 0) AS n,
-         sha256(regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
-  FROM documents)
-SELECT doc_id,
-       first_value(doc_id) OVER w AS keep_id,
-       count(*) OVER (PARTITION BY text_sha256) AS group_size,
-       row_number() OVER w = 1 AS kept,
-       text_sha256
-FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
-"""
-
-# Sources whose share is above their bound settle at the bound and leave the
-# round; the recursion ends when no share is above.
-_OP3 = r"""
-WITH RECURSIVE s AS (
-  SELECT doc_id, source, md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS k,
-         CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
-  FROM documents),
-per AS (
-  SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
-         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
-           WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
-  FROM s GROUP BY source),
-fill AS (
-  SELECT 0 AS step, list(struct_pack(w := weight, cap := 2.0::DOUBLE * source_size)) AS open,
-         1.5::DOUBLE * SUM(source_size) AS budget FROM per
-  UNION ALL
-  SELECT step + 1,
-         list_filter(open, lambda x: x.cap * list_sum(list_transform(open, lambda y: y.w)) > budget * x.w),
-         budget - COALESCE(list_sum(list_transform(list_filter(open,
-           lambda x: x.cap * list_sum(list_transform(open, lambda y: y.w)) <= budget * x.w), lambda x: x.cap)), 0)
-  FROM fill
-  WHERE len(list_filter(open,
-        lambda x: x.cap * list_sum(list_transform(open, lambda y: y.w)) <= budget * x.w)) > 0),
-settled AS (SELECT budget / list_sum(list_transform(open, lambda y: y.w)) AS level
-            FROM fill ORDER BY step DESC LIMIT 1),
-t AS (
-  SELECT per.*, LEAST(2.0::DOUBLE * source_size, COALESCE(level * weight, 2.0::DOUBLE * source_size))
-         AS target
-  FROM per, settled),
-o AS (
-  SELECT s.*, t.source_size, t.target,
-         CAST(COALESCE(SUM(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
-  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, source, size, source_size, target,
-       GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - "offset"))
-     + GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - "offset" - source_size)) AS taken,
-       "offset"
-FROM o
-"""
-
-_OP7 = """
-WITH p AS (
-  SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes,
-         sha1(COALESCE(html, '')) AS payload_digest FROM pages),
-g AS (
-  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id,
-         payload_bytes >= 1000 AND page_id < max(page_id) OVER (PARTITION BY payload_digest) AS copy
-  FROM p)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN copy THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN copy THEN last_id END AS refers_to
-FROM g
-"""
-
-ORACLE_SQL = {
-    "op3_curriculum_mix": _OP3,
-    "op6_digest_index": _OP6,
-    "op7_warc_round_trip": _OP7,
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]
