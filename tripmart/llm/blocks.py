@@ -207,12 +207,14 @@ _BYTE = (np.arange(1, 257, dtype=np.uint64) * _M[0]) ^ (np.arange(1, 257, dtype=
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of every number, in place."""
-    x ^= x >> np.uint64(31)
-    x *= _M[1]
-    x ^= x >> np.uint64(29)
-    x *= _M[3]
-    x ^= x >> np.uint64(32)
+    """Spread the bits of every number, in place, a cache-sized piece at a time."""
+    for k in range(0, len(x), 1 << 15):
+        part = x[k:k + (1 << 15)]
+        part ^= part >> np.uint64(31)
+        part *= _M[1]
+        part ^= part >> np.uint64(29)
+        part *= _M[3]
+        part ^= part >> np.uint64(32)
     return x
 
 
@@ -238,10 +240,6 @@ def window_hashes(base: np.ndarray, *lengths: int) -> list[np.ndarray]:
     return out
 
 
-def byte_codes(data: np.ndarray) -> np.ndarray:
-    return _BYTE[data]
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _RATIO = int(_M[4]) | 3  # odd, so that it has an inverse modulo 2^64
@@ -259,6 +257,28 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of byte codes times powers of their place, and the inverse powers: a
+    difference of two sums, times the inverse at its start, depends only on the
+    bytes between."""
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:len(data)], dtype=np.uint64, out=sums[1:])
+    return sums, inverse
+
+
+def byte_window_hashes(data: np.ndarray, *lengths: int) -> list[np.ndarray]:
+    """Hash of ``data[i:i + n]`` at every i where it fits, for each n."""
+    sums, inverse = _prefix_sums(data)
+    out = []
+    for n in lengths:
+        size = max(0, len(data) - n + 1)
+        h = sums[n:n + size] - sums[:size]
+        h *= inverse[:size]
+        out.append(mix(h))
+    return out
+
+
 @dataclass
 class Words:
     """Maximal runs of other bytes than [\x20\x09-\x0D], with their hashes."""
@@ -279,11 +299,7 @@ def words_of(block: Block, data: np.ndarray | None = None) -> Words:
     doc = np.repeat(np.arange(len(block.ids)), np.diff(first))
     if not len(start):
         return Words(start, end, doc, first, np.zeros(0, np.uint64))
-    # Sum of byte codes times powers of their place in the word: a difference of
-    # prefix sums, brought back to the word's start.
-    power, inverse = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:len(data)], dtype=np.uint64, out=sums[1:])
+    sums, inverse = _prefix_sums(data)
     code = mix((sums[end] - sums[start]) * inverse[start])
     return Words(start, end, doc, first, code)
 

@@ -34,13 +34,12 @@ from pyspark.sql import DataFrame
 from tripmart.llm.blocks import (
     BLOCK_BYTES,
     Block,
-    byte_codes,
+    byte_window_hashes,
     joined,
     mix,
     pack,
     split_by_part,
     unpack,
-    window_hashes,
     write_blocks,
 )
 from tripmart.llm.cover_dedup import answer_per_block, repeated_in
@@ -59,7 +58,7 @@ class Runs:
     """Maximal runs of neighbouring windows with the same anchor."""
 
     def __init__(self, block: Block):
-        grams, window = window_hashes(byte_codes(block.data), GRAM, WINDOW)
+        grams, window = byte_window_hashes(block.data, GRAM, WINDOW)
         low = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
         least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         span, have = WINDOW - GRAM + 1, 1  # windows see this many grams
