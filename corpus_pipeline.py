@@ -19,6 +19,9 @@ from tripmart.session import cut_lineage, scratch_path
 
 #: A language is taken from this posterior probability on.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Near copies: words of a shingle, and Jaccard similarity in percent.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     unnamed = F.lit(1 << 62) + F.xxhash64("text", "source", "lang").bitwiseAND(
         F.lit((1 << 62) - 1))
     key = F.coalesce(F.col("doc_id").cast("long"), unnamed)
-    groups = ngram_join(docs.select(key.alias("doc_id"), "text"))
+    groups = ngram_join(docs.select(key.alias("doc_id"), "text"), shingle=NEAR_SHINGLE,
+                        percent=NEAR_PERCENT)
     stay = groups.filter(F.col("doc_id") == F.col("component_id")).select(
         F.col("doc_id").alias("stay_id")).distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"),

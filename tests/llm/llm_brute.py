@@ -42,16 +42,16 @@ def cover_dedup(rows, length=20):
     return out
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    if len(w) < 4:
+    if len(w) < size:
         return {tuple(w)} if w else set()
-    return set(zip(w, w[1:], w[2:], w[3:]))
+    return set(zip(*(w[k:] for k in range(size))))
 
 
-def ngram_join(rows):
+def ngram_join(rows, shingle=4, percent=85):
     """{doc_id: (set size, component, links to different sets)}; unique ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, shingle) for i, t in rows}
     parent = {i: i for i in sets}
     links = {i: set() for i in sets}
 
@@ -64,7 +64,7 @@ def ngram_join(rows):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
                 if sets[a] != sets[b]:

@@ -1,5 +1,6 @@
 """Ops 3, 6 and 7, the SQL of the queries, and the pipeline."""
 
+import random
 import uuid
 
 import pytest
@@ -174,6 +175,27 @@ def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     assert all(len(r.ids) == r.n_tokens for r in tokens)
 
 
+def test_near_stage_takes_five_words_and_80_percent(spark):
+    rng = random.Random(6)
+    base = [f"t{i}" for i in range(204)]  # 200 shingles of five words
+    def changed(n):  # n words at the end replaced: n shingles fewer in common
+        return " ".join(base[:len(base) - n] + [f"z{n}x{i}" for i in range(n)])
+    # 178/222 = 0.8018 links (not with 85 percent), 177/223 = 0.7937 does not
+    pairs = [(500, " ".join(base)), (501, changed(22)), (502, " ".join(["u"] + base[:181]
+             + [f"y{i}" for i in range(23)])), (510, "a b c d"), (511, "A b  c d"), (512, "a b c e")]
+    for i, text in llm_data.corpus(7, 60):
+        words = text.split(" ")
+        pairs += [(2 * i, text), (2 * i + 1, " ".join(
+            words[:len(words) - rng.randint(0, len(words) // 5)]))]
+    groups = llm_brute.ngram_join(pairs, 5, 80)
+    want = {i for i, (_, c, _) in groups.items() if i == c}
+    assert want != {i for i, (_, c, _) in llm_brute.ngram_join(pairs).items() if i == c}
+    assert groups[501][1] == 500 and groups[502][1] == 502 and groups[511][1] == 510
+    stages = dict(corpus_pipeline.STAGES)
+    near = stages["near_dedup"](spark, llm_data.plain(spark, pairs), "")
+    assert sorted(r.doc_id for r in near.collect()) == sorted(want)
+
+
 def test_pipeline_runs_on_tables(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.count() > 100

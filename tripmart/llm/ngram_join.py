@@ -1,13 +1,14 @@
 """N-gram Jaccard join: documents whose shingle sets are similar, exactly.
 
-A document's set holds the 64-bit hashes of its distinct 4-word shingles.
-Sets link when their Jaccard similarity is 0.85 or more; the result is each
-document's connected component.
+A document's set holds the 64-bit hashes of its distinct shingles, 4 words
+long unless the caller says otherwise. Sets link when their Jaccard similarity
+is ``percent`` or more (85 unless the caller says otherwise); the result is
+each document's connected component.
 
 1. Equal sets are one class, kept by its smallest doc_id.
 2. Tokens are ordered: those of one class alone first, then by hash. Linked
-   sets share a token of their prefixes (the first 15 %, plus one), so a set
-   with that many tokens of its own has no links, whatever passages or lines
+   sets share a token of their prefixes (the first 15 % at 85, plus one), so a
+   set with that many tokens of its own has no links, whatever passages or lines
    it shares. Index lists of the other prefix tokens are sorted by set size:
    from an entry, blocks of larger sets are skipped as soon as one is too
    large, entries by position when too few tokens are left, and entries by a
@@ -21,9 +22,9 @@ document's connected component.
 4. Components of the verified links.
 
 Defined results: a NULL or empty text has an empty set and links with
-nothing; under four words the whole sequence is the one shingle; rows that
-share a doc_id are one node; NULL doc_id is one node that is larger than the
-others (a component of it alone has a NULL id).
+nothing; with fewer words than a shingle the whole sequence is the one shingle;
+rows that share a doc_id are one node; NULL doc_id is one node that is larger
+than the others (a component of it alone has a NULL id).
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ from tripmart.llm.components import connected_components
 from tripmart.llm.cover_dedup import answer_per_block, repeated_in
 from tripmart.session import cut_lineage
 
+#: Defaults: words of a shingle, and similarity in percent.
 SHINGLE = 4
-#: Similarity in percent.
 PERCENT = 85
 #: Sets of a candidate group that are compared in one task.
 GROUP = 128
@@ -64,19 +65,19 @@ class Sets:
     """The shingle sets of a block, as sorted tokens: those of document d are
     ``token[first[d]:first[d + 1]]``."""
 
-    def __init__(self, block: Block):
+    def __init__(self, block: Block, shingle: int = SHINGLE):
         data = _LOWER[block.data]
         words = words_of(block, data)
         n = len(block.ids)
         count = np.diff(words.first)
-        hashes = window_hashes(words.code, 1, 2, 3, SHINGLE)
+        hashes = window_hashes(words.code, *range(1, shingle + 1))
         whole = np.arange(len(hashes[-1]))
-        whole = whole[words.first[words.doc[whole] + 1] - whole >= SHINGLE]
+        whole = whole[words.first[words.doc[whole] + 1] - whole >= shingle]
         doc, token = words.doc[whole], hashes[-1][whole]
         bounds = np.searchsorted(doc, np.arange(n + 1)).tolist()
         for a, b in zip(bounds, bounds[1:]):
             token[a:b].sort()
-        for size in range(1, SHINGLE):  # under four words: the whole sequence
+        for size in range(1, shingle):  # fewer words: the whole sequence
             short = np.flatnonzero(count == size)
             at = np.searchsorted(doc, short)
             doc = np.insert(doc, at, short)
@@ -106,7 +107,8 @@ class Sets:
         others = np.array([c for c, (_, mine) in classes.items() if not mine], np.uint64)
         self.own &= ~np.isin(self.content, others)
 
-    def index_entries(self, shared: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    def index_entries(self, shared: np.ndarray, parts: int,
+                      percent: int) -> tuple[np.ndarray, np.ndarray]:
         """(index, place) of the prefix tokens of class heads that other sets may
         hold; the place is that in the order of tokens."""
         at = np.flatnonzero(self.own[self.doc])
@@ -118,7 +120,7 @@ class Sets:
         at, doc = at[common], doc[common]  # by document and hash
         first = np.searchsorted(doc, np.arange(len(self.size)))
         place = single[doc] + np.arange(len(doc)) - first[doc]
-        least = -(-PERCENT * self.size // 100)
+        least = -(-percent * self.size // 100)
         prefix = place <= (self.size - least)[doc]
         return at[prefix], place[prefix]
 
@@ -143,9 +145,9 @@ def _unpack_short(payload) -> np.ndarray:
     return step[0] << np.uint64(32) | np.cumsum(step[1:], dtype=np.uint64)
 
 
-def _send_classes(parts: int):
+def _send_classes(parts: int, shingle: int):
     def message(block: Block):
-        sets = Sets(block)
+        sets = Sets(block, shingle)
         heads = np.flatnonzero(sets.own & (sets.size > 0))
         for part, own in split_by_part(sets.content[heads], parts):
             yield part, pack(content=sets.content[heads[own]], id=sets.ids[heads[own]])
@@ -178,9 +180,9 @@ def _classes(got) -> dict[int, tuple[int, bool]]:
     return classes
 
 
-def _send_tokens(parts: int):
+def _send_tokens(parts: int, shingle: int):
     def message(block: Block, got):
-        sets = Sets(block)
+        sets = Sets(block, shingle)
         sets.drop(_classes(got))
         tokens = np.unique(sets.token[sets.own[sets.doc]])
         for part, own in split_by_part(tokens, parts):
@@ -212,12 +214,12 @@ def _sketches(sets: Sets, docs: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(docs), _BITS), axis=1).view(np.uint64)
 
 
-def _send_entries(parts: int):
+def _send_entries(parts: int, shingle: int, percent: int):
     def message(block: Block, got_classes, got_tokens):
-        sets = Sets(block)
+        sets = Sets(block, shingle)
         sets.drop(_classes(got_classes))
         shared = np.concatenate([*map(_unpack_short, got_tokens), np.zeros(0, np.uint64)])
-        index, place = sets.index_entries(shared, parts)
+        index, place = sets.index_entries(shared, parts, percent)
         docs, number = np.unique(sets.doc[index], return_inverse=True)
         if not len(docs):
             return
@@ -264,54 +266,57 @@ class Forest:
             self.parent = up
 
 
-def _candidates(blocks, payloads):
+def _candidates(percent: int):
     """Spanning edges of the candidate groups within a part's index lists."""
-    names = ["token", "id", "size", "place", *(f"s{c}" for c in range(_BITS // 64))]
-    token, doc_id, size, place, *sketch, owner = joined(payloads, *names)
-    order = np.lexsort((doc_id, size, token))
-    token, doc_id, owner = token[order], doc_id[order], owner[order]
-    size, place = size[order].astype(np.int64), place[order].astype(np.int64)
-    sketch = np.stack(sketch, 1)[order]
-    block = np.array(blocks)[owner]
-    _, node = np.unique(doc_id, return_inverse=True)
-    forest = Forest(int(node.max()) + 1)
-    label = forest.labels()
-    alive = np.arange(len(token))
-    lag = 0
-    while True:
-        lag += 1
-        alive = alive[:np.searchsorted(alive, len(token) - lag)]
-        other = alive + lag
-        # sorted by size: once a partner is too large, so are all further ones
-        go_on = (token[alive] == token[other]) & (100 * size[alive] >= PERCENT * size[other])
-        alive = alive[go_on]
-        if not len(alive):
-            return
-        a, b = alive, alive + lag
-        both = size[a] + size[b]
-        overlap = -(-PERCENT * both // (100 + PERCENT))
-        left = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
-        pick = (left >= overlap) & (label[node[a]] != label[node[b]])
-        a, b, room = a[pick], b[pick], (both - 2 * overlap)[pick]
-        if not len(a):
-            continue
-        differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
-        a, b = a[differ <= room], b[differ <= room]
-        used = forest.join(node[a], node[b])
-        if used:
-            label = forest.labels()
-            yield from zip(doc_id[a[used]].tolist(), block[a[used]].tolist(),
-                           doc_id[b[used]].tolist(), block[b[used]].tolist())
-
-
-def _send_sets(parts: int, group: int):
+    def work(blocks, payloads):
+        names = ["token", "id", "size", "place", *(f"s{c}" for c in range(_BITS // 64))]
+        token, doc_id, size, place, *sketch, owner = joined(payloads, *names)
+        order = np.lexsort((doc_id, size, token))
+        token, doc_id, owner = token[order], doc_id[order], owner[order]
+        size, place = size[order].astype(np.int64), place[order].astype(np.int64)
+        sketch = np.stack(sketch, 1)[order]
+        block = np.array(blocks)[owner]
+        _, node = np.unique(doc_id, return_inverse=True)
+        forest = Forest(int(node.max()) + 1)
+        label = forest.labels()
+        alive = np.arange(len(token))
+        lag = 0
+        while True:
+            lag += 1
+            alive = alive[:np.searchsorted(alive, len(token) - lag)]
+            other = alive + lag
+            # sorted by size: once a partner is too large, so are all further ones
+            go_on = (token[alive] == token[other]) & (100 * size[alive] >= percent * size[other])
+            alive = alive[go_on]
+            if not len(alive):
+                return
+            a, b = alive, alive + lag
+            both = size[a] + size[b]
+            overlap = -(-percent * both // (100 + percent))
+            left = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
+            pick = (left >= overlap) & (label[node[a]] != label[node[b]])
+            a, b, room = a[pick], b[pick], (both - 2 * overlap)[pick]
+            if not len(a):
+                continue
+            differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
+            a, b = a[differ <= room], b[differ <= room]
+            used = forest.join(node[a], node[b])
+            if used:
+                label = forest.labels()
+                yield from zip(doc_id[a[used]].tolist(), block[a[used]].tolist(),
+                               doc_id[b[used]].tolist(), block[b[used]].tolist())
+
+    return work
+
+
+def _send_sets(parts: int, group: int, shingle: int):
     def message(block: Block, got):
         calls = {x["id"] for x in got}
         block = block.only([d for d, i in enumerate(block.ids)
                             if (_NO_ID if i is None else i) in calls])
         if not block.ids:
             return
-        sets = Sets(block)
+        sets = Sets(block, shingle)
         places: dict[int, int] = {}
         for d in np.flatnonzero(sets.own & (sets.size > 0))[::-1].tolist():
             places[int(sets.ids[d])] = d
@@ -375,70 +380,80 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verify(blocks, payloads):
+def _verify(percent: int):
     """(a, b, 0): spanning edges of verified links; (a, a, n): a has n links."""
-    tables = [unpack(p) for p in payloads]
-    key, doc_id, side, _ = joined(payloads, "key", "id", "side")
-    sets = [s for t in tables for c in t.column("tokens").chunks for s in
-            (c.values.to_numpy()[a:b] for a, b in zip(c.offsets.to_numpy()[:-1],
-                                                      c.offsets.to_numpy()[1:]))]
-    order = np.lexsort((doc_id, key))
-    bounds = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]]))
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        rows = order[a:b]
-        own, ids, sides = [sets[r] for r in rows], doc_id[rows], side[rows]
-        size = np.array([len(s) for s in own])
-        common = _overlaps(own)
-        link = 100 * common >= PERCENT * (size[:, None] + size[None, :] - common)
-        np.fill_diagonal(link, False)
-        if (sides >= 0).all():
-            link &= sides[:, None] != sides[None, :]
-        for i, n in zip(ids.tolist(), link.sum(1).tolist()):
-            if n:
-                yield i, i, n
-        x, y = np.nonzero(np.triu(link))
-        used = Forest(len(rows)).join(x, y)
-        yield from ((p, q, 0) for p, q in zip(ids[x[used]].tolist(), ids[y[used]].tolist()))
-
-
-def _rows(block: Block, got, found) -> pa.RecordBatch:
-    sets = Sets(block)
-    classes = _classes(got)
-    component = {x["id"]: (x["component"], x["n"]) for x in found}
-    class_id, out, links = [], [], []
-    for d, size in enumerate(sets.size.tolist()):
-        own = int(sets.ids[sets.head[d]]) if size else int(sets.ids[d])
-        if size:
-            own = classes.get(int(sets.content[d]), (own, True))[0]
-        best, n = component.get(own, (own, 0)) if size else (own, 0)
-        class_id.append(None if own == _NO_ID else own)
-        out.append(None if best == _NO_ID else best)
-        links.append(n)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(block.ids, pa.int64()), pa.array(sets.size, pa.int64()),
-         pa.array(out, pa.int64()), pa.array(class_id, pa.int64()), pa.array(links, pa.int64())],
-        ["doc_id", "n_shingles", "component_id", "class_id", "n_links"])
-
-
-def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GROUP) -> DataFrame:
+    def work(blocks, payloads):
+        tables = [unpack(p) for p in payloads]
+        key, doc_id, side, _ = joined(payloads, "key", "id", "side")
+        sets = [s for t in tables for c in t.column("tokens").chunks for s in
+                (c.values.to_numpy()[a:b] for a, b in zip(c.offsets.to_numpy()[:-1],
+                                                          c.offsets.to_numpy()[1:]))]
+        order = np.lexsort((doc_id, key))
+        bounds = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]]))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            rows = order[a:b]
+            own, ids, sides = [sets[r] for r in rows], doc_id[rows], side[rows]
+            size = np.array([len(s) for s in own])
+            common = _overlaps(own)
+            link = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+            np.fill_diagonal(link, False)
+            if (sides >= 0).all():
+                link &= sides[:, None] != sides[None, :]
+            for i, n in zip(ids.tolist(), link.sum(1).tolist()):
+                if n:
+                    yield i, i, n
+            x, y = np.nonzero(np.triu(link))
+            used = Forest(len(rows)).join(x, y)
+            yield from ((p, q, 0) for p, q in zip(ids[x[used]].tolist(), ids[y[used]].tolist()))
+
+    return work
+
+
+def _rows(shingle: int):
+    def rows(block: Block, got, found) -> pa.RecordBatch:
+        sets = Sets(block, shingle)
+        classes = _classes(got)
+        component = {x["id"]: (x["component"], x["n"]) for x in found}
+        class_id, out, links = [], [], []
+        for d, size in enumerate(sets.size.tolist()):
+            own = int(sets.ids[sets.head[d]]) if size else int(sets.ids[d])
+            if size:
+                own = classes.get(int(sets.content[d]), (own, True))[0]
+            best, n = component.get(own, (own, 0)) if size else (own, 0)
+            class_id.append(None if own == _NO_ID else own)
+            out.append(None if best == _NO_ID else best)
+            links.append(n)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block.ids, pa.int64()), pa.array(sets.size, pa.int64()),
+             pa.array(out, pa.int64()), pa.array(class_id, pa.int64()), pa.array(links, pa.int64())],
+            ["doc_id", "n_shingles", "component_id", "class_id", "n_links"])
+
+    return rows
+
+
+def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GROUP,
+               shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, class_id (smallest
-    doc_id with an equal set) and n_links (links to different sets)."""
+    doc_id with an equal set) and n_links (links to different sets). Shingles
+    have ``shingle`` words; sets link from a similarity of ``percent`` on."""
+    if shingle < 1 or not 1 <= percent <= 100:
+        raise ValueError("shingle must be 1 or more, percent 1 to 100")
     blocks = write_blocks(docs, block_bytes=block_bytes)
     parts = blocks.parts
-    classes = cut_lineage(blocks.exchange(blocks.send(_send_classes(parts)), _shared_classes),
+    classes = cut_lineage(blocks.exchange(blocks.send(_send_classes(parts, shingle)), _shared_classes),
                           "shared_classes")
-    tokens = blocks.exchange(blocks.send(_send_tokens(parts), classes), _shared_tokens)
-    edges = cut_lineage(blocks.exchange(blocks.send(_send_entries(parts), classes, tokens),
-                                        _candidates, "a long, block_a long, b long, block_b long"),
-                        "candidates")
+    tokens = blocks.exchange(blocks.send(_send_tokens(parts, shingle), classes), _shared_tokens)
+    edges = cut_lineage(blocks.exchange(
+        blocks.send(_send_entries(parts, shingle, percent), classes, tokens),
+        _candidates(percent), "a long, block_a long, b long, block_b long"), "candidates")
     groups = cut_lineage(connected_components(edges), "candidate_groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     homes = edges.select(F.col("a").alias("id"), F.col("block_a").alias("block")).union(
         edges.select(F.col("b").alias("id"), F.col("block_b").alias("block"))).distinct()
     calls = homes.join(groups.join(sizes, "component"), "id").select(
         "block", F.struct("id", "component", "n").alias("payload"))
-    verified = cut_lineage(blocks.exchange(blocks.send(_send_sets(parts, group), calls), _verify,
-                                           "a long, b long, n long"), "verified")
+    verified = cut_lineage(blocks.exchange(blocks.send(_send_sets(parts, group, shingle), calls),
+                                           _verify(percent), "a long, b long, n long"), "verified")
     linked = connected_components(verified)
     counts = verified.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     result = cut_lineage(linked.join(counts, "id"), "components")
@@ -446,7 +461,7 @@ def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GRO
     holders = homes.union(classes.mapInArrow(_class_ids, "id long, block long")).distinct()
     found = holders.join(result, "id").select("block", F.struct("id", "component", "n")
                                               .alias("payload"))
-    return blocks.finish(_rows, "doc_id long, n_shingles long, component_id long, class_id long, "
+    return blocks.finish(_rows(shingle), "doc_id long, n_shingles long, component_id long, class_id long, "
                          "n_links long", classes, found)
 
 
