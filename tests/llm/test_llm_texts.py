@@ -42,6 +42,28 @@ def test_divergence_drops_junk_and_keeps_prose(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_divergence_without_a_known_language(spark):
+    rng = random.Random(4)
+    def text(letters, n=120):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9)))
+                        for _ in range(n))
+    prose, other, junk = "abcdefghijklmnopqrstuvwxyz", "бвгдежзиклмн", "#$%|0123456789"
+    rows = [llm_data.row(i, text(prose), "en") for i in range(20)]
+    rows += [llm_data.row(100 + i, text(other), "ru") for i in range(20)]
+    rows += [llm_data.row(200, text(junk), None), llm_data.row(201, text(junk), "ru"),
+             llm_data.row(202, text(prose), None), llm_data.row(203, text(other), None)]
+    got = {r.doc_id: r for r in divergence.quality_rules(llm_data.frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {200, 201}
+    # to the nearer of the two; the junk in it counts in the reference of "ru"
+    assert got[202].char_distance < 0.1 and got[203].char_distance < 0.2
+    assert got[200].word_distance is None and got[201].word_distance is None
+    # no row has a language
+    bare = [(*r[:2], None, *r[3:]) for r in rows[:20] + rows[40:41]]
+    left = divergence.quality_rules(llm_data.frame(spark, bare)).filter("kept").collect()
+    assert sorted(r.doc_id for r in left) == list(range(20))
+
+
 def test_jensen_shannon(spark):
     df = spark.createDataFrame([([1, 1], [2, 2], [0, 5], [0, 0])], "a array<long>, b array<long>, "
                                "c array<long>, z array<long>")

@@ -1,12 +1,14 @@
 """Quality rules: is a text distributed like its language?
 
 Every document gets two histograms: its characters over seven classes, and
-the common words of its language (all others are one cell). The reference of a language is the sum of
-the histograms of all its documents that pass the base rules. A document is
-kept if both Jensen-Shannon distances (base 2, so 0 to 1) to the reference of
-its language are within limits. Guards: a histogram with too little in it
-isn't compared, nor is a document whose language has no word list here or no
-reference.
+the common words of its language (all others are one cell). The reference of a
+language is the sum of the histograms of all its documents that pass the base
+rules; every value of lang has one. A document is kept if both Jensen-Shannon
+distances (base 2, so 0 to 1) to the reference of its language are within
+limits. One without a language is compared to the characters of every language
+and has the smallest distance; if no row has a language, to those of all rows.
+Guards: a histogram with too little in it isn't compared, nor are the words of
+a language without a word list here.
 
 Plain Spark SQL throughout: words stay in an array of their row, so nothing
 is exploded or shuffled but one row of sums per language and task.
@@ -20,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.enrich import fits_broadcast
 from tripmart.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +45,8 @@ CHAR_LIMIT = 0.28
 WORD_LIMIT = 0.3
 LEAST_CHARS = 200
 LEAST_COMPARED = 100
+#: Languages whose references are broadcast; those of more are joined by a shuffle.
+MAX_LANGUAGES = 10_000
 _PLACE = 28  # bits for a word's place while triples are sorted
 
 
@@ -151,6 +156,22 @@ def jensen_shannon(a: Column, b: Column, total_a: Column, total_b: Column) -> Co
     return F.when((total_a > 0) & (total_b > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
+def _with_references(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """Adds the sums of the row's language (all_chars, all_words), or for rows
+    without one the characters of all languages (near)."""
+    one = F.struct(F.col("all_chars").alias("counts"), total(F.col("all_chars")).alias("total"))
+    named = F.col("ref_lang").isNotNull()
+    near = references.agg(F.collect_list(F.when(named, one)).alias("others"),
+                          F.collect_list(F.when(~named, one)).alias("own"))
+    near = near.select(F.lit(None).cast("string").alias("ref_lang"),
+                       F.when(F.size("others") > 0, F.col("others")).otherwise(F.col("own"))
+                       .alias("near"))
+    table = references.filter(named).unionByName(near, allowMissingColumns=True)
+    if fits_broadcast(references, MAX_LANGUAGES):
+        table = F.broadcast(table)
+    return rows.join(table, rows["lang"].eqNullSafe(table["ref_lang"]), "left")
+
+
 def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
                   word_limit: float = WORD_LIMIT) -> DataFrame:
     """Per document: the base counts, base_failed, both distances and kept."""
@@ -159,18 +180,21 @@ def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
               | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     rows = rows.withColumn("base_failed", failed)
     some = next(iter(COMMON_WORDS.values()))
-    references = (rows.filter(~F.col("base_failed") & F.col("lang").isin(*COMMON_WORDS))
-                  .groupBy("lang").agg(_sums("char_counts", len(CLASSES) + 1).alias("all_chars"),
-                                       _sums("word_counts", len(some) + 1).alias("all_words")))
-    # at most one row per word list above
-    rows = rows.join(F.broadcast(references), "lang", "left")
+    references = cut_lineage(
+        rows.filter(~F.col("base_failed")).groupBy(F.col("lang").alias("ref_lang"))
+        .agg(_sums("char_counts", len(CLASSES) + 1).alias("all_chars"),
+             _sums("word_counts", len(some) + 1).alias("all_words")), "quality_references")
+    rows = _with_references(rows, references)
     rows = rows.withColumns({"chars": total(F.col("char_counts")),
                              "words": total(F.col("word_counts")),
                              "ref_chars": total(F.col("all_chars")),
                              "ref_words": total(F.col("all_words"))})
     rows = rows.withColumns({
-        "char_distance": F.when(F.col("chars") >= LEAST_CHARS, jensen_shannon(
-            F.col("char_counts"), F.col("all_chars"), F.col("chars"), F.col("ref_chars"))),
+        "char_distance": F.when(F.col("chars") >= LEAST_CHARS, F.when(
+            F.col("lang").isNull(), F.array_min(F.transform("near", lambda r: jensen_shannon(
+                F.col("char_counts"), r["counts"], F.col("chars"), r["total"]))))
+            .otherwise(jensen_shannon(F.col("char_counts"), F.col("all_chars"), F.col("chars"),
+                                      F.col("ref_chars")))),
         "word_distance": F.when(F.col("n_words") >= LEAST_COMPARED, jensen_shannon(
             F.col("word_counts"), F.col("all_words"), F.col("words"), F.col("ref_words")))})
     like = (F.coalesce(F.col("char_distance") <= char_limit, F.lit(True))
