@@ -6,7 +6,7 @@ strings are compared by MD5. Language ID, toxicity and BPE have no SQL form.
 
 from __future__ import annotations
 
-from tripmart.llm import divergence
+from tripmart.llm import divergence, hard_negatives, licenses, spelling
 
 # --- op 1: windows as parts of the hex text, kept bytes between spans ----------
 _OP1 = r"""
@@ -231,6 +231,143 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_removed, 0) AS n
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
 
+# --- op 11: every word of a template against every place it stands at ----------
+def _words(text):
+    return "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
+
+
+_TEMPLATES = ", ".join(f"({t}, '{label}', {_words(text)})"
+                       for t, (label, text, _) in enumerate(licenses.TEMPLATES))
+_KEYS = ", ".join(f"({t}, {k}, {_words(phrase)})"
+                  for t, (_, _, phrases) in enumerate(licenses.TEMPLATES)
+                  for k, phrase in enumerate(phrases))
+_FIXED = ", ".join(f"('{label}', {_words(phrase)})" for phrase, label in licenses.PHRASES)
+_OP11 = rf"""
+WITH template(t, label, ws) AS (VALUES {_TEMPLATES}),
+key(t, k, ws) AS (VALUES {_KEYS}),
+fixed(label, ws) AS (VALUES {_FIXED}),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+tw AS (SELECT t, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS q FROM template),
+word AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM d),
+phrase_word AS (SELECT ws[1] AS w, ws, label, -1 AS t, -1 AS k FROM fixed
+                UNION ALL SELECT ws[1], ws, NULL, t, k FROM key),
+place AS (
+  SELECT word.r, word.p, label, t, k
+  FROM word JOIN phrase_word USING (w) JOIN d ON d.r = word.r
+  WHERE d.ws[CAST(word.p + 1 AS BIGINT):CAST(word.p + len(phrase_word.ws) AS BIGINT)]
+        = phrase_word.ws),
+base AS (
+  SELECT r, count(*) AS n, min(p) AS lo, max(p) AS hi,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM place WHERE label IS NOT NULL GROUP BY r),
+df AS (SELECT w, count(DISTINCT r) AS n FROM word WHERE w IN (SELECT w FROM tw) GROUP BY w),
+shared AS (SELECT DISTINCT r, t, w FROM word JOIN tw USING (w)),
+rare AS (
+  SELECT r, t, w FROM shared JOIN df USING (w)
+  QUALIFY row_number() OVER (PARTITION BY r, t ORDER BY n, w) <= {licenses.RARE}),
+vote AS (
+  SELECT rare.r, rare.t, p - q AS o
+  FROM rare JOIN word ON word.r = rare.r AND word.w = rare.w JOIN tw ON tw.t = rare.t AND tw.w = rare.w
+  GROUP BY ALL HAVING count(DISTINCT rare.w) >= {licenses.LEAST_VOTES}),
+hit AS (
+  SELECT vote.r, vote.t, o, count(*) AS n
+  FROM vote JOIN tw ON tw.t = vote.t JOIN word ON word.r = vote.r AND word.p = o + q AND word.w = tw.w
+  GROUP BY ALL),
+good AS (
+  SELECT hit.r, label, n / CAST(len(ws) AS DOUBLE) AS share
+  FROM hit JOIN template USING (t)
+  WHERE n >= {licenses.LEAST_SHARE} * len(ws)
+    AND (SELECT count(*) FROM key WHERE key.t = hit.t)
+      = (SELECT count(DISTINCT key.k) FROM key JOIN place ON place.t = key.t AND place.k = key.k
+         WHERE key.t = hit.t AND place.r = hit.r AND place.p >= o - {licenses.SLACK}
+           AND place.p + len(key.ws) <= o + len(template.ws) + {licenses.SLACK})),
+every AS (
+  SELECT r, label, 1.0::DOUBLE AS share FROM place WHERE label IS NOT NULL
+  UNION ALL SELECT r, label, share FROM good),
+named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+          FROM every GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(base.n, 0) AS n_base,
+       base.lo AS first_word, base.hi AS last_word, COALESCE(base.labels, '') AS base_labels,
+       COALESCE(named.labels, '') AS labels, COALESCE(named.score, 0) AS score
+FROM d LEFT JOIN base ON d.r = base.r LEFT JOIN named ON d.r = named.r
+"""
+
+# --- op 12: all scores of the anchors ------------------------------------------
+_OP12 = rf"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+score AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS other_id, b.r AS other,
+         a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS s
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT * FROM score WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY s DESC, other_id) <= {hard_negatives.POSITIVES})
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.s DESC, n.other_id) AS INTEGER)
+         AS rank,
+       n.other_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positive p JOIN score n ON p.anchor = n.anchor AND NOT n.same
+WHERE {hard_negatives.LOW} * p.s <= 100 * n.s AND 100 * n.s <= {hard_negatives.HIGH} * p.s
+QUALIFY rank <= {hard_negatives.NEGATIVES}
+"""
+
+# --- op 13: crc32 byte by byte; neighbours by what is left without a letter --------
+_OP13 = rf"""
+WITH RECURSIVE bit AS (
+  SELECT i AS b, CAST(i AS BIGINT) AS c, 0 AS step FROM range(0, 256) t(i)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1
+  FROM bit WHERE step < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bit WHERE step = 8),
+run AS (
+  SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+  WHERE length(w) >= {spelling.LEAST_LETTERS} GROUP BY ALL),
+hashed AS (
+  SELECT w, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(range(0, octet_length(k)), lambda i:
+             CAST(('0x' || substr(hex(k), CAST(2 * i + 1 AS BIGINT), 2)) AS BIGINT))),
+           lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))) AS h
+  FROM (SELECT *, encode(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || w) AS k FROM run), crc),
+word AS (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % {spelling.NOISE} = 0
+                       THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) + 2 AS BIGINT))
+                       ELSE w END AS w FROM hashed)
+  WHERE length(w) >= {spelling.LEAST_LETTERS} GROUP BY w HAVING sum(n) >= {spelling.LEAST_COUNT}),
+less AS (
+  SELECT w, n, i, left(w, CAST(i AS BIGINT)) || substr(w, CAST(i + 2 AS BIGINT)) AS rest
+  FROM (SELECT w, n, unnest(range(0, length(w))) AS i FROM word)),
+pair AS (
+  SELECT a.w, b.w AS x, b.n AS xn FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.w <> b.w
+  UNION
+  SELECT a.w, b.w, b.n FROM less a JOIN word b ON a.rest = b.w
+  UNION
+  SELECT b.w, a.w, a.n FROM less a JOIN word b ON a.rest = b.w),
+best AS (
+  SELECT w, x, xn, count(*) OVER (PARTITION BY w) AS n_near FROM pair
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY xn DESC, encode(x)) = 1),
+form AS (
+  SELECT word.w, word.n, COALESCE(n_near, 0) AS n_near,
+         CASE WHEN xn >= {spelling.RATIO} * word.n THEN x END AS form,
+         CASE WHEN xn >= {spelling.RATIO} * word.n THEN xn END AS form_n
+  FROM word LEFT JOIN best ON word.w = best.w),
+walk AS (
+  SELECT w, w AS at FROM form
+  UNION ALL
+  SELECT walk.w, form.form FROM walk JOIN form ON walk.at = form.w WHERE form.form IS NOT NULL)
+SELECT form.w AS word, form.form, walk.at AS root, form.n, form.n_near, form.form_n
+FROM form JOIN walk ON walk.w = form.w JOIN form last ON last.w = walk.at AND last.form IS NULL
+"""
+
 ORACLE_SQL = {
     "op1_suffix_array_dedup": _OP1,
     "op2_distribution_divergence": _OP2,
@@ -239,4 +376,7 @@ ORACLE_SQL = {
     "op7_warc_round_trip": _OP7,
     "op8_ngram_jaccard_join": _OP8,
     "op9_cover_anchor_dedup": _OP9,
+    "op11_license_scan": _OP11,
+    "op12_hard_negatives": _OP12,
+    "op13_spelling_variants": _OP13,
 }

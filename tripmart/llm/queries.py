@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from tripmart.llm import bpe, exact_dedup, langid, mixing, warc
 from tripmart.llm.cover_dedup import cover_dedup
 from tripmart.llm.divergence import quality_rules
+from tripmart.llm.hard_negatives import hard_negatives, noisy_label
+from tripmart.llm.licenses import scan_licenses
 from tripmart.llm.ngram_join import ngram_join
 from tripmart.llm.oracle_sql import ORACLE_SQL
+from tripmart.llm.spelling import spelling_variants
 from tripmart.llm.suffix_dedup import suffix_dedup
 from tripmart.llm.toxicity import toxicity_chain, train as train_toxicity
 from tripmart.session import scratch_path
@@ -96,6 +99,20 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", noisy_label(F.col("vec_id"), F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_distribution_divergence": op2_distribution_divergence,
@@ -107,6 +124,9 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_cover_anchor_dedup": op9_cover_anchor_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_license_scan": op11_license_scan,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
