@@ -32,8 +32,6 @@ positives, and a positive without negatives, give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext

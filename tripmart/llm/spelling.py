@@ -259,11 +259,14 @@ def _pairs(t: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not len(i):
             return
         j = i + lag
-        ok = (~split[i] & ~split[j]) | (split[i] & drop[j]) | (split[j] & drop[i])
-        a, b = i[ok], j[ok]
+        both = ~split[i] & ~split[j]
+        ok = (at[i] == at[j]) & (both | (split[i] & drop[j]) | (split[j] & drop[i]))
+        a = np.where(split[i], j, i)[ok]  # of a skip and a split, the skip
+        b = np.where(split[i], i, j)[ok]
         if len(a):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(wid[a]), pa.array(wid[b]), pa.array(at[a])], ["a", "b", "at"])
+                [pa.array(wid[a]), pa.array(wid[b]), pa.array(at[a]), pa.array(both[ok])],
+                ["a", "b", "at", "replaced"])
         lag += 1
 
 
@@ -273,21 +276,20 @@ def near_words(words: DataFrame) -> DataFrame:
     ship_package(words.sparkSession)
     keys = words.select("wid", "word").mapInArrow(_dictionary, PAIR)
     keys = keys.repartition("prefix", "suffix").sortWithinPartitions("prefix", "suffix")
-    found = keys.mapInArrow(_meet, "a long, b long, at int")
+    found = keys.mapInArrow(_meet, "a long, b long, at int, replaced boolean")
     one = words.select(F.col("wid").alias("a"), F.col("word").alias("a_word"),
                        F.col("n").alias("a_n"))
     two = words.select(F.col("wid").alias("b"), F.col("word").alias("b_word"),
                        F.col("n").alias("b_n"))
     found = found.join(one, "a").join(two, "b")
 
-    def rest(side, other):  # what follows the letter that is replaced or not in the other
-        skip = F.when(F.char_length(side) >= F.char_length(other), 1).otherwise(0)
-        return F.substr(side, F.col("at") + 1 + skip, F.char_length(side))
-
+    size = F.char_length("a_word")
+    after = F.substr("a_word", F.col("at") + 2, size)
+    rest = F.substr("b_word", F.col("at") + F.when(F.col("replaced"), 2).otherwise(1), size)
     found = cut_lineage(found.filter(
-        (F.abs(F.char_length("a_word") - F.char_length("b_word")) <= 1)
+        (size == F.char_length("b_word") + F.when(F.col("replaced"), 0).otherwise(1))
         & (F.substr("a_word", F.lit(1), F.col("at")) == F.substr("b_word", F.lit(1), F.col("at")))
-        & (rest("a_word", "b_word") == rest("b_word", "a_word"))), "near_words")
+        & (after == rest)), "near_words")
     return found.select(F.col("a").alias("wid"), F.col("b").alias("near_wid"),
                         F.col("b_word").alias("near_word"), F.col("b_n").alias("near_n")).union(
         found.select("b", "a", "a_word", "a_n"))
