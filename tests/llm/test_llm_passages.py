@@ -130,3 +130,55 @@ def test_components_of_a_chain_and_a_star(spark):
            connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[i] for i in range(100, 141)} == {100}
     assert {got[i] for i in range(200, 260)} == {7} and got[5] == 5
+
+
+def doubling(a, b, n):
+    """A pattern and its complement, whose polynomial hashes modulo 2^64 agree."""
+    x, y = a, b
+    while len(x) < n:
+        x, y = x + y, y + x
+    return x, y
+
+
+@pytest.mark.parametrize("size", [64, 1024, 2048, 8192])
+def test_words_of_doubling_patterns_differ(spark, size):
+    x, y = doubling("a", "b", size)
+    rest = [f"w{k}" for k in range(19)]
+    docs = llm_data.plain(spark, [(1, " ".join([x, *rest])), (2, " ".join([y, *rest]))])
+    assert {r.doc_id: r.n_removed for r in cover_dedup(docs).collect()} == {1: 0, 2: 0}
+    docs = llm_data.plain(spark, [(1, f"{x} a b c"), (2, f"{y} a b c")])
+    got = {r.doc_id: (r.component_id, r.class_id) for r in ngram_join(docs).collect()}
+    assert got == {1: (1, 1), 2: (2, 2)}
+
+
+@pytest.mark.parametrize("block_bytes", [10, 400, 1 << 20])
+def test_shared_and_missing_ids_have_one_answer(spark, block_bytes):
+    """Rows of one id are one node; each has its own set and links."""
+    rng = random.Random(4)
+    t = [llm_data.prose(rng, 60, 10 ** 6) for _ in range(6)]
+    pairs = [(None, t[0]), (None, t[1]), (5, t[1] + " more"), (7, t[2]), (7, t[3]),
+             (8, t[3] + " more"), (9, t[2] + " more"), (2, t[4]), (3, t[4]), (3, ""), (4, ""),
+             (None, t[5]), (6, t[5]), (6, t[5])]
+    got = sorted(((str(r.doc_id), r.n_shingles, r.component_id, r.class_id, r.n_links)
+                  for r in ngram_join(llm_data.plain(spark, pairs), block_bytes=block_bytes).collect()),
+                 key=str)
+    sets = [(i, frozenset(llm_brute.shingles(x))) for i, x in pairs]
+
+    def linked(a, b):
+        return bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
+
+    group = {k: k for k in range(len(sets))}
+    changed = True
+    while changed:
+        changed = False
+        for a in group:
+            for b in group:
+                if group[a] > group[b] and (sets[a][0] == sets[b][0] or linked(sets[a][1], sets[b][1])):
+                    group[a], changed = group[b], True
+    def name(ks):
+        return min((sets[k][0] for k in ks if sets[k][0] is not None), default=None)
+    want = sorted(((str(i), len(s), name([j for j in group if group[j] == group[k]]),
+                   name([j for j in group if sets[j][1] == s]) if s else i,
+                   len({x for _, x in sets if x != s and linked(s, x)}))
+                  for k, (i, s) in enumerate(sets)), key=str)
+    assert got == want

@@ -13,6 +13,8 @@ a third of all documents share is one entry per block.
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -50,6 +52,15 @@ def unpack(payload) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker lives on for other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def batch(schema: str, *columns) -> pa.RecordBatch:
     """A record batch of one of the schemas here, from lists."""
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
@@ -157,6 +168,7 @@ class Blocks:
                     out = rows(block, *got)
                     if out is not None:
                         yield out
+            give_back()
 
         table = self.table
         for k, answer in enumerate(answers):
@@ -177,8 +189,10 @@ class Blocks:
                 rows = list(work(blocks, payloads))
                 if rows:
                     yield batch(schema, *zip(*rows))
+            give_back()
 
-        return messages.repartition(self.parts, "part").mapInArrow(run, schema)
+        # by the part number itself, so that no task gets several parts
+        return messages.repartitionById(self.parts, F.col("part")).mapInArrow(run, schema)
 
 
 def write_blocks(docs: DataFrame, text_col: str = "text",
@@ -299,9 +313,32 @@ def words_of(block: Block, data: np.ndarray | None = None) -> Words:
     doc = np.repeat(np.arange(len(block.ids)), np.diff(first))
     if not len(start):
         return Words(start, end, doc, first, np.zeros(0, np.uint64))
-    sums, inverse = _prefix_sums(data)
-    code = mix((sums[end] - sums[start]) * inverse[start])
-    return Words(start, end, doc, first, code)
+    return Words(start, end, doc, first, _word_codes(data, start, end))
+
+
+#: Bytes of a word that are hashed eight at a time; longer ones go to BLAKE2.
+_LONG_WORD = 1024
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes: eight bytes at a time enter a state that is
+    mixed after each step, so equal states need equal bytes before."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    code = mix((size.astype(np.uint64) + np.uint64(1)) * _M[2])
+    live = np.arange(len(size))
+    for k in range(0, _LONG_WORD, 8):
+        live = live[(size[live] > k) & (size[live] <= _LONG_WORD)]
+        if not len(live):
+            break
+        x = eight[start[live] + k] & _TAIL[np.minimum(size[live] - k, 8)]
+        code[live] = mix((code[live] ^ x) * _M[0] + _M[4])
+    for w in np.flatnonzero(size > _LONG_WORD):
+        digest = hashlib.blake2b(data[start[w]:end[w]].tobytes(), digest_size=8).digest()
+        code[w] = np.frombuffer(digest, "<u8")[0]
+    return code
 
 
 def split_by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -18,9 +18,12 @@ source; rows that share a doc_id are separate rows.
 
 from __future__ import annotations
 
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.shipping import ship_package
 from tripmart.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -153,10 +156,24 @@ def _row_key(prefix: str = "") -> tuple[Column, Column]:
     return key, F.row_number().over(Window.partitionBy("mix_key").orderBy("mix_key"))
 
 
+@F.pandas_udf("binary")
+def _squeeze(texts: pd.Series) -> pd.Series:
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return texts.map(lambda t: None if t is None else squeeze(t.encode("utf-8", "surrogatepass")))
+
+
+@F.pandas_udf("string")
+def _expand(packed: pd.Series) -> pd.Series:
+    expand = zstandard.ZstdDecompressor().decompress
+    return packed.map(lambda p: None if p is None else expand(p).decode("utf-8", "surrogatepass"))
+
+
 def mixed_stream(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The documents as the mix reads them: a row per pass, in training order,
     with the columns of ``docs``. A pass that the target cuts off holds the
-    words it takes, joined by one space. ``plan`` must come from ``docs``."""
+    words it takes, joined by one space. ``plan`` must come from ``docs``. Texts
+    are moved twice, to their passes and to their position, in compressed form."""
+    ship_package(docs.sparkSession)
     passes = (plan.filter(F.col("taken") > 0)
               .withColumn("mix_row", _row_key()[1])
               .select("mix_key", "mix_row", "size",
@@ -164,20 +181,22 @@ def mixed_stream(docs: DataFrame, plan: DataFrame) -> DataFrame:
               .filter(F.col("pass")["takes"] > 0))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     rows = rows.withColumn("mix_key", _row_key("doc.")[0])
+    rows = rows.select("mix_key", _squeeze(F.col("doc.text")).alias("packed"),
+                       F.col("doc").withField("text", F.lit(None).cast("string")).alias("doc"))
     rows = rows.withColumn("mix_row", _row_key()[1])
     out = rows.join(passes, ["mix_key", "mix_row"])
+    at = F.col("pass")["positions"]
+    out = out.repartitionByRange(at, F.col("mix_key")).sortWithinPartitions(at, "mix_key")
+    out = out.withColumn("text", _expand(F.col("packed")))
     part = F.col("pass")["takes"] < F.col("size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0)),
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)),
                                F.lit(1), F.col("pass")["takes"].cast("int")), " ")
-    text = F.when(part, cut).otherwise(F.col("doc.text"))
     cols = []
     for c in docs.columns:
         if c == "text":
-            cols.append(text.alias(c))
+            cols.append(F.when(part, cut).otherwise(F.col("text")).alias(c))
         elif c == "n_chars":
             cols.append(F.when(part, F.char_length(cut)).otherwise(F.col("doc.n_chars")).alias(c))
         else:
             cols.append(F.col(f"doc.`{c}`").alias(c))
-    at = F.col("pass")["positions"]
-    return (out.repartitionByRange(at, F.col("mix_key")).sortWithinPartitions(at, "mix_key")
-            .select(*cols))
+    return out.select(*cols)

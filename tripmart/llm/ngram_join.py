@@ -24,7 +24,10 @@ each document's connected component.
 Defined results: a NULL or empty text has an empty set and links with
 nothing; with fewer words than a shingle the whole sequence is the one shingle;
 rows that share a doc_id are one node; NULL doc_id is one node that is larger
-than the others (a component of it alone has a NULL id).
+than the others (a component of it alone has a NULL id). Where ids are shared
+or missing, the join runs over row numbers, with every row's set a set of its
+own, and rows of one id are folded into their node at the end; class_id is then
+the smallest doc_id with an equal set, n_links the row's own.
 """
 
 from __future__ import annotations
@@ -438,6 +441,48 @@ def ngram_join(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int = GRO
     have ``shingle`` words; sets link from a similarity of ``percent`` on."""
     if shingle < 1 or not 1 <= percent <= 100:
         raise ValueError("shingle must be 1 or more, percent 1 to 100")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    seen = ids.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+    if seen.n == seen.ids:
+        return _join_sets(docs, block_bytes, group, shingle, percent)
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"),
+                                   F.col("doc_id").cast("long").alias("known_as"), "text"),
+                       "numbered_rows")
+    found = cut_lineage(_join_sets(rows.select(F.col("row").alias("doc_id"), "text"),
+                                   block_bytes, group, shingle, percent), "joined_rows")
+    return _fold(rows.select("row", "known_as"), found)
+
+
+def _fold(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Results over row numbers as results over doc_ids: rows of one id are one
+    node, so the components they lie in are one."""
+    every = rows.join(found, F.col("row") == F.col("doc_id")).drop("doc_id")
+    every = cut_lineage(every.withColumn("key", F.coalesce("known_as", F.lit(int(_NO_ID)))),
+                        "keyed_rows")
+    places = every.select("key", "component_id").distinct()
+    least = places.groupBy("key").agg(F.min("component_id").alias("a"))
+    whole = connected_components(places.join(least, "key").select(
+        "a", F.col("component_id").alias("b")))
+    names = every.join(whole, F.col("component_id") == F.col("id")).groupBy(
+        F.col("id").alias("component_id")).agg(F.first("component").alias("component"),
+                                               F.min("key").alias("key"))
+    least = names.groupBy("component").agg(F.min("key").alias("least"))
+    names = names.select("component_id", "component").join(least, "component")
+    classes = every.groupBy("class_id").agg(F.min("key").alias("class_key"))
+
+    def known(key):
+        return F.when(F.col(key) != int(_NO_ID), F.col(key))
+
+    # a set without shingles is linked with nothing but the rows of its doc_id
+    return every.join(names.select("component_id", "least"), "component_id").join(
+        classes, "class_id").select(
+        F.col("known_as").alias("doc_id"), "n_shingles", known("least").alias("component_id"),
+        known("class_key").alias("class_id"), "n_links")
+
+
+def _join_sets(docs: DataFrame, block_bytes: int, group: int, shingle: int,
+               percent: int) -> DataFrame:
+    """The join over unique doc_ids."""
     blocks = write_blocks(docs, block_bytes=block_bytes)
     parts = blocks.parts
     classes = cut_lineage(blocks.exchange(blocks.send(_send_classes(parts, shingle)), _shared_classes),
