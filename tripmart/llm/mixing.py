@@ -156,13 +156,11 @@ def _row_key(prefix: str = "") -> tuple[Column, Column]:
     return key, F.row_number().over(Window.partitionBy("mix_key").orderBy("mix_key"))
 
 
-@F.pandas_udf("binary")
 def _squeeze(texts: pd.Series) -> pd.Series:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     return texts.map(lambda t: None if t is None else squeeze(t.encode("utf-8", "surrogatepass")))
 
 
-@F.pandas_udf("string")
 def _expand(packed: pd.Series) -> pd.Series:
     expand = zstandard.ZstdDecompressor().decompress
     return packed.map(lambda p: None if p is None else expand(p).decode("utf-8", "surrogatepass"))
@@ -181,13 +179,13 @@ def mixed_stream(docs: DataFrame, plan: DataFrame) -> DataFrame:
               .filter(F.col("pass")["takes"] > 0))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     rows = rows.withColumn("mix_key", _row_key("doc.")[0])
-    rows = rows.select("mix_key", _squeeze(F.col("doc.text")).alias("packed"),
+    rows = rows.select("mix_key", F.pandas_udf(_squeeze, "binary")(F.col("doc.text")).alias("packed"),
                        F.col("doc").withField("text", F.lit(None).cast("string")).alias("doc"))
     rows = rows.withColumn("mix_row", _row_key()[1])
     out = rows.join(passes, ["mix_key", "mix_row"])
     at = F.col("pass")["positions"]
     out = out.repartitionByRange(at, F.col("mix_key")).sortWithinPartitions(at, "mix_key")
-    out = out.withColumn("text", _expand(F.col("packed")))
+    out = out.withColumn("text", F.pandas_udf(_expand, "string")(F.col("packed")))
     part = F.col("pass")["takes"] < F.col("size")
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)),
                                F.lit(1), F.col("pass")["takes"].cast("int")), " ")
