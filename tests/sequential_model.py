@@ -14,11 +14,10 @@ def _same(a, b):
 
 def apply_upserts(dim: list[dict], changes: list[dict], user: str):
     """Returns (dim, results, errors). An unchanged call is answered whatever its
-    time; a change at or before an earlier time of its location is refused (the
-    batch rule of ``upsert_zone_scd2``), as are calls that share a seq."""
+    time; a change that is not after the start of the row it would replace is
+    refused, as are calls that share a seq."""
     dim = [dict(r) for r in dim]
     next_sk = max([r["zone_dim_sk"] for r in dim], default=0) + 1
-    latest_time: dict[int, object] = {}
     results, errors = [], []
     valid = []
     for ch in changes:
@@ -36,11 +35,7 @@ def apply_upserts(dim: list[dict], changes: list[dict], user: str):
             continue
         cur = [r for r in dim if r["location_id"] == loc and r["is_current"]]
         cur = max(cur, key=lambda r: (r["version_number"], r["zone_dim_sk"])) if cur else None
-        bound = [t for t in (latest_time.get(loc), cur["effective_from"] if cur else None)
-                 if t is not None]
-        late = bool(bound) and ch["changed_at"] <= max(bound)
-        latest_time[loc] = max([t for t in (latest_time.get(loc), ch["changed_at"])
-                                if t is not None])
+        late = cur is not None and ch["changed_at"] <= cur["effective_from"]
         if cur is not None and all(_same(cur[a], ch[a]) for a in ("borough", "zone",
                                                                   "service_zone")):
             results.append((ch["seq"], loc, cur["zone_dim_sk"], cur["version_number"],

@@ -89,8 +89,8 @@ def test_unchanged_requests_are_answered_whatever_their_time(spark):
     res = upsert_zone_scd2(dim, spark.createDataFrame(changes, UPSERT_REQUESTS))
     out = {(r.location_id, r.seq): (r.zone_dim_sk, r.outcome) for r in res.results.collect()}
     assert out == {(1, 1): (1, "unchanged"), (1, 2): (1, "unchanged"), (1, 3): (1, "unchanged"),
-                   (2, 1): (2, "created"), (2, 2): (3, "new_version")}
-    assert sorted((r.location_id, r.seq) for r in res.errors.collect()) == [(1, 4), (3, 2), (3, 2)]
+                   (1, 4): (2, "new_version"), (2, 1): (3, "created"), (2, 2): (4, "new_version")}
+    assert sorted((r.location_id, r.seq) for r in res.errors.collect()) == [(3, 2), (3, 2)]
 
 
 def test_snapshots_do_not_depend_on_the_committer(spark, tmp_path):

@@ -149,3 +149,29 @@ def test_upsert_edge_cases(spark):
     assert dim[8]["is_current"] and dim[8]["effective_to"] is None
     assert dim[9]["created_by"] == "batch" and dim[9]["record_status"] == "DRAFT"
     assert sum(r["is_current"] for r in dim.values()) == 2
+
+
+def late_changes(rng, n, n_locs):
+    """Calls at any time of a month, many of them without a change."""
+    return [dict(seq=i, location_id=rng.choice([0, 0, 0, *range(n_locs)]), borough="A",
+                 zone=rng.choice(["z1", "z1", "z2", ""]), service_zone=rng.choice([None, ""]),
+                 created_by="u", change_reason=f"c{i}", change_source="feed",
+                 changed_at=T0 + dt.timedelta(hours=rng.randint(-20, 600) if rng.random() < 0.5
+                                              else i))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("seed,rows_per_chunk,fold_rows", [(1, 1000, 1000), (2, 9, 9),
+                                                           (3, 9, 1000), (4, 40, 20)])
+def test_late_calls_take_effect_as_one_call_after_another(spark, seed, rows_per_chunk, fold_rows):
+    rng = random.Random(seed)
+    dim_rows = random_dim(rng, 4)
+    changes = late_changes(rng, 120, 5)
+    changes += [dict(changes[k], change_reason="twice") for k in (5, 50)]
+    res = upsert_zone_scd2(spark.createDataFrame(dim_rows, ZONE_DIM),
+                           spark.createDataFrame(changes, UPSERT_REQUESTS), user="batch",
+                           rows_per_chunk=rows_per_chunk, fold_rows=fold_rows)
+    exp_dim, exp_results, exp_errors = apply_upserts(dim_rows, changes, "batch")
+    assert sorted(map(key, rows(res.dim))) == sorted(map(key, exp_dim))
+    assert sorted(tuple(r.values()) for r in rows(res.results)) == sorted(exp_results)
+    assert sorted((r["seq"], r["location_id"]) for r in rows(res.errors)) == sorted(exp_errors)

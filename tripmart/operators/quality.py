@@ -24,9 +24,9 @@ METRIC_COLUMNS = [
 ]
 
 
-def dq_metrics(fct: DataFrame) -> DataFrame:
-    """One row of ten metrics over the fact (NULL rates on an empty fact)."""
-    return fct.agg(
+def metric_columns() -> list[Column]:
+    """The ten metrics as aggregates, for a query or for a write that observes them."""
+    return [
         F.count(F.lit(1)).cast("bigint").alias("total_rows"),
         fill_rate("pickup_ts").alias("pickup_ts_fill_rate"),
         fill_rate("dropoff_ts").alias("dropoff_ts_fill_rate"),
@@ -37,7 +37,12 @@ def dq_metrics(fct: DataFrame) -> DataFrame:
         fill_rate("pu_zone").alias("pu_zone_fill_rate"),
         fill_rate("do_zone").alias("do_zone_fill_rate"),
         fill_rate("ratecode_name").alias("ratecode_name_fill_rate"),
-    )
+    ]
+
+
+def dq_metrics(fct: DataFrame) -> DataFrame:
+    """One row of ten metrics over the fact (NULL rates on an empty fact)."""
+    return fct.agg(*metric_columns())
 
 
 # --- fixed values: the ten data tests ----------------------------------------

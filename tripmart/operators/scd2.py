@@ -85,7 +85,8 @@ def max_surrogate_key(dim: DataFrame) -> int:
 
 # ----------------------------------------------------------------------------- G1
 def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
-                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                  first_key: int | None = None) -> DataFrame:
     """Version-1 rows from the best master row of each location, skipping
     locations that already have a version 1. Returns the new snapshot.
 
@@ -98,8 +99,9 @@ def seed_zone_dim(zone_master: DataFrame, dim: DataFrame, as_of,
     fresh = cand.join(have_v1, "location_id", "left_anti")
     # Chunks from the master's keys: a superset of the new rows' keys.
     chunks = profile_order(zone_master, "location_id", rows_per_chunk)
-    keyed = assign_surrogate_keys(fresh, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  chunk=chunks)
+    if first_key is None:
+        first_key = max_surrogate_key(dim)
+    keyed = assign_surrogate_keys(fresh, "location_id", first_key, "zone_dim_sk", chunk=chunks)
     rows = keyed.select(
         "zone_dim_sk", "location_id", *ATTRS,
         F.lit(1).alias("version_number"),
@@ -125,9 +127,148 @@ def _current_rows(dim: DataFrame) -> DataFrame:
                         [F.col("version_number").desc(), F.col("zone_dim_sk").desc()])
 
 
+_REQUEST = ["seq", "location_id", *ATTRS, "created_by", "change_reason", "change_source",
+            "changed_at"]
+_STATE = [*_REQUEST, CHUNK, "_twice", "_late", "_head", "_prev", "_lchg", "_first_acc",
+          "_had_first", "_cum", "_next_local", "_last", "_first", "_nlocal", "_first_local_at"]
+
+
+def _scan_ranges(r: DataFrame) -> DataFrame:
+    """Level 1 of the upsert: windows over (location, range). Late requests are
+    masked out, so each request is compared with the previous one on time."""
+    wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
+    wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
+    whole = Window.partitionBy("location_id", CHUNK)
+    before, upto = (_UNB, -1), (_UNB, 0)
+    acc = ~F.col("_late") & ~F.col("_twice")
+    r = r.withColumns({
+        "_prev": F.last(F.when(acc, F.struct(*ATTRS)), True).over(wr.rowsBetween(*before)),
+        "_head": F.row_number().over(wr) == 1,
+    })
+    own = {a: F.col(a) for a in ATTRS}
+    differs = ~_same_attrs(own, {a: F.col("_prev").getField(a) for a in ATTRS})
+    r = r.withColumn("_lchg", acc & F.col("_prev").isNotNull() & differs)
+    # the first request on time has no earlier one in its range to compare with
+    r = r.withColumn("_first_acc", acc & F.col("_prev").isNull())
+    r = r.withColumns({
+        "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(*upto)),
+        "_had_first": F.coalesce(F.max("_first_acc").over(wr.rowsBetween(*upto)), F.lit(False)),
+        # "min over the following rows" as a descending running frame: the
+        # unbounded-following frame re-aggregates per row (quadratic).
+        "_next_local": F.min(F.when(F.col("_lchg"), F.col("changed_at")))
+                        .over(wr_desc.rowsBetween(*before)),
+    })
+    # Per-range values for level 2, as whole-range window aggregates (one
+    # linear pass, no sort-based aggregate); kept on the range's first row.
+    r = r.withColumns({
+        "_last": F.when(F.col("_head"), F.max(F.when(acc, F.struct("seq", *ATTRS))).over(whole)),
+        "_first": F.when(F.col("_head"), F.max(F.when(F.col("_first_acc"), F.struct(
+            "seq", "changed_at", *ATTRS))).over(whole)),
+        "_nlocal": F.when(F.col("_head"), F.sum(F.col("_lchg").cast("int")).over(whole)),
+        "_first_local_at": F.when(F.col("_head"), F.min(F.when(
+            F.col("_lchg"), F.col("changed_at"))).over(whole)),
+    })
+    return r.select(*_STATE)
+
+
+def _late_but_taken(state: DataFrame, base: DataFrame, ranges_at_once: int,
+                    keys_small: bool) -> DataFrame | None:
+    """(location_id, seq) of late requests that take effect all the same, because
+    nothing took effect at the later times before them; None if there are none.
+
+    What a location's state is after a request on time that surely made a
+    version doesn't depend on what was before (it is that request), so
+    stretches from one such request to the next are folded apart; a request
+    surely makes a version if it differs from one on time just before it. A
+    stretch that spans several groups of ranges is handed on from group to
+    group as (attributes, start)."""
+    late = state.filter("_late").select("location_id").distinct()
+    late = cut_lineage(late, "late_locations")
+    if late.isEmpty():
+        return None
+    text = [F.coalesce(F.col(a), F.lit("")) for a in ATTRS]
+    calls = (state.filter(~F.col("_twice"))
+             .join(F.broadcast(late) if keys_small else late, "location_id", "left_semi")
+             .select("location_id", CHUNK, "seq", "changed_at", "_late",
+                     F.struct(*[t.alias(a) for a, t in zip(ATTRS, text)]).alias("attrs")))
+    by_seq = Window.partitionBy("location_id", CHUNK).orderBy("seq")
+    calls = calls.withColumns({"_p_late": F.lag("_late").over(by_seq),
+                               "_p_attrs": F.lag("attrs").over(by_seq)})
+    after_on_time = ~F.col("_late") & F.coalesce(~F.col("_p_late"), F.lit(False))
+    calls = calls.withColumns({
+        "sure": after_on_time & (F.col("attrs") != F.col("_p_attrs")),
+        # equal to one on time just before it: it changes nothing
+        "silent": after_on_time & (F.col("attrs") == F.col("_p_attrs"))})
+    # a stretch is named by the seq it starts with; NULL: the location's first
+    own = F.last(F.when(F.col("sure"), F.col("seq")), True).over(
+        by_seq.rowsBetween(_UNB, 0))
+    calls = cut_lineage(calls.withColumn("own_start", own), "late_calls")
+    heads = calls.groupBy("location_id", CHUNK).agg(F.max("own_start").alias("last_start"))
+    heads = heads.withColumn("start_before", F.last("last_start", True).over(
+        Window.partitionBy("location_id").orderBy(CHUNK).rowsBetween(_UNB, -1)))
+    calls = calls.join(heads.select("location_id", CHUNK, "start_before"), ["location_id", CHUNK])
+    calls = calls.withColumn("stretch", F.coalesce("own_start", "start_before"))
+    key = ["location_id", "stretch"]
+    rows = calls.filter(~F.col("silent")).withColumn(
+        "grp", F.floor(F.col(CHUNK) / F.lit(max(1, ranges_at_once))).cast("long"))
+    # one array per (stretch, group of ranges), at most fold_rows requests in it
+    groups = rows.groupBy(*key, "grp").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "changed_at", "attrs", "_late")))
+        .alias("calls"), F.max("_late").alias("some_late"))
+    several = Window.partitionBy(*key)
+    groups = groups.withColumns({
+        "turn": F.row_number().over(several.orderBy("grp")),
+        "some_late": F.max("some_late").over(several), "turns": F.count("*").over(several)})
+    first = base.select("location_id", F.col("_b_from").alias("at"), F.struct(*[
+        F.coalesce(F.col("_b_attrs")[a], F.lit("")).alias(a) for a in ATTRS]).alias("attrs"))
+    groups = cut_lineage(groups.filter("some_late").join(first, "location_id", "left").select(
+        *key, "turn", "turns", "calls", F.when(F.col("stretch").isNull() & F.col("at").isNotNull(),
+                                               F.struct("attrs", "at")).alias("now")), "stretches")
+    last_turn = groups.agg(F.max("turns")).first()[0] or 0
+    found, carried = [], None
+    for turn in range(1, last_turn + 1):
+        here = groups.filter(F.col("turn") == turn)
+        if carried is not None:
+            here = here.drop("now").join(
+                carried.withColumnRenamed("stretch", "_s"),
+                (here["location_id"] == carried["location_id"])
+                & here["stretch"].eqNullSafe(F.col("_s")), "left").select(
+                here["location_id"], "stretch", "turns", "calls", "now")
+        done = cut_lineage(here.select(*key, "turns", _fold("calls", "now").alias("f")), "folded")
+        found.append(done.select("location_id", F.explode("f.taken").alias("seq")))
+        carried = done.filter(F.col("turns") > turn).select(*key, F.col("f.now").alias("now"))
+    out = found[0] if found else None
+    for more in found[1:]:
+        out = out.union(more)
+    if out is None:
+        return None
+    out = cut_lineage(out, "late_but_taken")
+    return None if out.isEmpty() else out
+
+
+def _fold(calls: str, now: str) -> Column:
+    """Call by call over a sorted array: the state after it (attributes, start)
+    and the seqs of the late calls that took effect."""
+    def step(acc, call):
+        differs = acc["now"].isNull() | (acc["now"]["attrs"] != call["attrs"])
+        in_time = acc["now"].isNull() | (call["changed_at"] > acc["now"]["at"])
+        takes = differs & in_time
+        return F.struct(
+            F.when(takes, F.struct(call["attrs"].alias("attrs"), call["changed_at"].alias("at")))
+             .otherwise(acc["now"]).alias("now"),
+            F.when(takes & call["_late"], F.array_append(acc["taken"], call["seq"]))
+             .otherwise(acc["taken"]).alias("taken"))
+
+    start = F.struct(F.col(now).alias("now"),
+                     F.array().cast("array<bigint>").alias("taken"))
+    return F.aggregate(calls, start, step)
+
+
 def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None,
                      rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> ChangeResult:
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                     first_key: int | None = None,
+                     fold_rows: int = DEFAULT_ROWS_PER_CHUNK) -> ChangeResult:
     """Apply upsert requests in ``seq`` order within each location.
 
     Per request, as the reference's procedure: no current row -> version 1;
@@ -136,17 +277,20 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     the current row is closed at ``changed_at`` and a new current DRAFT row
     with version + 1 is added. New keys follow the order of (location, seq).
 
-    Batch rule (ours): a *change* must be later than the current row's start
-    and than every earlier time of its location, else it is refused. (To
-    refuse only what is not later than the row it replaces would make each
-    request depend on which ones before it were refused, which no ordered
-    scan over ranges of a location can express.) Also refused: requests
-    without location, seq or time, and all requests of a location that share
-    a seq.
+    A change that is not later than the start of the row it would replace is
+    refused, as its empty window would fail the procedure's CHECK. Refused and
+    unchanged requests leave no trace: a later call may carry an earlier time
+    than they did. Also refused: requests without location, seq or time, and
+    all requests of a location that share a seq.
+
+    The scan over ranges first takes every request to be late that is not after
+    *every* earlier time of its location. Without late requests that is
+    the procedure's answer; with some, ``_late_but_taken`` folds the
+    stretches of requests in which the two rules can differ, and the locations
+    where they do are scanned again. ``fold_rows`` bounds the requests of one
+    location that are folded at once.
     """
-    req_cols = ["seq", "location_id", *ATTRS, "created_by", "change_reason",
-                "change_source", "changed_at"]
-    req = changes.select(*req_cols)
+    req = changes.select(*_REQUEST)
     given = (F.col("location_id").isNotNull() & F.col("changed_at").isNotNull()
              & F.col("seq").isNotNull())
     bad_input = req.filter(~given)
@@ -172,10 +316,8 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
 
     wr = Window.partitionBy("location_id", CHUNK).orderBy("seq")
     wk = Window.partitionBy("location_id").orderBy(CHUNK)
-    wr_desc = Window.partitionBy("location_id", CHUNK).orderBy(F.col("seq").desc())
     wk_desc = Window.partitionBy("location_id").orderBy(F.col(CHUNK).desc())
-    whole = Window.partitionBy("location_id", CHUNK)
-    before, upto = (_UNB, -1), (_UNB, 0)
+    before = (_UNB, -1)
 
     # Equal seqs of a location are neighbours in one range.
     r = chunks.assign(req, CHUNK)
@@ -183,6 +325,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
                      | F.coalesce(F.lead("seq").over(wr) == F.col("seq"), F.lit(False)))
     timed = F.when(~F.col("_twice"), F.col("changed_at"))
 
+    own = {a: F.col(a) for a in ATTRS}
     # Level 2 of "latest earlier time of the location": one row per
     # (location, range), by the partitioning that the windows have.
     s1 = (r.groupBy("location_id", CHUNK).agg(F.max(timed).alias("_t_chunk"))
@@ -195,42 +338,20 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
     late = F.coalesce(F.col("changed_at") <= F.greatest("_t_before", "_t_local"), F.lit(False))
     r = r.withColumn("_late", late & ~F.col("_twice"))
 
-    # Level 1 over the same window (no new shuffle): late requests are masked
-    # out, so each request is compared with the previous one on time.
-    acc = ~F.col("_late") & ~F.col("_twice")
-    r = r.withColumns({
-        "_prev": F.last(F.when(acc, F.struct(*ATTRS)), True).over(wr.rowsBetween(*before)),
-        "_head": F.row_number().over(wr) == 1,
-    })
-    own = {a: F.col(a) for a in ATTRS}
-    differs = ~_same_attrs(own, {a: F.col("_prev").getField(a) for a in ATTRS})
-    r = r.withColumn("_lchg", acc & F.col("_prev").isNotNull() & differs)
-    # the first request on time has no earlier one in its range to compare with
-    r = r.withColumn("_first_acc", acc & F.col("_prev").isNull())
-    r = r.withColumns({
-        "_cum": F.sum(F.col("_lchg").cast("int")).over(wr.rowsBetween(*upto)),
-        "_had_first": F.coalesce(F.max("_first_acc").over(wr.rowsBetween(*upto)), F.lit(False)),
-        # "min over the following rows" as a descending running frame: the
-        # unbounded-following frame re-aggregates per row (quadratic).
-        "_next_local": F.min(F.when(F.col("_lchg"), F.col("changed_at")))
-                        .over(wr_desc.rowsBetween(*before)),
-    })
-    # Per-range values for level 2, as whole-range window aggregates (one
-    # linear pass, no sort-based aggregate); kept on the range's first row.
-    r = r.withColumns({
-        "_last": F.when(F.col("_head"), F.max(F.when(acc, F.struct("seq", *ATTRS))).over(whole)),
-        "_first": F.when(F.col("_head"), F.max(F.when(F.col("_first_acc"), F.struct(
-            "seq", "changed_at", *ATTRS))).over(whole)),
-        "_nlocal": F.when(F.col("_head"), F.sum(F.col("_lchg").cast("int")).over(whole)),
-        "_first_local_at": F.when(F.col("_head"), F.min(F.when(
-            F.col("_lchg"), F.col("changed_at"))).over(whole)),
-    })
     # The request-level state is computed once and written once; the
     # summaries and all outputs read it, without another shuffle of requests.
-    state = cut_lineage(r.select(
-        "seq", "location_id", CHUNK, *ATTRS, "created_by", "change_reason", "change_source",
-        "changed_at", "_twice", "_late", "_head", "_prev", "_lchg", "_first_acc", "_had_first",
-        "_cum", "_next_local", "_last", "_first", "_nlocal", "_first_local_at"), "upsert_state")
+    state = cut_lineage(_scan_ranges(r), "upsert_state")
+    taken = _late_but_taken(state, base, fold_rows // max(1, rows_per_chunk), keys_small)
+    if taken is not None:
+        moved = taken.select("location_id").distinct()
+        moved = cut_lineage(F.broadcast(moved) if keys_small else moved, "moved_locations")
+        again = state.join(F.broadcast(moved) if keys_small else moved, "location_id", "left_semi")
+        again = again.select(*_REQUEST, CHUNK, "_twice", "_late").join(
+            taken.withColumn("_taken", F.lit(True)), ["location_id", "seq"], "left")
+        again = again.withColumn("_late", F.col("_late") & F.col("_taken").isNull()).drop("_taken")
+        state = state.join(F.broadcast(moved) if keys_small else moved, "location_id",
+                           "left_anti").unionByName(
+            cut_lineage(_scan_ranges(again), "upsert_state_again"))
 
     # Level 2: one row per (location, range), its first row.
     s2 = (state.filter("_head").select("location_id", CHUNK, "_first", "_last", "_nlocal",
@@ -261,7 +382,8 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
                                             F.min("_first_kept_at").alias("_expire_at"))
     per_loc = cut_lineage(total_before(per_loc, "location_id", "_new", "_key_before",
                                        rows_per_chunk), "upsert_locations")
-    first_key = max_surrogate_key(dim)
+    if first_key is None:
+        first_key = max_surrogate_key(dim)
 
     summary = s2.join(F.broadcast(per_loc) if keys_small else per_loc, "location_id").select(
         "location_id", CHUNK, "_fchg", "_new_before", "_next_kept_after", "_ref", "_b_sk",
@@ -317,7 +439,7 @@ def upsert_zone_scd2(dim: DataFrame, changes: DataFrame, user: str | None = None
               .unionByName(rows.filter("_refused").select(
                   "seq", "location_id",
                   F.when(F.col("_twice"), F.lit("seq used more than once for the location"))
-                   .otherwise(F.lit("changed_at not after an earlier time of the location"))
+                   .otherwise(F.lit("changed_at not after the start of the current version"))
                    .alias("error"))))
     return ChangeResult(new_dim, results, errors)
 
@@ -392,7 +514,8 @@ LATE_START = "current row does not start before as_of"
 
 def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
                       rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> ChangeResult:
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                      first_key: int | None = None) -> ChangeResult:
     """Restore the attributes of a target version as a new current row.
 
     Per location: close the current row at ``as_of`` (if any), add version =
@@ -459,8 +582,9 @@ def rollback_versions(dim: DataFrame, rollbacks: DataFrame, as_of,
     # requests are a subset of its rows and keys.
     chunks = profile_order(rollbacks, "location_id", rows_per_chunk)
     n_req = chunks.rows
-    keyed = assign_surrogate_keys(valid, "location_id", max_surrogate_key(dim), "zone_dim_sk",
-                                  chunk=chunks)
+    if first_key is None:
+        first_key = max_surrogate_key(dim)
+    keyed = assign_surrogate_keys(valid, "location_id", first_key, "zone_dim_sk", chunk=chunks)
     new_rows = keyed.select(
         "zone_dim_sk", "location_id",
         *[F.col("_attrs").getField(a).alias(a) for a in ATTRS],

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tripmart.schemas import FCT_TRIPS, STAGING_TRIPS, TEST_RESULTS, ZONE_DIM
-from tripmart.sources.sinks import read_latest
+from tripmart.sources.sinks import read_latest, read_log
 
 # View name -> schema of the table it exposes.
 TABLES = {
@@ -22,12 +22,12 @@ def register_tables(spark: SparkSession, roots: dict[str, str]) -> list[str]:
     """Create or replace one temp view per given root; returns the names.
 
     ``roots`` maps a view name to a table root (snapshot directories) or, for
-    the append-only results log, to its plain directory.
+    the append-only results log, to its directory of runs.
     """
     names = []
     for name, root in roots.items():
         if name == "test_results":
-            df = spark.read.schema(TABLES[name]).parquet(root)
+            df = read_log(spark, root, TABLES[name])
         else:
             df = read_latest(spark, root, TABLES[name])
         if df is None:

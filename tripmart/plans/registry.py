@@ -32,7 +32,7 @@ from tripmart.sources import testdata as td
 from tripmart.plans.load import load_trips
 from tripmart.plans.pipeline import apply_governed_batch, run_pipeline
 from tripmart.schemas import STAGING_TRIPS, TEST_RESULTS, ZONE_DIM
-from tripmart.sources.sinks import read_latest
+from tripmart.sources.sinks import read_latest, read_log
 from tripmart.session import cut_lineage, scratch_path
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds, ntz
@@ -343,13 +343,14 @@ def q_dim_published(spark, sf_dir):
 
 
 def q_pipeline_run(spark, sf_dir):
-    """The results log after two pipeline runs, without the uuids."""
+    """The results log after two pipeline runs, the second of which is
+    repeated, without the uuids."""
     run = scratch_path(spark, f"pipeline_run/{uuid.uuid4().hex}")
-    for clock, who in ((RUN_1, "first run"), (RUN_2, "second run")):
+    for clock, who in ((RUN_1, "first run"), (RUN_2, "broken off"), (RUN_2, "second run")):
         run_pipeline(spark, td.curated_trips(spark, sf_dir), td.rate_master(spark, sf_dir),
                      td.zone_master(spark, sf_dir), f"{run}/fact", f"{run}/log", td.AS_OF,
                      run_by=who, run_ts=clock)
-    log = spark.read.schema(TEST_RESULTS).parquet(f"{run}/log")
+    log = read_log(spark, f"{run}/log", TEST_RESULTS)
     return latest_test_results(log).select(
         "test_name", "passed", "metric_value", "threshold", "details",
         F.col("created_at").cast("timestamp_ntz").alias("created_at"), "created_by")
@@ -382,6 +383,35 @@ def q_load_roundtrip(spark, sf_dir):
                                 "reported_rows": F.lit(report.rows).cast("long")})
 
 
+def q_load_mixed_months(spark, sf_dir):
+    """Months of three layouts in one folder (raw names; canonical names
+    in another order, with other numeric types; an extra column and wider types)
+    through one load."""
+    run = scratch_path(spark, f"load_mixed_months/{uuid.uuid4().hex}")
+    raw = td.raw_curated_trips(spark, sf_dir)
+    canonical = to_canonical(raw)
+    renamed = {c.lower(): c for c in raw.columns}
+    month = F.coalesce(F.col(renamed["vendorid"]), F.lit(0)) % 3
+    layouts = [
+        raw.filter(month == 0),
+        canonical.filter(F.coalesce("vendorid", F.lit(0)) % 3 == 1).select(
+            *reversed(canonical.columns)).withColumns({
+                "passenger_count": F.col("passenger_count").cast("double"),
+                "ratecodeid": F.col("ratecodeid").cast("int"),
+                "vendorid": F.col("vendorid").cast("bigint")}),
+        raw.filter(month == 2).withColumns({
+            renamed["payment_type"]: F.col(renamed["payment_type"]).cast("double"),
+            renamed["passenger_count"]: F.col(renamed["passenger_count"]).cast("int"),
+            "file_note": F.lit("not loaded")}),
+    ]
+    for n, rows in enumerate(layouts, 1):
+        rows.write.parquet(f"{run}/curated/month={n}")
+    report = load_trips(spark, f"{run}/curated", f"{run}/staging", loaded_at=RUN_1)
+    staging = spark.read.schema(STAGING_TRIPS).parquet(report.target)
+    return staging.withColumns({"loaded_at": F.col("loaded_at").cast("timestamp_ntz"),
+                                "reported_rows": F.lit(report.rows).cast("long")})
+
+
 QUERIES: dict[str, Query] = {
     "trips_normalize": q_trips_normalize,
     "trips_clean": q_trips_clean,
@@ -417,6 +447,7 @@ QUERIES: dict[str, Query] = {
     "fct_trips_shuffle": q_fct_trips_shuffle,
     "pipeline_run": q_pipeline_run,
     "audit_violations": q_audit_violations,
+    "load_mixed_months": q_load_mixed_months,
 }
 
 __all__ = ["QUERIES"]

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.schemas import CURATED_COLUMNS, RAW_TO_CANONICAL
+from tripmart.functions import as_table
+from tripmart.schemas import CURATED_COLUMNS, CURATED_TRIPS, RAW_TO_CANONICAL
 
 
 class MissingColumnsError(ValueError):
@@ -27,6 +28,47 @@ def read_curated(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def layouts(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files under ``path``, grouped by the schema in their footers.
+    Footers are read side by side on the driver, without their row groups; what
+    is kept is one line of schema per layout and the names of its files."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    statuses = jvm.java.util.ArrayList()
+    for root in [path] if isinstance(path, str) else path:
+        root = jvm.org.apache.hadoop.fs.Path(root)
+        found = root.getFileSystem(conf).listFiles(root, True)
+        while found.hasNext():
+            status = found.next()
+            parts = status.getPath().toString().split("/")
+            # hidden files and folders below the root aren't data
+            below = parts[len(root.toString().rstrip("/").split("/")):]
+            if status.getLen() and not any(p.startswith(("_", ".")) for p in below):
+                statuses.add(status)
+    if not statuses.size():
+        raise FileNotFoundError(f"no parquet files under {path}")
+    groups: dict[str, list[str]] = {}
+    footers = jvm.org.apache.parquet.hadoop.ParquetFileReader.readAllFootersInParallel(
+        conf, statuses, True)
+    for footer in footers:
+        schema = footer.getParquetMetadata().getFileMetaData().getSchema().toString()
+        groups.setdefault(schema, []).append(footer.getFile().toString())
+    return sorted(sorted(files) for files in groups.values())
+
+
+def canonical_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S1, P1-P3 over files of any mix of layouts: each layout is read with its
+    own schema, brought to the canonical columns and types, and united."""
+    out = None
+    for files in layouts(spark, path):
+        rows = spark.read.schema(spark.read.parquet(files[0]).schema).parquet(*files)
+        try:
+            rows = as_table(to_canonical(rows), CURATED_TRIPS)
+        except (MissingColumnsError, AmbiguousColumnsError) as e:
+            raise type(e)(f"{files[0]} (and {len(files) - 1} files like it): {e}") from None
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def normalize_columns(df: DataFrame, rename_map: dict[str, str] | None = None) -> DataFrame:
     """Rename raw source names to canonical names in one projection.
 

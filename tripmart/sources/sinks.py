@@ -13,9 +13,13 @@ configuration, so the same code serves local paths and cluster stores.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.sources import versioned
+
 SNAPSHOT_PREFIX = "snapshot="
 COMPLETE_MARKER = "_COMPLETE"
 
@@ -51,6 +55,8 @@ def _snapshots(spark: SparkSession, root: str) -> dict[int, bool]:
 def list_snapshots(spark: SparkSession, root: str) -> list[int]:
     """Ids of complete snapshots under ``root``, ascending. Raises if there are
     snapshots but no complete one."""
+    if versioned.is_versioned(spark, root):
+        return versioned.VersionedTable.at(spark, root).versions()
     found = _snapshots(spark, root)
     complete = sorted(n for n, whole in found.items() if whole)
     if found and not complete:
@@ -69,6 +75,9 @@ def latest_snapshot(spark: SparkSession, root: str) -> str | None:
 
 
 def read_latest(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The newest snapshot of a table (versioned ones too); None without any."""
+    if versioned.is_versioned(spark, root):
+        return versioned.VersionedTable.at(spark, root, schema).read()
     path = latest_snapshot(spark, root)
     if path is None:
         return None
@@ -82,24 +91,46 @@ def publish_snapshot(df: DataFrame, root: str, count_rows: bool = True) -> tuple
     The row count (K6) is gathered by an observation during the same write,
     not by a second job over the data.
     """
+    path, seen = publish_observed(df, root, [F.count(F.lit(1)).alias("rows")] if count_rows else [])
+    return path, seen.get("rows")
+
+
+def publish_observed(df: DataFrame, root: str, metrics: list[Column]) -> tuple[str, dict]:
+    """``publish_snapshot`` with aggregates over the rows, by name, that are
+    gathered while the rows are written."""
     spark = df.sparkSession
     # Ids left behind by failed writes are not used again.
     path = snapshot_path(root, max(_snapshots(spark, root), default=0) + 1)
-    rows = None
-    if count_rows:
+    seen = {}
+    if metrics:
         obs = Observation("published_rows")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = df.observe(obs, *metrics)
     df.write.mode("errorifexists").parquet(path)
-    if count_rows:
-        rows = obs.get["rows"]
+    if metrics:
+        seen = obs.get
     fs, _ = _fs(spark, root)
     fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, COMPLETE_MARKER)).close()
-    return path, rows
+    return path, seen
+
+
+RUN_PREFIX = "run="
+
+
+def append_rows(df: DataFrame, path: str, run_id: str) -> None:
+    """K4: add a run's rows to a log. Each run is a snapshot table of its own, so
+    a failed append shows nothing and a repeated run replaces its own rows."""
+    publish_snapshot(df, f"{path.rstrip('/')}/{RUN_PREFIX}{quote(run_id, safe='')}",
+                     count_rows=False)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """K4: append-only log (one write for a whole batch of rows)."""
-    df.write.mode("append").parquet(path)
+def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All rows of a log: of every run, its newest complete snapshot."""
+    fs, root = _fs(spark, path.rstrip("/"))
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    runs = [latest_snapshot(spark, f"{path.rstrip('/')}/{n}") for n in sorted(names)
+            if n.startswith(RUN_PREFIX)]
+    runs = [r for r in runs if r]
+    return spark.read.schema(schema).parquet(*runs) if runs else spark.createDataFrame([], schema)
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
