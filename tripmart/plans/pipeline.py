@@ -33,6 +33,7 @@ from tripmart.operators.quality import (
 from tripmart.operators.scd2 import (
     approve_versions,
     conform,
+    history_one,
     max_surrogate_key,
     rollback_versions,
     seed_zone_dim,
@@ -113,6 +114,14 @@ def dim_table(spark: SparkSession, root: str,
     return VersionedTable(spark, root, ZONE_DIM, "location_id", "effective_from", rows_per_bucket)
 
 
+def location_history(spark: SparkSession, dim_root: str, location_id: int, from_date=None,
+                     to_date=None) -> DataFrame:
+    """G2 for one location, from the files that the manifest has for it."""
+    table = dim_table(spark, dim_root)
+    rows = table.read(keys=[location_id], since=from_date, until=to_date)
+    return history_one(rows, location_id, from_date, to_date)
+
+
 def _touched_locations(table, base, zone_master, upserts, approvals, rollbacks) -> DataFrame:
     """Locations that a batch can change. An approval names a surrogate key; its
     location is looked up in two columns of the dimension."""

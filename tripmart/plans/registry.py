@@ -30,10 +30,11 @@ from tripmart.operators.quality import (
 from tripmart.plans.fact import build_fct_trips, enriched_trips
 from tripmart.sources import testdata as td
 from tripmart.plans.load import load_trips
-from tripmart.plans.pipeline import apply_governed_batch, run_pipeline
+from tripmart.plans.pipeline import apply_governed_batch, location_history, run_pipeline
 from tripmart.schemas import STAGING_TRIPS, TEST_RESULTS, ZONE_DIM
 from tripmart.sources.sinks import read_latest, read_log
 from tripmart.session import cut_lineage, scratch_path
+from tripmart.sources.versioned import ROWS_PER_BUCKET
 from tripmart.sources.curated import to_canonical
 from tripmart.functions import duration_seconds, ntz
 from tripmart.operators.checks import dim_checks
@@ -331,17 +332,41 @@ def q_fct_trips_shuffle(spark, sf_dir):
                            td.zone_master(spark, sf_dir), td.AS_OF, max_broadcast_rows=0)
 
 
+def _published(spark, sf_dir, rows_per_bucket=ROWS_PER_BUCKET):
+    """Folder of a governed dimension after its first batch (seed and upserts)."""
+    root = scratch_path(spark, f"dim_published/{uuid.uuid4().hex}")
+    apply_governed_batch(spark, root, td.AS_OF, zone_master=td.zone_master_for_dim(spark, sf_dir),
+                         upserts=td.zone_changes(spark, sf_dir), user=td.BATCH_USER, strict=False,
+                         rows_per_bucket=rows_per_bucket)
+    return root
+
+
 def q_dim_published(spark, sf_dir):
     """Two governed batches (seed and upserts, then approvals), and the
     newest snapshot read back."""
-    root = scratch_path(spark, f"dim_published/{uuid.uuid4().hex}")
-    apply_governed_batch(spark, root, td.AS_OF, zone_master=td.zone_master_for_dim(spark, sf_dir),
-                         upserts=td.zone_changes(spark, sf_dir), user=td.BATCH_USER, strict=False)
+    root = _published(spark, sf_dir)
     apply_governed_batch(spark, root, td.APPROVE_AS_OF,
                          approvals=_approvals(read_latest(spark, root, ZONE_DIM)), strict=False)
     return read_latest(spark, root, ZONE_DIM)
 
 
+def q_dim_buckets(spark, sf_dir):
+    """K7: the same batches on a table of many buckets; the second one rewrites
+    the buckets of the approved locations."""
+    root = _published(spark, sf_dir, rows_per_bucket=30)
+    apply_governed_batch(spark, root, td.APPROVE_AS_OF,
+                         approvals=_approvals(read_latest(spark, root, ZONE_DIM)), strict=False)
+    return read_latest(spark, root, ZONE_DIM)
+
+
+def q_history_lookup(spark, sf_dir):
+    """Histories of single locations, each from its own files."""
+    root = _published(spark, sf_dir, rows_per_bucket=30)
+    since = td.CHANGES_START + dt.timedelta(minutes=5)
+    return (location_history(spark, root, 3).union(location_history(spark, root, 12, since))
+            .union(location_history(spark, root, 17, None, since)))
+
+
 def q_pipeline_run(spark, sf_dir):
     """The results log after two pipeline runs, the second of which is
     repeated, without the uuids."""
@@ -448,6 +473,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_run": q_pipeline_run,
     "audit_violations": q_audit_violations,
     "load_mixed_months": q_load_mixed_months,
+    "dim_buckets": q_dim_buckets,
+    "history_lookup": q_history_lookup,
 }
 
 __all__ = ["QUERIES"]

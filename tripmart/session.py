@@ -11,7 +11,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every job in this package relies on. Applied with ``setIfMissing``
 # semantics: an existing value (cluster defaults, spark-submit --conf) wins.
@@ -112,9 +112,18 @@ def cut_lineage(df: DataFrame, name: str = "intermediate") -> DataFrame:
     executor, so neither is used. The table lives as long as the checkpoint
     folder, or until the end of a ``removing_cuts`` block.
     """
-    spark = df.sparkSession
+    return cut_observed(df, name, [])[0]
+
+
+def cut_observed(df: DataFrame, name: str, metrics: list[Column]) -> tuple[DataFrame, dict]:
+    """``cut_lineage``, with aggregates over the rows (by name) that are gathered
+    while they are written."""
+    spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     if _cuts.get() is not None:
         _cuts.get().append(path)
+    seen = Observation(name) if metrics else None
+    if seen is not None:
+        df = df.observe(seen, *metrics)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), seen.get if seen is not None else {}

@@ -252,7 +252,12 @@ class VersionedTable:
                           {**(facts or {}), "violations": total.violations or 0,
                            "shape": {"schema": self.schema.json(), "key": self.key,
                                      "order": self.order}})
-        self._publish(version.number, json.dumps(asdict(version)) + "\n")
+        try:
+            self._publish(version.number, json.dumps(asdict(version)) + "\n")
+        except CommitConflict:
+            for part in (data, manifest):  # no snapshot names them
+                self._fs().delete(self._path(part), True)
+            raise
         return version
 
     def _written(self, data: str) -> DataFrame:
