@@ -103,7 +103,8 @@ FROM judged j LEFT JOIN js a ON a.doc_id = j.doc_id AND a.kind = 'chars'
 """
 
 # --- op 3: sources whose share is above their bound settle at the bound and leave
-# the round; the recursion ends when no share is above -----------------------------
+# the round; the recursion ends when no share is above. Positions solve the three
+# schedules' integrals: 1.5 t - t^2 / 2, t / 2 + t^2 / 2, and t ---------------------
 _OP3 = r"""
 WITH RECURSIVE s AS (
   SELECT doc_id, source, md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS k,
@@ -128,20 +129,26 @@ fill AS (
 settled AS (SELECT budget / list_sum(list_transform(open, lambda y: y.w)) AS level
             FROM fill ORDER BY step DESC LIMIT 1),
 t AS (
-  SELECT per.*, LEAST(2.0::DOUBLE * source_size, COALESCE(level * weight, 2.0::DOUBLE * source_size))
+  SELECT per.*, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS slot,
+         LEAST(2.0::DOUBLE * source_size, COALESCE(level * weight, 2.0::DOUBLE * source_size))
          AS target
   FROM per, settled),
 o AS (
-  SELECT s.*, t.source_size, t.target,
+  SELECT s.*, t.source_size, t.target, t.slot,
          CAST(COALESCE(SUM(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
   FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, source, size, source_size, target,
+SELECT doc_id, source, size, source_size, target, {positions}
        GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - "offset"))
      + GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - "offset" - source_size)) AS taken,
        "offset"
 FROM o
-"""
+""".replace("{positions}", "".join(f"""
+       round(CASE WHEN LEAST(size, CAST(floor(target) AS BIGINT) - ({at})) <= 0 THEN NULL
+                  WHEN slot = 0 THEN 1.5 - sqrt(2.25 - 2 * ({at}) / target)
+                  WHEN slot = 1 THEN sqrt(0.25 + 2 * ({at}) / target) - 0.5
+                  ELSE ({at}) / target END, 6) AS {name},"""
+    for at, name in (('"offset"', "position"), ('"offset" + source_size', "second_position"))))
 
 # --- op 6: the digest deletes the characters [\x20\x09-\x0D] ---------------------
 _OP6 = r"""

@@ -41,8 +41,10 @@ def op2_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(_table(spark, sf_dir, "documents"))
+    first, second = (F.element_at("positions", k) for k in (1, 2))
     return mixing.training_order(plan).select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "offset")
+        "doc_id", "source", "size", "source_size", "target", "taken", "offset",
+        F.round(first, 6).alias("position"), F.round(second, 6).alias("second_position"))
 
 
 def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
