@@ -5,7 +5,9 @@ the common words of its language (all others are one cell). The reference of a
 language is the sum of the histograms of all its documents that pass the base
 rules; every value of lang has one. A document is kept if both Jensen-Shannon
 distances (base 2, so 0 to 1) to the reference of its language are within
-limits. One without a language is compared to the characters of every language
+limits. The limit for words follows from the language and the length: a share
+of the distance of a text without any common word, and what a sample of that
+many words drawn from the reference itself is away from it. One without a language is compared to the characters of every language
 and has the smallest distance; if no row has a language, to those of all rows.
 Guards: a histogram with too little in it isn't compared, nor are the words of
 a language without a word list here.
@@ -19,6 +21,8 @@ share a doc_id are judged separately.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +44,12 @@ COMMON_WORDS = {
     "fr": "au avec ce dans de des du elle en est et la le les par pas pour que un une".split(),
 }
 LEAST_WORDS = 50
-#: Limits of the Jensen-Shannon distances, and the least that is compared.
+#: Limit of the characters' distance; the words' one as a share of the distance
+#: of a text without common words; the least that is compared.
 CHAR_LIMIT = 0.28
-WORD_LIMIT = 0.3
+WORD_SHARE = 0.6
 LEAST_CHARS = 200
-LEAST_COMPARED = 100
+LEAST_COMPARED = LEAST_WORDS
 #: Languages whose references are broadcast; those of more are joined by a shuffle.
 MAX_LANGUAGES = 10_000
 _PLACE = 28  # bits for a word's place while triples are sorted
@@ -156,6 +161,17 @@ def jensen_shannon(a: Column, b: Column, total_a: Column, total_b: Column) -> Co
     return F.when((total_a > 0) & (total_b > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
+def _word_limit(all_words: Column, ref_words: Column, n_words: Column, share: float) -> Column:
+    """Squares add: ``share`` of the distance between the reference and a text of
+    other words only, and the expected sampling divergence of n words,
+    (cells - 1) / (8 ln 2 n)."""
+    others = F.element_at(all_words, -1) / F.nullif(ref_words, F.lit(0.0))
+    bare = ((1 - others) + _entropy_term(others, (1 + others) / 2)
+            - F.log2((1 + others) / 2)) / 2
+    return F.sqrt(F.lit(share * share) * bare
+                  + (F.size(all_words) - 1) / (8 * math.log(2) * n_words))
+
+
 def _with_references(rows: DataFrame, references: DataFrame) -> DataFrame:
     """Adds the sums of the row's language (all_chars, all_words), or for rows
     without one the characters of all languages (near)."""
@@ -173,8 +189,9 @@ def _with_references(rows: DataFrame, references: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
-                  word_limit: float = WORD_LIMIT) -> DataFrame:
-    """Per document: the base counts, base_failed, both distances and kept."""
+                  word_share: float = WORD_SHARE) -> DataFrame:
+    """Per document: the base counts, base_failed, kept, both distances and the
+    words' limit."""
     rows = cut_lineage(document_features(docs), "quality_features")
     failed = ((F.col("n_words") < LEAST_WORDS)
               | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
@@ -196,9 +213,11 @@ def quality_rules(docs: DataFrame, char_limit: float = CHAR_LIMIT,
             .otherwise(jensen_shannon(F.col("char_counts"), F.col("all_chars"), F.col("chars"),
                                       F.col("ref_chars")))),
         "word_distance": F.when(F.col("n_words") >= LEAST_COMPARED, jensen_shannon(
-            F.col("word_counts"), F.col("all_words"), F.col("words"), F.col("ref_words")))})
+            F.col("word_counts"), F.col("all_words"), F.col("words"), F.col("ref_words"))),
+        "word_limit": F.when(F.col("n_words") >= LEAST_COMPARED, _word_limit(
+            F.col("all_words"), F.col("ref_words"), F.col("n_words"), word_share))})
     like = (F.coalesce(F.col("char_distance") <= char_limit, F.lit(True))
-            & F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)))
+            & F.coalesce(F.col("word_distance") <= F.col("word_limit"), F.lit(True)))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", "base_failed", (~F.col("base_failed") & like).alias("kept"),
-                       "char_distance", "word_distance")
+                       "char_distance", "word_distance", "word_limit")

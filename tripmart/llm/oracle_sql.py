@@ -51,6 +51,9 @@ _LEFT = ",\n".join(f"t{k + 1} AS (SELECT *, regexp_replace(l{k}, '{p}', '', 'g')
                    f"FROM t{k})" for k, p in enumerate(divergence.CLASSES))
 _COUNTS = ", ".join([f"length(l{k}) - length(l{k + 1})" for k in range(_LAST)]
                     + [f"length(l{_LAST})"])
+_LIMIT = (f"CASE WHEN n_words >= {divergence.LEAST_COMPARED} THEN "
+          f"sqrt({divergence.WORD_SHARE} * {divergence.WORD_SHARE} * bare.d "
+          f"+ (cells - 1) / (8 * ln(2) * n_words)) END")
 _OP2 = rf"""
 WITH common(lang, ws) AS (VALUES {_COMMON}),
 t0 AS (SELECT doc_id, lang, COALESCE(text, '') AS l0 FROM documents),
@@ -80,26 +83,42 @@ cell AS (
   SELECT doc_id, lang, base_failed, kind, unnest(cells) AS v, generate_subscripts(cells, 1) AS c
   FROM (SELECT doc_id, lang, base_failed, 'chars' AS kind, chars AS cells FROM judged
         UNION ALL SELECT doc_id, lang, base_failed, 'words', words FROM judged)
-  WHERE lang IN (SELECT lang FROM common)),
+  WHERE kind = 'chars' OR lang IN (SELECT lang FROM common)),
 ref AS (SELECT lang, kind, c, sum(v) AS r FROM cell WHERE NOT base_failed GROUP BY ALL),
+-- the distance of a text without common words to the reference, squared
+bare AS (
+  SELECT lang, ((1 - o) + CASE WHEN o > 0 THEN o * log2(2 * o / (1 + o)) ELSE 0 END
+                + log2(2 / (1 + o))) / 2 AS d, cells
+  FROM (SELECT lang, arg_max(r, c) / sum(r) AS o, count(*) AS cells
+        FROM ref WHERE kind = 'words' GROUP BY lang)),
+-- a row without a language is compared to every language, if there is one
+aim AS (
+  SELECT lang, lang AS ref_lang FROM ref WHERE lang IS NOT NULL
+  UNION SELECT NULL, lang FROM ref
+  WHERE lang IS NOT NULL OR NOT EXISTS (SELECT 1 FROM ref WHERE lang IS NOT NULL)),
 share AS (
-  SELECT doc_id, kind, v / sum(v) OVER (PARTITION BY doc_id, kind) AS p,
-         r / sum(r) OVER (PARTITION BY doc_id, kind) AS q, sum(v) OVER (PARTITION BY doc_id, kind) AS n
-  FROM cell JOIN ref USING (lang, kind, c)),
-js AS (
-  SELECT doc_id, kind, sqrt(GREATEST(sum(
+  SELECT doc_id, cell.kind, ref_lang, v / sum(v) OVER one AS p, r / sum(r) OVER one AS q,
+         sum(v) OVER one AS n
+  FROM cell JOIN aim ON cell.lang IS NOT DISTINCT FROM aim.lang
+  JOIN ref ON ref.lang IS NOT DISTINCT FROM ref_lang AND ref.kind = cell.kind AND ref.c = cell.c
+  WINDOW one AS (PARTITION BY doc_id, cell.kind, ref_lang)),
+distances AS (
+  SELECT doc_id, kind, ref_lang, sqrt(GREATEST(sum(
            (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
             + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS distance
-  FROM share WHERE n > 0 GROUP BY ALL)
+  FROM share WHERE n > 0 GROUP BY ALL),
+js AS (SELECT doc_id, kind, min(distance) AS distance FROM distances GROUP BY ALL)
 SELECT j.doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed
          AND COALESCE(a.distance <= {divergence.CHAR_LIMIT} OR list_sum(chars) < {divergence.LEAST_CHARS}, TRUE)
-         AND COALESCE(b.distance <= {divergence.WORD_LIMIT} OR n_words < {divergence.LEAST_COMPARED}, TRUE) AS kept,
+         AND COALESCE(b.distance <= {_LIMIT}, TRUE) AS kept,
        CASE WHEN list_sum(chars) >= {divergence.LEAST_CHARS} THEN round(a.distance, 6) END AS char_distance,
-       CASE WHEN n_words >= {divergence.LEAST_COMPARED} THEN round(b.distance, 6) END AS word_distance
+       CASE WHEN n_words >= {divergence.LEAST_COMPARED} THEN round(b.distance, 6) END AS word_distance,
+       round({_LIMIT}, 6) AS word_limit
 FROM judged j LEFT JOIN js a ON a.doc_id = j.doc_id AND a.kind = 'chars'
               LEFT JOIN js b ON b.doc_id = j.doc_id AND b.kind = 'words'
+              LEFT JOIN bare ON bare.lang = j.lang
 """
 
 # --- op 3: sources whose share is above their bound settle at the bound and leave

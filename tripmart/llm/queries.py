@@ -36,7 +36,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules(_table(spark, sf_dir, "documents"))
-    return rows.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
+    return rows.withColumns({c: F.round(c, 6)
+                             for c in ("char_distance", "word_distance", "word_limit")})
 
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
