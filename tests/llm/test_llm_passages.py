@@ -7,6 +7,9 @@ import pytest
 
 import llm_brute
 import llm_data
+from tripmart.llm import components
+from tripmart.llm import ngram_join as ngram
+from tripmart.llm.blocks import pack
 from tripmart.llm.components import connected_components
 from tripmart.llm.cover_dedup import ANCHOR, COVER, PERIOD, WINDOW, cover_dedup
 from tripmart.llm.ngram_join import ngram_join
@@ -124,6 +127,45 @@ def test_ngram_join_on_edge_rows(spark):
     assert 6 in {c for _, c in got[None]}
 
 
+def test_components_with_hot_nodes(spark, monkeypatch):
+    """Stars around a hot node, joined by a chain, with loops and repeated edges."""
+    monkeypatch.setattr(components, "LEAST_HOT", 20)
+    rng = random.Random(3)
+    edges = [(5000 + i, 7) for i in range(900)] + [(3, 9000 + i) for i in range(700)]
+    edges += [(20000 + i, 20001 + i) for i in range(40)] + [(i, i) for i in range(100, 130)]
+    edges += [(5003, 9004), (5003, 9004), (30000, 100)]
+    rng.shuffle(edges)
+    got = {r.id: r.component for r in
+           connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {x: x for e in edges for x in e}
+    for _ in range(50):
+        for a, b in edges:
+            want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    loops = spark.createDataFrame([(4, 4), (6, 6)], "a long, b long")
+    assert {(r.id, r.component) for r in connected_components(loops).collect()} == {(4, 4), (6, 6)}
+    assert connected_components(loops.limit(0)).count() == 0
+
+
+def test_candidates_of_long_lists():
+    """Interleaved groups of one token: every group is spanned, none is joined to
+    another, and the list ends once each entry's partners are in its group."""
+    rng = np.random.default_rng(8)
+    n, kinds = 3000, 3
+    kind = rng.integers(0, kinds, n)
+    sketch = rng.integers(0, 1 << 63, (kinds, 8), dtype=np.uint64)[kind]
+    size = rng.integers(100, 104, n).astype(np.int32)
+    payload = pack(token=np.full(n, 77, np.uint64), id=np.arange(n), size=size,
+                   place=np.zeros(n, np.int32), **{f"s{c}": sketch[:, c] for c in range(8)})
+    edges = list(ngram._candidates(85)([0], [payload]))
+    forest = ngram.Forest(n)
+    used = forest.join(np.array([e[0] for e in edges]), np.array([e[2] for e in edges]))
+    label = forest.labels()
+    assert len(used) == len(edges) == n - kinds
+    assert all(len(set(label[kind == k].tolist())) == 1 for k in range(kinds))
+    assert ngram._next_group(np.array([4, 4, 2, 2, 2, 9])).tolist() == [2, 2, 5, 5, 5, 6]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, j) for j in range(200, 260)] + [(5, 5)]
     got = {r.id: r.component for r in

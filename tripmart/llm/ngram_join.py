@@ -49,9 +49,9 @@ from tripmart.llm.blocks import (
     words_of,
     write_blocks,
 )
-from tripmart.llm.components import connected_components
+from tripmart.llm.components import connected_components, join_counted
 from tripmart.llm.cover_dedup import answer_per_block, repeated_in
-from tripmart.session import cut_lineage
+from tripmart.session import cut_lineage, cut_observed
 
 #: Defaults: words of a shingle, and similarity in percent.
 SHINGLE = 4
@@ -269,6 +269,13 @@ class Forest:
             self.parent = up
 
 
+def _next_group(label: np.ndarray) -> np.ndarray:
+    """For every entry the next one with another label. An entry whose partners
+    are all in its own group already is done."""
+    ends = np.append(np.flatnonzero(label[1:] != label[:-1]), len(label) - 1)
+    return np.repeat(ends + 1, np.diff(ends, prepend=-1))
+
+
 def _candidates(percent: int):
     """Spanning edges of the candidate groups within a part's index lists."""
     def work(blocks, payloads):
@@ -283,14 +290,16 @@ def _candidates(percent: int):
         forest = Forest(int(node.max()) + 1)
         label = forest.labels()
         alive = np.arange(len(token))
+        # lists are sorted by size: the last entry that isn't too large for one
+        number = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
+        reach = np.searchsorted(number + size, number + np.minimum(
+            100 * size // percent, (1 << 32) - 1), "right") - 1
         lag = 0
         while True:
             lag += 1
-            alive = alive[:np.searchsorted(alive, len(token) - lag)]
-            other = alive + lag
-            # sorted by size: once a partner is too large, so are all further ones
-            go_on = (token[alive] == token[other]) & (100 * size[alive] >= percent * size[other])
-            alive = alive[go_on]
+            alive = alive[alive + lag <= reach[alive]]
+            if lag & (lag - 1) == 0:
+                alive = alive[_next_group(label[node])[alive] <= reach[alive]]
             if not len(alive):
                 return
             a, b = alive, alive + lag
@@ -491,11 +500,12 @@ def _join_sets(docs: DataFrame, block_bytes: int, group: int, shingle: int,
     edges = cut_lineage(blocks.exchange(
         blocks.send(_send_entries(parts, shingle, percent), classes, tokens),
         _candidates(percent), "a long, block_a long, b long, block_b long"), "candidates")
-    groups = cut_lineage(connected_components(edges), "candidate_groups")
+    groups, seen = cut_observed(connected_components(edges), "candidate_groups",
+                                [F.count(F.lit(1)).alias("n")])
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     homes = edges.select(F.col("a").alias("id"), F.col("block_a").alias("block")).union(
         edges.select(F.col("b").alias("id"), F.col("block_b").alias("block"))).distinct()
-    calls = homes.join(groups.join(sizes, "component"), "id").select(
+    calls = homes.join(join_counted(groups, sizes, "component", seen["n"]), "id").select(
         "block", F.struct("id", "component", "n").alias("payload"))
     verified = cut_lineage(blocks.exchange(blocks.send(_send_sets(parts, group, shingle), calls),
                                            _verify(percent), "a long, b long, n long"), "verified")
