@@ -2,9 +2,10 @@
 
 The narrow side of the records (id, size, payload digest) decides everything
 before any payload moves: which records are revisits, and, from cumulated
-payload sizes along the id, which shard a record belongs to. Payloads are then
-dealt out by shard, sorted by id, and written as one gzip member a record;
-files roll at a compressed size. The same input gives the same bytes under the
+payload sizes along (id, payload digest), where shards begin. Payloads are then
+dealt out by shard, sorted, and written as one gzip member a record; files roll
+at a compressed size. A shard holds its size and a payload at most, whatever the
+ids, save that rows equal in id and payload go to one shard. The same input gives the same bytes under the
 same names.
 
 Tasks write under names of their own in ``_temporary``; a second job moves the
@@ -23,17 +24,19 @@ import base64
 import hashlib
 import io
 import zlib
-from collections import deque
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmart.llm.components import join_counted
 from tripmart.llm.shipping import ship_package
-from tripmart.session import cut_lineage
+from tripmart.session import cut_lineage, cut_observed
 
 #: Payload of a shard, and compressed size at which a shard's file rolls.
 SHARD_BYTES = 16 << 20
@@ -41,7 +44,10 @@ ROLL_BYTES = 2 << 20
 #: Shorter payloads are always written in full.
 LEAST_REVISIT = 1000
 WARC_DATE = "2024-01-01T00:00:00Z"
-_CELLS = 1 << 14
+#: Beyond this many shards, they hold more payload each. Bounds what is broadcast.
+MAX_SHARDS = 1 << 20
+#: Records of an ordered range of the plan.
+ROWS_PER_RANGE = 250_000
 # Fixed value: the profile of a revisit with an identical payload.
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MANIFEST = "name string, temporary string, records long, bytes long, sha1 string"
@@ -138,60 +144,109 @@ def _payload() -> Column:
     return F.coalesce(F.col("html").cast("binary"), F.lit(b""))
 
 
-def _narrow(pages: DataFrame) -> DataFrame:
-    """Records without their payloads, numbered within a page_id."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
+def _page_rows(pages: DataFrame, *more: Column) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.col("url").cast("string").alias("url"),
-                        F.octet_length(_payload()).cast("long").alias("payload_bytes"),
-                        F.sha1(_payload()).alias("payload_digest"))
-    same = Window.partitionBy("page_id").orderBy("payload_digest", "url")
-    return cut_lineage(rows.withColumn("nth", F.row_number().over(same) - 1).drop("url"),
-                       "warc_records")
-
-
-def plan_records(rows: DataFrame, cells: "_Cells") -> DataFrame:
-    """Per record: page_id, nth, payload_bytes, payload_digest, shard, and for
-    revisits the record they refer to."""
-    copies = (rows.filter(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest")
-              .agg(F.max(F.struct("page_id", "nth")).alias("last"), F.count("*").alias("n"))
-              .filter("n > 1").select("payload_digest", F.col("last.page_id").alias("last_id"),
-                                      F.col("last.nth").alias("last_nth")))
-    rows = rows.join(copies, "payload_digest", "left")
-    is_copy = F.col("last_nth").isNotNull() & ~(F.col("page_id").eqNullSafe(F.col("last_id"))
-                                                & (F.col("nth") == F.col("last_nth")))
-    return cells.with_shard(rows).select(
-        "page_id", "nth", "payload_bytes", "payload_digest", "shard",
-        F.when(is_copy, F.col("last_id")).alias("refers_to"),
-        F.when(is_copy, F.col("last_nth")).alias("refers_nth"))
+                        F.sha1(_payload()).alias("payload_digest"), *more)
 
 
-@dataclass
-class _Cells:
-    low: int
-    width: int
-    table: DataFrame
+def _shard_key() -> tuple[Column, Column]:
+    """What a shard begins with: the page_id and 60 bits of the payload digest."""
+    return (F.coalesce("page_id", F.lit(-1 << 63)),
+            F.conv(F.substring("payload_digest", 1, 15), 16, 10).cast("long"))
 
-    def with_shard(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with the shard of their page_id; the table has a bounded size."""
-        return rows.withColumn("cell", _cell(self.low, self.width)).join(
-            F.broadcast(self.table), "cell").drop("cell")
 
+def _find_shard(pages: np.ndarray, digests: np.ndarray, first_page: np.ndarray,
+                first_digest: np.ndarray) -> np.ndarray:
+    """Number of the last shard that begins at or before each key; the first
+    keys are sorted."""
+    low = np.searchsorted(first_page, pages, "left")
+    high = np.searchsorted(first_page, pages, "right")
+    found = low - 1
+    for page in np.unique(pages[high > low]):  # shards begin within this page_id
+        rows = np.flatnonzero(pages == page)
+        a, b = low[rows[0]], high[rows[0]]
+        found[rows] = a - 1 + np.searchsorted(first_digest[a:b], digests[rows], "right")
+    return np.maximum(found, 0)
 
-def _cell(low: int, width: int) -> Column:
-    return F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int"),
-                      F.lit(-1))
 
+@dataclass
+class _Shards:
+    """First key of every shard, sorted: at most MAX_SHARDS pairs of longs."""
 
-def _cells(rows: DataFrame, shard_bytes: int) -> _Cells:
-    """Shard of each of at most _CELLS + 1 id ranges, by the payload before it."""
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // _CELLS))
-    sums = rows.groupBy(_cell(low, width).alias("cell")).agg(F.sum("payload_bytes").alias("size"))
-    before = F.sum("size").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    shard = F.floor(F.coalesce(before, F.lit(0)) / F.lit(shard_bytes)).cast("int")
-    return _Cells(low, width, cut_lineage(sums.select("cell", shard.alias("shard")),
-                                          "warc_cells"))
+    pages: np.ndarray
+    digests: np.ndarray
+
+    def with_shard(self, rows: DataFrame) -> DataFrame:
+        firsts = rows.sparkSession.sparkContext.broadcast((self.pages, self.digests))
+
+        def shard(page: pd.Series, digest: pd.Series) -> pd.Series:
+            return pd.Series(_find_shard(page.to_numpy(), digest.to_numpy(), *firsts.value))
+
+        return rows.withColumn("shard", F.pandas_udf(shard, "int")(*_shard_key()))
+
+
+def plan_records(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, _Shards]:
+    """The plan, a row per (page_id, payload, url): payload_bytes, ``times`` (equal
+    rows, which are records ``nth``, nth + 1, ...), refers_to and refers_nth (the
+    record that holds the payload, if revisits are allowed) and ``holds`` (the
+    last of these records is that one); and the shards.
+
+    Records lie in order of (page_id, digest, url), cut into ranges; payload
+    and rows before a record are those of its range plus those of earlier
+    ranges. So neither a page_id nor a payload that a third of the rows share is
+    one window.
+    """
+    spark, order = pages.sparkSession, ["page_id", "payload_digest", "url"]
+    rows = _page_rows(pages, F.octet_length(_payload()).cast("long").alias("payload_bytes"))
+    rows, seen = cut_observed(
+        rows.groupBy(*order).agg(F.max("payload_bytes").alias("payload_bytes"),
+                                 F.count(F.lit(1)).alias("times")), "warc_groups",
+        [F.count(F.lit(1)).alias("n"), F.sum(F.col("payload_bytes") * F.col("times")).alias("size")])
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-seen["n"] // ROWS_PER_RANGE))
+    rows = cut_lineage(rows.repartitionByRange(ranges, *order)
+                       .withColumn("range", F.spark_partition_id()), "warc_ranges")
+    size = F.sum(F.col("payload_bytes") * F.col("times"))
+    earlier = (Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    # at most a row per range, and a row per range that begins inside a page_id
+    sizes = rows.groupBy("range").agg(size.alias("size")).select(
+        "range", F.coalesce(F.sum("size").over(Window.orderBy("range").rowsBetween(*earlier)), zero)
+        .alias("size_before"))
+    begun = rows.groupBy("page_id", "range").agg(F.sum("times").alias("n")).select(
+        "range", F.col("page_id").alias("begun_id"),
+        F.sum("n").over(Window.partitionBy("page_id").orderBy("range").rowsBetween(*earlier))
+        .alias("n_before")).filter("n_before > 0")
+    rows = rows.join(F.broadcast(sizes), "range").join(F.broadcast(begun), "range", "left")
+    in_range = Window.partitionBy("range").orderBy(*order).rowsBetween(*earlier)
+    in_page = (Window.partitionBy("range", "page_id").orderBy("payload_digest", "url")
+               .rowsBetween(*earlier))
+    of_page = F.when(F.col("page_id").eqNullSafe(F.col("begun_id")), F.col("n_before"))
+    rows = cut_lineage(rows.select(
+        *order, "payload_bytes", "times",
+        (F.col("size_before") + F.coalesce(size.over(in_range), zero)).alias("before"),
+        (F.coalesce(of_page, zero) + F.coalesce(F.sum("times").over(in_page), zero)).alias("nth")),
+        "warc_records")
+    # --- shards: the first key at or after every multiple of their size
+    step = max(shard_bytes, -(-(seen["size"] or 0) // MAX_SHARDS))
+    page, digest = _shard_key()
+    firsts = (rows.groupBy(F.floor(F.col("before") / F.lit(step)).alias("k"))
+              .agg(F.min(F.struct(page.alias("page"), digest.alias("digest"))).alias("first"))
+              .select("first.*").distinct().toPandas().sort_values(["page", "digest"]))
+    shards = _Shards(firsts["page"].to_numpy("int64"), firsts["digest"].to_numpy("int64"))
+    # --- revisits: of equal long payloads the last record holds the payload
+    long, short = rows.filter(F.col("payload_bytes") >= LEAST_REVISIT), rows.filter(
+        F.col("payload_bytes") < LEAST_REVISIT)
+    end = F.col("nth") + F.col("times") - 1
+    held = long.groupBy("payload_digest").agg(
+        F.max(F.struct("page_id", end.alias("nth"))).alias("last"), F.count(F.lit(1)).alias("n"))
+    long = join_counted(long, held, "payload_digest", seen["n"])
+    holds = F.col("page_id").eqNullSafe(F.col("last.page_id")) & (end == F.col("last.nth"))
+    columns = [*order, "payload_bytes", "times", "nth"]
+    plan = long.select(*columns, F.col("last.page_id").alias("refers_to"),
+                       F.col("last.nth").alias("refers_nth"), holds.alias("holds"))
+    return plan.unionByName(short.select(*columns), allowMissingColumns=True), shards
 
 
 # --- writing and reading -----------------------------------------------------
@@ -239,29 +294,28 @@ def write_warc(pages: DataFrame, target: str, shard_bytes: int = SHARD_BYTES,
     ``target`` (a URI that all executors reach); returns its manifest."""
     spark = pages.sparkSession
     ship_package(spark)
-    narrow = _narrow(pages)
-    cells = _cells(narrow, shard_bytes)
-    plan = plan_records(narrow, cells)
-    shards = (cells.table.agg(F.max("shard")).first()[0] or 0) + 1
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
-                        F.col("url").cast("string").alias("url"), _payload().alias("payload"),
-                        F.sha1(_payload()).alias("payload_digest"))
-    # Payloads move once: the plan comes to them, each decision before its
-    # record, both in the order in which records of a page_id are numbered.
-    both = plan.withColumn("kind", F.lit(0)).unionByName(
-        cells.with_shard(rows).withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    order = ["shard", "page_id", "kind", "nth", "payload_digest", "url"]
-    both = both.repartition(shards, "shard").sortWithinPartitions(*order).select(
-        *order, "payload", "payload_bytes", "refers_to", "refers_nth")
+    plan, shards = plan_records(pages, shard_bytes)
+    rows = _page_rows(pages, _payload().alias("payload"))
+    # Payloads move once: the plan comes to them, each decision just before the
+    # records it is about.
+    both = shards.with_shard(plan.withColumn("kind", F.lit(0)).unionByName(
+        rows.withColumn("kind", F.lit(1)), allowMissingColumns=True))
+    order = ["shard", "page_id", "payload_digest", "url", "kind"]
+    both = (both.repartitionById(max(1, len(shards.pages)), "shard").sortWithinPartitions(*order)
+            .select(*order, "payload", "payload_bytes", "times", "nth", "refers_to", "refers_nth",
+                    "holds"))
 
     def write(batches):
-        now, decided = None, deque()
+        now, decided, done_rows = None, None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["kind"] == 0:
-                    decided.append(row)
+                    decided, done_rows = row, 0
                     continue
-                row = decided.popleft() | {"url": row["url"], "payload": row["payload"]}
+                done_rows += 1
+                row = decided | {"payload": row["payload"], "nth": decided["nth"] + done_rows - 1}
+                if row["holds"] and done_rows == row["times"]:
+                    row["refers_to"] = row["refers_nth"] = None
                 if now is None or now.shard != row["shard"]:
                     if now is not None and (done := now.close()):
                         yield _manifest_batch(done)
@@ -285,6 +339,9 @@ def write_warc(pages: DataFrame, target: str, shard_bytes: int = SHARD_BYTES,
 
     written = cut_lineage(both.mapInArrow(write, _MANIFEST), "warc_written")
     written.mapInArrow(commit, _MANIFEST).write.parquet(f"{target}/manifest")
+    # what lost attempts left behind
+    left = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/_temporary")
+    left.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(left, True)
     return spark.read.parquet(f"{target}/manifest")
 
 
