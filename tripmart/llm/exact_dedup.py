@@ -1,7 +1,8 @@
 """Exact dedup against a persistent digest index.
 
 The index is a parquet table bucketed and sorted by digest under a path the
-caller owns; it outlives the session (``open_index`` re-attaches it). A batch
+caller owns; it outlives the session (``open_index`` re-attaches it), and its
+buckets are dealt anew when they have outgrown their size. A batch
 is reduced to one row per digest before it meets the index, so a digest that
 a third of all rows share is one row in the sort-merge join; only new digests
 are appended.
@@ -21,11 +22,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.session import cut_lineage
+from tripmart.session import cut_lineage, cut_observed
 
 #: Fixed value: the characters that normalisation deletes, [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
-DEFAULT_BUCKETS = 64
+#: Buckets of a new index, and rows that a bucket should hold.
+LEAST_BUCKETS = 64
+ROWS_PER_BUCKET = 1 << 20
+_MARKER = "_INDEX"
 
 
 def text_digest(text: Column) -> Column:
@@ -33,14 +37,33 @@ def text_digest(text: Column) -> Column:
     return F.sha2(F.translate(F.coalesce(text, F.lit("")), SPACES, "").cast("binary"), 256)
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 @dataclass
 class DigestIndex:
-    """A bucketed table of (digest, keep_id, n_chars, row_tag) at ``path``."""
+    """A bucketed table of (digest, keep_id, n_chars) under ``path``, for one
+    writer at a time. Its folder is named by the number of buckets, which grows
+    with the index (``make_room``); a folder counts once it holds the marker."""
 
     spark: SparkSession
     path: str
-    table: str
     buckets: int
+    rows_per_bucket: int
+    table: str = ""
+
+    def _attach(self, buckets: int) -> str:
+        table = f"digest_index_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"CREATE TABLE {table} (digest STRING, keep_id BIGINT, n_chars INT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS "
+            f"LOCATION '{self._place(buckets)}'")
+        return table
+
+    def _place(self, buckets: int) -> str:
+        return f"{self.path.rstrip('/')}/buckets={int(buckets)}"
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
@@ -51,25 +74,63 @@ class DigestIndex:
              .write.insertInto(self.table))
         self.spark.catalog.refreshTable(self.table)
 
-
-def open_index(spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS) -> DigestIndex:
-    """Attach the index at ``path``, creating it if the path holds none. The
-    bucket count is part of the index: use the same one every time."""
-    table = f"digest_index_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {table} (digest STRING, keep_id BIGINT, n_chars INT) USING parquet "
-              f"CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS "
-              f"LOCATION '{path}'")
-    return DigestIndex(spark, path, table, buckets)
-
-
-def digest_rows(docs: DataFrame) -> DataFrame:
-    """One narrow row per document, written once so that the texts are read once."""
+    def make_room(self, more: int) -> None:
+        """Deal the index into more buckets if ``more`` rows would make them
+        twice as large as they should be. An empty index gets what it needs."""
+        held = self.read().count()  # from the files' footers
+        wanted = -(-(held + more) // self.rows_per_bucket)
+        if wanted <= self.buckets * (2 if held else 1):
+            return
+        old, old_place = self.table, self._place(self.buckets)
+        rows, self.buckets = self.read(), wanted
+        fs, place = _folder(self.spark, self._place(wanted))
+        fs.delete(place, True)  # of a writer that was lost before its marker
+        self.table = self._attach(wanted)
+        if held:
+            self.append(rows)
+        self._mark()
+        self.spark.sql(f"DROP TABLE {old}")
+        fs, place = _folder(self.spark, old_place)
+        fs.delete(place, True)
+
+    def _mark(self) -> None:
+        fs, marker = _folder(self.spark, f"{self._place(self.buckets)}/{_MARKER}")
+        fs.create(marker, True).close()
+
+    def close(self) -> None:
+        """Forget the table's name in the catalog; the index stays at its path."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def open_index(spark: SparkSession, path: str, buckets: int = LEAST_BUCKETS,
+               rows_per_bucket: int = ROWS_PER_BUCKET) -> DigestIndex:
+    """Attach the index under ``path``, creating it if there is none, with
+    ``buckets`` buckets to begin with."""
+    fs, root = _folder(spark, path)
+    sizes = [int(s.getPath().getName().split("=")[1]) for s in
+             (fs.listStatus(root) if fs.exists(root) else [])
+             if s.getPath().getName().startswith("buckets=")]
+    marked = [n for n in sizes if fs.exists(_folder(spark, f"{path}/buckets={n}/{_MARKER}")[1])]
+    index = DigestIndex(spark, path, max(marked, default=buckets), rows_per_bucket)
+    if not marked:
+        at, place = _folder(spark, index._place(buckets))
+        at.delete(place, True)
+    index.table = index._attach(index.buckets)
+    if not marked:
+        index._mark()
+    return index
+
+
+def digest_rows(docs: DataFrame) -> tuple[DataFrame, int]:
+    """One narrow row per document, written once so that the texts are read
+    once; and how many there are."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"),
         text_digest(F.col("text")).alias("digest"),
         F.monotonically_increasing_id().alias("row_tag"))
-    return cut_lineage(rows, "digests")
+    rows, seen = cut_observed(rows, "digests", [F.count(F.lit(1)).alias("n")])
+    return rows, seen["n"]
 
 
 def _best() -> Column:
@@ -86,7 +147,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     Returns doc_id, keep_id, group_size (rows of this batch with that text),
     kept, text_sha256 and row_tag (which tells repeated rows apart).
     """
-    rows = digest_rows(docs)
+    rows, total = digest_rows(docs)
+    index.make_room(total)
     groups = rows.groupBy("digest").agg(_best(), F.count(F.lit(1)).alias("group_size")).select(
         "digest", "group_size", F.col("best")["n_chars"].alias("n_chars"),
         F.bitwise_not(F.col("best")["col3"]).alias("best_id"),

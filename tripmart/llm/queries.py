@@ -70,7 +70,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.open_index(spark, scratch_path(spark, f"digest_index/{uuid.uuid4().hex}"))
-    return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), index).drop("row_tag")
+    decisions = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), index)
+    index.close()  # decisions come from written tables
+    return decisions.drop("row_tag")
 
 
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
