@@ -8,8 +8,11 @@ on its demand axis, pass after pass, until the target is met; the integral of
 the schedule, inverted, turns an offset on that axis into a training
 position, and the stream is range-sorted by position.
 
-Prefix sums are two-level (source, 1 of 4,096 key ranges), so a source with a
-third of all rows is never one window. Everything is plain Spark SQL.
+Prefix sums are two-level: the documents are cut into ranges along (source,
+order), and an offset is what the source has in earlier ranges plus what comes
+before in the same one. So neither a source nor a doc_id with a third of all rows
+is one window; rows equal in id, source and text are one row there, with their
+number. Everything is plain Spark SQL.
 
 Defined results: a NULL text has size 0; sizes of 0 take nothing and have a
 NULL position; sources are ordered by code point with NULL last and NULL is a
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.shipping import ship_package
-from tripmart.session import cut_lineage
+from tripmart.session import cut_lineage, cut_observed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Mean weights, dealt to the sources in order, again and again.
@@ -37,7 +40,8 @@ SCHEDULES = (
     ((0.0, 0.5), (1.0, 1.5)),
     ((0.0, 1.0), (1.0, 1.0)),
 )
-_KEY_DIGITS = 3
+#: Documents of an ordered range of the axes.
+ROWS_PER_RANGE = 250_000
 
 
 def word_count(text: Column) -> Column:
@@ -104,32 +108,42 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE,
                 max_passes: int = MAX_PASSES, schedules=SCHEDULES) -> DataFrame:
     """One row per document: size, source_size, target, offset on the source's
     axis, words taken in each pass (``takes``), their positions, and taken."""
+    spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = cut_lineage(docs.select(
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"), key.alias("order_key"),
-        _row_key()[0].alias("mix_key")), "mix_sizes")
-    cell = F.substring("order_key", 1, _KEY_DIGITS)
-    rows = rows.withColumn("cell", cell)
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+        _row_key()[0].alias("mix_key"))
+    order = ["source", "order_key", "doc_id", "size", "mix_key"]
+    rows, seen = cut_observed(rows.groupBy(*order).agg(F.count(F.lit(1)).alias("times")),
+                              "mix_sizes", [F.count(F.lit(1)).alias("n")])
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-seen["n"] // ROWS_PER_RANGE))
+    rows = cut_lineage(rows.repartitionByRange(ranges, *order)
+                       .withColumn("range", F.spark_partition_id()), "mix_ranges")
+    cells = rows.groupBy("source", "range").agg(
+        F.sum(F.col("size") * F.col("times")).alias("cell_size"))
     targets = source_targets(cells, weights, share, max_passes)
-    # one row per source and key range, at most 4,096 of a source
-    along = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per source and range that it has rows in
+    earlier = (Window.unboundedPreceding, -1)
+    along = Window.partitionBy("source").orderBy("range").rowsBetween(*earlier)
     starts = cells.withColumn("cell_start", F.coalesce(F.sum("cell_size").over(along), F.lit(0)))
     starts = (starts.alias("a").join(targets.alias("b"),
                                      F.col("a.source").eqNullSafe(F.col("b.source")))
               .select(F.coalesce("a.source", F.lit("")).alias("source_key"),
-                      F.col("a.source").isNull().alias("no_source"), "a.cell", "a.cell_start",
+                      F.col("a.source").isNull().alias("no_source"), "a.range", "a.cell_start",
                       "b.slot", "b.source_size", "b.target"))
     starts = cut_lineage(starts, "mix_cells")
     rows = rows.withColumns({"source_key": F.coalesce("source", F.lit("")),
                              "no_source": F.col("source").isNull()})
-    rows = rows.join(starts, ["source_key", "no_source", "cell"])
-    within = (Window.partitionBy("source_key", "no_source", "cell")
-              .orderBy("order_key", "doc_id", "size", "mix_key")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("offset", F.col("cell_start")
-                           + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = rows.join(starts, ["source_key", "no_source", "range"])
+    within = (Window.partitionBy("source_key", "no_source", "range")
+              .orderBy(*order[1:]).rowsBetween(*earlier))
+    before = F.coalesce(F.sum(F.col("size") * F.col("times")).over(within), F.lit(0))
+    rows = rows.withColumn("before", F.col("cell_start") + before)
+    nth = F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1))  # equal rows in a row
+    rows = rows.withColumn("nth", nth).withColumn(
+        "offset", F.col("before") + F.col("size") * F.col("nth"))
     whole = F.floor("target").cast("long")
     zero = F.lit(0).cast("long")
     starts_at = [F.col("offset") + F.col("source_size") * p for p in range(max_passes)]
