@@ -36,7 +36,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each text (white space aside)."""
     index = exact_dedup.open_index(spark, scratch_path(spark, f"digest_index/{uuid.uuid4().hex}"))
-    return exact_dedup.keep_rows(docs, exact_dedup.exact_dedup(docs, index))
+    decisions = exact_dedup.exact_dedup(docs, index)
+    index.close()
+    return exact_dedup.keep_rows(docs, decisions)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
