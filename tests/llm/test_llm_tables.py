@@ -1,5 +1,6 @@
 """Ops 3, 6 and 7, the SQL of the queries, and the pipeline."""
 
+import hashlib
 import random
 import uuid
 
@@ -55,6 +56,33 @@ def test_exact_dedup_edge_rows_and_index(spark):
     assert kept.count() == sum(r.kept for r in first)
 
 
+def test_digest_index_grows(spark):
+    """Answers don't depend on the buckets; the index is dealt anew as it grows."""
+    path, fixed = fresh(spark, "index"), fresh(spark, "index")
+    whole = {}
+    for batch in range(3):
+        rows = [llm_data.row(i, f"text {i * (batch + 1) % 70}") for i in range(100)]
+        docs = llm_data.frame(spark, rows)
+        small = exact_dedup.open_index(spark, path, 2, rows_per_bucket=20)
+        large = exact_dedup.open_index(spark, fixed, 3)
+        one, two = (sorted(map(str, exact_dedup.exact_dedup(docs, i).drop("row_tag").collect()))
+                    for i in (small, large))
+        assert one == two
+        whole[batch] = small.buckets
+        assert large.buckets == 3 and small.read().count() == large.read().count()
+        for i in (small, large):
+            i.close()
+    assert whole == {0: 5, 1: 5, 2: 5}
+    more = exact_dedup.open_index(spark, path, rows_per_bucket=20)
+    held = sorted(map(str, more.read().collect()))
+    more.make_room(400)  # 70 digests and these
+    assert more.buckets == 24 and sorted(map(str, more.read().collect())) == held
+    again = exact_dedup.open_index(spark, path)
+    assert again.buckets == 24 and again.read().count() == 70
+    names = [t.name for t in spark.catalog.listTables()]
+    assert more.table in names and small.table not in names
+
+
 def test_exact_dedup_of_nothing(spark):
     index = exact_dedup.open_index(spark, fresh(spark, "index"), 2)
     assert exact_dedup.exact_dedup(spark.createDataFrame([], llm_data.SCHEMA), index).count() == 0
@@ -90,6 +118,27 @@ def test_mix_edge_rows_and_stream(spark):
     assert mixing.mixing_plan(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows_per_range", [5, 250_000])
+def test_mix_of_shared_and_missing_ids(spark, monkeypatch, rows_per_range):
+    """A doc_id with a third of the rows is cut into ranges; equal rows follow
+    each other on the axis."""
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", rows_per_range)
+    rows = [llm_data.row((i, None, 7)[i % 3], "w " * (1 + i % 11), source=f"s{i % 2}")
+            for i in range(300)]
+    got = mixing.mixing_plan(llm_data.frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for source in ("s0", "s1"):
+        mine = sorted((r for r in got if r.source == source), key=lambda r: r.offset)
+        at = 0
+        for r in mine:  # the axis has neither gaps nor overlaps
+            assert r.offset == at
+            at += r.size
+        keys = [(hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest(),
+                 r.size) for r in mine]
+        assert keys == sorted(keys)
+        assert sum(r.taken for r in mine) == int(mine[0].target)
+
+
 def test_schedule_is_inverted(spark):
     """Half of the demand of a falling schedule is met before half time."""
     df = spark.range(101).select((F.col("id") / 100).alias("y"))
@@ -142,6 +191,40 @@ def test_warc_edge_rows_round_trip(spark):
     assert warc.read_warc(spark, nothing).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["outlying", "missing", "shared"])
+def test_warc_shards_on_any_ids(spark, monkeypatch, kind):
+    monkeypatch.setattr(warc, "ROWS_PER_RANGE", 20)
+    rng = random.Random(3)
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnop0123456789") for _ in range(n))
+    copy, rows = text(1500), []
+    for i in range(240):
+        i = {"outlying": i if i else 1 << 62, "missing": i if i % 3 else None,
+             "shared": i if i % 3 else 7}[kind]
+        rows.append(page(i, copy if rng.random() < 0.2 else text(rng.choice([900, 1100]))))
+    target = fresh(spark, "warc")
+    files = warc.write_warc(spark.createDataFrame(rows, PAGES).repartition(4), target,
+                            shard_bytes=20_000, roll_bytes=8000).collect()
+    shards = {}
+    for f in files:
+        shard = f.name.split("-")[1]
+        shards[shard] = shards.get(shard, 0) + f.records
+    copies = sum(r[2] == copy for r in rows)
+    total = sum(len(r[2]) for r in rows)
+    assert abs(len(shards) - total / 20_000) <= 2
+    # equal rows stay together: id 7, or none, has a third of the copies
+    together = copies if kind != "outlying" else 1
+    assert max(shards.values()) <= 20_000 / 900 + 1 + together
+    got = warc.read_warc(spark, target, with_payload=True).collect()
+    assert sorted((str(r.page_id), r.payload_digest) for r in got) == sorted(
+        (str(r[0]), hashlib.sha1(r[2].encode()).hexdigest()) for r in rows)
+    last = max((r[0] for r in rows if r[2] == copy and r[0] is not None))
+    revisits = [r for r in got if r.record_type == "revisit"]
+    assert len(revisits) == copies - 1 and {r.refers_to for r in revisits} == {last}
+    assert sorted(bytes(r.payload).decode() for r in got if r.record_type == "response") == sorted(
+        [r[2] for r in rows if r[2] != copy] + [copy])
+
+
 # --- pipeline ----------------------------------------------------------------
 def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     pairs = llm_data.corpus(4, 70)
