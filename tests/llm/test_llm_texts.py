@@ -155,7 +155,7 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.toxicity_chain(docs.limit(0), model).count() == 0
 
 
-def test_chain_matches_plain_loops():
+def test_chain_matches_plain_loops(spark):
     """Every model sees the probabilities before it: out of fold in training,
     its own predecessors' when scoring."""
     rng = random.Random(6)
@@ -165,7 +165,20 @@ def test_chain_matches_plain_loops():
         words = [f"w{rng.randrange(60)}" for _ in range(20)]
         toxic.append(int(i % 4 == 0))
         texts.append(" ".join(words + rng.sample(bad, 2) * toxic[-1]))
-    model = toxicity.fit_chain(texts, toxic)
+    docs = llm_data.frame(spark, [llm_data.row(i, t) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id")).collect()]
+    texts, toxic = [texts[i] for i in order], [toxic[i] for i in order]
+    # screening: features of at least 3 documents, far from chance
+    seen, base = {}, sum(toxic) / len(toxic)
+    for t, x in zip(texts, toxic):
+        for f in toxicity.features_of(t):
+            n, k = seen.get(f, (0, 0))
+            seen[f] = n + 1, k + x
+    far = {f for f, (n, k) in seen.items() if n >= 3 and (k - n * base) ** 2 / max(
+        n * base * (1 - base) * (1 - n / (len(toxic) + 1)), 1e-9) >= toxicity.LEAST_CHI_SQUARED}
+    assert set(model.columns) == far
     y = np.array(toxic, float)
     rows = model.rows(texts)
     fold = np.arange(len(y)) % toxicity.FOLDS

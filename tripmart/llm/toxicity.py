@@ -9,7 +9,9 @@ they will be on new texts.
 
 The model is fitted on the driver to a bounded sample of labelled documents
 (SAMPLE, taken in the order of a hash of doc_id); only the features that
-screening leaves are used. Scoring reads whole texts.
+screening leaves are used, and only they leave the tasks. The threshold is the
+best one for the sample's out-of-fold probabilities that calls few clean
+documents toxic. Scoring reads whole texts.
 
 Defined results: a NULL or empty text has no features, which gives the models'
 base rate; without labels of both kinds every probability is 0; a NULL label
@@ -20,14 +22,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.shipping import ship_package
+from tripmart.session import cut_lineage
 
 CATEGORIES = ("insult", "contempt", "toxic")
 #: Words that make a document labelled toxic an example of a category.
@@ -42,10 +44,12 @@ FEATURES = 3000
 #: chance (chi-squared with one degree of freedom).
 LEAST_DOCUMENTS = 3
 LEAST_CHI_SQUARED = 20.0
-FOLDS = 3
-THRESHOLD = 0.35
+FOLDS = 5
+#: Share of the clean documents that the threshold may call toxic.
+FALSE_ALARMS = 0.002
 _PREFIXES = (4, 5)
-_word = re.compile(r"\w+").findall
+# words beyond 100 letters are taken in pieces
+_word = re.compile(r"\w{1,100}").findall
 
 
 def features_of(text: str | None) -> set[str]:
@@ -97,6 +101,7 @@ def fit_linear(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, size: i
 class ChainModel:
     columns: dict[str, int] = field(default_factory=dict)
     models: list[Linear] = field(default_factory=list)
+    threshold: float = 0.5
 
     def __post_init__(self):
         self.names = frozenset(self.columns)
@@ -118,67 +123,104 @@ class ChainModel:
         return done
 
 
-def _hashes(found: set[str]) -> np.ndarray:
-    return np.unique(np.fromiter((crc32(f.encode()) for f in found), np.uint32, len(found)))
-
-
-def _screen(found: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Hashes of the FEATURES features that differ most between the two labels
-    (by the chi-squared of their counts); ties by hash."""
-    every = np.concatenate(found)
-    names, number = np.unique(every, return_inverse=True)
-    n = np.bincount(number).astype(float)
-    k = np.bincount(number, np.repeat(y, [len(f) for f in found]))
-    base = y.mean()
-    score = (k - n * base) ** 2 / np.maximum(n * base * (1 - base) * (1 - n / (len(y) + 1)), 1e-9)
-    score[n < LEAST_DOCUMENTS] = -1
-    best = np.argsort(-score, kind="stable")[:FEATURES]
-    return np.sort(names[best[score[best] >= LEAST_CHI_SQUARED]])
-
-
-def fit_chain(texts: list[str | None], toxic: list[int], folds: int = FOLDS) -> ChainModel:
-    """Fit the chain to labelled texts, in the order given. Features are held as
-    hashes until the screening has picked those that need names."""
-    y = np.array(toxic, float)
-    if not len(y) or y.min() == y.max():
-        return ChainModel()
-    picked = _screen([_hashes(features_of(t)) for t in texts], y)
-    column = {int(h): j for j, h in enumerate(picked)}
-    columns: dict[str, int] = {}
-    goals = {name: np.zeros(len(y)) for name in LEXICON}
-    for i, text in enumerate(texts):
-        found = features_of(text)
-        columns.update({f: column[h] for f in found if (h := crc32(f.encode())) in column})
-        for name, words in LEXICON.items():
-            goals[name][i] = float(toxic[i] and bool(words & found))
-    model = ChainModel(columns)
-    rows = model.rows(texts)
-    fold = np.arange(len(y)) % folds
-    earlier = np.zeros((len(y), 0))
+def fit_chain(rows: list[np.ndarray], goals: dict[str, np.ndarray], size: int,
+              folds: int = FOLDS) -> tuple[list[Linear], np.ndarray]:
+    """The models, fitted to rows of feature numbers and a 0/1 goal per category,
+    and the out-of-fold probabilities, a column per category."""
+    fold = np.arange(len(rows)) % folds
+    earlier, models = np.zeros((len(rows), 0)), []
     for name in CATEGORIES:
-        goal = goals.get(name, y)
-        held = np.zeros(len(y))
+        goal = goals[name]
+        held = np.zeros(len(rows))
         for f in range(folds):
             train, test = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            part = fit_linear([rows[i] for i in train], earlier[train], goal[train], len(picked))
+            part = fit_linear([rows[i] for i in train], earlier[train], goal[train], size)
             held[test] = part.probability([rows[i] for i in test], earlier[test])
-        model.models.append(fit_linear(rows, earlier, goal, len(picked)))
+        models.append(fit_linear(rows, earlier, goal, size))
         earlier = np.column_stack([earlier, held])
-    return model
+    return models, earlier
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ChainModel:
-    """Fit to at most ``sample`` labelled documents (one row per doc_id)."""
+def best_threshold(probability: np.ndarray, y: np.ndarray) -> float:
+    """Where the F1 score of probabilities made out of fold is largest among the
+    thresholds that call at most FALSE_ALARMS of the clean documents toxic: half
+    way between the last one called and the next."""
+    order = np.argsort(-probability, kind="stable")
+    p, hits, called = probability[order], np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    below = np.append(p[1:], 0.0)
+    f1 = 2 * hits / (called + y.sum())
+    f1[p == below] = -1  # equal probabilities fall on one side
+    f1[called - hits > FALSE_ALARMS * (len(y) - y.sum())] = -1
+    best = int(np.argmax(f1))
+    return float((p[best] + below[best]) / 2) if f1[best] > 0 else 1.0
+
+
+def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """at (0, 1, ...), toxic and found (features) of the sampled documents."""
     some = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.col("toxic").cast("int").alias("toxic")).dropna()
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # at most ``sample`` rows of two numbers
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(some), "doc_id")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).toPandas())
-    return fit_chain(rows["text"].tolist(), rows["toxic"].tolist())
+    ship_package(docs.sparkSession)
+
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.where(texts.notna(), None).map(lambda t: sorted(features_of(t)))
+
+    text = F.col("text").cast("string")
+    # some: at most ``sample`` rows of two numbers
+    rows = cut_lineage(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+        .join(F.broadcast(some), "doc_id")
+        .select(F.xxhash64("doc_id").alias("place"), "doc_id", F.md5("text").alias("tie"),
+                F.monotonically_increasing_id().alias("tag"), "toxic",
+                found("text").alias("found")), "toxicity_features")
+    order = ["place", "doc_id", "tie", "tag"]
+    first = rows.select(*order).orderBy(*order).limit(sample).withColumn(
+        "at", F.row_number().over(Window.orderBy(*order)) - 1)
+    return cut_lineage(rows.join(F.broadcast(first.select("tag", "at")), "tag").select(
+        "at", "toxic", "found"), "toxicity_sample")
+
+
+def _screened(rows: DataFrame, n: int, toxic: int) -> DataFrame:
+    """hash and column of the FEATURES features that differ most between the two
+    labels (by the chi-squared of their counts); ties by hash."""
+    base = toxic / n
+    hashes = F.array_distinct(F.transform("found", lambda f: F.crc32(f.cast("binary"))))
+    seen = F.col("n").cast("double")
+    spread = F.greatest(seen * F.lit(base * (1 - base)) * (1 - seen / F.lit(n + 1.0)), F.lit(1e-9))
+    counts = (rows.select("toxic", F.explode(hashes).alias("hash")).groupBy("hash")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
+              .filter(F.col("n") >= LEAST_DOCUMENTS)
+              .withColumn("score", F.pow(F.col("k") - seen * F.lit(base), F.lit(2.0)) / spread)
+              .filter(F.col("score") >= LEAST_CHI_SQUARED)
+              .orderBy(F.col("score").desc(), "hash").limit(FEATURES))
+    return cut_lineage(counts.select("hash", (F.row_number().over(Window.orderBy("hash")) - 1)
+                                     .alias("column")), "toxicity_screened")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ChainModel:
+    """Fit to at most ``sample`` labelled documents (one row per doc_id). Texts
+    become features and are screened in Spark; the driver gets at most FEATURES
+    names of bounded length and ``sample`` lists of at most FEATURES numbers."""
+    rows = _sample(docs, labels, sample)
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+    if not seen["n"] or seen["toxic"] in (0, seen["n"]):
+        return ChainModel()
+    picked = _screened(rows, seen["n"], seen["toxic"])
+    names = rows.select("at", F.explode("found").alias("name")).withColumn(
+        "hash", F.crc32(F.col("name").cast("binary"))).join(F.broadcast(picked), "hash")
+    columns = {r["name"]: r["column"] for r in names.select("name", "column").distinct().collect()}
+    lists = names.groupBy("at").agg(F.collect_set("column").alias("columns"))
+    flags = [(F.col("toxic").cast("boolean")
+              & F.arrays_overlap("found", F.array(*[F.lit(w) for w in sorted(words)]))).alias(name)
+             for name, words in LEXICON.items()]
+    told = rows.select("at", "toxic", *flags).join(lists, "at", "left").toPandas().sort_values("at")
+    sparse = [np.unique(np.array([] if c is None else c, np.int64)) for c in told["columns"]]
+    goals = {name: told[name].to_numpy(float) for name in LEXICON}
+    y = told["toxic"].to_numpy(float)
+    models, held = fit_chain(sparse, goals | {"toxic": y}, picked.count())
+    return ChainModel(columns, models, best_threshold(held[:, -1], y))
 
 
 def scorer(spark: SparkSession, model: ChainModel):
@@ -194,8 +236,10 @@ def scorer(spark: SparkSession, model: ChainModel):
     return score
 
 
-def toxicity_chain(docs: DataFrame, model: ChainModel, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: doc_id, p_insult, p_contempt, p_toxic and toxic."""
+def toxicity_chain(docs: DataFrame, model: ChainModel, threshold: float | None = None) -> DataFrame:
+    """Per document: doc_id, p_insult, p_contempt, p_toxic and toxic (p_toxic from
+    the threshold on, else from the model's)."""
+    threshold = model.threshold if threshold is None else threshold
     score = scorer(docs.sparkSession, model)
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text")).alias("p"))
     return out.select("doc_id", *[F.col(f"p.{c}").alias(f"p_{c}") for c in CATEGORIES],
