@@ -2,6 +2,7 @@
 broadcast, snapshots without markers, clocks under another zone."""
 
 import datetime as dt
+import random
 import os
 import subprocess
 import sys
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ROOT
+from tripmart.operators import pit
 from tripmart.operators.pit import zone_as_of
 from tripmart.operators.scd2 import empty_dim, upsert_zone_scd2
 from tripmart.operators.sequence import FIRST_LEVEL, next_in_key, profile_order
@@ -141,6 +143,7 @@ def test_load_casts_to_the_staging_types(spark, tmp_path):
 def test_clocks_ignore_the_zone_of_the_process(tmp_path):
     code = """
 import datetime as dt
+import random
 from tripmart.operators.quality import dq_tests
 from tripmart.session import get_spark
 spark = get_spark("local[1]")
@@ -178,3 +181,27 @@ def test_results_and_history_are_ordered(spark):
                                 "created_at timestamp")
     days = [r.created_at for r in latest_test_results(log).collect()]
     assert days == sorted(days, reverse=True)
+
+
+def test_versions_and_cells_meet_by_number_only(spark, monkeypatch):
+    """A location's versions times its ranges are never made: every join of the
+    range plan has a second key, and the answer stays that of the broadcast."""
+    monkeypatch.setattr(pit, "BLOCK", 3)
+    rng = random.Random(4)
+    moment = [T0 + dt.timedelta(hours=i) for i in range(300)]
+    rows = []
+    for sk in range(1, 200):
+        start = rng.randrange(300)
+        end = rng.choice([None, start, start + 1, start + 30, 10 ** 3])
+        rows.append(_version(sk, rng.choice([1, 1, 2, 3]), moment[start], None if end is None else
+                             moment[0] + dt.timedelta(hours=end, minutes=rng.choice([-20, 0]))))
+    dim = spark.createDataFrame(rows, ZONE_DIM)
+    facts = spark.createDataFrame(
+        [(i, rng.choice([1, 1, 1, 2, 4, None]), rng.choice([None, *moment[60:200]]))
+         for i in range(300)], "id int, loc int, at timestamp_ntz")
+    got = zone_as_of(facts, dim, "loc", "at", strategy="ranges", rows_per_chunk=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join " in line]
+    assert len(joins) >= 2 and all(line.count(" = ") >= 2 for line in joins)
+    want = zone_as_of(facts, dim, "loc", "at", strategy="broadcast")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
