@@ -215,3 +215,19 @@ def test_rollback_edge_rows_then_upsert(spark):
                                UPSERT_REQUESTS)
     up = upsert_zone_scd2(res.dim, ch)
     assert [(r.version_number, r.outcome) for r in up.results.collect()] == [(4, "new_version")]
+
+
+def test_pipeline_query_joins_its_trips_once(spark, monkeypatch):
+    """The three runs read one landed copy of the trips."""
+    from tripmart.plans import registry
+
+    made, staged = [], []
+    curated, run = registry.td.curated_trips, registry.run_pipeline
+    monkeypatch.setattr(registry.td, "curated_trips",
+                        lambda *a: made.append(a) or curated(*a))
+    monkeypatch.setattr(registry, "run_pipeline",
+                        lambda s, trips, *a, **k: staged.append(trips) or run(s, trips, *a, **k))
+    out = registry.q_pipeline_run(spark, "/root/testdata/sf0.001").collect()
+    assert len(out) == 20 and len(made) == 1 and len(staged) == 3
+    for trips in staged:
+        assert "Join" not in trips._jdf.queryExecution().optimizedPlan().toString()
