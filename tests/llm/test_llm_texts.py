@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -326,3 +327,31 @@ def test_bpe_round_trip_in_spark(spark, reference):
         assert r.d.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.d.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
         assert bytes(r.back) == (r.text or "").encode()
+
+
+def test_tokenize_slices_are_bounded_in_bytes():
+    import pyarrow as pa
+
+    small, long = "a" * 10, "é" * bpe.SLICE_BYTES
+    texts = [small] * 1200 + [long, None, long, small] + ["b" * (bpe.SLICE_BYTES // 3)] * 7 + [None]
+    for column in (pa.array(texts), pa.array([small, *texts]).slice(1)):
+        cuts = list(bpe._slices(column))
+        assert [s for s, _ in cuts] == [0, *[s + n for s, n in cuts]][:-1]
+        assert sum(n for _, n in cuts) == len(texts)
+        for start, n in cuts:
+            size = sum(len((t or "").encode()) for t in texts[start:start + n])
+            assert n <= bpe.SLICE_ROWS and (n == 1 or size <= bpe.SLICE_BYTES)
+    assert list(bpe._slices(pa.array([], pa.string()))) == []
+
+
+def test_a_word_is_remembered_once():
+    import public_tokenizers
+
+    with open(public_tokenizers.path(queries.VOCABULARY), "rb") as f:
+        own = bpe.ByteBpe(bpe.parse_ranks(f.read()), public_tokenizers.PATTERN)
+    text = " ".join(f"zqx{i}v 9{i} \n {i}'s" for i in range(300)) + " \t x  y"
+    ids = own.encode(text)
+    assert own.decode(ids) == text.encode() and own.encode(text) == ids
+    assert own.stretches.new and not any(" " + s in own.pieces.new for s in own.stretches.new)
+    own.forget()
+    assert own.encode(text) == ids

@@ -23,22 +23,28 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.llm.blocks import give_back
 from tripmart.llm.shipping import ship_package
 
 #: Pieces, and stretches of text, whose tokens a worker remembers.
-CACHE_PIECES = 200_000
-CACHE_STRETCHES = 400_000
+CACHE_PIECES = 50_000
+CACHE_STRETCHES = 200_000
 #: Longer ones are rare, and are encoded anew each time.
 CACHE_BYTES = 64
 #: Characters whose unknown pieces are merged together.
-LEARN_CHARS = 1 << 20
-#: Rows that tokenize() sends back at a time.
+LEARN_CHARS = 1 << 18
+#: Leaves of the segment trees that are built side by side.
+LEAVES = 1 << 19
+#: Rows, and bytes of text, that tokenize() encodes and sends back at a time (a
+#: longer text goes by itself).
 SLICE_ROWS = 500
+SLICE_BYTES = 1 << 20
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -86,7 +92,7 @@ def merge_pieces(pieces: list[bytes], pairs: PairRanks) -> list[tuple[int, ...]]
     for k, piece in enumerate(pieces):
         groups.setdefault(max(1, (len(piece) - 1).bit_length()), []).append(k)
     for bits, members in groups.items():
-        step = max(1, (1 << 22) >> bits)  # bounds the arrays
+        step = max(1, LEAVES >> bits)  # bounds the arrays
         for at in range(0, len(members), step):
             some = members[at:at + step]
             for k, ids in zip(some, _merge_side_by_side([pieces[k] for k in some], bits, pairs)):
@@ -194,9 +200,9 @@ class ByteBpe:
     def _ids(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each piece; those that are new are merged all at once."""
         got, new = {}, []
-        known = self.pieces.new.get
         for x in pieces:
-            ids = known(x) or self.pieces.old_or_none(x)
+            memory, key = self._place(x)
+            ids = memory.new.get(key) or memory.old_or_none(key)
             if ids is None:
                 data = x.encode("utf-8", "replace")
                 own = self.ranks.get(data)
@@ -208,9 +214,17 @@ class ByteBpe:
         for (x, data), ids in zip(new, merge_pieces([d for _, d in new], self.pairs)):
             got[x] = ids
             if len(data) <= CACHE_BYTES:
-                self.pieces.put(x, ids)
+                memory, key = self._place(x)
+                memory.put(key, ids)
         return got
 
+    def _place(self, piece: str) -> tuple[Memory, str]:
+        """Where a piece is remembered: a word after a space is a stretch too, and
+        is remembered once for both."""
+        if piece[0] == " " and " " not in piece[1:] and not piece[-1].isspace():
+            return self.stretches, piece[1:]
+        return self.pieces, piece
+
     def _stretches(self, text: str, missing: dict[str, list]) -> list:
         """The ids of each stretch of a text, in order. A stretch that isn't
         known is left open: ``missing`` gets its place.
@@ -349,10 +363,11 @@ def tokenize(docs: DataFrame, shared, keep: list[str], text_col: str = "text") -
         T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches):
+        give_back()  # what earlier work of this worker has freed
         bpe = _encoder(shared)
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
+            for start, rows in _slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(start, rows)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 with _no_collector():
                     ids = list(bpe.encode_all(texts))
@@ -364,10 +379,25 @@ def tokenize(docs: DataFrame, shared, keep: list[str], text_col: str = "text") -
                      *map(pa.array, digests)], [f.name for f in schema.fields])
         # in a pipeline the worker goes on to other work
         bpe.forget()
+        give_back()
 
     return docs.select(*[docs[c] for c in keep], docs[text_col]).mapInArrow(run, schema)
 
 
+def _slices(texts: pa.Array):
+    """(start, rows) of stretches of at most SLICE_ROWS texts and, if it has more
+    than one text, SLICE_BYTES."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False),
+                     dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        done = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, done + SLICE_BYTES, "right"))
+        stop = max(start + 1, min(stop, start + SLICE_ROWS))
+        yield start, stop - start
+        start = stop
+
+
 def _digests(bpe: ByteBpe, ids: list[int]) -> tuple[int, str, str]:
     return (len(ids), hashlib.sha256(bpe.decimal(ids)).hexdigest(),
             hashlib.sha256(bpe.decode(ids)).hexdigest())
