@@ -355,3 +355,23 @@ def test_a_word_is_remembered_once():
     assert own.stretches.new and not any(" " + s in own.pieces.new for s in own.stretches.new)
     own.forget()
     assert own.encode(text) == ids
+
+
+def test_picked_features_need_no_join(spark):
+    """Rows that share a feature meet in no join, so nothing grows with their number."""
+    found = [["clown", "a"], ["clown", "b", "clow~"], [], ["clown", "clown"]]
+    rows = spark.createDataFrame([(i, f) for i, f in enumerate(found)],
+                                 "at int, found array<string>")
+    def number(word):
+        return zlib.crc32(word.encode())
+    picked = sorted(map(number, ["clown", "b", "gone"]))
+    lists = rows.select("at", toxicity._picked_hashes(picked).alias("h"))
+    names = toxicity._names_of(rows, picked)
+    for frame in (lists, names):
+        assert "Join" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["at"]: sorted(r["h"]) for r in lists.collect()} == {
+        0: [number("clown")], 1: sorted([number("clown"), number("b")]), 2: [], 3: [number("clown")]}
+    assert sorted((r["name"], r["hash"]) for r in names.collect()) == [
+        ("b", number("b")), ("clown", number("clown"))]
+    assert toxicity._names_of(rows, []).collect() == []
+    assert [r["h"] for r in rows.select(toxicity._picked_hashes([]).alias("h")).collect()] == [[]] * 4

@@ -21,11 +21,12 @@ teaches nothing; rows that share a doc_id are scored separately.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.shipping import ship_package
@@ -183,20 +184,42 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 
 def _screened(rows: DataFrame, n: int, toxic: int) -> DataFrame:
-    """hash and column of the FEATURES features that differ most between the two
-    labels (by the chi-squared of their counts); ties by hash."""
+    """hash of the FEATURES features that differ most between the two labels (by
+    the chi-squared of their counts; ties by hash), in order."""
     base = toxic / n
-    hashes = F.array_distinct(F.transform("found", lambda f: F.crc32(f.cast("binary"))))
     seen = F.col("n").cast("double")
     spread = F.greatest(seen * F.lit(base * (1 - base)) * (1 - seen / F.lit(n + 1.0)), F.lit(1e-9))
-    counts = (rows.select("toxic", F.explode(hashes).alias("hash")).groupBy("hash")
+    counts = (rows.select("toxic", F.explode(F.array_distinct(_hashes())).alias("hash"))
+              .groupBy("hash")
               .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
               .filter(F.col("n") >= LEAST_DOCUMENTS)
               .withColumn("score", F.pow(F.col("k") - seen * F.lit(base), F.lit(2.0)) / spread)
               .filter(F.col("score") >= LEAST_CHI_SQUARED)
               .orderBy(F.col("score").desc(), "hash").limit(FEATURES))
-    return cut_lineage(counts.select("hash", (F.row_number().over(Window.orderBy("hash")) - 1)
-                                     .alias("column")), "toxicity_screened")
+    return counts.select("hash").orderBy("hash")
+
+
+def _hashes() -> Column:
+    return F.transform("found", lambda f: F.crc32(f.cast("binary")))
+
+
+def _literal(hashes: list[int]) -> Column:
+    """One array literal: building it element by element costs a round trip each."""
+    return F.expr(f"cast(array({','.join(map(str, hashes))}) as array<bigint>)")
+
+
+def _picked_hashes(picked: list[int]) -> Column:
+    """The picked features of a row, each once. No join: a row stays one row,
+    however many rows share its features."""
+    return F.array_intersect(_hashes(), _literal(picked))
+
+
+def _names_of(rows: DataFrame, picked: list[int]) -> DataFrame:
+    """name and hash of the picked features."""
+    names = rows.select(F.explode("found").alias("name")).withColumn(
+        "hash", F.crc32(F.col("name").cast("binary")))
+    among = F.expr(f"hash in ({','.join(map(str, picked))})") if picked else F.lit(False)
+    return names.filter(among).distinct()
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ChainModel:
@@ -207,19 +230,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ChainMode
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     if not seen["n"] or seen["toxic"] in (0, seen["n"]):
         return ChainModel()
-    picked = _screened(rows, seen["n"], seen["toxic"])
-    names = rows.select("at", F.explode("found").alias("name")).withColumn(
-        "hash", F.crc32(F.col("name").cast("binary"))).join(F.broadcast(picked), "hash")
-    columns = {r["name"]: r["column"] for r in names.select("name", "column").distinct().collect()}
-    lists = names.groupBy("at").agg(F.collect_set("column").alias("columns"))
+    # at most FEATURES numbers, in order: a feature's column is its place
+    picked = [r["hash"] for r in _screened(rows, seen["n"], seen["toxic"]).collect()]
+    columns = {r["name"]: bisect_left(picked, r["hash"]) for r in _names_of(rows, picked).collect()}
     flags = [(F.col("toxic").cast("boolean")
               & F.arrays_overlap("found", F.array(*[F.lit(w) for w in sorted(words)]))).alias(name)
              for name, words in LEXICON.items()]
-    told = rows.select("at", "toxic", *flags).join(lists, "at", "left").toPandas().sort_values("at")
-    sparse = [np.unique(np.array([] if c is None else c, np.int64)) for c in told["columns"]]
+    told = (rows.select("at", "toxic", *flags, _picked_hashes(picked).alias("hashes"))
+            .toPandas().sort_values("at"))
+    sparse = [np.searchsorted(np.array(picked, np.int64), np.sort(np.array(h, np.int64)))
+              for h in told["hashes"]]
     goals = {name: told[name].to_numpy(float) for name in LEXICON}
     y = told["toxic"].to_numpy(float)
-    models, held = fit_chain(sparse, goals | {"toxic": y}, picked.count())
+    models, held = fit_chain(sparse, goals | {"toxic": y}, len(picked))
     return ChainModel(columns, models, best_threshold(held[:, -1], y))
 
 
