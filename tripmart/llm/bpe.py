@@ -33,8 +33,11 @@ from tripmart.llm.blocks import give_back
 from tripmart.llm.shipping import ship_package
 
 #: Pieces, and stretches of text, whose tokens a worker remembers.
-CACHE_PIECES = 50_000
-CACHE_STRETCHES = 200_000
+CACHE_PIECES = 200_000
+CACHE_STRETCHES = 400_000
+#: The same for tokenize(), which shares its executor with what a pipeline left.
+SMALL_PIECES = 50_000
+SMALL_STRETCHES = 200_000
 #: Longer ones are rare, and are encoded anew each time.
 CACHE_BYTES = 64
 #: Characters whose unknown pieces are merged together.
@@ -185,17 +188,18 @@ class Memory:
 class ByteBpe:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str,
+                 sizes: tuple[int, int] = (CACHE_PIECES, CACHE_STRETCHES)):
+        self.ranks, self.sizes = ranks, sizes
         self.split = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.names = {rank: str(rank) for rank in ranks.values()}
         self.pairs = PairRanks(ranks)
-        self.pieces, self.stretches = Memory(CACHE_PIECES), Memory(CACHE_STRETCHES)
+        self.forget()
 
     def forget(self) -> None:
         """Give back what is remembered; it is learned anew as needed."""
-        self.pieces, self.stretches = Memory(CACHE_PIECES), Memory(CACHE_STRETCHES)
+        self.pieces, self.stretches = map(Memory, self.sizes)
 
     def _ids(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each piece; those that are new are merged all at once."""
@@ -312,13 +316,13 @@ def _no_collector():
 _encoders: dict[tuple, ByteBpe] = {}
 
 
-def _encoder(shared) -> ByteBpe:
+def _encoder(shared, sizes: tuple[int, int] = (CACHE_PIECES, CACHE_STRETCHES)) -> ByteBpe:
     """One encoder per worker and vocabulary: its memory lasts over batches."""
     data, pattern = shared.value
-    key = (hash(data), pattern)
+    key = (hash(data), pattern, sizes)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = ByteBpe(parse_ranks(data), pattern)
+        _encoders[key] = ByteBpe(parse_ranks(data), pattern, sizes)
     return _encoders[key]
 
 
@@ -364,7 +368,7 @@ def tokenize(docs: DataFrame, shared, keep: list[str], text_col: str = "text") -
 
     def run(batches):
         give_back()  # what earlier work of this worker has freed
-        bpe = _encoder(shared)
+        bpe = _encoder(shared, (SMALL_PIECES, SMALL_STRETCHES))
         for batch in batches:
             for start, rows in _slices(batch.column(batch.num_columns - 1)):
                 part = batch.slice(start, rows)
