@@ -4,6 +4,7 @@ broadcast, snapshots without markers, clocks under another zone."""
 import datetime as dt
 import random
 import os
+import re
 import subprocess
 import sys
 
@@ -205,3 +206,42 @@ def test_versions_and_cells_meet_by_number_only(spark, monkeypatch):
     assert len(joins) >= 2 and all(line.count(" = ") >= 2 for line in joins)
     want = zone_as_of(facts, dim, "loc", "at", strategy="broadcast")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_search_makes_the_order_value_once(spark):
+    """Both levels of a search compare one column, not the expression behind it."""
+    times = [T0 + dt.timedelta(seconds=(7 * i) % 5000) for i in range(5000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)] + [(-1, None)],
+                               "id int, at timestamp_ntz")
+    chunks = profile_order(df, "at", 2)
+    assert chunks.finer is not None
+    got = chunks.assign(df, "c")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("timestampdiff(") == 1
+    assert got.columns == ["id", "at", "c"]
+    fine = {r["_l1"]: r["_l2_bounds"] for r in chunks.finer.collect()}
+    for r in got.collect():
+        v = None if r.at is None else (r.at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        high = 0 if v is None else sum(b <= v for b in chunks.bounds)
+        low = 0 if v is None else sum(b <= v for b in fine[high] or [])
+        assert r.c == high * chunks.finer_count + low
+
+
+def test_versions_are_searched_once_in_stages_of_their_own(spark, monkeypatch):
+    written = []
+
+    def cut(df, name="intermediate"):
+        written.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr(pit, "cut_lineage", cut)
+    dim = spark.createDataFrame([_version(i, 1, T0 + dt.timedelta(hours=i), None)
+                                 for i in range(1, 20)], ZONE_DIM)
+    facts = spark.createDataFrame([(i, 1, T0 + dt.timedelta(hours=i)) for i in range(40)],
+                                  "id int, loc int, at timestamp_ntz")
+    got = zone_as_of(facts, dim, "loc", "at", strategy="ranges", rows_per_chunk=4)
+    plans = written + [("answer", got._jdf.queryExecution().optimizedPlan().toString())]
+    searched = {name: re.findall(r"timestampdiff\([^#]*_(from|to)#", plan)
+                for name, plan in plans}
+    assert {name: ends for name, ends in searched.items() if ends} == {
+        "pit_lows": ["from"], "pit_spans": ["to"]}
+    assert got.count() == sum(max(1, min(i, 19)) for i in range(40))

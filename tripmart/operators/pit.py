@@ -71,10 +71,13 @@ def zone_as_of(facts: DataFrame, dim: DataFrame, key: str, at: str, prefix: str
                         .agg(F.min(at).alias("_first"), F.max(at).alias("_last")), "pit_cells")
     spans = versions.filter(F.col("_pit_from").isNotNull()
                             & (F.col("_pit_to").isNull() | (F.col("_pit_from") < F.col("_pit_to"))))
-    spans = chunks.assign(spans, "_pit_low", "_pit_from")
+    # written after each search: the ranges are read three times below, and two
+    # searches in one stage take many times as long as two stages
+    spans = cut_lineage(chunks.assign(spans, "_pit_low", "_pit_from"), "pit_lows")
     spans = chunks.assign(spans, "_pit_high", "_pit_to").withColumn(
         "_pit_high", F.when(F.col("_pit_to").isNotNull(), F.col("_pit_high"))
         .otherwise(F.lit(chunks.count - 1)))
+    spans = cut_lineage(spans, "pit_spans")
     clipped = _cells_in_reach(spans, cells).withColumnRenamed("_at", "_pit_chunk")
     cond = ((F.col(key) == F.col("_pit_key")) & (F.col(CHUNK) == F.col("_pit_chunk")) & in_effect)
     matched = ranged.join(clipped, cond, "left").drop(*extra, "_pit_chunk", CHUNK)

@@ -87,16 +87,19 @@ class Chunks:
         ``col`` of its type."""
         if self.count == 1 or not self.bounds:
             return df.withColumn(out, F.lit(0))
-        value = numeric_order(df, col or self.col).cast("double")
+        # a column of its own, made once: every step of both searches compares it
+        value = F.col("_order_value")
+        d = df.withColumn("_order_value", numeric_order(df, col or self.col).cast("double"))
         bounds = F.expr("array(" + ",".join(repr(float(b)) for b in self.bounds) + ")")
-        d = _lift(df, value, bounds, len(self.bounds), out)
+        d = _lift(d, value, bounds, len(self.bounds), out)
         if self.finer is not None:
             # at most FIRST_LEVEL rows, one number per range
             d = d.withColumnRenamed(out, "_l1").join(F.broadcast(self.finer), "_l1", "left")
             d = _lift(d, value, F.col("_l2_bounds"), self.finer_count - 1, "_l2")
             d = d.withColumn(out, F.col("_l1") * F.lit(self.finer_count) + F.col("_l2")).drop(
                 "_l1", "_l2", "_l2_bounds")
-        return d.withColumn(out, F.when(value.isNull(), F.lit(0)).otherwise(F.col(out)))
+        return d.withColumn(out, F.when(value.isNull(), F.lit(0)).otherwise(F.col(out))).drop(
+            "_order_value")
 
 
 def _fractions(n: int) -> Column:
